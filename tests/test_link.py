@@ -1,0 +1,106 @@
+"""Links: pairs, key modes, empty keys, hot keys."""
+
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from veilframe import LinkSpec, link
+from veilframe.functions import link_token
+
+
+def rows(df):
+    return Counter(map(tuple, df.collect()))
+
+
+def test_many_to_many(spark):
+    a = spark.createDataFrame([("1", "p"), ("1", "q"), ("2", "r")], "k string, a string")
+    b = spark.createDataFrame([("1", "u"), ("1", "v"), ("3", "w")], "k string, b string")
+    got = link(a, b, LinkSpec(["k"], ["k"], ["a"], ["b"]))
+    assert got.columns == ["a", "b"]
+    assert rows(got) == Counter([("p", "u"), ("p", "v"), ("q", "u"), ("q", "v")])
+
+
+def test_key_modes(spark):
+    a = spark.createDataFrame([("ab", "c", 1)], "x string, y string, a int")
+    b = spark.createDataFrame([("a", "bc", 2), ("ab", "c", 3)], "x string, y string, b int")
+    spec = (["x", "y"], ["x", "y"], ["a"], ["b"])
+    assert rows(link(a, b, LinkSpec(*spec))) == Counter([(1, 3)])
+    assert rows(link(a, b, LinkSpec(*spec, key_mode="concat"))) == Counter([(1, 2), (1, 3)])
+    c = spark.createDataFrame([("abc", 4)], "z string, b int")
+    assert rows(link(a, c, LinkSpec(["x", "y"], ["z"], ["a"], ["b"], key_mode="concat"))) == Counter([(1, 4)])
+
+
+def test_column_mode_keys_never_run_together(spark):
+    pairs = [("1:a", "b"), ("1", "a1:b"), ("", "1:"), ("1:", ""), (None, "1:"), ("a", None), (None, "a")]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    tokens = df.select(link_token([F.col("x"), F.col("y")]).alias("t")).collect()
+    # NULL and the empty text are the same key; all other pairs differ.
+    assert len({bytes(r.t) for r in tokens}) == 6
+
+
+def test_empty_keys(spark):
+    a = spark.createDataFrame([("", 1), (None, 2), ("k", 3)], "k string, a int")
+    b = spark.createDataFrame([(None, 4), ("k", 5)], "k string, b int")
+    spec = (["k"], ["k"], ["a"], ["b"])
+    assert rows(link(a, b, LinkSpec(*spec))) == Counter([(1, 4), (2, 4), (3, 5)])
+    assert rows(link(a, b, LinkSpec(*spec, drop_empty_keys=True))) == Counter([(3, 5)])
+
+
+def test_keys_compare_as_text_across_types(spark):
+    a = spark.createDataFrame([(7, 1)], "k int, a int")
+    b = spark.createDataFrame([("7", 2), ("07", 3)], "k string, b int")
+    assert rows(link(a, b, LinkSpec(["k"], ["k"], ["a"], ["b"]))) == Counter([(1, 2)])
+
+
+def test_shared_names_get_suffixes(spark):
+    a = spark.createDataFrame([(1, 2)], "k int, `v.1` int")
+    got = link(a, a, LinkSpec(["k"], ["k"], ["v.1", "k"], ["v.1"]))
+    assert got.columns == ["v.1_a", "k", "v.1_b"] and rows(got) == Counter([(2, 1, 2)])
+    with pytest.raises(ValueError):
+        link(a, a, LinkSpec(["k"], ["k"], ["k", "k"], ["v.1"]))
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Sort-merge joins, with skew handling scaled down to test size."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "100",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key in settings:
+        spark.conf.unset(key)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_one_key_with_a_third_of_the_rows_is_split(spark, small_partitions):
+    n = 300_000
+    ids = spark.range(0, n, 1, 16)
+    hot = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    a = ids.select(hot.alias("k"), F.col("id").alias("a"))
+    b = spark.range(-1, n, 1, 4).select(F.col("id").alias("k"), (F.col("id") * 2).alias("b"))
+    got = link(a, b, LinkSpec(["k"], ["k"], ["a"], ["b"]))
+    total = got.agg(F.count("*").alias("n"), F.sum("a").alias("a"), F.sum("b").alias("b"))
+    row = total.collect()[0]
+    keys = [-1 if i % 3 == 0 else i for i in range(n)]
+    assert tuple(row) == (n, n * (n - 1) // 2, 2 * sum(keys))
+    assert "SortMergeJoin(skew=true)" in total._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_key_hot_on_both_sides_is_split_on_both(spark, small_partitions):
+    ids = spark.range(0, 60_000, 1, 16)
+    hot_a = F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))
+    hot_b = F.when(F.col("id") < 200, F.lit(-1)).otherwise(F.col("id"))
+    a = ids.select(hot_a.alias("k"), F.col("id").alias("a"))
+    b = ids.select(hot_b.alias("k"), F.col("id").alias("b"))
+    got = link(a, b, LinkSpec(["k"], ["k"], ["a"], ["b"]))
+    total = got.agg(F.count("*").alias("n"), F.sum("a"), F.sum("b"))
+    single = sum(1 for i in range(200, 60_000) if i % 3)
+    assert total.collect()[0].n == 20_000 * 200 + single
+    assert "SortMergeJoin(skew=true)" in total._jdf.queryExecution().executedPlan().toString()

@@ -1,0 +1,81 @@
+"""Policy and link-spec parsing."""
+
+import pytest
+
+from veilframe import LinkSpec, Policy, link, profile, pseudonymize
+from veilframe.plans import Condition
+
+
+def test_policy_from_json():
+    policy = Policy.from_json(
+        '{"전처리": ["x", "Avg", "Sd"], "a": ["Masking", "1:0-:1"], "b": ["Round", "RU", "-2"],'
+        ' "c": ["MicroAggregation", "d=e,f;g", "h=1=2"]}'
+    )
+    a, b, c = policy.treatments
+    assert policy.figures == ("Avg", "Sd")
+    assert a.spec == "1:0-:1" and (b.mode, b.digit) == ("RU", -2)
+    assert c.conditions == (Condition("d", "e,f;g"), Condition("h", "1=2"))
+    assert policy.columns == ["a", "b", "c", "d", "h"]
+
+
+@pytest.mark.parametrize(
+    "entries",
+    [
+        {"a": ["Maskin", "1"]},
+        {"a": ["Masking"]},
+        {"a": ["Round", "R"]},
+        {"a": ["Round", "r", 1]},
+        {"a": ["Round", "R", "one"]},
+        {"a": ["MicroAggregation", "b"]},
+        {"a": "Delete"},
+        {"a": []},
+        {"a": ["Random"], "전처리": ["x", "Median"]},
+    ],
+)
+def test_bad_policies_are_refused(entries):
+    with pytest.raises(ValueError):
+        Policy.from_dict(entries)
+
+
+def test_unknown_columns_are_refused(spark):
+    df = spark.range(1)
+    for entries in ({"no": ["Encryption"]}, {"id": ["MicroAggregation", "no=1"]}):
+        with pytest.raises(ValueError, match="no"):
+            pseudonymize(df, Policy.from_dict(entries))
+    with pytest.raises(ValueError, match="no"):
+        profile(df, Policy.from_dict({"no": ["Random"]}))
+    with pytest.raises(ValueError, match="table B"):
+        link(df, df, LinkSpec(["id"], ["no"], ["id"], ["id"]))
+
+
+def test_numeric_treatment_of_other_types_is_refused(spark):
+    df = spark.sql("select current_date() as d")
+    with pytest.raises(ValueError, match="date"):
+        pseudonymize(df, Policy.from_dict({"d": ["TopBottom"]}))
+
+
+def test_profile_needs_a_column_to_profile(spark):
+    with pytest.raises(ValueError):
+        profile(spark.range(1), Policy.from_dict({"id": ["Encryption"]}))
+
+
+def test_link_spec_from_json():
+    spec = LinkSpec.from_json(
+        '{"join_key": {"A": ["x", "y"], "B": ["z"]}, "column_list": {"A": ["p"], "B": ["q", "r"]}}',
+        key_mode="concat",
+    )
+    assert spec == LinkSpec(("x", "y"), ("z",), ("p",), ("q", "r"), key_mode="concat")
+
+
+@pytest.mark.parametrize(
+    "arguments,options",
+    [
+        ((["x", "y"], ["z"], ["p"], ["q"]), {}),
+        ((["x"], [], ["p"], ["q"]), {}),
+        ((["x"], ["z"], [], []), {}),
+        ((["x"], ["z"], ["p"], ["q"]), {"key_mode": "other"}),
+    ],
+)
+def test_bad_link_specs_are_refused(arguments, options):
+    with pytest.raises(ValueError):
+        LinkSpec(*arguments, **options)

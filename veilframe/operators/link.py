@@ -1,0 +1,55 @@
+"""Inner join of two tables on a hashed composite key."""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from veilframe.functions import link_token, named, require_columns
+from veilframe.plans import LinkSpec
+
+TOKEN = "__token"
+
+
+def _side(df: DataFrame, keys, columns, spec: LinkSpec, prefix: str) -> DataFrame:
+    """The token and the wanted columns, under names of this side only."""
+    if spec.drop_empty_keys:
+        df = df.filter(reduce(or_, [named(k).cast("string") != "" for k in keys]))
+    return df.select(
+        link_token([named(k) for k in keys], spec.key_mode).alias(TOKEN),
+        *[named(name).alias(f"{prefix}{i}") for i, name in enumerate(columns)],
+    )
+
+
+def _output_names(spec: LinkSpec) -> list[str]:
+    """A's names, then B's; a name on both sides gets ``_a`` and ``_b``."""
+    shared = set(spec.columns_a) & set(spec.columns_b)
+    names = [c + "_a" if c in shared else c for c in spec.columns_a]
+    names += [c + "_b" if c in shared else c for c in spec.columns_b]
+    repeated = sorted({name for name in names if names.count(name) > 1})
+    if repeated:
+        raise ValueError(f"the link would return {repeated} more than once")
+    return names
+
+
+def link(a: DataFrame, b: DataFrame, spec: LinkSpec) -> DataFrame:
+    """Every pair of an A row and a B row with equal keys, many to many.
+
+    Keys are hashed before any shuffle, so clear keys reach neither shuffle
+    files nor the result. The join is left to Spark: it broadcasts a side that
+    it measures to be small and otherwise sorts and merges, spilling to disk.
+    Adaptive execution splits a partition that one hot key has made large,
+    on both sides if need be.
+    """
+    require_columns(a, [*spec.keys_a, *spec.columns_a], "table A")
+    require_columns(b, [*spec.keys_b, *spec.columns_b], "table B")
+    names = _output_names(spec)
+    left = _side(a, spec.keys_a, spec.columns_a, spec, "a")
+    right = _side(b, spec.keys_b, spec.columns_b, spec, "b")
+    sides = [f"a{i}" for i in range(len(spec.columns_a))]
+    sides += [f"b{i}" for i in range(len(spec.columns_b))]
+    joined = left.join(right, TOKEN, "inner")
+    return joined.select(*[F.col(c).alias(name) for c, name in zip(sides, names)])

@@ -1,0 +1,77 @@
+"""Column statistics, all of them from one scan and one aggregate."""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from veilframe.functions import matches, named, require_columns, to_number
+from veilframe.plans import Policy, Treatment
+
+AGGREGATES = {
+    "Count": F.count,
+    "Avg": F.avg,
+    "Sd": F.stddev_pop,
+    "Min": F.min,
+    "Max": F.max,
+}
+
+
+def field(treatment: Treatment, figure: str) -> str:
+    """The name a column's figure has in the one-row form."""
+    return f"{figure}({treatment.column})"
+
+
+def statistics_row(
+    df: DataFrame, requests: Iterable[tuple[Treatment, Sequence[str]]]
+) -> DataFrame:
+    """One row with every requested figure, named by ``field``.
+
+    Only numeric cells count, NaN excepted. A treatment with conditions uses
+    the rows that meet them; if every treatment has some, rows that meet none
+    are filtered out in the scan. Each task sends one row of partial results,
+    whatever the size of the table.
+    """
+    requests = list(requests)
+    conditions = [t.conditions for t, _ in requests]
+    if all(conditions):
+        df = df.filter(reduce(or_, [matches(df, c) for c in dict.fromkeys(conditions)]))
+
+    figures = []
+    for treatment, wanted in requests:
+        cell = named(treatment.column)
+        number = F.nanvl(to_number(cell, df.schema[treatment.column].dataType), F.lit(None))
+        if treatment.conditions:
+            number = F.when(matches(df, treatment.conditions), number)
+        figures += [AGGREGATES[f](number).alias(field(treatment, f)) for f in wanted]
+    return df.agg(*figures)
+
+
+def profile(
+    df: DataFrame, policy: Policy, figures: Sequence[str] | None = None
+) -> DataFrame:
+    """``(column, stat, value)`` for the policy's statistics-driven columns.
+
+    The figures are ``figures`` if given, else the policy's profile request,
+    else those each column's treatment needs. Besides the four figures of a
+    policy, ``Count`` gives the number of numeric cells.
+    """
+    if not policy.measured:
+        raise ValueError("the policy has no TopBottom, MicroAggregation or Random column")
+    require_columns(df, policy.columns)
+    chosen = tuple(figures or policy.figures)
+    requests = [(t, chosen or t.needed_figures) for t in policy.measured]
+    rows = [
+        F.struct(
+            F.lit(t.column).alias("column"),
+            F.lit(figure).alias("stat"),
+            named(field(t, figure)).cast("double").alias("value"),
+        )
+        for t, wanted in requests
+        for figure in wanted
+    ]
+    return statistics_row(df, requests).select(F.inline(F.array(*rows)))

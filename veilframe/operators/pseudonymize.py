@@ -1,0 +1,161 @@
+"""Apply a policy to a table: one projection, plus statistics if it needs any."""
+
+from __future__ import annotations
+
+import random
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from veilframe.functions import (
+    matches,
+    named,
+    outlier_to_mean,
+    is_outlier,
+    part_delete,
+    random_number,
+    random_text,
+    require_columns,
+    round_at,
+    sha256_hex,
+    span_mask,
+    to_number,
+)
+from veilframe.operators.profile import field, statistics_row
+from veilframe.plans import Policy, Treatment
+
+STATISTICS = "__statistics"
+
+
+def _as_cell(df: DataFrame, treatment: Treatment, value: Column) -> Column:
+    """A number as the column holds it: text for text columns, else a double.
+
+    A text cell that is no number becomes empty text; a NULL cell stays NULL.
+    """
+    if not isinstance(df.schema[treatment.column].dataType, T.StringType):
+        return value
+    text = F.coalesce(value.cast("string"), F.lit(""))
+    return F.when(named(treatment.column).isNotNull(), text)
+
+
+def _number(df: DataFrame, treatment: Treatment) -> Column:
+    return to_number(named(treatment.column), df.schema[treatment.column].dataType)
+
+
+def _figure(treatment: Treatment, figure: str) -> Column:
+    return F.col(STATISTICS).getField(field(treatment, figure))
+
+
+def _masking(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+    return span_mask(named(t.column), t.spec)
+
+
+def _part_delete(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+    return part_delete(named(t.column), t.spec)
+
+
+def _round(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+    return _as_cell(df, t, round_at(_number(df, t), t.mode, t.digit))
+
+
+def _encryption(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+    return sha256_hex(named(t.column))
+
+
+def _outliers(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+    """TopBottom, and MicroAggregation for the rows that meet its conditions."""
+    x, mean, sd = _number(df, t), _figure(t, "Avg"), _figure(t, "Sd")
+    original = named(t.column)
+    if isinstance(df.schema[t.column].dataType, T.StringType):
+        # Cells that stay keep their own spelling.
+        treated = (
+            F.when(is_outlier(x, mean, sd), mean.cast("string"))
+            .when(original.isNotNull() & x.isNull(), F.lit(""))
+            .otherwise(original)
+        )
+    else:
+        original, treated = x, outlier_to_mean(x, mean, sd)
+    if not t.conditions:
+        return treated
+    return F.when(matches(df, t.conditions), treated).otherwise(original)
+
+
+def _random(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+    """A number within the column's range, or a text of the cell's length."""
+    seeds = random.Random(seed)
+    drawn = random_number(_figure(t, "Min"), _figure(t, "Max"), seeds.getrandbits(62))
+    x = _number(df, t)
+    if not isinstance(df.schema[t.column].dataType, T.StringType):
+        return F.when(x.isNotNull(), drawn)
+    text = random_text(named(t.column), seeds.getrandbits(62))
+    return F.when(x.isNotNull(), _as_cell(df, t, drawn)).otherwise(text)
+
+
+BUILDERS = {
+    "Masking": _masking,
+    "PartDelete": _part_delete,
+    "Round": _round,
+    "Encryption": _encryption,
+    "TopBottom": _outliers,
+    "MicroAggregation": _outliers,
+    "Random": _random,
+}
+
+
+def _stored_row(stored: DataFrame, policy: Policy) -> DataFrame:
+    """The one-row form of statistics kept as ``(column, stat, value)``."""
+    return stored.agg(
+        *[
+            F.max(
+                F.when(
+                    (F.col("column") == t.column) & (F.col("stat") == figure), F.col("value")
+                )
+            ).alias(field(t, figure))
+            for t in policy.measured
+            for figure in t.needed_figures
+        ]
+    )
+
+
+def pseudonymize(
+    df: DataFrame,
+    policy: Policy,
+    seed: int | None = None,
+    statistics: DataFrame | None = None,
+) -> DataFrame:
+    """``df`` with every treated column replaced, in the same column order.
+
+    Without TopBottom, MicroAggregation or Random this is one narrow
+    projection. Otherwise the statistics come first: an aggregate over the
+    treated and tested columns, whose single row reaches the projection as a
+    scalar subquery, so no join is planned. ``statistics`` takes a stored
+    result of ``profile`` instead and leaves out that scan.
+
+    Text columns stay text; numeric columns under a numeric treatment become
+    doubles. ``seed`` makes Random repeatable for the same input partitions.
+    """
+    require_columns(df, policy.columns)
+    treated = {t.column: t for t in policy.treatments}
+    kept = [name for name in df.columns if name not in treated or treated[name].kind != "Delete"]
+
+    columns = []
+    for name in kept:
+        if name not in treated:
+            columns.append(named(name))
+            continue
+        own_seed = None if seed is None else random.Random(f"{seed}/{name}").getrandbits(62)
+        treatment = treated[name]
+        columns.append(BUILDERS[treatment.kind](df, treatment, own_seed).alias(name))
+
+    source = df
+    if policy.measured:
+        if statistics is None:
+            row = statistics_row(df, [(t, t.needed_figures) for t in policy.measured])
+        else:
+            row = _stored_row(statistics, policy)
+        # One struct, read once: naming the subquery in every treatment
+        # would plan it once per use.
+        packed = row.select(F.struct(*[named(c) for c in row.columns]))
+        source = df.select("*", packed.scalar().alias(STATISTICS))
+    return source.select(*columns)
