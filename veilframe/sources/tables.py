@@ -9,7 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,17 +43,20 @@ def read_table(
         header=True,
         sep=SEPARATOR,
         quote=quote,
+        escape=quote or "\\",
         encoding="UTF-8",
         enforceSchema=False,
     )
     return table.na.fill("")
 
 
-def _printable(name: str) -> F.Column:
-    """The cell's text, refused if it cannot be a cell of unquoted text."""
+def _printable(name: str, quote: str) -> Column:
+    """The cell's text, refused if it would break its line of the file."""
     text = F.coalesce(named(name).cast("string"), F.lit(""))
-    broken = text.contains(SEPARATOR) | text.contains("\n") | text.contains("\r")
-    message = F.lit(f"a cell of {name} holds a separator or line break; write with quote='\"'")
+    broken = text.contains("\n") | text.contains("\r")
+    if not quote:
+        broken = broken | text.contains(SEPARATOR)
+    message = F.lit(f"a cell of {name} holds a line break, or a separator and no quote is set")
     return F.when(broken, F.raise_error(message).cast("string")).otherwise(text).alias(name)
 
 
@@ -67,14 +70,13 @@ def write_table(
 ) -> None:
     """Write a table; the directory must be new unless ``mode`` says otherwise.
 
-    Without ``quote`` the files are what ``read_table`` reads by default, and a
-    cell that would break its line fails the write instead of shifting columns.
+    Without ``quote`` the files are what ``read_table`` reads by default. A cell
+    that the lines cannot hold fails the write instead of shifting columns.
     """
     if format != "csv":
         df.write.format(format).mode(mode).save(path)
         return
-    if not quote:
-        df = df.select(*[_printable(name) for name in df.columns])
+    df = df.select(*[_printable(name, quote) for name in df.columns])
     df.write.mode(mode).csv(
         path,
         header=header,
