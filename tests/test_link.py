@@ -104,3 +104,55 @@ def test_a_key_hot_on_both_sides_is_split_on_both(spark, small_partitions):
     single = sum(1 for i in range(200, 60_000) if i % 3)
     assert total.collect()[0].n == 20_000 * 200 + single
     assert "SortMergeJoin(skew=true)" in total._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def without_adaptive_execution(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    yield
+    spark.conf.unset("spark.sql.adaptive.enabled")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def hot_tables(spark):
+    ids = spark.range(0, 30_000, 1, 64)
+    a = ids.select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    b = ids.select(
+        F.when(F.col("id") < 300, F.lit(-1)).when(F.col("id") < 9000, F.lit(1)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("b"),
+    )
+    return a, b
+
+
+def test_split_hot_keys_gives_the_same_pairs(spark):
+    a, b = hot_tables(spark)
+    spec = LinkSpec(["k"], ["k"], ["a"], ["b"])
+    plain, split = link(a, b, spec), link(a, b, spec, split_hot_keys=True)
+    figures = [F.count("*"), F.sum("a"), F.sum("b"), F.sum(F.xxhash64("a", "b") % 1_000_003)]
+    assert split.agg(*figures).head() == plain.agg(*figures).head()
+    assert plain.count() == 10_000 * 300 + 8_700 + sum(1 for i in range(9000, 30_000) if i % 3)
+
+
+def test_split_hot_keys_spreads_them_without_adaptive_execution(spark, without_adaptive_execution):
+    a, b = hot_tables(spark)
+    spec = LinkSpec(["k"], ["k"], ["a"], ["b"])
+
+    def largest_share(linked):
+        sizes = linked.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"))
+        largest, total = sizes.head()
+        return largest / total
+
+    assert largest_share(link(a, b, spec)) > 0.9
+    assert largest_share(link(a, b, spec, split_hot_keys=True)) < 0.1
+
+
+def test_split_hot_keys_on_empty_and_tiny_tables(spark):
+    empty = spark.createDataFrame([], "k string, a int")
+    b = spark.createDataFrame([("x", 1), ("x", 2)], "k string, b int")
+    spec = LinkSpec(["k"], ["k"], ["a"], ["b"])
+    assert rows(link(empty, b, spec, split_hot_keys=True)) == Counter()
+    a = spark.createDataFrame([("x", 1), ("x", 1), ("y", 2)], "k string, a int")
+    assert rows(link(a, b, spec, split_hot_keys=True)) == Counter({(1, 1): 2, (1, 2): 2})

@@ -12,6 +12,11 @@ from veilframe.functions import link_token, named, require_columns
 from veilframe.plans import LinkSpec
 
 TOKEN = "__token"
+# A key is hot on a side where it holds more than one part in SHARES of the
+# rows. There can be no more than SHARES such keys, however large the table.
+SHARES = 1000
+TRACKED = 10 * SHARES
+MERGERS = 1024
 
 
 def _side(df: DataFrame, keys, columns, spec: LinkSpec, prefix: str) -> DataFrame:
@@ -35,7 +40,72 @@ def _output_names(spec: LinkSpec) -> list[str]:
     return names
 
 
-def link(a: DataFrame, b: DataFrame, spec: LinkSpec) -> DataFrame:
+def _hot_keys(side: DataFrame) -> DataFrame:
+    """``(key, pieces)`` for the side's hot keys, at most ``SHARES`` rows.
+
+    A frequent-items sketch per task, merged in two steps so that the last
+    task merges ``MERGERS`` sketches and not one for every task of the scan.
+    The counts are estimates. They decide how evenly the work is spread, never
+    which rows meet.
+    """
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGERS))
+    sketch = (
+        side.select(group.alias("g"), F.xxhash64(TOKEN).alias("key"))
+        .groupBy("g")
+        .agg(
+            F.call_function("approx_top_k_accumulate", F.col("key"), F.lit(TRACKED)).alias("s"),
+            F.count("*").alias("rows"),
+        )
+        # A constant group and not none: combining fails on an empty partition.
+        .groupBy(F.lit("all"))
+        .agg(
+            F.call_function("approx_top_k_combine", F.col("s"), F.lit(TRACKED)).alias("s"),
+            F.sum("rows").alias("rows"),
+        )
+    )
+    frequent = F.call_function("approx_top_k_estimate", F.col("s"), F.lit(SHARES))
+    return (
+        sketch.select("rows", F.inline(frequent))
+        .select(
+            F.col("item").alias("key"),
+            F.ceil(F.col("count") * SHARES / F.col("rows")).cast("int").alias("pieces"),
+        )
+        .filter(F.col("pieces") > 1)
+    )
+
+
+def _split_hot_keys(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with a grid cell added to the join key of hot keys.
+
+    A hot key's rows are dealt out to ``pieces_a`` × ``pieces_b`` cells. Each
+    row has a fixed piece number of its own side and a copy for every piece of
+    the other, so each pair meets in exactly one cell. The piece number comes
+    from the task's number, which a task that is run again keeps; a random one
+    would lose or double pairs when part of a stage is recomputed.
+    """
+    hot = (
+        _hot_keys(left)
+        .select("key", F.col("pieces").alias("pieces_a"), F.lit(1).alias("pieces_b"))
+        .union(_hot_keys(right).select("key", F.lit(1), F.col("pieces")))
+        .groupBy("key")
+        .agg(F.max("pieces_a").alias("pieces_a"), F.max("pieces_b").alias("pieces_b"))
+    )
+
+    def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
+        columns = side.columns
+        found = side.withColumn("key", F.xxhash64(TOKEN)).join(F.broadcast(hot), "key", "left")
+        pieces = F.coalesce(F.col(f"pieces_{own}"), F.lit(1))
+        copies = F.coalesce(F.col(f"pieces_{other}"), F.lit(1))
+        return found.select(
+            *columns,
+            F.pmod(F.spark_partition_id(), pieces).alias(f"cell_{own}"),
+            F.explode(F.sequence(F.lit(0), copies - 1)).alias(f"cell_{other}"),
+        )
+
+    return dealt(left, "a", "b"), dealt(right, "b", "a"), [TOKEN, "cell_a", "cell_b"]
+
+
+def link(a: DataFrame, b: DataFrame, spec: LinkSpec, split_hot_keys: bool = False) -> DataFrame:
     """Every pair of an A row and a B row with equal keys, many to many.
 
     Keys are hashed before any shuffle, so clear keys reach neither shuffle
@@ -43,13 +113,21 @@ def link(a: DataFrame, b: DataFrame, spec: LinkSpec) -> DataFrame:
     it measures to be small and otherwise sorts and merges, spilling to disk.
     Adaptive execution splits a partition that one hot key has made large,
     on both sides if need be.
+
+    ``split_hot_keys`` spreads hot keys in the plan itself, for sessions where
+    adaptive execution cannot see them: with it switched off, or with more than
+    2000 shuffle partitions and no ``spark.shuffle.accurateBlockSkewedFactor``.
+    It costs one more scan of the key columns of both tables.
     """
     require_columns(a, [*spec.keys_a, *spec.columns_a], "table A")
     require_columns(b, [*spec.keys_b, *spec.columns_b], "table B")
     names = _output_names(spec)
     left = _side(a, spec.keys_a, spec.columns_a, spec, "a")
     right = _side(b, spec.keys_b, spec.columns_b, spec, "b")
+    on = [TOKEN]
+    if split_hot_keys:
+        left, right, on = _split_hot_keys(left, right)
     sides = [f"a{i}" for i in range(len(spec.columns_a))]
     sides += [f"b{i}" for i in range(len(spec.columns_b))]
-    joined = left.join(right, TOKEN, "inner")
+    joined = left.join(right, on, "inner")
     return joined.select(*[F.col(c).alias(name) for c, name in zip(sides, names)])
