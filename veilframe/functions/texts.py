@@ -13,15 +13,15 @@ ALPHABET = "ㄱㄴㄷㄹㅁㅂㅅㅇㅈㅊㅋㅌㅍㅎ0123456789"
 PAIRS = [first + second for first in ALPHABET for second in ALPHABET]
 # One literal to split, which the optimizer folds, instead of one per element.
 PAIR_LIST = ",".join(PAIRS)
-BLOCK_PAIRS = 12
-BLOCK = 2 * BLOCK_PAIRS
+SHORT = (2, 8, 24)
+BLOCK = 24
 
 
 def random_text(col: Column, seed: int | None = None) -> Column:
     """A random text of the cell's length over ``ALPHABET``.
 
-    Symbols are drawn two at a time. A cell of up to one block takes a plain
-    expression that compiles; only longer ones walk an array of blocks.
+    Symbols are drawn two at a time. Cells up to the lengths in ``SHORT`` take
+    plain expressions that compile; only longer ones walk an array of blocks.
 
     Every draw has a seed of its own, far from the others: Spark adds the
     partition's index to it, so neighbouring seeds would repeat one position's
@@ -29,16 +29,18 @@ def random_text(col: Column, seed: int | None = None) -> Column:
     """
     seeds = random.Random(seed)
 
-    def pair() -> Column:
-        draw = F.rand(seeds.getrandbits(62))
-        return F.get(F.split(F.lit(PAIR_LIST), ","), F.floor(draw * len(PAIRS)).cast("int"))
-
-    def block() -> Column:
-        return F.concat(*[pair() for _ in range(BLOCK_PAIRS)])
+    def symbols(count: int) -> Column:
+        draws = [
+            f"get(split('{PAIR_LIST}', ','), int(rand({seeds.getrandbits(62)}) * {len(PAIRS)}))"
+            for _ in range(count // 2)
+        ]
+        return F.expr(f"concat({', '.join(draws)})")
 
     n = F.length(col)
-    count = F.ceil(n / BLOCK).cast("int")
-    blocks = F.transform(F.sequence(F.lit(1), count), lambda _: block())
-    short = F.substring(block(), F.lit(1), n)
-    long = F.substring(F.array_join(blocks, ""), F.lit(1), n)
-    return F.when(n <= BLOCK, short).otherwise(long)
+    blocks = F.transform(
+        F.sequence(F.lit(1), F.ceil(n / BLOCK).cast("int")), lambda _: symbols(BLOCK)
+    )
+    drawn = F.array_join(blocks, "")
+    for limit in reversed(SHORT):
+        drawn = F.when(n <= limit, symbols(limit)).otherwise(drawn)
+    return F.substring(drawn, F.lit(1), n)

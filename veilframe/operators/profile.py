@@ -41,14 +41,15 @@ def statistics_row(
     if all(conditions):
         df = df.filter(reduce(or_, [matches(df, c) for c in dict.fromkeys(conditions)]))
 
-    figures = []
-    for treatment, wanted in requests:
-        cell = named(treatment.column)
-        number = F.nanvl(to_number(cell, df.schema[treatment.column].dataType), F.lit(None))
+    numbers, figures = [], []
+    for i, (treatment, wanted) in enumerate(requests):
+        kind = df.schema[treatment.column].dataType
+        number = F.nanvl(to_number(named(treatment.column), kind), F.lit(None))
         if treatment.conditions:
             number = F.when(matches(df, treatment.conditions), number)
-        figures += [AGGREGATES[f](number).alias(field(treatment, f)) for f in wanted]
-    return df.agg(*figures)
+        numbers.append(number.alias(f"n{i}"))
+        figures += [AGGREGATES[f](f"n{i}").alias(field(treatment, f)) for f in wanted]
+    return df.select(*numbers).agg(*figures)
 
 
 def profile(

@@ -26,6 +26,7 @@ from veilframe.operators.profile import field, statistics_row
 from veilframe.plans import Policy, Treatment
 
 STATISTICS = "__statistics"
+NUMBER_OF = "__number:"
 
 
 def _as_cell(df: DataFrame, treatment: Treatment, value: Column) -> Column:
@@ -40,7 +41,11 @@ def _as_cell(df: DataFrame, treatment: Treatment, value: Column) -> Column:
 
 
 def _number(df: DataFrame, treatment: Treatment) -> Column:
-    return to_number(named(treatment.column), df.schema[treatment.column].dataType)
+    """The cell as a double, parsed once by the projection below if it is text."""
+    kind = df.schema[treatment.column].dataType
+    if isinstance(kind, T.StringType):
+        return named(NUMBER_OF + treatment.column)
+    return to_number(named(treatment.column), kind)
 
 
 def _figure(treatment: Treatment, figure: str) -> Column:
@@ -148,7 +153,11 @@ def pseudonymize(
         treatment = treated[name]
         columns.append(BUILDERS[treatment.kind](df, treatment, own_seed).alias(name))
 
-    source = df
+    prepared = [
+        to_number(named(t.column), T.StringType()).alias(NUMBER_OF + t.column)
+        for t in policy.treatments
+        if t.numeric and isinstance(df.schema[t.column].dataType, T.StringType)
+    ]
     if policy.measured:
         if statistics is None:
             row = statistics_row(df, [(t, t.needed_figures) for t in policy.measured])
@@ -157,5 +166,5 @@ def pseudonymize(
         # One struct, read once: naming the subquery in every treatment
         # would plan it once per use.
         packed = row.select(F.struct(*[named(c) for c in row.columns]))
-        source = df.select("*", packed.scalar().alias(STATISTICS))
-    return source.select(*columns)
+        prepared.append(packed.scalar().alias(STATISTICS))
+    return df.select("*", *prepared).select(*columns)

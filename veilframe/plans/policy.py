@@ -94,6 +94,10 @@ class Treatment:
             return cls(column, kind, conditions=tuple(map(Condition.parse, options)))
         return cls(column, kind)
 
+    @property
+    def numeric(self) -> bool:
+        return self.kind == "Round" or bool(self.needed_figures)
+
     @property
     def needed_figures(self) -> tuple[str, ...]:
         return NEEDED_FIGURES.get(self.kind, ())
