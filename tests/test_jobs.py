@@ -1,0 +1,77 @@
+"""The three jobs on files, through the command line."""
+
+import json
+
+import pytest
+
+from veilframe import read_table
+from veilframe.__main__ import main
+from veilframe.session import SETTINGS, shuffle_partitions
+
+
+def put(path, value):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(value if isinstance(value, str) else json.dumps(value, ensure_ascii=False), "utf-8")
+    return str(path)
+
+
+def rows(spark, path):
+    return sorted(map(tuple, read_table(spark, str(path)).collect()))
+
+
+@pytest.fixture
+def people(tmp_path):
+    put(tmp_path / "t" / "0.csv", "주민등록번호,혈액형,소득\n900101-1234567,A,10\n850505-2345678,가,11\n")
+    put(tmp_path / "t" / "1.csv", "주민등록번호,혈액형,소득\n700707-1111111,,12\n600606-2222222,B,13\n1,O,100\n")
+    return str(tmp_path / "t")
+
+
+def test_pseudonymize(spark, tmp_path, people):
+    policy = put(
+        tmp_path / "p.json", {"주민등록번호": ["Masking", "1:0-:1"], "혈액형": ["Encryption"], "소득": ["TopBottom"]}
+    )
+    main(["pseudonymize", people, policy, str(tmp_path / "out")])
+    got = rows(spark, tmp_path / "out")
+    assert read_table(spark, str(tmp_path / "out")).columns == ["주민등록번호", "혈액형", "소득"]
+    assert [(r[0], r[1][:8], r[2]) for r in got] == sorted(
+        [
+            ("*9************7", "559aead0", "10"),
+            ("*8************8", "64ee5293", "11"),
+            ("*7************1", "e3b0c442", "12"),
+            ("*6************2", "df7e70e5", "13"),
+            ("*1", "c4694f2e", "29.2"),
+        ]
+    )
+
+
+def test_profile_feeds_pseudonymize(spark, tmp_path, people, capsys):
+    entries = {"전처리": ["통계", "Avg", "Sd"], "소득": ["TopBottom"], "혈액형": ["Delete"]}
+    policy = put(tmp_path / "p.json", entries)
+    main(["profile", people, policy, str(tmp_path / "stats")])
+    assert rows(spark, tmp_path / "stats") == [("소득", "Avg", "29.2"), ("소득", "Sd", "35.41412147717348")]
+    assert "35.41412147717348" in capsys.readouterr().out
+    main(["pseudonymize", people, policy, str(tmp_path / "out"), "--statistics", str(tmp_path / "stats")])
+    assert [r[1] for r in rows(spark, tmp_path / "out")] == ["29.2", "13", "12", "11", "10"]
+
+
+def test_link(spark, tmp_path):
+    put(tmp_path / "a" / "0.csv", "Id,x,y\n1,p,q\n1,r,s\n2,t,u\n")
+    put(tmp_path / "b" / "0.csv", "key,x\n1,v\n3,w\n")
+    spec = {"join_key": {"A": ["Id"], "B": ["key"]}, "column_list": {"A": ["y", "x"], "B": ["x"]}}
+    spec = put(tmp_path / "s.json", spec)
+    folders = [str(tmp_path / "a"), str(tmp_path / "b"), spec]
+    main(["link", *folders, str(tmp_path / "out")])
+    text = "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
+    assert sorted(text.split()) == ["q,p,v", "s,r,v"]
+    main(["link", *folders, str(tmp_path / "named"), "--header", "--split-hot-keys"])
+    assert read_table(spark, str(tmp_path / "named")).columns == ["y", "x_a", "x_b"]
+
+
+def test_unknown_commands_are_refused():
+    with pytest.raises(SystemExit):
+        main(["sort", "a", "b", "c"])
+
+
+def test_shuffle_partitions_grow_with_the_data():
+    assert [shuffle_partitions(b) for b in (0, 1 << 40, 100 << 40)] == [200, 4096, 32768]
+    assert SETTINGS["spark.shuffle.accurateBlockSkewedFactor"] == "5.0"

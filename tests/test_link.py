@@ -127,6 +127,11 @@ def hot_tables(spark):
     return a, b
 
 
+@pytest.fixture(autouse=True)
+def small_pieces(monkeypatch):
+    monkeypatch.setattr("veilframe.operators.linkage.PIECE", 100)
+
+
 def test_split_hot_keys_gives_the_same_pairs(spark):
     a, b = hot_tables(spark)
     spec = LinkSpec(["k"], ["k"], ["a"], ["b"])

@@ -1,7 +1,7 @@
 """DataFrame in, lazy DataFrame out."""
 
-from veilframe.operators.link import link
-from veilframe.operators.profile import profile, statistics_row
-from veilframe.operators.pseudonymize import pseudonymize
+from veilframe.operators.linkage import link
+from veilframe.operators.profiling import profile, statistics_row
+from veilframe.operators.treating import pseudonymize
 
 __all__ = ["link", "profile", "pseudonymize", "statistics_row"]

@@ -13,8 +13,10 @@ from veilframe.plans import LinkSpec
 
 TOKEN = "__token"
 # A key is hot on a side where it holds more than one part in SHARES of the
-# rows. There can be no more than SHARES such keys, however large the table.
+# rows, and more than PIECE rows. There can be no more than SHARES such keys,
+# however large the table.
 SHARES = 1000
+PIECE = 100_000
 TRACKED = 10 * SHARES
 MERGERS = 1024
 
@@ -64,12 +66,10 @@ def _hot_keys(side: DataFrame) -> DataFrame:
         )
     )
     frequent = F.call_function("approx_top_k_estimate", F.col("s"), F.lit(SHARES))
+    size = F.greatest(F.col("rows") / SHARES, F.lit(float(PIECE)))
     return (
         sketch.select("rows", F.inline(frequent))
-        .select(
-            F.col("item").alias("key"),
-            F.ceil(F.col("count") * SHARES / F.col("rows")).cast("int").alias("pieces"),
-        )
+        .select(F.col("item").alias("key"), F.ceil(F.col("count") / size).cast("int").alias("pieces"))
         .filter(F.col("pieces") > 1)
     )
 

@@ -22,7 +22,7 @@ from veilframe.functions import (
     span_mask,
     to_number,
 )
-from veilframe.operators.profile import field, statistics_row
+from veilframe.operators.profiling import field, statistics_row
 from veilframe.plans import Policy, Treatment
 
 STATISTICS = "__statistics"

@@ -9,16 +9,18 @@ from pyspark.sql import SparkSession
 
 MIB = 1 << 20
 
-# Input splits of 256 MiB; adaptive execution with skew handling. Beyond 2000
-# shuffle partitions Spark reports block sizes as averages, which hides a hot
-# key from the skew handling unless blocks well above the median are reported
-# as they are.
+# Input splits of 256 MiB; adaptive execution with skew handling; hash joins
+# where every shuffled partition of a side is measured to fit its map. Beyond
+# 2000 shuffle partitions Spark reports block sizes as averages, which hides a
+# hot key from the skew handling unless blocks well above the median are
+# reported as they are.
 SETTINGS = {
     "spark.sql.files.maxPartitionBytes": str(256 * MIB),
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(128 * MIB),
     "spark.shuffle.accurateBlockSkewedFactor": "5.0",
 }
 
@@ -33,7 +35,10 @@ def shuffle_partitions(input_bytes: int, target: int = 256 * MIB) -> int:
 
 
 def session(name: str, settings: Mapping[str, str] = SETTINGS) -> SparkSession:
-    """The current session, or a new one; what the caller has set stays set."""
+    """The active session as it is, or a new one; what the caller sets stays set."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
     conf = SparkConf()
     for key, value in settings.items():
         conf.setIfMissing(key, value)

@@ -50,14 +50,21 @@ def read_table(
     return table.na.fill("")
 
 
-def _printable(name: str, quote: str) -> Column:
+# Types whose text never holds a separator or a line break.
+PLAIN = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _printable(field: T.StructField, quote: str) -> Column:
     """The cell's text, refused if it would break its line of the file."""
-    text = F.coalesce(named(name).cast("string"), F.lit(""))
+    text = F.coalesce(named(field.name).cast("string"), F.lit(""))
+    if isinstance(field.dataType, PLAIN):
+        return text.alias(field.name)
     broken = text.contains("\n") | text.contains("\r")
     if not quote:
         broken = broken | text.contains(SEPARATOR)
-    message = F.lit(f"a cell of {name} holds a line break, or a separator and no quote is set")
-    return F.when(broken, F.raise_error(message).cast("string")).otherwise(text).alias(name)
+    message = f"a cell of {field.name} holds a line break, or a separator and no quote is set"
+    refused = F.raise_error(F.lit(message)).cast("string")
+    return F.when(broken, refused).otherwise(text).alias(field.name)
 
 
 def write_table(
@@ -76,7 +83,7 @@ def write_table(
     if format != "csv":
         df.write.format(format).mode(mode).save(path)
         return
-    df = df.select(*[_printable(name, quote) for name in df.columns])
+    df = df.select(*[_printable(field, quote) for field in df.schema])
     df.write.mode(mode).csv(
         path,
         header=header,
