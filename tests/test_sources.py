@@ -28,9 +28,9 @@ def rows(df):
 
 
 def test_headers_of_every_file_and_folder_are_left_out(spark, tmp_path):
-    put(tmp_path / "t" / "small_0.csv", "Id,이름\n1,가\nId7,나\n")
-    put(tmp_path / "t" / "small_1.csv", "Id,이름\n2,다\n")
-    put(tmp_path / "t" / "more" / "deep" / "small_2.csv", "Id,이름\n3,라\n")
+    put(tmp_path / "t" / "0.csv", "Id,이름\n1,가\nId7,나\n")
+    put(tmp_path / "t" / "1.csv", "Id,이름\n2,다\n")
+    put(tmp_path / "t" / "more" / "deep" / "2.csv", "Id,이름\n3,라\n")
     put(tmp_path / "t" / "_SUCCESS", "")
     df = read_table(spark, str(tmp_path / "t"))
     assert df.columns == ["Id", "이름"]

@@ -228,3 +228,36 @@ def test_stored_statistics(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "stats"))
     direct = pseudonymize(df, policy, seed=2).collect()
     assert pseudonymize(df, policy, seed=2, statistics=stored).collect() == direct
+
+
+def test_incomplete_stored_statistics_fail(spark):
+    df = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    stored = profile(df, Policy.from_dict({"a": ["TopBottom"]}))
+    policy = Policy.from_dict({"a": ["TopBottom"], "b": ["TopBottom"]})
+    with pytest.raises(Exception, match="no stored Avg of b"):
+        pseudonymize(df, policy, statistics=stored).collect()
+
+
+def test_statistics_of_columns_with_unusual_names(spark):
+    name, other = "소득.연 `평균`", "a(b)"
+    df = spark.createDataFrame([(v, "x") for v in ("10", "11", "12", "13", "100")], [name, other]).coalesce(1)
+    policy = Policy.from_dict({name: ["MicroAggregation", "a(b)=x"], other: ["Random"]})
+    got = pseudonymize(df, policy)
+    assert got.columns == [name, other]
+    assert [r[0] for r in got.collect()] == ["10", "11", "12", "13", "29.2"]
+
+
+@pytest.mark.parametrize("digit", [-3, -1, 0, 1, 2, 4])
+def test_rounding_bounds(spark, digit):
+    unit = 10.0 ** (1 - digit if digit > 0 else -digit)
+    x = (F.rand(digit + 10) - 0.5) * 10_000
+    df = spark.range(20_000).select(x.alias("x"))
+    down, half, up = (round_at(F.col("x"), mode, digit) for mode in ("RD", "R", "RU"))
+    slack = 1e-9
+    ok = (
+        (down <= F.col("x") + slack)
+        & (up >= F.col("x") - slack)
+        & (F.abs(half - F.col("x")) <= unit / 2 + slack)
+        & (up - down <= unit + slack)
+    )
+    assert df.filter(~ok).count() == 0

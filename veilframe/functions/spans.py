@@ -9,9 +9,8 @@ A token takes effect when a left-to-right walk reaches its position; if the
 text is too short for that, the walk waits for it in vain and the mode last
 set covers the rest. Whether a token is reached depends on the text's length n
 alone: every position is a constant or n minus a constant, so each token is
-reached for one interval of lengths, and a later token's interval lies within
-an earlier one's. The expression is therefore one CASE over n whose branches
-are plain concatenations.
+reached for one interval of lengths. The result is one concatenation with a
+piece for every change between keeping and masking.
 """
 
 from __future__ import annotations
@@ -23,26 +22,29 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-class Point(NamedTuple):
-    """A position in the text: ``offset``, counted from the end if ``tail``."""
-
-    offset: int
-    tail: bool = False
-
-    def column(self, n: Column) -> Column:
-        return n + F.lit(self.offset) if self.tail else F.lit(self.offset)
-
-
 class Switch(NamedTuple):
-    """A change between keeping and masking, for lengths in [shortest, longest]."""
+    """A change between keeping and masking, for lengths in [shortest, longest].
+
+    It happens at ``offset``, counted from the end of the text if ``tail``.
+    """
 
-    at: Point
+    offset: int
+    tail: bool
     keep: bool
     shortest: int
     longest: float
 
+    @property
+    def plain(self) -> bool:
+        """Reached by every text that is long enough to have its position."""
+        return not self.tail and self.longest == math.inf
+
+    def position(self, n: Column) -> Column:
+        return n + F.lit(self.offset) if self.tail else F.lit(self.offset)
 
-START, END = Point(0), Point(0, tail=True)
+    def reached(self, n: Column) -> Column:
+        enough = n >= self.shortest
+        return enough if self.longest == math.inf else enough & (n <= self.longest)
 
 
 def switches(spec: str) -> list[Switch]:
@@ -69,52 +71,36 @@ def switches(spec: str) -> list[Switch]:
             break
         keep = token in ("1", "1-")
         if keep != keeping:
-            at = Point(i - len(tokens), True) if tail else Point(i)
-            found.append(Switch(at, keep, shortest, longest))
+            offset = i - len(tokens) if tail else i
+            found.append(Switch(offset, tail, keep, shortest, longest))
             keeping = keep
     return found
 
 
-def _span(col: Column, n: Column, start: Point, end: Point) -> Column:
-    if start.tail == end.tail:
-        size = F.lit(end.offset - start.offset)
-    else:
-        size = end.column(n) - start.column(n)
-    return F.substring(col, start.column(n) + 1, size)
-
-
-def _fill(mark: str, n: Column, start: Point, end: Point) -> Column:
-    if start.tail == end.tail:
-        return F.lit(mark * (end.offset - start.offset))
-    return F.repeat(F.lit(mark), end.column(n) - start.column(n))
-
-
-def _layout(col: Column, n: Column, reached: list[Switch], mark: str, lead: str) -> Column:
-    starts = [START, *(s.at for s in reached)]
-    ends = [*starts[1:], END]
-    pieces = [F.lit(lead)] if lead else []
-    for keep, start, end in zip([False, *(s.keep for s in reached)], starts, ends):
-        if start == end:
-            continue
-        if keep:
-            pieces.append(_span(col, n, start, end))
-        elif mark:
-            pieces.append(_fill(mark, n, start, end))
-    return F.concat(*pieces) if pieces else F.lit("")
-
-
 def _spans(col: Column, spec: str, mark: str, lead: str) -> Column:
     col = col.cast("string")
     n = F.length(col)
-    steps = switches(spec)
-    result = _layout(col, n, [], mark, lead)
-    for reached, step in enumerate(steps, start=1):
-        fits = n >= step.shortest
-        if step.longest != math.inf:
-            fits = fits & (n <= step.longest)
-        branch = _layout(col, n, steps[:reached], mark, lead)
-        result = F.when(fits, branch).otherwise(result)
-    return F.when(col.isNotNull(), result)
+    changes = [Switch(0, False, False, 0, math.inf), *switches(spec)]
+    # Empty, or NULL for a NULL cell. A CASE around it all would hide from Spark
+    # that the length is always needed, and have it counted for every piece.
+    pieces = [F.substring(col, 1, 0), F.lit(lead)]
+    for change, following in zip(changes, [*changes[1:], None]):
+        if not (change.keep or mark):
+            continue
+        if following is None:
+            end = n
+        elif following.plain:
+            end = F.least(following.position(n), n)
+        else:
+            end = F.when(following.reached(n), following.position(n)).otherwise(n)
+        start = change.position(n)
+        # Both functions give empty text for a size below zero.
+        if change.keep:
+            piece = F.substring(col, start + 1, end - start)
+        else:
+            piece = F.repeat(F.lit(mark), end - start)
+        pieces.append(piece if change.plain else F.when(change.reached(n), piece).otherwise(""))
+    return F.concat(*pieces)
 
 
 def span_mask(col: Column, spec: str, mark: str = "*", lead: str = "*") -> Column:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilframe.functions import (
+    is_outlier,
     matches,
     named,
     outlier_to_mean,
-    is_outlier,
     part_delete,
     random_number,
     random_text,
@@ -109,18 +109,21 @@ BUILDERS = {
 
 
 def _stored_row(stored: DataFrame, policy: Policy) -> DataFrame:
-    """The one-row form of statistics kept as ``(column, stat, value)``."""
-    return stored.agg(
-        *[
-            F.max(
-                F.when(
-                    (F.col("column") == t.column) & (F.col("stat") == figure), F.col("value")
-                )
-            ).alias(field(t, figure))
-            for t in policy.measured
-            for figure in t.needed_figures
-        ]
-    )
+    """The one-row form of statistics kept as ``(column, stat, value)``.
+
+    A figure that is not there fails the query: without it the cells would
+    pass through as they are.
+    """
+    figures = []
+    for t in policy.measured:
+        for figure in t.needed_figures:
+            found = (F.col("column") == t.column) & (F.col("stat") == figure)
+            missing = F.raise_error(F.lit(f"no stored {figure} of {t.column}")).cast("double")
+            value = F.when(F.count_if(found) == 0, missing).otherwise(
+                F.max(F.when(found, F.col("value")))
+            )
+            figures.append(value.alias(field(t, figure)))
+    return stored.agg(*figures)
 
 
 def pseudonymize(
