@@ -98,7 +98,14 @@ def test_given_schema_and_parquet(spark, tmp_path):
     df = read_table(spark, str(tmp_path / "t.csv"), schema=schema)
     assert rows(df) == [(1, ""), (2, "y")]
     write_table(df, str(tmp_path / "p" / "sub"), format="parquet")
-    assert rows(read_table(spark, str(tmp_path / "p"), format="parquet")) == [(1, ""), (2, "y")]
+    got = read_table(spark, str(tmp_path / "p"), format="parquet", recursive=True)
+    assert rows(got) == [(1, ""), (2, "y")]
+
+
+def test_partitioned_parquet_keeps_its_partition_columns(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "a int, b string")
+    df.write.partitionBy("b").parquet(str(tmp_path / "p"))
+    assert rows(read_table(spark, str(tmp_path / "p"), format="parquet")) == [(1, "x"), (2, "y")]
 
 
 def test_existing_output_is_not_overwritten(spark, tmp_path):

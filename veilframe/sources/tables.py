@@ -24,8 +24,12 @@ def read_table(
     format: str = "csv",
     schema: T.StructType | None = None,
     quote: str = "",
+    recursive: bool | None = None,
 ) -> DataFrame:
-    """A directory of files, sub-directories included, as one table.
+    """A directory of files as one table.
+
+    Sub-directories are included for text. Other formats read them as
+    partitions of the table, unless ``recursive`` says otherwise.
 
     Text cells are strings and an empty cell is the empty string. Records that
     lack trailing cells are filled up with empty ones; cells beyond the header
@@ -33,7 +37,9 @@ def read_table(
     since its cells would land in the wrong columns. With ``schema`` no file
     is opened to plan the read.
     """
-    reader = spark.read.option("recursiveFileLookup", True)
+    if recursive is None:
+        recursive = format == "csv"
+    reader = spark.read.option("recursiveFileLookup", recursive)
     if schema is not None:
         reader = reader.schema(schema)
     if format != "csv":
