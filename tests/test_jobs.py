@@ -6,7 +6,7 @@ import pytest
 
 from veilframe import read_table
 from veilframe.__main__ import main
-from veilframe.session import SETTINGS, shuffle_partitions
+from veilframe.session import SETTINGS, fit_shuffles, input_bytes, shuffle_partitions
 
 
 def put(path, value):
@@ -75,3 +75,13 @@ def test_unknown_commands_are_refused():
 def test_shuffle_partitions_grow_with_the_data():
     assert [shuffle_partitions(b) for b in (0, 1 << 40, 100 << 40)] == [200, 4096, 32768]
     assert SETTINGS["spark.shuffle.accurateBlockSkewedFactor"] == "5.0"
+
+
+def test_shuffle_setting_of_the_session_stays(spark, tmp_path):
+    put(tmp_path / "a" / "x.csv", "12345")
+    put(tmp_path / "a" / "deep" / "y.csv", "678")
+    put(tmp_path / "b.csv", "90")
+    folders = [str(tmp_path / "a"), str(tmp_path / "b.csv")]
+    assert input_bytes(spark, *folders) == 10
+    fit_shuffles(spark, *folders)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

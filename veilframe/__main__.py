@@ -6,7 +6,7 @@ import argparse
 
 from veilframe import jobs
 from veilframe.plans.linkspec import KEY_MODES
-from veilframe.session import session
+from veilframe.session import fit_shuffles, session
 
 
 def parser() -> argparse.ArgumentParser:
@@ -37,8 +37,10 @@ def parser() -> argparse.ArgumentParser:
 def main(arguments: list[str] | None = None) -> None:
     options = vars(parser().parse_args(arguments))
     command = options.pop("command")
-    run = getattr(jobs, f"run_{command}")
-    report = run(session(f"veilframe {command}"), **options)
+    spark = session(f"veilframe {command}")
+    if command == "link":
+        fit_shuffles(spark, options["table_a"], options["table_b"])
+    report = getattr(jobs, f"run_{command}")(spark, **options)
     if report is not None:
         report.show(truncate=False)
 

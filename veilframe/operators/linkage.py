@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions import link_token, named, require_columns
 from veilframe.plans import LinkSpec
+from veilframe.sources.tables import materialize
 
 TOKEN = "__token"
 # A key is hot on a side where it holds more than one part in SHARES of the
@@ -90,6 +91,9 @@ def _split_hot_keys(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataF
         .groupBy("key")
         .agg(F.max("pieces_a").alias("pieces_a"), F.max("pieces_b").alias("pieces_b"))
     )
+    # Stored: both sides must see the same list, and a broadcast that had to
+    # scan two tables first could run into Spark's broadcast timeout.
+    hot = materialize(hot.coalesce(1))
 
     def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
         columns = side.columns
@@ -117,7 +121,8 @@ def link(a: DataFrame, b: DataFrame, spec: LinkSpec, split_hot_keys: bool = Fals
     ``split_hot_keys`` spreads hot keys in the plan itself, for sessions where
     adaptive execution cannot see them: with it switched off, or with more than
     2000 shuffle partitions and no ``spark.shuffle.accurateBlockSkewedFactor``.
-    It costs one more scan of the key columns of both tables.
+    A job that runs at once finds them from the key columns of both tables and
+    stores its at most ``2 * SHARES`` rows in the shared folder.
     """
     require_columns(a, [*spec.keys_a, *spec.columns_a], "table A")
     require_columns(b, [*spec.keys_b, *spec.columns_b], "table B")

@@ -19,8 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(128 * MIB),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(64 * MIB),
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 * MIB),
     "spark.shuffle.accurateBlockSkewedFactor": "5.0",
 }
 
@@ -43,3 +43,21 @@ def session(name: str, settings: Mapping[str, str] = SETTINGS) -> SparkSession:
     for key, value in settings.items():
         conf.setIfMissing(key, value)
     return SparkSession.builder.appName(name).config(conf=conf).getOrCreate()
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """The size of files and folders, on whatever file system they are."""
+    configuration = spark._jsc.hadoopConfiguration()
+    total = 0
+    for path in paths:
+        location = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = location.getFileSystem(configuration)
+        total += files.getContentSummary(location).getLength()
+    return total
+
+
+def fit_shuffles(spark: SparkSession, *paths: str) -> None:
+    """Size shuffles for that input, unless the session's own settings do."""
+    key = "spark.sql.shuffle.partitions"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, shuffle_partitions(input_bytes(spark, *paths)))
