@@ -370,10 +370,16 @@ def token_join(spark, folder):
 
 
 @query("""
-SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey""")
+SELECT o_orderkey, o_totalprice, event_id, event_type
+FROM orders JOIN events ON o_custkey = user_id""")
 def m2m_join(spark, folder):
-    spec = LinkSpec(["c_nationkey"], ["s_nationkey"], ["c_custkey"], ["s_suppkey"])
-    return link(table(spark, folder, "customer"), table(spark, folder, "supplier"), spec)
+    """Many orders and many events per customer.
+
+    The number of customers grows with both tables. On a key such as the nation
+    the number of pairs would grow with the square of the data.
+    """
+    spec = LinkSpec(["o_custkey"], ["user_id"], ["o_orderkey", "o_totalprice"], ["event_id", "event_type"])
+    return link(table(spark, folder, "orders"), table(spark, folder, "events"), spec)
 
 
 def order_link(spark, folder, key_mode) -> DataFrame:
