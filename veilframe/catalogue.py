@@ -383,25 +383,30 @@ def m2m_join(spark, folder):
 
 
 def order_link(spark, folder, key_mode) -> DataFrame:
-    orders = table(spark, folder, "orders")
-    urgent = orders.filter(F.col("o_orderpriority").startswith("1"))
-    keys = ["o_custkey", "o_orderstatus"]
-    return link(orders, urgent, LinkSpec(keys, keys, ["o_orderkey"], ["o_orderkey"], key_mode))
+    """Each order with the figures of its customer's orders of the same status."""
+    orders, keys = table(spark, folder, "orders"), ["o_custkey", "o_orderstatus"]
+    groups = orders.groupBy(*keys).agg(
+        F.count("*").alias("orders"), F.max("o_totalprice").alias("largest")
+    )
+    spec = LinkSpec(keys, keys, ["o_orderkey", "o_totalprice"], ["orders", "largest"], key_mode)
+    return link(orders, groups, spec)
 
 
 @query("""
-SELECT a.o_orderkey AS o_orderkey_a, b.o_orderkey AS o_orderkey_b
-FROM orders a JOIN orders b
-  ON sha256(a.o_custkey::VARCHAR || a.o_orderstatus) = sha256(b.o_custkey::VARCHAR || b.o_orderstatus)
-WHERE b.o_orderpriority LIKE '1%'""")
+WITH g AS (SELECT o_custkey, o_orderstatus, count(*) AS orders, max(o_totalprice) AS largest
+           FROM orders GROUP BY o_custkey, o_orderstatus)
+SELECT o_orderkey, o_totalprice, g.orders, g.largest
+FROM orders o JOIN g
+  ON sha256(o.o_custkey::VARCHAR || o.o_orderstatus) = sha256(g.o_custkey::VARCHAR || g.o_orderstatus)""")
 def concat_key_join(spark, folder):
     return order_link(spark, folder, "concat")
 
 
 @query("""
-SELECT a.o_orderkey AS o_orderkey_a, b.o_orderkey AS o_orderkey_b
-FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderstatus = b.o_orderstatus
-WHERE b.o_orderpriority LIKE '1%'""")
+WITH g AS (SELECT o_custkey, o_orderstatus, count(*) AS orders, max(o_totalprice) AS largest
+           FROM orders GROUP BY o_custkey, o_orderstatus)
+SELECT o_orderkey, o_totalprice, g.orders, g.largest
+FROM orders o JOIN g ON o.o_custkey = g.o_custkey AND o.o_orderstatus = g.o_orderstatus""")
 def composite_join(spark, folder):
     return order_link(spark, folder, "columns")
 
