@@ -62,6 +62,12 @@ def test_cells_are_raw_text(spark, tmp_path):
     )
 
 
+def test_windows_line_ends_and_blank_lines(spark, tmp_path):
+    (tmp_path / "t.csv").write_bytes("a,b\r\n1,가\r\n\r\n2,\r\n".encode())
+    df = read_table(spark, str(tmp_path / "t.csv"))
+    assert df.columns == ["a", "b"] and rows(df) == [("1", "가"), ("2", "")]
+
+
 def test_round_trip_keeps_every_cell(spark, tmp_path):
     cells = [("", '"', 'say "hi"'), (" lead", "trail ", "\\"), ("가나", "'", "#c"), ("x", "\t", "-")]
     df = spark.createDataFrame(cells, "a string, b string, c string")

@@ -61,6 +61,17 @@ def test_numbers_are_read_as_in_text_tables(spark):
     assert got[9:] == [None, None, -math.inf]
 
 
+def test_spellings_of_numbers(spark):
+    numbers = {"1e999": math.inf, "1.e5": 1e5, ".5": 0.5, "-.5E+1": -5.0, "0x.8p1": 1.0, "0X1.8P-1d": 0.75, "5\n": 5.0}
+    numbers |= {"007": 7.0, "9" * 400: math.inf, "-Infinityf": None, "+NaN ": math.nan, "1e-999": 0.0}
+    words = ["--5", "1,000", "١", "5 5", "1_0", "1e", "e5", ".", "+", "0x1", "1f5", "1ff", "NAN", "infinity", "5\u00a0", "5-LOW"]
+    numbers |= dict.fromkeys(words)
+    df = one_column(spark, list(numbers)).select("x", to_number(F.col("x"), T.StringType()).alias("n"))
+    got = {r.x: r.n for r in df.collect()}
+    assert math.isnan(got.pop("+NaN ")) and math.isnan(numbers.pop("+NaN "))
+    assert got == numbers
+
+
 @pytest.mark.parametrize(
     "text,digest",
     [
