@@ -150,8 +150,32 @@ def test_split_hot_keys_spreads_them_without_adaptive_execution(spark, without_a
         largest, total = sizes.head()
         return largest / total
 
-    assert largest_share(link(a, b, spec)) > 0.9
-    assert largest_share(link(a, b, spec, split_hot_keys=True)) < 0.1
+    assert largest_share(link(a, b, spec, split_hot_keys=False)) > 0.9
+    assert largest_share(link(a, b, spec)) < 0.1
+
+
+@pytest.mark.parametrize(
+    "settings,split",
+    [
+        ({}, False),
+        ({"spark.sql.adaptive.enabled": "false"}, True),
+        ({"spark.sql.adaptive.skewJoin.enabled": "false"}, True),
+        ({"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2001"}, True),
+        ({"spark.sql.shuffle.partitions": "5000"}, True),
+        ({"spark.sql.shuffle.partitions": "2000"}, False),
+    ],
+)
+def test_hot_keys_are_split_by_spark_or_in_the_plan(spark, settings, split):
+    df = spark.range(3)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        plan = link(df, df, LinkSpec(["id"], ["id"], ["id"], []))._jdf.queryExecution().analyzed()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert ("cell_a" in plan.toString()) == split
 
 
 def test_split_hot_keys_on_empty_and_tiny_tables(spark):

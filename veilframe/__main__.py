@@ -30,7 +30,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--header", action="store_true")
     command.add_argument("--key-mode", default="columns", choices=KEY_MODES)
     command.add_argument("--drop-empty-keys", action="store_true")
-    command.add_argument("--split-hot-keys", action="store_true")
+    command.add_argument("--split-hot-keys", action=argparse.BooleanOptionalAction)
     return top
 
 

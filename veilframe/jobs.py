@@ -46,7 +46,7 @@ def run_link(
     header: bool = False,
     key_mode: str = "columns",
     drop_empty_keys: bool = False,
-    split_hot_keys: bool = False,
+    split_hot_keys: bool | None = None,
 ) -> None:
     """Write the linked columns, by default without a header line."""
     options = {"key_mode": key_mode, "drop_empty_keys": drop_empty_keys}

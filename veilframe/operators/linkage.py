@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.functions import link_token, named, require_columns
@@ -20,6 +20,8 @@ SHARES = 1000
 PIECE = 100_000
 TRACKED = 10 * SHARES
 MERGERS = 1024
+# With more shuffle partitions than this Spark reports block sizes as averages.
+EXACT_SIZES = 2000
 
 
 def _side(df: DataFrame, keys, columns, spec: LinkSpec, prefix: str) -> DataFrame:
@@ -109,7 +111,26 @@ def _split_hot_keys(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataF
     return dealt(left, "a", "b"), dealt(right, "b", "a"), [TOKEN, "cell_a", "cell_b"]
 
 
-def link(a: DataFrame, b: DataFrame, spec: LinkSpec, split_hot_keys: bool = False) -> DataFrame:
+def _adaptive_execution_sees_hot_keys(spark: SparkSession) -> bool:
+    """Whether the session would split a hot key's partition by itself."""
+
+    def on(key: str) -> bool:
+        return spark.conf.get(key, "true").lower() == "true"
+
+    partitions = spark.conf.get(
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", None
+    ) or spark.conf.get("spark.sql.shuffle.partitions", "200")
+    skewed_factor = float(spark.conf.get("spark.shuffle.accurateBlockSkewedFactor", "-1"))
+    return (
+        on("spark.sql.adaptive.enabled")
+        and on("spark.sql.adaptive.skewJoin.enabled")
+        and (int(partitions) <= EXACT_SIZES or skewed_factor > 0)
+    )
+
+
+def link(
+    a: DataFrame, b: DataFrame, spec: LinkSpec, split_hot_keys: bool | None = None
+) -> DataFrame:
     """Every pair of an A row and a B row with equal keys, many to many.
 
     Keys are hashed before any shuffle, so clear keys reach neither shuffle
@@ -118,11 +139,12 @@ def link(a: DataFrame, b: DataFrame, spec: LinkSpec, split_hot_keys: bool = Fals
     Adaptive execution splits a partition that one hot key has made large,
     on both sides if need be.
 
-    ``split_hot_keys`` spreads hot keys in the plan itself, for sessions where
-    adaptive execution cannot see them: with it switched off, or with more than
-    2000 shuffle partitions and no ``spark.shuffle.accurateBlockSkewedFactor``.
-    A job that runs at once finds them from the key columns of both tables and
-    stores its at most ``2 * SHARES`` rows in the shared folder.
+    ``split_hot_keys`` spreads hot keys in the plan itself. A job that runs at
+    once finds them from the key columns of both tables and stores its at most
+    ``2 * SHARES`` rows in the shared folder. By default this is done only
+    where adaptive execution would not see a hot key: where it is switched off,
+    or with more than ``EXACT_SIZES`` shuffle partitions and no
+    ``spark.shuffle.accurateBlockSkewedFactor``.
     """
     require_columns(a, [*spec.keys_a, *spec.columns_a], "table A")
     require_columns(b, [*spec.keys_b, *spec.columns_b], "table B")
@@ -130,6 +152,8 @@ def link(a: DataFrame, b: DataFrame, spec: LinkSpec, split_hot_keys: bool = Fals
     left = _side(a, spec.keys_a, spec.columns_a, spec, "a")
     right = _side(b, spec.keys_b, spec.columns_b, spec, "b")
     on = [TOKEN]
+    if split_hot_keys is None:
+        split_hot_keys = not _adaptive_execution_sees_hot_keys(a.sparkSession)
     if split_hot_keys:
         left, right, on = _split_hot_keys(left, right)
     sides = [f"a{i}" for i in range(len(spec.columns_a))]
