@@ -30,6 +30,7 @@ def test_policy_from_json():
         {"a": "Delete"},
         {"a": []},
         {"a": ["Random"], "전처리": ["x", "Median"]},
+        {"a": ["Random"], "전처리": "Avg"},
     ],
 )
 def test_bad_policies_are_refused(entries):

@@ -119,13 +119,16 @@ class Policy:
 
     @classmethod
     def from_dict(cls, entries: Mapping[str, Sequence]) -> Policy:
+        request = entries.get(PROFILE_KEY, ())
+        if isinstance(request, str):
+            raise ValueError(f"{PROFILE_KEY}: expected [label, figure, ...], got {request!r}")
         return cls(
             treatments=tuple(
                 Treatment.parse(column, entry)
                 for column, entry in entries.items()
                 if column != PROFILE_KEY
             ),
-            figures=tuple(entries.get(PROFILE_KEY, ())[1:]),
+            figures=tuple(request[1:]),
         )
 
     @classmethod
