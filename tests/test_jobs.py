@@ -22,14 +22,14 @@ def rows(spark, path):
 @pytest.fixture
 def people(tmp_path):
     put(tmp_path / "t" / "0.csv", "주민등록번호,혈액형,소득\n900101-1234567,A,10\n850505-2345678,가,11\n")
-    put(tmp_path / "t" / "1.csv", "주민등록번호,혈액형,소득\n700707-1111111,,12\n600606-2222222,B,13\n1,O,100\n")
+    more = "700707-1111111,,12\n600606-2222222,B,13\n1,O,100\n"
+    put(tmp_path / "t" / "1.csv", "주민등록번호,혈액형,소득\n" + more)
     return str(tmp_path / "t")
 
 
 def test_pseudonymize(spark, tmp_path, people):
-    policy = put(
-        tmp_path / "p.json", {"주민등록번호": ["Masking", "1:0-:1"], "혈액형": ["Encryption"], "소득": ["TopBottom"]}
-    )
+    entries = {"주민등록번호": ["Masking", "1:0-:1"], "혈액형": ["Encryption"], "소득": ["TopBottom"]}
+    policy = put(tmp_path / "p.json", entries)
     main(["pseudonymize", people, policy, str(tmp_path / "out")])
     got = rows(spark, tmp_path / "out")
     assert read_table(spark, str(tmp_path / "out")).columns == ["주민등록번호", "혈액형", "소득"]

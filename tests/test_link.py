@@ -119,11 +119,11 @@ def without_adaptive_execution(spark):
 
 def hot_tables(spark):
     ids = spark.range(0, 30_000, 1, 64)
-    a = ids.select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
-    b = ids.select(
-        F.when(F.col("id") < 300, F.lit(-1)).when(F.col("id") < 9000, F.lit(1)).otherwise(F.col("id")).alias("k"),
-        F.col("id").alias("b"),
-    )
+    row = F.col("id")
+    key_a = F.when(row % 3 == 0, -1).otherwise(row)
+    key_b = F.when(row < 300, -1).when(row < 9000, 1).otherwise(row)
+    a = ids.select(key_a.alias("k"), row.alias("a"))
+    b = ids.select(key_b.alias("k"), row.alias("b"))
     return a, b
 
 

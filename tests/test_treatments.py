@@ -139,13 +139,15 @@ def test_micro_aggregation_conditions(spark):
 
 
 def test_condition_value_may_hold_an_equals_sign(spark):
-    df = spark.createDataFrame([("a=b", 1.0), ("a=b", 1.0), ("a=b", 1.0), ("a=b", 9.0), ("a", 7.0)], "g string, v double").coalesce(1)
+    rows = [("a=b", 1.0), ("a=b", 1.0), ("a=b", 1.0), ("a=b", 9.0), ("a", 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double").coalesce(1)
     got = column(pseudonymize(df, Policy.from_dict({"v": ["MicroAggregation", "g=a=b"]})), "v")
     assert got == [1.0, 1.0, 1.0, 3.0, 7.0]
 
 
 def test_conditions_read_untreated_cells(spark):
-    df = spark.createDataFrame([("x", 1.0), ("x", 1.0), ("x", 1.0), ("x", 9.0)], "g string, v double").coalesce(1)
+    rows = [("x", 1.0), ("x", 1.0), ("x", 1.0), ("x", 9.0)]
+    df = spark.createDataFrame(rows, "g string, v double").coalesce(1)
     policy = Policy.from_dict({"g": ["Encryption"], "v": ["MicroAggregation", "g=x"]})
     assert column(pseudonymize(df, policy), "v") == [1.0, 1.0, 1.0, 3.0]
 
