@@ -13,6 +13,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 
 PIECE_BYTES = 1 << 20
@@ -75,7 +76,7 @@ def record_pieces(
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose ``text`` column holds ``limit`` bytes, or one row."""
     for batch in batches:
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0)
+        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         sizes = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
         start = 0
         while start < batch.num_rows:
@@ -90,10 +91,10 @@ def joined_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     NULL counts as the empty text.
     """
-    lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0)
+    lengths = pc.fill_null(pc.binary_length(column), 0)
     lengths = lengths.to_numpy(zero_copy_only=False).astype(np.int64)
-    data = pa.compute.binary_join(
-        pa.array([pa.compute.fill_null(column, "").to_pylist() + [""]], pa.list_(column.type)), "\n"
+    data = pc.binary_join(
+        pa.array([pc.fill_null(column, "").to_pylist() + [""]], pa.list_(column.type)), "\n"
     )[0].as_buffer()
     ends = np.cumsum(lengths + 1) - 1
     return np.frombuffer(data, np.uint8), ends - lengths, ends
