@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,37 @@ def op3_decontaminate_index(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+@query()
+def op4_pii_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.pii import find_pii
+
+    found = find_pii(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin("email", "ip", "card", "phone"))
+    count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")],
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("pii")).alias("spans"),
+    )
+
+
+def joined_spans(spans: Column) -> Column:
+    """``kind:start:end`` of each span, comma-joined in the order they have."""
+    texts = F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    )
+    return F.array_join(texts, ",")
+
+
+@query()
+def op7_language_viterbi(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.language import held_out, identify, train
+
+    docs = table(spark, folder, "documents")
+    found = identify(docs.select("doc_id", "text"), train(docs))
+    return found.select(
+        "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
