@@ -125,3 +125,11 @@ def op7_language_viterbi(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", held_out("doc_id").alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+@query()
+def op9_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.neighbours import nearest
+
+    found = nearest(table(spark, folder, "embeddings"))
+    return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
