@@ -133,3 +133,18 @@ def op9_cross_polytope(spark: SparkSession, folder: str) -> DataFrame:
 
     found = nearest(table(spark, folder, "embeddings"))
     return found.select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+
+
+@query()
+def op10_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.language import held_out
+    from veilframe.llm.toxicity import score_texts, train
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = score_texts(docs, train(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id",
+        held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
