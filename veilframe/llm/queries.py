@@ -148,3 +148,10 @@ def op10_toxicity_trees(spark: SparkSession, folder: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"),
     )
+
+
+@query()
+def op5_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.near_copies import near_copies
+
+    return near_copies(table(spark, folder, "documents"))
