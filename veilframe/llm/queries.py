@@ -155,3 +155,42 @@ def op5_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     from veilframe.llm.near_copies import near_copies
 
     return near_copies(table(spark, folder, "documents"))
+
+
+# Strings are compared as hexadecimal text, two digits a byte.
+@query(
+    """
+    WITH doc AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    win AS (SELECT r, doc_id, i, substr(h, 2 * i - 1, 100) AS s
+            FROM doc, LATERAL unnest(range(1, CAST(length(h) / 2 AS BIGINT) - 48)) AS t(i)
+            WHERE length(h) >= 100),
+    low AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+    gone AS (SELECT r, i FROM win JOIN low USING (s) WHERE doc_id > first),
+    mark AS (SELECT r, i, max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+             FROM gone),
+    run AS (SELECT r, i, sum(CASE WHEN prev IS NULL OR i > prev + 50 THEN 1 ELSE 0 END)
+                         OVER (PARTITION BY r ORDER BY i) AS g FROM mark),
+    span AS (SELECT r, g, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY r, g),
+    gap AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS from_, 
+                   lead(a) OVER (PARTITION BY r ORDER BY a) AS next_ FROM span),
+    kept AS (SELECT r, string_agg(substr(h, 2 * from_ - 1, 2 * (a - from_))
+                                  || CASE WHEN next_ IS NULL THEN substr(h, 2 * b - 1) ELSE '' END, '' ORDER BY a) AS k,
+                    sum(b - a) AS n_removed, count(*) AS n_spans
+             FROM gap JOIN doc USING (r) GROUP BY r)
+    SELECT doc_id, CAST(length(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+           coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+    FROM doc LEFT JOIN kept USING (r)
+    """
+)
+def op8_repeats_cover(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.repeats import remove_repeats
+
+    found = remove_repeats(table(spark, folder, "documents"))
+    total = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        total.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
