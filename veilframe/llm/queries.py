@@ -194,3 +194,18 @@ def op8_repeats_cover(spark: SparkSession, folder: str) -> DataFrame:
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query()
+def op6_secret_tests(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.secrets import find_secrets
+
+    found = find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda s: s["kind"] != "random")
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("secrets")).alias("spans"),
+    )
