@@ -209,3 +209,12 @@ def op6_secret_tests(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(joined_spans(base), 256).alias("base_sha256"),
         joined_spans(F.col("secrets")).alias("spans"),
     )
+
+
+@query()
+def op1_html_tree_model(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.html_text import extract_text, train
+
+    pages = table(spark, folder, "pages")
+    found = extract_text(pages.select("page_id", "url", "html"), train(pages))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
