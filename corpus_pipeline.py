@@ -1,16 +1,76 @@
-"""Clean a corpus: language, near copies, benchmark passages, personal data, tokens."""
+"""Clean a corpus: language, near copies, benchmark passages, personal data, tokens.
+
+Every stage takes the documents that the one before has stored and returns
+documents; the last returns their tokens.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from veilframe.llm import bpe, decontaminate, language, near_copies, pii
+from veilframe.llm.queries import tokenizer_file
+from veilframe.sources import materialize
+
+# Below this share of letters in its main language a document is a jumble.
+LEAST_SHARE = 0.4
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are mostly in one of the languages learned from them."""
+    model = language.train(docs)
+    found = language.identify(docs, model, pred="__pred", score="__score", spans="__spans")
+    known = (F.col("__pred") != language.UNKNOWN) & (F.col("__score") >= LEAST_SHARE)
+    return found.filter(known).select(*docs.columns)
+
+
+def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of near copies the document with the smallest key."""
+    return near_copies.deduplicate(docs).select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which benchmark passages make up less than a twentieth."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    found = decontaminate.find_phrases(numbered, items, key="__row")
+    bad = found.filter((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).select("__row")
+    return numbered.join(bad, "__row", "left_anti").select(*docs.columns)
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with the kind in place of each piece of personal data."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, n_tokens, ids, ids_sha256)``; ids are unsigned 32-bit integers, little-endian."""
+    found = bpe.encode_decode(docs, tokenizer_file())
+    return found.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        "ids",
+        F.sha2("ids", 256).alias("ids_sha256"),
+    )
+
+
+STAGES = [
+    ("language", keep_known_languages),
+    ("near copies", keep_one_of_near_copies),
+    ("benchmark passages", drop_contaminated),
+    ("personal data", hide_personal_data),
+    ("tokens", encode),
+]
 
-STAGES: list = []
+# Language models, signatures and tokens are beyond SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, one after the other, over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for _, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -232,6 +232,32 @@ def near_copies(
     order each time, as a stored table does. No pair that shares a bucket is
     left out: each is compared, or already in one class when its turn comes.
     """
+    labelled = _groups(docs, key, text, bands, rows, threshold)
+    smallest = materialize(labelled.groupBy("group").agg(F.min("key").alias("class")))
+    return labelled.join(smallest, "group").select(F.col("key").alias(key), "class")
+
+
+def deduplicate(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    bands: int = BANDS,
+    rows: int = ROWS,
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """One row of each class of ``near_copies``: that of the smallest key, and the first of those."""
+    labelled = _groups(docs, key, text, bands, rows, threshold)
+    order = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("t").alias("t"))
+    kept = labelled.groupBy("group").agg(F.min(order).alias("kept"))
+    kept = materialize(kept.select(F.col("kept.t").alias("__row")))
+    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
+    return numbered.join(kept, "__row", "left_semi").drop("__row")
+
+
+def _groups(
+    docs: DataFrame, key: str, text: str, bands: int, rows: int, threshold: float
+) -> DataFrame:
+    """``(t, key, group)``: each row by its number, and a row that names its class."""
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     named = docs.select(
         F.monotonically_increasing_id().alias("t"), F.col(key).alias("key"), whole.alias("text")
@@ -269,9 +295,7 @@ def near_copies(
 
     labelled = rows_of.join(firsts, "digest", "left").withColumn("first", F.coalesce("first", "t"))
     labelled = labelled.join(classes.withColumnRenamed("t", "first"), "first", "left")
-    labelled = labelled.select("key", F.coalesce("class", "first").alias("group"))
-    smallest = materialize(labelled.groupBy("group").agg(F.min("key").alias("class")))
-    return labelled.join(smallest, "group").select(F.col("key").alias(key), "class")
+    return labelled.select("t", "key", F.coalesce("class", "first").alias("group"))
 
 
 def _classed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
