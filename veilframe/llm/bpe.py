@@ -26,7 +26,7 @@ from tokenizers import Tokenizer
 
 from veilframe.llm.arrays import packed, record_pieces, repeated_ranges, span_hash, unpacked
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 ENCODE_BATCH = 10_000
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 # Endings that the word rule cuts off behind an apostrophe.
@@ -103,7 +103,7 @@ class Words:
 
     def __init__(self, kinds: CharacterKinds, special: dict[str, int]):
         self.kinds, self.special = kinds, special
-        self.hashes, self.texts, self.places = [], [], []
+        self.hashes, self.texts, self.bounds = [], [], []
         self.counts: list[int] = []
         self.checks: list[int] = []
         self.keys: list[pa.Array] = []
@@ -154,10 +154,10 @@ class Words:
             counts[owner] += len(found)
             at += len(part)
         starts = np.concatenate(starts)
-        ends = np.append(starts[1:], at)
+        bounds = np.append(starts, at)
         spans = span_hash(2, 0x110000)
-        self.hashes.append(spans.spans(spans.sums(points), starts, ends))
-        self.places.append(np.stack([np.full(len(starts), len(self.texts)), starts, ends], axis=1))
+        self.hashes.append(spans.spans(spans.sums(points), starts, bounds[1:]))
+        self.bounds.append(bounds.astype(np.uint32))
         self.texts.append(joined)
         self.counts += counts.tolist()
 
@@ -165,11 +165,15 @@ class Words:
         """Distinct words, their hashes, and the number of the word at every position."""
         if not self.hashes:
             return [], np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-        distinct, first, codes = np.unique(
-            np.concatenate(self.hashes), return_index=True, return_inverse=True
-        )
-        places = np.concatenate(self.places)[first]
-        found = [self.texts[t][a:b] for t, a, b in places.tolist()]
+        before = np.cumsum([0, *map(len, self.hashes)])
+        hashes = np.concatenate(self.hashes)
+        self.hashes.clear()
+        distinct, first, codes = np.unique(hashes, return_index=True, return_inverse=True)
+        piece = np.searchsorted(before, first, side="right") - 1
+        found = []
+        for i, at in zip(piece.tolist(), (first - before[piece]).tolist()):
+            a, b = self.bounds[i][at : at + 2].tolist()
+            found.append(self.texts[i][a:b])
         return found, distinct, codes.astype(np.uint32)
 
 
