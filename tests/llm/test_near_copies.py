@@ -1,0 +1,116 @@
+"""DartMinHash: its estimate, and classes against all pairs."""
+
+import random
+import re
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import pyarrow as pa
+
+from veilframe.llm.near_copies import components, deduplicate, near_copies, regions, signatures
+
+WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def shingles(text):
+    data = bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode())
+    w = WORD.findall(data)
+    return Counter(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))) if w else Counter()
+
+
+def similarity(a, b):
+    both = sum((a & b).values())
+    return both / max(sum(a.values()) + sum(b.values()) - both, 1)
+
+
+def classes(rows, threshold=0.8):
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    sets = [shingles(t) for _, t in rows]
+    for i, j in combinations(range(len(rows)), 2):
+        same = rows[i][1] == rows[j][1] and rows[i][1]
+        if same or (sets[i] and sets[j] and similarity(sets[i], sets[j]) >= threshold):
+            parent[max(find(i), find(j))] = min(find(i), find(j))
+    groups = {}
+    for i, (key, _) in enumerate(rows):
+        groups.setdefault(find(i), []).append(key)
+    found = []
+    for keys in groups.values():
+        known = [k for k in keys if k is not None]
+        found += [(k, min(known) if known else None) for k in keys]
+    return sorted(found, key=repr)
+
+
+def corpus():
+    draw = random.Random(7)
+    vocabulary = [f"w{i}" for i in range(400)]
+    rows, n = [], 0
+    for _ in range(25):
+        base = [draw.choice(vocabulary) for _ in range(draw.randint(30, 300))]
+        for _ in range(draw.randint(1, 6)):
+            copy = list(base)
+            for _ in range(draw.choice([0, 0, 1, 2, 4, 12])):
+                copy[draw.randrange(len(copy))] = draw.choice(vocabulary)
+            rows.append((n, " ".join(copy)))
+            n += 1
+    hot = [draw.choice(vocabulary) for _ in range(120)]
+    for i in range(60):
+        copy = list(hot)
+        copy[i] = "changed"
+        rows.append((n + i, " ".join(copy)))
+    n += 60
+    rows += [(n, None), (n + 1, None), (n + 2, ""), (n + 3, ""), (n + 4, "..."), (n + 5, "..."), (n + 6, "?!"),
+             (None, "one two"), (n + 7, "One, two!"), (n + 8, "la " * 3000), (n + 9, "la " * 3100), (3, rows[3][1]),
+             (None, "alone here with a null key in this text"), (None, "alone here with a null key in this text")]
+    return rows
+
+
+def test_agreement_estimates_weighted_similarity():
+    rows = corpus()
+    column = pa.array([t for _, t in rows], pa.string())
+    region, sizes = regions(column)
+    found = signatures(region, sizes, 500)
+    sets = [shingles(t) for _, t in rows]
+    for i, j in list(combinations(range(0, 60), 2)):
+        assert abs((found[i] == found[j]).mean() - similarity(sets[i], sets[j])) < 0.11
+    # The signature does not depend on the texts it is computed with.
+    alone = signatures(*regions(column[5:6]), 500)
+    assert np.array_equal(alone[0], found[5])
+
+
+def test_classes_are_those_of_all_pairs(stored_docs):
+    rows = corpus()
+    got = near_copies(stored_docs(rows, parts=5))
+    assert sorted(((r.doc_id, r["class"]) for r in got.collect()), key=repr) == classes(rows)
+
+
+def test_one_row_of_each_class_stays(stored_docs):
+    rows = corpus()
+    docs = stored_docs(rows)
+    kept = deduplicate(docs)
+    assert kept.columns == docs.columns
+    groups = classes(rows)
+    known = {c for _, c in groups if c is not None}
+    got = sorted((r.doc_id for r in kept.collect()), key=repr)
+    assert sorted((k for k in got if k is not None), key=repr) == sorted(known, key=repr)
+    assert got.count(None) == 1
+
+
+def test_empty_table(stored_docs):
+    assert near_copies(stored_docs([])).count() == 0
+    assert near_copies(stored_docs([(1, None)])).collect()[0]["class"] == 1
+
+
+def test_components_of_a_long_chain(spark):
+    n = 300
+    order = list(range(n))
+    random.Random(1).shuffle(order)
+    edges = spark.createDataFrame([(order[i], order[i + 1]) for i in range(n - 1)] + [(1000, 1001)], "a long, b long")
+    got = {r.t: r["class"] for r in components(edges).collect()}
+    assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000}

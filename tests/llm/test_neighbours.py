@@ -1,0 +1,86 @@
+"""Nearest neighbours: rotations, recall, ties, copies and rows that take no part."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from veilframe.llm.neighbours import hadamard, nearest, rotated, signs
+from veilframe.llm.queries import QUERIES
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def test_rotations_keep_lengths_and_products():
+    x = np.random.default_rng(1).normal(size=(5, 16))
+    y = rotated(x, signs(16, 1, 1, 3)[0, 0])
+    assert np.allclose(y @ y.T, x @ x.T) and not np.allclose(y, x)
+    assert np.allclose(hadamard(hadamard(x)), x)
+
+
+def brute(rows, k=20, every=20):
+    usable = [(i, np.array(v, np.float32).astype(float)) for i, v in rows
+              if i is not None and v and all(x is not None and math.isfinite(x) for x in v) and any(v)]
+    found = {}
+    for i, v in usable:
+        if i % every == 0:
+            best = {}
+            for j, w in usable:
+                if j != i and len(v) == len(w):
+                    best[j] = max(best.get(j, -math.inf), float((v * w).cumsum()[-1]))
+            top = sorted(best.items(), key=lambda x: (-x[1], x[0]))[:k]
+            found[i] = [j for j, _ in top]
+    return found
+
+
+def result(df):
+    found = {}
+    for r in sorted(df.collect(), key=lambda r: (r["query"], r["rank"])):
+        found.setdefault(r["query"], []).append((r["vec_id"], r["score"]))
+    for ranked in found.values():
+        assert ranked == sorted(ranked, key=lambda x: (-x[1], x[0]))
+    return {q: [i for i, _ in ranked] for q, ranked in found.items()}
+
+
+def test_small_and_odd_tables_are_exact(stored_docs):
+    bad = [(100, None), (120, [0.0, 0.0]), (140, [math.nan, 1.0]), (160, [math.inf, 1.0]), (180, [None, 1.0]), (None, [1.0, 2.0]), (200, [])]
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.5]), (20, [0.0, -1.0]), (3, [1.0, 2.0, 3.0]), (40, [1.0, 0.0, 0.0]), (1, [1.0, 0.0]), *bad]
+    got = result(nearest(stored_docs(rows, SCHEMA)))
+    assert got == {q: r for q, r in brute(rows).items() if r}
+    assert nearest(stored_docs([], SCHEMA)).count() == 0
+
+
+def test_many_copies_of_one_vector(stored_docs):
+    draw = random.Random(1)
+    rows = [(i, [1.0, 0.0, 0.0, 0.0] if i % 3 else [draw.gauss(0, 1) for _ in range(4)]) for i in range(300)]
+    got, wanted = result(nearest(stored_docs(rows, SCHEMA))), brute(rows)
+    for q in wanted:
+        assert len(got[q]) == 20
+        if q % 3:
+            assert got[q] == wanted[q]
+
+
+def test_products_of_vectors_of_different_norms(stored_docs):
+    draw = np.random.default_rng(2)
+    rows = [(i, (draw.normal(size=12) * draw.uniform(0.2, 3)).tolist()) for i in range(600)]
+    got, wanted = result(nearest(stored_docs(rows, SCHEMA))), brute(rows)
+    assert np.mean([len(set(got[q]) & set(w)) / 20 for q, w in wanted.items()]) >= 0.9
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.01", "/root/testdata/sf0.1"])
+def test_recall_of_the_query(spark, folder):
+    got = {}
+    for r in QUERIES["op9_cross_polytope"](spark, folder).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    wanted = brute(rows)
+    assert set(got) == set(wanted)
+    assert np.mean([len(got[q] & set(w)) / 20 for q, w in wanted.items()]) >= 0.9
+
+
+def test_large_buckets_are_searched_in_pieces(stored_docs):
+    draw = np.random.default_rng(3)
+    rows = [(i, (np.array([5.0, 0, 0, 0]) + draw.normal(size=4) * 0.1).tolist()) for i in range(400)]
+    got, wanted = result(nearest(stored_docs(rows, SCHEMA), occupancy=16)), brute(rows)
+    assert np.mean([len(set(got[q]) & set(w)) / 20 for q, w in wanted.items()]) >= 0.9
