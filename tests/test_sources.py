@@ -1,5 +1,7 @@
 """Text and Parquet tables, stored configurations."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from veilframe import (
     read_link_spec,
     read_policy,
     read_table,
+    stored,
     write_table,
 )
 from veilframe.sources.tables import shared_folder
@@ -55,7 +58,7 @@ def test_no_clear_row_escapes_treatment_when_files_are_split(spark, tmp_path):
 
 
 def test_cells_are_raw_text(spark, tmp_path):
-    put(tmp_path / "t.csv", 'a,b,c\n"x",back\\slash, spaced \n,,\nshort\n1,2,3,4\n\\"q\\,"",\'\n')
+    put(tmp_path / "t.csv", 'a,b,c\n"x",back\\slash, spaced \n,,\nshort\n1,2,3\n\\"q\\,"",\'\n')
     got = rows(read_table(spark, str(tmp_path / "t.csv")))
     assert got == sorted(
         [('"x"', "back\\slash", " spaced "), ("", "", ""), ("short", "", ""), ("1", "2", "3"), ('\\"q\\', '""', "'")]
@@ -98,6 +101,49 @@ def test_files_with_another_header_are_refused(spark, tmp_path):
         read_table(spark, str(tmp_path / "t")).collect()
 
 
+@pytest.mark.parametrize("pruning", ["true", "false"])
+def test_records_with_more_cells_than_the_header_are_refused(spark, tmp_path, pruning):
+    put(tmp_path / "t.csv", "a,b\n1,2\n1,2,3\n")
+    put(tmp_path / "q.csv", 'a,b\n"1,1",2\n"x, ""y""",2,""\n')
+    put(tmp_path / "one.csv", "a\n1\n1,2\n")
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", pruning)
+    try:
+        for name, quote in (("t", ""), ("q", '"'), ("one", "")):
+            df = read_table(spark, str(tmp_path / f"{name}.csv"), quote=quote)
+            for result in (df, df.select("a"), df.groupBy().count()):
+                with pytest.raises(Exception, match="more cells than the header"):
+                    result.collect()
+        put(tmp_path / "fine.csv", "a,b\n1\n,\n")
+        fine = read_table(spark, str(tmp_path / "fine.csv"))
+        assert rows(fine) == [("", ""), ("1", "")] and fine.count() == 2
+    finally:
+        spark.conf.unset("spark.sql.csv.parser.columnPruning.enabled")
+
+
+def test_tables_of_one_column_keep_empty_cells(spark, tmp_path):
+    cells = [("",), ("a",), ("",), ("  ",), ("cell",), ("cell",), ("",)]
+    df = spark.createDataFrame(cells, "cell string").repartition(3)
+    write_table(df, str(tmp_path / "t"))
+    got = read_table(spark, str(tmp_path / "t"))
+    assert rows(got) == sorted(cells) and got.columns == ["cell"]
+    write_table(df.limit(0), str(tmp_path / "none"))
+    assert read_table(spark, str(tmp_path / "none")).columns == ["cell"]
+    assert read_table(spark, str(tmp_path / "none")).count() == 0
+    put(tmp_path / "u" / "0.csv", "x\n1\n\n2\n")
+    put(tmp_path / "u" / "1.csv", "x\n\nx\n")
+    assert rows(read_table(spark, str(tmp_path / "u"))) == [("",), ("",), ("1",), ("2",), ("x",)]
+    put(tmp_path / "u" / "2.csv", "y\n1\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_table(spark, str(tmp_path / "u")).collect()
+
+
+def test_what_a_block_stores_is_removed(spark):
+    with stored(spark.range(5)) as df:
+        files = df.inputFiles()
+        assert df.count() == 5
+    assert files and not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
 def test_given_schema_and_parquet(spark, tmp_path):
     put(tmp_path / "t.csv", "a,b\n1,\n2,y\n")
     schema = spark.createDataFrame([], "a int, b string").schema
@@ -140,7 +186,7 @@ def test_stored_configurations(spark, tmp_path):
 def test_statistics_sink(spark, tmp_path):
     df = spark.createDataFrame([(1.0,), (3.0,)], "x double")
     write_table(profile(df, Policy.from_dict({"x": ["TopBottom"]})), str(tmp_path / "s"))
-    assert rows(read_table(spark, str(tmp_path / "s"))) == [("x", "Avg", "2.0"), ("x", "Sd", "1.0")]
+    assert rows(read_table(spark, str(tmp_path / "s"))) == [("x", "Avg", "", "2.0"), ("x", "Sd", "", "1.0")]
 
 
 def test_materialize_writes_to_the_shared_folder(spark):

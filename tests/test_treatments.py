@@ -1,5 +1,6 @@
 """Each treatment through a policy, on typed and on text columns."""
 
+import hashlib
 import math
 
 import pytest
@@ -208,14 +209,14 @@ def test_profile(spark):
     assert {r.stat: r.value for r in got.collect()} == {"Count": 2, "Avg": 15, "Sd": 5, "Min": 10, "Max": 20}
     negative = one_column(spark, ["-5", "-1"])
     got = profile(negative, Policy.from_json('{"전처리": ["통계", "Min", "Max"], "x": ["Random"]}'))
-    assert [tuple(r) for r in got.collect()] == [("x", "Min", -5.0), ("x", "Max", -1.0)]
+    assert [tuple(r) for r in got.collect()] == [("x", "Min", "", -5.0), ("x", "Max", "", -1.0)]
 
 
 def test_profile_defaults_to_what_the_treatments_need(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "a double, b double")
     got = profile(df, Policy.from_dict({"a": ["TopBottom"], "b": ["Random"]}))
     assert [tuple(r) for r in got.collect()] == [
-        ("a", "Avg", 2.0), ("a", "Sd", 1.0), ("b", "Min", 2.0), ("b", "Max", 4.0)
+        ("a", "Avg", "", 2.0), ("a", "Sd", "", 1.0), ("b", "Min", "", 2.0), ("b", "Max", "", 4.0)
     ]
 
 
@@ -274,3 +275,65 @@ def test_rounding_bounds(spark, digit):
         & (up - down <= unit + slack)
     )
     assert df.filter(~ok).count() == 0
+
+
+def test_numbers_that_stay_keep_their_value(spark):
+    rows = [("x", 1, 9007199254740993, "12345678901234567890.12"), ("y", 2, -9007199254740995, "0.05")]
+    df = spark.createDataFrame(rows, "g string, i int, n long, d string").withColumn("d", F.col("d").cast("decimal(30,2)"))
+    rule = ["MicroAggregation", "g=none"]
+    got = pseudonymize(df, Policy.from_dict({"n": rule, "d": rule, "i": rule}))
+    assert dict(got.dtypes) == {"g": "string", "i": "double", "n": "decimal(38,12)", "d": "decimal(30,2)"}
+    assert [(int(r.n), str(r.d)) for r in got.collect()] == [(n, d) for _, _, n, d in rows]
+    df = spark.createDataFrame([(v,) for v in (10, 11, 12, 13, 100)], "n long")
+    got = pseudonymize(df, Policy.from_dict({"n": ["TopBottom"]})).collect()
+    assert [float(r.n) for r in got] == [10, 11, 12, 13, 29.2]
+
+
+@pytest.mark.parametrize(
+    "entry",
+    [["Encryption", "salt"], ["TopBottom", "k=3"], ["Masking", "1", "0", "1"], ["Round", "R", 1, 2], ["Random", 1],
+     ["Delete", "now"], ["PartDelete"]],
+)
+def test_options_that_a_treatment_does_not_take_are_refused(entry):
+    with pytest.raises(ValueError):
+        Policy.from_dict({"c": entry})
+
+
+def test_salt(spark):
+    df = spark.createDataFrame([("a",), (None,)], "c string")
+    got = [r.c for r in pseudonymize(df, Policy.from_dict({"c": ["Encryption", "salt=s,="]})).collect()]
+    assert got == [hashlib.sha256(b"s,=a").hexdigest(), None]
+
+
+def test_stored_statistics_are_taken_for_the_same_conditions_only(spark):
+    rows = [("x", 1.0), ("x", 2.0), ("x", 3.0), ("x", 30.0), ("y", 500.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    whole, some = Policy.from_dict({"v": ["TopBottom"]}), Policy.from_dict({"v": ["MicroAggregation", "g=x"]})
+    with pytest.raises(Exception, match="no stored Avg of v where g=x"):
+        pseudonymize(df, some, statistics=profile(df, whole)).collect()
+    both = profile(df, some).union(profile(df, whole))
+    got = [r.v for r in pseudonymize(df, some, statistics=both).collect()]
+    assert got == [1.0, 2.0, 3.0, 9.0, 500.0]
+    with pytest.raises(Exception, match="more than one stored"):
+        pseudonymize(df, some, statistics=both.union(profile(df, some))).collect()
+
+
+def test_random_on_columns_that_are_neither_numbers_nor_text(spark):
+    df = spark.sql("SELECT timestamp'2024-01-02 03:04:05' AS t, true AS b, date'2024-01-02' AS d, 1.5D AS x, "
+                   "CAST(NULL AS DATE) AS n")
+    entries = {c: ["Random"] for c in df.columns}
+    row = pseudonymize(df, Policy.from_dict(entries), seed=1).head()
+    assert (len(row.t), len(row.b), len(row.d), row.x, row.n) == (19, 4, 10, 1.5, None)
+    stored = profile(df, Policy.from_dict(entries))
+    assert len(pseudonymize(df, Policy.from_dict(entries), statistics=stored).head().t) == 19
+    with pytest.raises(ValueError):
+        pseudonymize(df, Policy.from_dict({"d": ["TopBottom"]}))
+
+
+def test_checks_of_random_numbers_fail_where_nothing_is_drawn(spark):
+    from veilframe.catalogue import drawn_numbers
+
+    df = spark.range(1, 1001).select(F.col("id").cast("double").alias("x"))
+    kept = df.agg(*drawn_numbers(F.col("x"), F.col("x"))).head()
+    drawn = pseudonymize(df.withColumn("y", F.col("x")), Policy.from_dict({"y": ["Random"]}), seed=1)
+    assert not kept.changed and all(drawn.agg(*drawn_numbers(F.col("x"), F.col("y"))).head())

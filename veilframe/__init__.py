@@ -7,6 +7,7 @@ from veilframe.sources import (
     read_link_spec,
     read_policy,
     read_table,
+    stored,
     write_table,
 )
 
@@ -22,5 +23,6 @@ __all__ = [
     "read_link_spec",
     "read_policy",
     "read_table",
+    "stored",
     "write_table",
 ]

@@ -27,10 +27,10 @@ def parser() -> argparse.ArgumentParser:
     command = commands.add_parser("link", parents=[common])
     for argument in ("table_a", "table_b", "spec", "output"):
         command.add_argument(argument)
-    command.add_argument("--header", action="store_true")
+    command.add_argument("--no-header", dest="header", action="store_false")
     command.add_argument("--key-mode", default="columns", choices=KEY_MODES)
     command.add_argument("--drop-empty-keys", action="store_true")
-    command.add_argument("--split-hot-keys", action=argparse.BooleanOptionalAction)
+    command.add_argument("--split-hot-keys", action="store_true")
     return top
 
 
@@ -42,7 +42,8 @@ def main(arguments: list[str] | None = None) -> None:
         fit_shuffles(spark, options["table_a"], options["table_b"])
     report = getattr(jobs, f"run_{command}")(spark, **options)
     if report is not None:
-        report.show(truncate=False)
+        # A row per figure that the policy asks for.
+        report.show(report.count(), truncate=False)
 
 
 if __name__ == "__main__":

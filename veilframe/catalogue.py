@@ -18,7 +18,7 @@ from veilframe.functions import matches
 from veilframe.functions.texts import ALPHABET
 from veilframe.operators import link, profile, pseudonymize
 from veilframe.plans import LinkSpec, Policy
-from veilframe.sources import materialize, read_table, write_table
+from veilframe.sources import read_table, write_table
 from veilframe.sources.tables import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -188,11 +188,11 @@ def encrypt_conversations(spark, folder):
 @query("""
 WITH s AS (SELECT count(l_quantity) AS n, avg(l_quantity) AS a, stddev_pop(l_quantity) AS d,
                   min(l_quantity) AS lo, max(l_quantity) AS hi FROM lineitem)
-SELECT 'l_quantity' AS "column", 'Count' AS stat, n::DOUBLE AS value FROM s
-UNION ALL SELECT 'l_quantity', 'Avg', round(a, 6) FROM s
-UNION ALL SELECT 'l_quantity', 'Sd', round(d, 6) FROM s
-UNION ALL SELECT 'l_quantity', 'Min', round(lo, 6) FROM s
-UNION ALL SELECT 'l_quantity', 'Max', round(hi, 6) FROM s""")
+SELECT 'l_quantity' AS "column", '' AS conditions, 'Count' AS stat, n::DOUBLE AS value FROM s
+UNION ALL SELECT 'l_quantity', '', 'Avg', round(a, 6) FROM s
+UNION ALL SELECT 'l_quantity', '', 'Sd', round(d, 6) FROM s
+UNION ALL SELECT 'l_quantity', '', 'Min', round(lo, 6) FROM s
+UNION ALL SELECT 'l_quantity', '', 'Max', round(hi, 6) FROM s""")
 def profile_columns(spark, folder):
     policy = Policy.from_dict({"l_quantity": ["TopBottom"]})
     found = profile(table(spark, folder, "lineitem"), policy, ("Count", "Avg", "Sd", "Min", "Max"))
@@ -202,8 +202,9 @@ def profile_columns(spark, folder):
 @query("""
 WITH s AS (SELECT avg(l_quantity) AS a, stddev_pop(l_quantity) AS d FROM lineitem
            WHERE l_returnflag = 'R' AND l_linestatus = 'F')
-SELECT 'l_quantity' AS "column", 'Avg' AS stat, round(a, 6) AS value FROM s
-UNION ALL SELECT 'l_quantity', 'Sd', round(d, 6) FROM s""")
+SELECT 'l_quantity' AS "column", 'l_returnflag=R&l_linestatus=F' AS conditions, 'Avg' AS stat,
+       round(a, 6) AS value FROM s
+UNION ALL SELECT 'l_quantity', 'l_returnflag=R&l_linestatus=F', 'Sd', round(d, 6) FROM s""")
 def profile_where(spark, folder):
     policy = Policy.from_dict(
         {
@@ -273,12 +274,24 @@ def condition_filter(spark, folder):
     return df.filter(first | second).select("p_partkey", first.alias("hit"))
 
 
-@query("SELECT l_orderkey, l_linenumber, true AS ok FROM lineitem")
+def drawn_numbers(before: Column, drawn: Column) -> list[Column]:
+    """What must hold of random numbers: in range, hardly one as before, centred, spread."""
+    low, high = F.min(before), F.max(before)
+    return [
+        F.count("*").alias("n"),
+        ((F.min(drawn) >= low) & (F.max(drawn) <= high)).alias("in_range"),
+        (F.count_if(drawn == before) < 0.01 * F.count("*")).alias("changed"),
+        (F.abs(F.avg(drawn) - (low + high) / 2) < 0.05 * (high - low)).alias("centred"),
+        (F.abs(F.stddev_pop(drawn) * F.sqrt(F.lit(12.0)) / (high - low) - 1) < 0.05).alias("spread"),
+    ]
+
+
+@query("""
+SELECT count(*) AS n, true AS in_range, true AS changed, true AS centred, true AS spread FROM lineitem""")
 def random_number_in_range(spark, folder):
-    df = table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    low, high = (df.agg(f("l_quantity")).scalar() for f in (F.min, F.max))
+    df = table(spark, folder, "lineitem").select("l_quantity", F.col("l_quantity").alias("before"))
     drawn = treat(df, seed=1, l_quantity=["Random"])
-    return drawn.select("l_orderkey", "l_linenumber", F.col("l_quantity").between(low, high).alias("ok"))
+    return drawn.agg(*drawn_numbers(F.col("before"), F.col("l_quantity")))
 
 
 @query("SELECT c_custkey, length(c_mktsegment) AS n, true AS ok FROM customer")
@@ -300,19 +313,48 @@ def random_documents(spark, folder):
 
 
 @query("""
-SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN length(o_orderpriority) END AS n, true AS ok
+SELECT count(*) FILTER (WHERE o_orderstatus <> 'P') AS n, true AS in_range, true AS changed,
+       true AS centred, true AS spread,
+       sum(length(o_orderpriority)) FILTER (WHERE o_orderstatus = 'P')::BIGINT AS letters, true AS texts
 FROM orders""")
 def random_mixed_cells(spark, folder):
     """Each cell by what it holds: a number in range, or a text of its length."""
-    df = order_cells(spark, folder)
-    low, high = (df.agg(f(F.col("cell").try_cast("double"))).scalar() for f in (F.min, F.max))
+    df = order_cells(spark, folder).withColumn("before", F.col("cell"))
+    drawn = treat(df, seed=4, cell=["Random"])
     word = F.col("o_orderstatus") == "P"
-    text_ok = F.col("cell").rlike(RANDOM_TEXT)
-    number_ok = F.col("cell").try_cast("double").between(low, high)
-    return treat(df, seed=4, cell=["Random"]).select(
-        "o_orderkey",
-        F.when(word, F.length("cell").cast("long")).alias("n"),
-        F.when(word, text_ok).otherwise(number_ok).alias("ok"),
+    number = lambda name: F.when(~word, F.col(name).try_cast("double"))
+    text_ok = F.col("cell").rlike(RANDOM_TEXT) & (F.length("cell") == F.length("before"))
+    figures = drawn_numbers(number("before"), number("cell"))
+    return drawn.agg(
+        F.count_if(~word).alias("n"),
+        *figures[1:],
+        F.sum(F.when(word, F.length("cell").cast("long"))).alias("letters"),
+        (F.count_if(word & ~text_ok) == 0).alias("texts"),
+    )
+
+
+@query("""
+SELECT o_orderkey, length(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')) AS n, true AS ok FROM orders""")
+def random_dates(spark, folder):
+    """Cells that are neither numbers nor texts become texts of the length they print with."""
+    df = table(spark, folder, "orders").select("o_orderkey", F.date_trunc("second", "o_orderdate").alias("d"))
+    drawn = F.col("d")
+    return treat(df, seed=6, d=["Random"]).select(
+        "o_orderkey", F.length(drawn).cast("long").alias("n"), drawn.rlike(RANDOM_TEXT).alias("ok")
+    )
+
+
+@query("SELECT event_id, 10 AS n, CASE WHEN value > 50 THEN 4 ELSE 5 END AS m, true AS ok FROM events")
+def random_days_and_flags(spark, folder):
+    df = table(spark, folder, "events").select(
+        "event_id", F.col("ts").cast("date").alias("day"), (F.col("value") > 50).alias("high")
+    )
+    drawn = treat(df, seed=7, day=["Random"], high=["Random"])
+    return drawn.select(
+        "event_id",
+        F.length("day").alias("n"),
+        F.length("high").alias("m"),
+        (F.col("day").rlike(RANDOM_TEXT) & F.col("high").rlike(RANDOM_TEXT)).alias("ok"),
     )
 
 
@@ -332,7 +374,7 @@ SELECT sha256(l_orderkey::VARCHAR) AS l_orderkey,
        round(CASE WHEN l_extendedprice < pm - pd OR l_extendedprice > pm + pd
                   THEN pm ELSE l_extendedprice END, 4) AS l_extendedprice,
        floor(l_discount * 10 + 0.5::DOUBLE) / 10 AS l_discount,
-       length(l_linestatus) AS linestatus_length,
+       length(l_linestatus) AS linestatus_length, true AS linestatus_drawn,
        l_returnflag, l_shipdate
 FROM lineitem, s""")
 def all_treatments(spark, folder):
@@ -354,6 +396,7 @@ def all_treatments(spark, folder):
             "l_quantity": to_4("l_quantity"),
             "l_extendedprice": to_4("l_extendedprice"),
             "linestatus_length": F.length("l_linestatus").cast("long"),
+            "linestatus_drawn": F.col("l_linestatus").rlike(RANDOM_TEXT),
         }
     ).drop("l_linestatus")
 
@@ -393,13 +436,13 @@ def order_link(spark, folder, key_mode) -> DataFrame:
 
 
 @query("""
-WITH g AS (SELECT o_custkey, o_orderstatus, count(*) AS orders, max(o_totalprice) AS largest
-           FROM orders GROUP BY o_custkey, o_orderstatus)
-SELECT o_orderkey, o_totalprice, g.orders, g.largest
-FROM orders o JOIN g
-  ON sha256(o.o_custkey::VARCHAR || o.o_orderstatus) = sha256(g.o_custkey::VARCHAR || g.o_orderstatus)""")
+SELECT a.c_name AS c_name_a, b.c_name AS c_name_b
+FROM customer a JOIN customer b
+  ON a.c_custkey::VARCHAR || a.c_nationkey::VARCHAR = b.c_custkey::VARCHAR || b.c_nationkey::VARCHAR""")
 def concat_key_join(spark, folder):
-    return order_link(spark, folder, "concat")
+    """Digits that run together: customer 1 of nation 12 meets customer 11 of nation 2."""
+    keys, customer = ["c_custkey", "c_nationkey"], table(spark, folder, "customer")
+    return link(customer, customer, LinkSpec(keys, keys, ["c_name"], ["c_name"], "concat"))
 
 
 @query("""
@@ -412,13 +455,14 @@ def composite_join(spark, folder):
 
 
 @query("""
-SELECT l_orderkey, l_linenumber, p_name, p_brand
-FROM lineitem JOIN part ON l_partkey = p_partkey""")
+WITH g AS (SELECT l_returnflag, count(*) AS lines, max(l_quantity) AS most FROM lineitem GROUP BY l_returnflag)
+SELECT l_orderkey, l_linenumber, g.lines, g.most FROM lineitem l JOIN g ON l.l_returnflag = g.l_returnflag""")
 def hot_key_join(spark, folder):
-    """A link that spreads hot keys in the plan."""
-    spec = LinkSpec(["l_partkey"], ["p_partkey"], ["l_orderkey", "l_linenumber"], ["p_name", "p_brand"])
-    lineitem, part = table(spark, folder, "lineitem"), table(spark, folder, "part")
-    return link(lineitem, part, spec, split_hot_keys=True)
+    """Each line with figures of its return flag: three keys, all of them hot."""
+    lineitem = table(spark, folder, "lineitem")
+    groups = lineitem.groupBy("l_returnflag").agg(F.count("*").alias("lines"), F.max("l_quantity").alias("most"))
+    spec = LinkSpec(["l_returnflag"], ["l_returnflag"], ["l_orderkey", "l_linenumber"], ["lines", "most"])
+    return link(lineitem, groups, spec, split_hot_keys=True, pairs_per_cell=500)
 
 
 @query("""
@@ -449,29 +493,75 @@ def nested_text_folders(spark, folder):
     path = new_folder(spark)
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     write_table(orders.filter("o_orderstatus = 'F'"), f"{path}/finished")
-    write_table(orders.filter("o_orderstatus <> 'F'"), f"{path}/other/open")
+    write_table(orders.filter("NOT o_orderstatus <=> 'F'"), f"{path}/other/open")
     text = read_table(spark, path)
     return text.select(*[F.col(f.name).cast(f.dataType) for f in orders.schema])
 
 
 @query("""
-WITH s AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS d FROM customer)
-SELECT c_custkey, CASE WHEN c_acctbal < m - d OR c_acctbal > m + d THEN round(m, 4)
-                       ELSE c_acctbal END AS c_acctbal
-FROM customer, s""")
+WITH s AS (SELECT avg(l_extendedprice) AS pm, stddev_pop(l_extendedprice) AS pd,
+                  avg(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qm,
+                  stddev_pop(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qd
+           FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       round(CASE WHEN l_returnflag = 'A' AND (l_quantity < qm - qd OR l_quantity > qm + qd)
+                  THEN qm ELSE l_quantity END, 4) AS l_quantity,
+       round(CASE WHEN l_extendedprice < pm - pd OR l_extendedprice > pm + pd
+                  THEN pm ELSE l_extendedprice END, 4) AS l_extendedprice
+FROM lineitem, s""")
 def stored_statistics(spark, folder):
-    """Statistics written by one job and read by the next."""
-    path, customer = new_folder(spark), table(spark, folder, "customer").select("c_custkey", "c_acctbal")
-    policy = Policy.from_dict({"c_acctbal": ["TopBottom"]})
-    write_table(profile(customer, policy), path, format="parquet")
-    statistics = read_table(spark, path, format="parquet")
-    treated = pseudonymize(customer, policy, statistics=statistics)
-    return treated.withColumns({"c_acctbal": to_4("c_acctbal")})
+    """Statistics written by one job, with their conditions, and read by the next."""
+    path = new_folder(spark)
+    df = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag"
+    )
+    policy = Policy.from_dict(
+        {"l_quantity": ["MicroAggregation", "l_returnflag=A"], "l_extendedprice": ["TopBottom"]}
+    )
+    write_table(profile(df, policy), path, format="parquet")
+    treated = pseudonymize(df, policy, statistics=read_table(spark, path, format="parquet"))
+    return treated.select("l_orderkey", "l_linenumber", to_4("l_quantity"), to_4("l_extendedprice"))
+
+
+@query("SELECT c_custkey, sha256('pepper' || c_name) AS c_name FROM customer")
+def encrypt_salted(spark, folder):
+    df = table(spark, folder, "customer").select("c_custkey", "c_name")
+    return treat(df, c_name=["Encryption", "salt=pepper"])
+
+
+@query("""
+SELECT o_orderkey, (o_orderkey + 1152921504606846976)::VARCHAR AS wide,
+       (o_totalprice::DECIMAL(30, 2) + 12345678901234567890)::DECIMAL(30, 2)::VARCHAR AS price
+FROM orders WHERE o_orderstatus <> 'F'""")
+def untouched_numbers(spark, folder):
+    """Numbers that a double does not hold, under a condition that their rows do not meet."""
+    wide = F.col("o_orderkey") + F.lit(1 << 60)
+    price = (F.col("o_totalprice").cast("decimal(30,2)") + F.lit("12345678901234567890").cast("decimal(30,0)"))
+    df = table(spark, folder, "orders").select(
+        "o_orderkey", "o_orderstatus", wide.alias("wide"), price.cast("decimal(30,2)").alias("price")
+    )
+    rule = ["MicroAggregation", "o_orderstatus=F"]
+    treated = treat(df, wide=rule, price=rule).filter("o_orderstatus <> 'F'")
+    return treated.select(
+        "o_orderkey",
+        F.regexp_replace(F.col("wide").cast("string"), r"\.0*$", "").alias("wide"),
+        F.col("price").cast("string").alias("price"),
+    )
+
+
+@query("SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_name END AS cell FROM customer")
+def empty_cells_of_one_column(spark, folder):
+    """A table of one column keeps its empty cells, which are blank lines."""
+    path = new_folder(spark)
+    cell = F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(F.col("c_name"))
+    write_table(table(spark, folder, "customer").select(cell.alias("cell")), path)
+    return read_table(spark, path)
 
 
 @query("""
-SELECT 'l_extendedprice' AS "column", 'Min' AS stat, min(l_extendedprice) AS value FROM lineitem
-UNION ALL SELECT 'l_extendedprice', 'Max', max(l_extendedprice) FROM lineitem""")
+SELECT 'l_extendedprice' AS "column", '' AS conditions, 'Min' AS stat, min(l_extendedprice) AS value
+FROM lineitem
+UNION ALL SELECT 'l_extendedprice', '', 'Max', max(l_extendedprice) FROM lineitem""")
 def profile_job(spark, folder):
     path = new_folder(spark)
     policy = put_json(
@@ -519,7 +609,23 @@ def link_job(spark, folder):
     )
     write_table(table(spark, folder, "supplier"), f"{path}/a")
     write_table(table(spark, folder, "nation"), f"{path}/b")
-    jobs.run_link(spark, f"{path}/a", f"{path}/b", spec, f"{path}/out", header=True)
+    jobs.run_link(spark, f"{path}/a", f"{path}/b", spec, f"{path}/out")
+    return read_table(spark, f"{path}/out")
+
+
+@query("""
+SELECT '*' || substr(s_name, 1, 1) || repeat('*', length(s_name) - 1) AS s_name, sha256(n_name) AS n_name
+FROM supplier JOIN nation ON s_nationkey = n_nationkey""")
+def link_job_then_pseudonymize_job(spark, folder):
+    """One job reads what the other wrote, both as they are by default."""
+    path = new_folder(spark)
+    keys = {"A": ["s_nationkey"], "B": ["n_nationkey"]}
+    spec = put_json(spark, f"{path}/spec", {"join_key": keys, "column_list": {"A": ["s_name"], "B": ["n_name"]}})
+    policy = put_json(spark, f"{path}/policy", {"s_name": ["Masking", "1:0-"], "n_name": ["Encryption"]})
+    write_table(table(spark, folder, "supplier"), f"{path}/a")
+    write_table(table(spark, folder, "nation"), f"{path}/b")
+    jobs.run_link(spark, f"{path}/a", f"{path}/b", spec, f"{path}/linked")
+    jobs.run_pseudonymize(spark, f"{path}/linked", policy, f"{path}/out")
     return read_table(spark, f"{path}/out")
 
 
@@ -545,22 +651,27 @@ FROM linked, s""")
 def link_then_policy(spark, folder):
     """Link two tables, then treat the result.
 
-    The treatment scans its input twice, so the link is stored in between.
+    The treatment scans its input twice, so the link is stored in between, and
+    removed when the result is written.
     """
+    path = new_folder(spark)
     spec = LinkSpec(
         ["c_custkey"],
         ["o_custkey"],
         ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"],
         ["o_orderkey", "o_orderstatus", "o_totalprice"],
     )
-    linked = link(table(spark, folder, "customer"), table(spark, folder, "orders"), spec)
-    treated = treat(
-        materialize(linked),
-        c_custkey=["Encryption"],
-        c_name=["Masking", "1:0-:1"],
-        c_acctbal=["MicroAggregation", "o_orderstatus=F"],
-        c_mktsegment=["Delete"],
-        o_orderstatus=["Delete"],
-        o_totalprice=["TopBottom"],
+    policy = Policy.from_dict(
+        {
+            "c_custkey": ["Encryption"],
+            "c_name": ["Masking", "1:0-:1"],
+            "c_acctbal": ["MicroAggregation", "o_orderstatus=F"],
+            "c_mktsegment": ["Delete"],
+            "o_orderstatus": ["Delete"],
+            "o_totalprice": ["TopBottom"],
+        }
     )
+    customer, orders = table(spark, folder, "customer"), table(spark, folder, "orders")
+    jobs.link_and_pseudonymize(customer, orders, spec, policy, path)
+    treated = spark.read.parquet(path)
     return treated.withColumns({"c_acctbal": to_4("c_acctbal"), "o_totalprice": to_4("o_totalprice")})

@@ -3,8 +3,8 @@
 from veilframe.functions.columns import matches, named, require_columns
 from veilframe.functions.digest import link_token, sha256_hex
 from veilframe.functions.numbers import (
+    has_numbers,
     is_outlier,
-    outlier_to_mean,
     random_number,
     round_at,
     to_number,
@@ -13,11 +13,11 @@ from veilframe.functions.spans import part_delete, span_mask
 from veilframe.functions.texts import random_text
 
 __all__ = [
+    "has_numbers",
     "is_outlier",
     "link_token",
     "matches",
     "named",
-    "outlier_to_mean",
     "part_delete",
     "random_number",
     "random_text",

@@ -8,9 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def sha256_hex(col: Column) -> Column:
-    """Lower-case hex SHA-256 of the cell's UTF-8 text."""
-    return F.sha2(col.cast("string"), 256)
+def sha256_hex(col: Column, salt: str = "") -> Column:
+    """Lower-case hex SHA-256 of the cell's UTF-8 text, behind the salt if there is one."""
+    text = col.cast("string")
+    return F.sha2(F.concat(F.lit(salt), text) if salt else text, 256)
 
 
 def link_token(keys: Sequence[Column], key_mode: str = "columns") -> Column:

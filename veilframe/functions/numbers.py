@@ -16,6 +16,11 @@ HEXADECIMAL = r"0[xX]([0-9a-fA-F]++\.?|[0-9a-fA-F]*+\.[0-9a-fA-F]++)[pP][+-]?[0-
 NUMBER = rf"^[\x00-\x20]*+[+-]?(NaN|Infinity|({DECIMAL}|{HEXADECIMAL})[fFdD]?)[\x00-\x20]*+\z"
 
 
+def has_numbers(kind: T.DataType) -> bool:
+    """Whether cells of that type can be numbers."""
+    return isinstance(kind, (T.NumericType, T.StringType))
+
+
 def to_number(col: Column, kind: T.DataType) -> Column:
     """The cell as a double; NULL where its text is not a number.
 
@@ -61,10 +66,6 @@ def is_outlier(x: Column, mean: Column, sd: Column, k: float = 1.0) -> Column:
     return ((x < lower) & ~F.isnan(lower)) | ((x > upper) & ~F.isnan(x))
 
 
-def outlier_to_mean(x: Column, mean: Column, sd: Column, k: float = 1.0) -> Column:
-    return F.when(is_outlier(x, mean, sd, k), mean).otherwise(x)
-
-
 def random_number(low: Column, high: Column, seed: int | None = None) -> Column:
     """Uniform in [low, high), drawn afresh for every cell."""
     draw = F.rand() if seed is None else F.rand(seed)

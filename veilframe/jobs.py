@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from veilframe.operators import link, profile, pseudonymize
-from veilframe.sources import read_link_spec, read_policy, read_table, write_table
+from veilframe.plans import LinkSpec, Policy
+from veilframe.sources import read_link_spec, read_policy, read_table, stored, write_table
 
 
 def run_profile(
@@ -43,13 +44,32 @@ def run_link(
     spec: str,
     output: str,
     format: str = "csv",
-    header: bool = False,
+    header: bool = True,
     key_mode: str = "columns",
     drop_empty_keys: bool = False,
-    split_hot_keys: bool | None = None,
+    split_hot_keys: bool = False,
 ) -> None:
-    """Write the linked columns, by default without a header line."""
+    """Write the linked columns, by default with a header line, as ``read_table`` needs it."""
     options = {"key_mode": key_mode, "drop_empty_keys": drop_empty_keys}
     a, b = read_table(spark, table_a, format), read_table(spark, table_b, format)
     linked = link(a, b, read_link_spec(spark, spec, **options), split_hot_keys)
     write_table(linked, output, format, header=header)
+
+
+def link_and_pseudonymize(
+    a: DataFrame,
+    b: DataFrame,
+    spec: LinkSpec,
+    policy: Policy,
+    output: str,
+    format: str = "parquet",
+    seed: int | None = None,
+    split_hot_keys: bool = False,
+) -> None:
+    """Write the linked and treated table.
+
+    The treatment reads the link twice, so the link is stored in between, in
+    clear; it is removed once the result is written, or if that fails.
+    """
+    with stored(link(a, b, spec, split_hot_keys)) as linked:
+        write_table(pseudonymize(linked, policy, seed), output, format)

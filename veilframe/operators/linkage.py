@@ -5,23 +5,38 @@ from __future__ import annotations
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veilframe.functions import link_token, named, require_columns
 from veilframe.plans import LinkSpec
 from veilframe.sources.tables import materialize
 
 TOKEN = "__token"
-# A key is hot on a side where it holds more than one part in SHARES of the
-# rows, and more than PIECE rows. There can be no more than SHARES such keys,
-# however large the table.
-SHARES = 1000
-PIECE = 100_000
-TRACKED = 10 * SHARES
-MERGERS = 1024
-# With more shuffle partitions than this Spark reports block sizes as averages.
-EXACT_SIZES = 2000
+# A key whose pairs are more than this is dealt out to several tasks.
+PAIRS_PER_CELL = 1_000_000
+# Hot keys beyond this number are not broadcast; a row of the list is 28 bytes.
+BROADCAST_KEYS = 1_000_000
+
+
+def _printed_kind(kind: T.DataType) -> str:
+    """Types that print equal values alike share a name."""
+    if isinstance(kind, T.IntegralType):
+        return "integer"
+    if isinstance(kind, T.DecimalType):
+        return f"decimal with {kind.scale} places" if kind.scale else "integer"
+    return kind.simpleString()
+
+
+def _require_comparable(a: DataFrame, b: DataFrame, spec: LinkSpec) -> None:
+    """Keys are compared as text, in which 1 and 1.0 differ: refuse such pairs of columns."""
+    if len(spec.keys_a) != len(spec.keys_b):
+        return
+    for x, y in zip(spec.keys_a, spec.keys_b):
+        kinds = [_printed_kind(df.schema[name].dataType) for df, name in ((a, x), (b, y))]
+        if "string" not in kinds and kinds[0] != kinds[1]:
+            raise ValueError(f"{x} is {kinds[0]} and {y} is {kinds[1]}, which never print alike; cast one of them")
 
 
 def _side(df: DataFrame, keys, columns, spec: LinkSpec, prefix: str) -> DataFrame:
@@ -45,117 +60,97 @@ def _output_names(spec: LinkSpec) -> list[str]:
     return names
 
 
-def _hot_keys(side: DataFrame) -> DataFrame:
-    """``(key, pieces)`` for the side's hot keys, at most ``SHARES`` rows.
+def hot_keys(left: DataFrame, right: DataFrame, pairs_per_cell: int) -> DataFrame:
+    """``(key, pieces_a, pieces_b)``: keys with more pairs than a cell is to have.
 
-    A frequent-items sketch per task, merged in two steps so that the last
-    task merges ``MERGERS`` sketches and not one for every task of the scan.
-    The counts are estimates. They decide how evenly the work is spread, never
-    which rows meet.
+    Both sides' rows are counted exactly, and a key's pairs are the product:
+    a key need not be frequent on either side alone. There cannot be more such
+    keys than the result has cells. The grid is cut so that it copies few rows:
+    the longer side is cut more often.
     """
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGERS))
-    sketch = (
-        side.select(group.alias("g"), F.xxhash64(TOKEN).alias("key"))
-        .groupBy("g")
-        .agg(
-            F.call_function("approx_top_k_accumulate", F.col("key"), F.lit(TRACKED)).alias("s"),
-            F.count("*").alias("rows"),
-        )
-        # A constant group and not none: combining fails on an empty partition.
-        .groupBy(F.lit("all"))
-        .agg(
-            F.call_function("approx_top_k_combine", F.col("s"), F.lit(TRACKED)).alias("s"),
-            F.sum("rows").alias("rows"),
-        )
-    )
-    frequent = F.call_function("approx_top_k_estimate", F.col("s"), F.lit(SHARES))
-    size = F.greatest(F.col("rows") / SHARES, F.lit(float(PIECE)))
+    counts = [
+        side.groupBy(F.xxhash64(TOKEN).alias("key")).agg(F.count("*").cast("double").alias(n))
+        for side, n in ((left, "a"), (right, "b"))
+    ]
+    cells = F.col("a") * F.col("b") / pairs_per_cell
+    pieces_a = F.least(F.col("a"), F.greatest(F.lit(1.0), F.ceil(F.sqrt(cells * F.col("a") / F.col("b")))))
+    pieces_b = F.least(F.col("b"), F.greatest(F.lit(1.0), F.ceil(cells / F.col("pieces_a"))))
     return (
-        sketch.select("rows", F.inline(frequent))
-        .select(F.col("item").alias("key"), F.ceil(F.col("count") / size).cast("int").alias("pieces"))
-        .filter(F.col("pieces") > 1)
+        counts[0]
+        .join(counts[1], "key")
+        .filter(cells > 1)
+        .withColumn("pieces_a", pieces_a)
+        .select("key", F.col("pieces_a").cast("int").alias("pieces_a"), pieces_b.cast("int").alias("pieces_b"))
     )
 
 
-def _split_hot_keys(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+def _split_hot_keys(
+    left: DataFrame, right: DataFrame, pairs_per_cell: int
+) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with a grid cell added to the join key of hot keys.
 
     A hot key's rows are dealt out to ``pieces_a`` × ``pieces_b`` cells. Each
     row has a fixed piece number of its own side and a copy for every piece of
     the other, so each pair meets in exactly one cell. The piece number comes
-    from the task's number, which a task that is run again keeps; a random one
-    would lose or double pairs when part of a stage is recomputed.
+    from a hash of the row's cells and the task's number, which a task that is
+    run again keeps; a random one would lose or double pairs when part of a
+    stage is recomputed.
     """
-    hot = (
-        _hot_keys(left)
-        .select("key", F.col("pieces").alias("pieces_a"), F.lit(1).alias("pieces_b"))
-        .union(_hot_keys(right).select("key", F.lit(1), F.col("pieces")))
-        .groupBy("key")
-        .agg(F.max("pieces_a").alias("pieces_a"), F.max("pieces_b").alias("pieces_b"))
-    )
     # Stored: both sides must see the same list, and a broadcast that had to
     # scan two tables first could run into Spark's broadcast timeout.
-    hot = materialize(hot.coalesce(1))
+    hot = materialize(hot_keys(left, right, pairs_per_cell))
+    if hot.count() <= BROADCAST_KEYS:
+        hot = F.broadcast(hot)
 
     def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
         columns = side.columns
-        found = side.withColumn("key", F.xxhash64(TOKEN)).join(F.broadcast(hot), "key", "left")
+        found = side.withColumn("key", F.xxhash64(TOKEN)).join(hot, "key", "left")
         pieces = F.coalesce(F.col(f"pieces_{own}"), F.lit(1))
         copies = F.coalesce(F.col(f"pieces_{other}"), F.lit(1))
+        row = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in columns])
         return found.select(
             *columns,
-            F.pmod(F.spark_partition_id(), pieces).alias(f"cell_{own}"),
+            F.pmod(row, pieces).cast("int").alias(f"cell_{own}"),
             F.explode(F.sequence(F.lit(0), copies - 1)).alias(f"cell_{other}"),
         )
 
     return dealt(left, "a", "b"), dealt(right, "b", "a"), [TOKEN, "cell_a", "cell_b"]
 
 
-def _adaptive_execution_sees_hot_keys(spark: SparkSession) -> bool:
-    """Whether the session would split a hot key's partition by itself."""
-
-    def on(key: str) -> bool:
-        return spark.conf.get(key, "true").lower() == "true"
-
-    partitions = spark.conf.get(
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum", None
-    ) or spark.conf.get("spark.sql.shuffle.partitions", "200")
-    skewed_factor = float(spark.conf.get("spark.shuffle.accurateBlockSkewedFactor", "-1"))
-    return (
-        on("spark.sql.adaptive.enabled")
-        and on("spark.sql.adaptive.skewJoin.enabled")
-        and (int(partitions) <= EXACT_SIZES or skewed_factor > 0)
-    )
-
-
 def link(
-    a: DataFrame, b: DataFrame, spec: LinkSpec, split_hot_keys: bool | None = None
+    a: DataFrame,
+    b: DataFrame,
+    spec: LinkSpec,
+    split_hot_keys: bool = False,
+    pairs_per_cell: int = PAIRS_PER_CELL,
 ) -> DataFrame:
     """Every pair of an A row and a B row with equal keys, many to many.
 
     Keys are hashed before any shuffle, so clear keys reach neither shuffle
-    files nor the result. The join is left to Spark: it broadcasts a side that
-    it measures to be small and otherwise sorts and merges, spilling to disk.
-    Adaptive execution splits a partition that one hot key has made large,
-    on both sides if need be.
-
-    ``split_hot_keys`` spreads hot keys in the plan itself. A job that runs at
-    once finds them from the key columns of both tables and stores its at most
-    ``2 * SHARES`` rows in the shared folder. By default this is done only
-    where adaptive execution would not see a hot key: where it is switched off,
-    or with more than ``EXACT_SIZES`` shuffle partitions and no
-    ``spark.shuffle.accurateBlockSkewedFactor``.
+    files nor the result. They are compared as text; two columns of types that
+    print equal values differently are refused. The join is left to Spark: it
+    broadcasts a side that it measures to be small and otherwise sorts and
+    merges, spilling to disk. Adaptive execution splits a partition that one
+    hot key has made large, on both sides if need be; it goes by bytes of
+    input, and needs ``spark.shuffle.accurateBlockSkewedFactor`` beyond 2000
+    shuffle partitions (``veilframe.session.SETTINGS``).
+
+    ``split_hot_keys`` spreads hot keys in the plan itself, by the pairs they
+    make: a key with more than ``pairs_per_cell`` is dealt out to cells of about
+    that many, whatever the size of the table and however its rows lie. For
+    this a job runs at once that counts the rows of every key on both sides and
+    stores the list of hot ones in the shared folder. Rows of one task that are
+    equal in all wanted columns stay together.
     """
     require_columns(a, [*spec.keys_a, *spec.columns_a], "table A")
     require_columns(b, [*spec.keys_b, *spec.columns_b], "table B")
+    _require_comparable(a, b, spec)
     names = _output_names(spec)
     left = _side(a, spec.keys_a, spec.columns_a, spec, "a")
     right = _side(b, spec.keys_b, spec.columns_b, spec, "b")
     on = [TOKEN]
-    if split_hot_keys is None:
-        split_hot_keys = not _adaptive_execution_sees_hot_keys(a.sparkSession)
     if split_hot_keys:
-        left, right, on = _split_hot_keys(left, right)
+        left, right, on = _split_hot_keys(left, right, pairs_per_cell)
     sides = [f"a{i}" for i in range(len(spec.columns_a))]
     sides += [f"b{i}" for i in range(len(spec.columns_b))]
     joined = left.join(right, on, "inner")

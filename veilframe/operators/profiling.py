@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.functions import matches, named, require_columns, to_number
+from veilframe.functions import has_numbers, matches, named, require_columns, to_number
 from veilframe.plans import Policy, Treatment
 
 AGGREGATES = {
@@ -44,7 +44,10 @@ def statistics_row(
     numbers, figures = [], []
     for i, (treatment, wanted) in enumerate(requests):
         kind = df.schema[treatment.column].dataType
-        number = F.nanvl(to_number(named(treatment.column), kind), F.lit(None))
+        if treatment.kind == "Random" and not has_numbers(kind):
+            number = F.lit(None).cast("double")
+        else:
+            number = F.nanvl(to_number(named(treatment.column), kind), F.lit(None))
         if treatment.conditions:
             number = F.when(matches(df, treatment.conditions), number)
         numbers.append(number.alias(f"n{i}"))
@@ -55,7 +58,11 @@ def statistics_row(
 def profile(
     df: DataFrame, policy: Policy, figures: Sequence[str] | None = None
 ) -> DataFrame:
-    """``(column, stat, value)`` for the policy's statistics-driven columns.
+    """``(column, stat, conditions, value)`` for the policy's statistics-driven columns.
+
+    ``conditions`` says of which rows the figure is, so that it is not taken
+    for that of others: ``column=value`` joined by ``&`` and escaped as in a web
+    address, empty for all rows.
 
     The figures are ``figures`` if given, else the policy's profile request,
     else those each column's treatment needs. Besides the four figures of a
@@ -70,6 +77,7 @@ def profile(
         F.struct(
             F.lit(t.column).alias("column"),
             F.lit(figure).alias("stat"),
+            F.lit(t.condition_text).alias("conditions"),
             named(field(t, figure)).cast("double").alias("value"),
         )
         for t, wanted in requests

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilframe.functions import (
+    has_numbers,
     is_outlier,
     matches,
     named,
-    outlier_to_mean,
     part_delete,
     random_number,
     random_text,
@@ -65,7 +65,17 @@ def _round(df: DataFrame, t: Treatment, seed: int | None) -> Column:
 
 
 def _encryption(df: DataFrame, t: Treatment, seed: int | None) -> Column:
-    return sha256_hex(named(t.column))
+    return sha256_hex(named(t.column), t.salt)
+
+
+def _kept_type(kind: T.DataType) -> T.DataType:
+    """A type for cells of ``kind`` and for their mean that changes no cell.
+
+    Doubles hold every integer up to 32 bits but not every long.
+    """
+    if isinstance(kind, T.DecimalType):
+        return kind
+    return T.DecimalType(38, 12) if isinstance(kind, T.LongType) else T.DoubleType()
 
 
 def _outliers(df: DataFrame, t: Treatment, seed: int | None) -> Column:
@@ -80,7 +90,9 @@ def _outliers(df: DataFrame, t: Treatment, seed: int | None) -> Column:
             .otherwise(original)
         )
     else:
-        original, treated = x, outlier_to_mean(x, mean, sd)
+        kind = _kept_type(df.schema[t.column].dataType)
+        original = original.cast(kind)
+        treated = F.when(is_outlier(x, mean, sd), mean.cast(kind)).otherwise(original)
     if not t.conditions:
         return treated
     return F.when(matches(df, t.conditions), treated).otherwise(original)
@@ -89,9 +101,13 @@ def _outliers(df: DataFrame, t: Treatment, seed: int | None) -> Column:
 def _random(df: DataFrame, t: Treatment, seed: int | None) -> Column:
     """A number within the column's range, or a text of the cell's length."""
     seeds = random.Random(seed)
+    kind = df.schema[t.column].dataType
+    if not has_numbers(kind):
+        # A date or a flag is no number: a text of the length it prints with.
+        return random_text(named(t.column).cast("string"), seeds.getrandbits(62))
     drawn = random_number(_figure(t, "Min"), _figure(t, "Max"), seeds.getrandbits(62))
     x = _number(df, t)
-    if not isinstance(df.schema[t.column].dataType, T.StringType):
+    if not isinstance(kind, T.StringType):
         return F.when(x.isNotNull(), drawn)
     text = random_text(named(t.column), seeds.getrandbits(62))
     return F.when(x.isNotNull(), _as_cell(df, t, drawn)).otherwise(text)
@@ -108,19 +124,29 @@ BUILDERS = {
 }
 
 
-def _stored_row(stored: DataFrame, policy: Policy) -> DataFrame:
-    """The one-row form of statistics kept as ``(column, stat, value)``.
+def _stored_row(stored: DataFrame, policy: Policy, kinds: T.StructType) -> DataFrame:
+    """The one-row form of statistics kept as ``profile`` returns them.
 
-    A figure that is not there fails the query: without it the cells would
+    A figure that is not there, that is of rows under other conditions, or that
+    is there more than once fails the query: cells would be measured by it, or
     pass through as they are.
     """
+    require_columns(stored, ["column", "stat", "conditions", "value"], "the stored statistics")
     figures = []
     for t in policy.measured:
+        if not has_numbers(kinds[t.column].dataType):
+            continue
         for figure in t.needed_figures:
+            conditions = F.coalesce("conditions", F.lit(""))
             found = (F.col("column") == t.column) & (F.col("stat") == figure)
-            missing = F.raise_error(F.lit(f"no stored {figure} of {t.column}")).cast("double")
-            value = F.when(F.count_if(found) == 0, missing).otherwise(
-                F.max(F.when(found, F.col("value")))
+            found = found & (conditions == t.condition_text)
+            name = f"{figure} of {t.column}" + (f" where {t.condition_text}" if t.conditions else "")
+            missing = F.raise_error(F.lit(f"no stored {name}")).cast("double")
+            double = F.raise_error(F.lit(f"more than one stored {name}")).cast("double")
+            value = (
+                F.when(F.count_if(found) == 0, missing)
+                .when(F.count_if(found) > 1, double)
+                .otherwise(F.max(F.when(found, F.col("value"))))
             )
             figures.append(value.alias(field(t, figure)))
     return stored.agg(*figures)
@@ -141,7 +167,9 @@ def pseudonymize(
     result of ``profile`` instead and leaves out that scan.
 
     Text columns stay text; numeric columns under a numeric treatment become
-    doubles. ``seed`` makes Random repeatable for the same input partitions.
+    doubles, except that TopBottom and MicroAggregation leave a decimal its type
+    and make a long a decimal with twelve places, so that cells that stay keep
+    their value. Under Random, columns that are neither become text. ``seed`` makes Random repeatable for the same input partitions.
     """
     require_columns(df, policy.columns)
     treated = {t.column: t for t in policy.treatments}
@@ -161,11 +189,12 @@ def pseudonymize(
         for t in policy.treatments
         if t.numeric and isinstance(df.schema[t.column].dataType, T.StringType)
     ]
-    if policy.measured:
+    measured = [t for t in policy.measured if has_numbers(df.schema[t.column].dataType) or t.kind != "Random"]
+    if measured:
         if statistics is None:
-            row = statistics_row(df, [(t, t.needed_figures) for t in policy.measured])
+            row = statistics_row(df, [(t, t.needed_figures) for t in measured])
         else:
-            row = _stored_row(statistics, policy)
+            row = _stored_row(statistics, policy, df.schema)
         # One struct, read once: naming the subquery in every treatment
         # would plan it once per use.
         packed = row.select(F.struct(*[named(c) for c in row.columns]))

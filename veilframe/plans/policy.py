@@ -6,6 +6,7 @@ A policy maps a column name to ``[treatment, option, ...]``::
      "brand":  ["PartDelete", "1:0-:1"],
      "memo":   ["Delete"],
      "id":     ["Encryption"],
+     "code":   ["Encryption", "salt=pepper"],
      "price":  ["Round", "R", 2],
      "income": ["TopBottom"],
      "age":    ["MicroAggregation", "region=north", "sex=F"],
@@ -20,6 +21,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from urllib.parse import quote
 
 # Fixed values of the policy format.
 PROFILE_KEY = "전처리"
@@ -70,6 +72,7 @@ class Treatment:
     mode: str = "R"
     digit: int = 0
     conditions: tuple[Condition, ...] = ()
+    salt: str = ""
 
     @classmethod
     def parse(cls, column: str, entry: Sequence) -> Treatment:
@@ -81,23 +84,32 @@ class Treatment:
             raise ValueError(f"{column}: unknown treatment {kind!r}, one of {TREATMENTS}")
 
         if kind in ("Masking", "PartDelete"):
-            if not options:
-                raise ValueError(f"{column}: {kind} needs a span spec such as 1:0-:1")
+            if len(options) != 1:
+                raise ValueError(f"{column}: {kind} takes a span spec such as 1:0-:1, got {options}")
             return cls(column, kind, spec=options[0])
         if kind == "Round":
-            if len(options) < 2:
-                raise ValueError(f"{column}: Round needs a mode and a digit position")
+            if len(options) != 2:
+                raise ValueError(f"{column}: Round takes a mode and a digit position, got {options}")
             if options[0] not in ROUND_MODES:
                 raise ValueError(f"{column}: unknown rounding mode {options[0]!r}, one of {ROUND_MODES}")
             return cls(column, kind, mode=options[0], digit=int(options[1]))
         if kind == "MicroAggregation":
             return cls(column, kind, conditions=tuple(map(Condition.parse, options)))
+        if kind == "Encryption" and len(options) == 1 and options[0].startswith("salt="):
+            return cls(column, kind, salt=options[0].removeprefix("salt="))
+        if options:
+            raise ValueError(f"{column}: {kind} does not take {options}")
         return cls(column, kind)
 
     @property
     def numeric(self) -> bool:
         return self.kind == "Round" or bool(self.needed_figures)
 
+    @property
+    def condition_text(self) -> str:
+        """The conditions in one text without separators of tables, empty for none."""
+        return "&".join(f"{quote(c.column)}={quote(c.value)}" for c in self.conditions)
+
     @property
     def needed_figures(self) -> tuple[str, ...]:
         return NEEDED_FIGURES.get(self.kind, ())

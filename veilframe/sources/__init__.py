@@ -1,6 +1,6 @@
 """Tables and configurations on storage."""
 
 from veilframe.sources.configs import read_link_spec, read_policy
-from veilframe.sources.tables import materialize, read_table, write_table
+from veilframe.sources.tables import materialize, read_table, stored, write_table
 
-__all__ = ["materialize", "read_link_spec", "read_policy", "read_table", "write_table"]
+__all__ = ["materialize", "read_link_spec", "read_policy", "read_table", "stored", "write_table"]

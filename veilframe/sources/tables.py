@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 from veilframe.functions import named
 
 SEPARATOR = ","
+RECORD = "__record"
 
 
 def read_table(
@@ -32,28 +35,65 @@ def read_table(
     partitions of the table, unless ``recursive`` says otherwise.
 
     Text cells are strings and an empty cell is the empty string. Records that
-    lack trailing cells are filled up with empty ones; cells beyond the header
-    are dropped. A file whose header differs from the first file's is an error,
-    since its cells would land in the wrong columns. With ``schema`` no file
-    is opened to plan the read.
+    lack trailing cells are filled up with empty ones; a record with more cells
+    than the header is an error, since its cells may have moved into columns
+    they do not belong to. A file whose header differs from the first file's is
+    an error as well. A blank line is an empty cell of a table with one column
+    and no record of any other. With ``schema`` no file is opened to plan the
+    read.
     """
     if recursive is None:
         recursive = format == "csv"
     reader = spark.read.option("recursiveFileLookup", recursive)
-    if schema is not None:
-        reader = reader.schema(schema)
     if format != "csv":
-        return reader.format(format).load(path)
-    table = reader.csv(
-        path,
-        header=True,
-        sep=SEPARATOR,
-        quote=quote,
-        escape=quote or "\\",
-        encoding="UTF-8",
-        enforceSchema=False,
+        return (reader.schema(schema) if schema is not None else reader).format(format).load(path)
+    options = {
+        "header": True,
+        "sep": SEPARATOR,
+        "quote": quote,
+        "escape": quote or "\\",
+        "encoding": "UTF-8",
+        "enforceSchema": False,
+    }
+    if schema is None:
+        schema = reader.csv(path, **options).schema
+    if len(schema) == 1 and not quote:
+        return _one_column(reader, path, schema[0])
+    whole = T.StructType([*schema, T.StructField(RECORD, T.StringType())])
+    # Without pruning, a record is compared with the header however few columns are asked for.
+    reader = reader.schema(whole).option("columnPruning", False)
+    table = reader.csv(path, columnNameOfCorruptRecord=RECORD, **options)
+    cells = F.regexp_replace(RECORD, f"{quote}([^{quote}]|{quote}{quote})*{quote}", "") if quote else F.col(RECORD)
+    surplus = F.size(F.split(cells, SEPARATOR, -1)) > len(schema)
+    message = F.concat(F.lit("a record has more cells than the header: "), F.col(RECORD))
+    # The first column is named too: the reader does not give a record alone.
+    fine = F.coalesce(F.length(named(schema[0].name).cast("string")), F.lit(0)) >= 0
+    table = table.filter(F.when(surplus, F.raise_error(message).cast("boolean")).otherwise(fine))
+    return table.drop(RECORD).na.fill("")
+
+
+def _one_column(reader, path: str, field: T.StructField) -> DataFrame:
+    """A table of one unquoted column, line by line, since blank lines are cells."""
+    source = F.col("_metadata")
+    lines = reader.text(path).select(
+        F.col("value"),
+        source["file_path"].alias("file"),
+        source["file_block_start"].alias("block"),
+        F.monotonically_increasing_id().alias("line"),
     )
-    return table.na.fill("")
+    # The first line of each file, one row a file.
+    heads = lines.filter("block = 0").groupBy("file").agg(F.min(F.struct("line", "value")).alias("head"))
+    other = F.concat(F.lit("a file has another header: "), F.col("head.value"))
+    same = F.when(F.col("head.value") != field.name, F.raise_error(other).cast("long")).otherwise(F.col("head.line"))
+    records = lines.join(heads.select(same.alias("line")), "line", "left_anti")
+    surplus = F.concat(F.lit("a record has more cells than the header: "), F.col("value"))
+    many = F.col("value").contains(SEPARATOR)
+    # A filter, which also a count of the rows goes through.
+    records = records.filter(F.when(many, F.raise_error(surplus).cast("boolean")).otherwise(F.lit(True)))
+    cell = F.col("value")
+    if not isinstance(field.dataType, T.StringType):
+        cell = cell.try_cast(field.dataType)
+    return records.select(cell.alias(field.name))
 
 
 # Types whose text never holds a separator or a line break.
@@ -90,6 +130,9 @@ def write_table(
         df.write.format(format).mode(mode).save(path)
         return
     df = df.select(*[_printable(field, quote) for field in df.schema])
+    if len(df.columns) == 1 and not quote:
+        _write_lines(df, path, header, mode)
+        return
     df.write.mode(mode).csv(
         path,
         header=header,
@@ -104,6 +147,25 @@ def write_table(
     )
 
 
+def _write_lines(df: DataFrame, path: str, header: bool, mode: str) -> None:
+    """A table of one unquoted column: Spark's writer of records would leave out empty ones."""
+    name = df.columns[0]
+    lines = df.select(named(name).alias("value"))
+    if header:
+        # The first row of each task, and so of each file, comes behind the name,
+        # and a file of the name alone serves a table without rows.
+        head, first = F.lit(name), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+        lines = lines.select(F.explode(F.when(first, F.array(head, "value")).otherwise(F.array("value"))).alias("value"))
+        lines = lines.union(df.sparkSession.range(0, 1, 1, 1).select(head))
+    lines.write.mode(mode).option("maxRecordsPerFile", 0).text(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``.
 
@@ -128,3 +190,19 @@ def materialize(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stored(df: DataFrame) -> Iterator[DataFrame]:
+    """``materialize`` for the time of a block: what was stored is removed behind it.
+
+    For a table in clear that only an intermediate step reads. Results must be
+    written within the block.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
