@@ -157,13 +157,16 @@ def op5_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_copies(table(spark, folder, "documents"))
 
 
-# Strings are compared as hexadecimal text, two digits a byte.
+# Strings are hexadecimal text, two digits a byte, and compared by their MD5;
+# texts are first cut into overlapping pieces, in which finding a place is cheap.
 @query(
     """
     WITH doc AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-    win AS (SELECT r, doc_id, i, substr(h, 2 * i - 1, 100) AS s
-            FROM doc, LATERAL unnest(range(1, CAST(length(h) / 2 AS BIGINT) - 48)) AS t(i)
-            WHERE length(h) >= 100),
+    piece AS (SELECT r, doc_id, c, substr(h, 2000 * c + 1, 2098) AS p
+              FROM doc, LATERAL unnest(range(0, length(h) // 2000 + 1)) AS t(c)),
+    win AS (SELECT r, doc_id, 1000 * c + j AS i, md5_number(substr(p, 2 * j - 1, 100)) AS s
+            FROM piece, LATERAL unnest(range(1, least(1000, length(p) // 2 - 49) + 1)) AS t(j)
+            WHERE length(p) >= 100),
     low AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
     gone AS (SELECT r, i FROM win JOIN low USING (s) WHERE doc_id > first),
     mark AS (SELECT r, i, max(i) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
@@ -171,7 +174,7 @@ def op5_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     run AS (SELECT r, i, sum(CASE WHEN prev IS NULL OR i > prev + 50 THEN 1 ELSE 0 END)
                          OVER (PARTITION BY r ORDER BY i) AS g FROM mark),
     span AS (SELECT r, g, min(i) AS a, max(i) + 50 AS b FROM run GROUP BY r, g),
-    gap AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS from_, 
+    gap AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 1) AS from_,
                    lead(a) OVER (PARTITION BY r ORDER BY a) AS next_ FROM span),
     kept AS (SELECT r, string_agg(substr(h, 2 * from_ - 1, 2 * (a - from_))
                                   || CASE WHEN next_ IS NULL THEN substr(h, 2 * b - 1) ELSE '' END, '' ORDER BY a) AS k,

@@ -209,7 +209,9 @@ def find_secrets(
         rank = F.lit(KINDS.index(kind))
         return F.transform(
             spans,
-            lambda s: F.struct(s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), s["value"].alias("value")),
+            lambda s: F.struct(
+                s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), s["value"].alias("value")
+            ),
         )
 
     known = F.concat(
