@@ -169,7 +169,8 @@ def pseudonymize(
     Text columns stay text; numeric columns under a numeric treatment become
     doubles, except that TopBottom and MicroAggregation leave a decimal its type
     and make a long a decimal with twelve places, so that cells that stay keep
-    their value. Under Random, columns that are neither become text. ``seed`` makes Random repeatable for the same input partitions.
+    their value. Under Random, columns that are neither become text. ``seed``
+    makes Random repeatable for the same input partitions.
     """
     require_columns(df, policy.columns)
     treated = {t.column: t for t in policy.treatments}
@@ -189,7 +190,11 @@ def pseudonymize(
         for t in policy.treatments
         if t.numeric and isinstance(df.schema[t.column].dataType, T.StringType)
     ]
-    measured = [t for t in policy.measured if has_numbers(df.schema[t.column].dataType) or t.kind != "Random"]
+    measured = [
+        t
+        for t in policy.measured
+        if t.kind != "Random" or has_numbers(df.schema[t.column].dataType)
+    ]
     if measured:
         if statistics is None:
             row = statistics_row(df, [(t, t.needed_figures) for t in measured])
