@@ -202,6 +202,15 @@ def test_hot_keys_are_found_by_pairs(spark):
     assert found[0].pieces_a > found[0].pieces_b
 
 
+def test_the_hot_keys_of_the_query_are_found(spark):
+    from veilframe import catalogue
+
+    lines = catalogue.table(spark, "/root/testdata/sf0.01", "lineitem")
+    lines = lines.select(link_token([F.col("l_returnflag")]).alias(TOKEN))
+    found = hot_keys(lines, lines.distinct(), 500).collect()
+    assert len(found) == 3 and all(r.pieces_a > 10 and r.pieces_b == 1 for r in found)
+
+
 def test_key_modes_differ_where_digits_run_together(spark):
     from veilframe import catalogue
 
