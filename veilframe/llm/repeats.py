@@ -104,20 +104,35 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _cover(length: int) -> tuple[int, np.ndarray]:
+def _cover(length: int) -> tuple[int, tuple[int, ...]]:
     period = max(p for p in COVERS if p <= max(length // 2, 1))
-    inside = np.zeros(period, bool)
-    inside[list(COVERS[period])] = True
-    return period, inside
+    return period, COVERS[period]
+
+
+def _sorted_runs(key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal pairs together, and where their runs begin."""
+    order = np.argsort(key)
+    run = _runs(key[order])
+    if len(run) < len(key) and len(_runs(key[order], check[order])) != len(run):
+        order = np.lexsort((check, key))
+        run = _runs(key[order], check[order])
+    return order, run
 
 
 def _picked(shard: Shard, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Picked positions, their texts' numbers and the ranks of the strings there."""
-    period, inside = _cover(length)
+    period, places = _cover(length)
     size = length - period + 1
-    at, owner = shard.suffixes(size)
-    chosen = inside[(at - shard.starts[owner]) % period]
-    at, owner = at[chosen], owner[chosen]
+    # Positions that a text of that length has, one of the cover's places after the other.
+    sizes = np.where(shard.known, np.maximum(shard.lengths - size + 1, 0), 0)
+    at, owner = [], []
+    for place in places:
+        counts = np.maximum(sizes - place + period - 1, 0) // period
+        of = np.repeat(np.arange(len(sizes)), counts)
+        number = repeated_ranges(np.zeros(len(sizes), np.int64), counts)
+        at.append(shard.starts[of] + place + period * number)
+        owner.append(of)
+    at, owner = np.concatenate(at), np.concatenate(owner)
     return at, owner, _ranks(shard.data, at, size)
 
 
@@ -176,7 +191,7 @@ def _tied_ranks(shards: DataFrame, length: int, bucket: int, ranges: int) -> Dat
             _, owner, ranks = _picked(shard, length)
             chosen = _of_bucket(ranks, bucket, COVER_BITS)
             ranks, texts = ranks[chosen], shard.keys[owner[chosen]]
-            order = np.argsort(ranks, kind="stable")
+            order = np.argsort(ranks)
             ranks, texts = ranks[order], texts[order]
             run = _runs(ranks)
             if not len(run):
@@ -196,7 +211,7 @@ def _tied_ranks(shards: DataFrame, length: int, bucket: int, ranges: int) -> Dat
             for x, ranks in zip(group.column("several").to_pylist(), lists)
         ]
         every = np.concatenate(lists)
-        order = np.argsort(every, kind="stable")
+        order = np.argsort(every)
         run = _runs(every[order])
         many = np.diff(np.append(run, len(every))) > 1
         many |= np.logical_or.reduceat(np.concatenate(several)[order], run)
@@ -228,8 +243,8 @@ def _in_play(shards: DataFrame, tied: DataFrame, length: int) -> DataFrame:
             place = np.minimum(np.searchsorted(known, ranks), len(known) - 1)
             at = at[known[place] == ranks]
             near = np.zeros(len(shard.data) + 1, np.int32)
-            np.add.at(near, np.maximum(at - period + 1, 0), 1)
-            np.add.at(near, at + 1, -1)
+            near += np.bincount(np.maximum(at - period + 1, 0), minlength=len(near)).astype(np.int32)
+            near -= np.bincount(at + 1, minlength=len(near)).astype(np.int32)
             position, owner = shard.suffixes(length)
             kept = np.cumsum(near)[position] > 0
             position, owner = position[kept], owner[kept]
@@ -261,10 +276,13 @@ def _in_play(shards: DataFrame, tied: DataFrame, length: int) -> DataFrame:
 
 def _entries(key: np.ndarray, check: np.ndarray, text: np.ndarray, position: np.ndarray):
     """One entry per distinct string: the smallest text that has it and a place there."""
-    order = np.lexsort((position, text, check, key))
-    run = _runs(key[order], check[order])
+    order, run = _sorted_runs(key, check)
+    size = np.diff(np.append(run, len(key)))
+    text, position = text[order], position[order]
+    low = np.minimum.reduceat(text, run)
+    behind = np.where(text == np.repeat(low, size), position, np.iinfo(np.int64).max)
     first = order[run]
-    return key[first], check[first], text[first], position[first]
+    return key[first], check[first], low, np.minimum.reduceat(behind, run)
 
 
 def _later_starts(stretches: DataFrame, length: int, bucket: int, ranges: int) -> DataFrame:
@@ -300,8 +318,7 @@ def _later_starts(stretches: DataFrame, length: int, bucket: int, ranges: int) -
         lists = read("keys", np.uint64)
         key, check = np.concatenate(lists), np.concatenate(read("checks", np.uint32))
         text = np.concatenate(read("texts", np.int64))
-        order = np.lexsort((check, key))
-        run = _runs(key[order], check[order])
+        order, run = _sorted_runs(key, check)
         first = np.minimum.reduceat(text[order], run)
         later = np.zeros(len(key), bool)
         later[order] = text[order] > np.repeat(first, np.diff(np.append(run, len(key))))
@@ -324,25 +341,29 @@ def _removed(shard: Shard, later: np.ndarray, length: int) -> np.ndarray:
     """For each byte whether a string that an earlier text has covers it."""
     removed = np.zeros(len(shard.data) + 1, np.int32)
     position, owner = shard.suffixes(length)
-    if len(position):
-        key = _ranks(shard.data, position, length)
-        text = shard.keys[owner]
-        reported = np.zeros(len(shard.data), bool)
-        reported[later] = True
-        order = np.argsort(key, kind="stable")
-        run = _runs(key[order])
-        if (np.diff(np.append(run, len(key))) > 1).any():
-            # Texts that share a shard: told apart like those that do not.
-            check = _ranks(shard.data, position, length, 43).astype(np.uint32)
-            order = np.lexsort((check, key))
-            run = _runs(key[order], check[order])
-        count = np.diff(np.append(run, len(key)))
-        everywhere = np.logical_or.reduceat(reported[position[order]], run)
-        first = np.minimum.reduceat(text[order], run)
-        gone = np.repeat(everywhere, count) | (text[order] > np.repeat(first, count))
-        at = position[order[gone]]
-        np.add.at(removed, at, 1)
-        np.add.at(removed, at + length, -1)
+    key = _ranks(shard.data, position, length)
+    # Only strings that the shard has more than once, or that were reported, matter.
+    ordered = np.sort(key)
+    wanted = np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], _ranks(shard.data, later, length)])
+    wanted = np.unique(wanted)
+    if not len(wanted):
+        return removed[:-1] > 0
+    maybe = np.zeros(1 << 22, bool)
+    maybe[wanted & np.uint64(maybe.size - 1)] = True
+    chosen = np.flatnonzero(maybe[key & np.uint64(maybe.size - 1)])
+    at = np.minimum(np.searchsorted(wanted, key[chosen]), len(wanted) - 1)
+    chosen = chosen[wanted[at] == key[chosen]]
+    position, key, text = position[chosen], key[chosen], shard.keys[owner[chosen]]
+    check = _ranks(shard.data, position, length, 43).astype(np.uint32)
+    reported = np.zeros(len(shard.data), bool)
+    reported[later] = True
+    order, run = _sorted_runs(key, check)
+    count = np.diff(np.append(run, len(key)))
+    everywhere = np.logical_or.reduceat(reported[position[order]], run)
+    first = np.minimum.reduceat(text[order], run)
+    gone = position[order[np.repeat(everywhere, count) | (text[order] > np.repeat(first, count))]]
+    removed += np.bincount(gone, minlength=len(removed)).astype(np.int32)
+    removed[length:] -= np.bincount(gone, minlength=len(removed)).astype(np.int32)[:-length]
     return np.cumsum(removed)[:-1] > 0
 
 
