@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.llm import bpe, decontaminate, language, near_copies, pii
+from veilframe.llm.arrays import small_batches
 from veilframe.llm.queries import tokenizer_file
 from veilframe.sources import materialize
 
@@ -19,6 +20,7 @@ LEAST_SHARE = 0.4
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are mostly in one of the languages learned from them."""
+    small_batches(spark)
     model = language.train(docs)
     found = language.identify(docs, model, pred="__pred", score="__score", spans="__spans")
     known = (F.col("__pred") != language.UNKNOWN) & (F.col("__score") >= LEAST_SHARE)
@@ -27,11 +29,13 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the document with the smallest key."""
+    small_batches(spark)
     return near_copies.deduplicate(docs).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages make up less than a twentieth."""
+    small_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     numbered = docs.withColumn("__row", F.monotonically_increasing_id())
     found = decontaminate.find_phrases(numbered, items, key="__row")
@@ -41,12 +45,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the kind in place of each piece of personal data."""
+    small_batches(spark)
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, ids_sha256)``; ids are unsigned 32-bit integers, little-endian."""
+    small_batches(spark)
     found = bpe.encode_decode(docs, tokenizer_file())
     return found.select(
         "doc_id",

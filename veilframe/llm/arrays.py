@@ -8,6 +8,7 @@ is a piece of its own.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -71,19 +72,46 @@ def span_hash(seed: int, symbols: int = 256) -> SpanHash:
     return SpanHash(seed, symbols)
 
 
+def release() -> None:
+    """Give memory that is no longer used back to the system.
+
+    Python workers live on from task to task, and beside them the executor and
+    other workers need it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def record_pieces(
     batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """The same rows in slices whose ``text`` column holds ``limit`` bytes, or one row."""
-    for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
-        sizes = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
-        start = 0
-        while start < batch.num_rows:
-            before = sizes[start - 1] if start else 0
-            stop = max(int(np.searchsorted(sizes, before + limit, side="right")), start + 1)
-            yield batch.slice(start, stop - start)
-            start = stop
+    try:
+        for batch in batches:
+            lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+            sizes = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+            start = 0
+            while start < batch.num_rows:
+                before = sizes[start - 1] if start else 0
+                stop = max(int(np.searchsorted(sizes, before + limit, side="right")), start + 1)
+                yield batch.slice(start, stop - start)
+                start = stop
+    finally:
+        release()
+
+
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark) -> None:
+    """Send texts to tasks in batches of 1,000 rows unless the session has chosen a number.
+
+    Spark counts rows, not bytes, and its 10,000 are meant for rows of numbers.
+    """
+    if spark.conf.get(BATCH) == "10000":
+        spark.conf.set(BATCH, "1000")
 
 
 def joined_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

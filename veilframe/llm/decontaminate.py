@@ -34,7 +34,7 @@ from veilframe.sources import materialize
 
 WIDTH = 13
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 # Positions between the last word of a document and the first of the next.
 GAP = 64
 

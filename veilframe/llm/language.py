@@ -23,7 +23,7 @@ from veilframe.llm.arrays import record_pieces
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 TRAIN_ROWS = 20_000
-PIECE = 2 << 20
+PIECE = 1 << 20
 SIDE_BY_SIDE = 16
 
 # The ranges of letters that decide a script; other letters form script 0.

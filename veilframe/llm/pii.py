@@ -138,16 +138,13 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFram
     name = f"{into}__of"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in record_pieces([batch], name):
-                rows = [
-                    [{"kind": k, "start": a, "end": b, "value": t[a:b]} for k, a, b in spans_of(t or "")]
-                    for t in piece.column(name).to_pylist()
-                ]
-                columns = [piece.column(i) for i in range(piece.num_columns - 1)]
-                yield pa.record_batch(
-                    [*columns, pa.array(rows, SPAN_TYPE)], [*piece.schema.names[:-1], into]
-                )
+        for piece in record_pieces(batches, name):
+            rows = [
+                [{"kind": k, "start": a, "end": b, "value": t[a:b]} for k, a, b in spans_of(t or "")]
+                for t in piece.column(name).to_pylist()
+            ]
+            columns = [piece.column(i) for i in range(piece.num_columns - 1)]
+            yield pa.record_batch([*columns, pa.array(rows, SPAN_TYPE)], [*piece.schema.names[:-1], into])
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
     source = kept.withColumn(name, F.col(text).cast("string"))
