@@ -9,9 +9,9 @@ on each of ``k`` coordinates is the signature; two documents agree on a
 coordinate with a probability that is their weighted Jaccard similarity.
 
 Signatures are joined by bands. Within a bucket every text is compared with
-one pivot, exactly and on all its regions; texts that this has not connected
-to their pivot are then compared with all of the bucket from which they are
-still apart. Copies, of which only the first is compared, get the class of the
+one pivot, exactly and on all its regions. While buckets hold several classes
+their texts are compared with further pivots, and at last with all of the bucket
+from which they are still apart. Copies, of which only the first is compared, get the class of the
 text they repeat.
 """
 
@@ -39,6 +39,8 @@ SHINGLE = 5
 BANDS, ROWS = 25, 5
 THRESHOLD = 0.8
 PIECE = 512 << 10
+# How many texts of a bucket the others are compared with before all are.
+TURNS = 8
 
 
 def regions(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -176,6 +178,12 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def _mark(edges: DataFrame) -> tuple:
+    """A checksum of a set of edges, to see when it stops changing."""
+    key = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count("*"), F.bit_xor(key), F.bit_xor(F.xxhash64(key))).head())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``(t, class)``: the smallest member of each connected component, for all ends of edges.
 
@@ -188,7 +196,8 @@ def components(edges: DataFrame) -> DataFrame:
         .filter("u <> v")
         .distinct()
     )
-    while True:
+    mark = _mark(edges)
+    while mark[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # Large star: neighbours beyond a node move to the smallest in its reach.
@@ -200,17 +209,21 @@ def components(edges: DataFrame) -> DataFrame:
         small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             small_low.select("u", F.col("m").alias("v"))
         )
-        after = materialize(small.filter("u <> v").distinct())
-        changed = after.join(edges, ["u", "v"], "left_anti").limit(1).count() + (
-            edges.join(after, ["u", "v"], "left_anti").limit(1).count()
-        )
-        edges = after
-        if not changed:
+        edges, before = materialize(small.filter("u <> v").distinct()), mark
+        mark = _mark(edges)
+        if mark == before:
             break
     ends = edges.select(F.col("u").alias("t"), F.col("v").alias("class"))
     return materialize(ends.unionByName(ends.select(F.col("class").alias("t"), "class").distinct()))
 
 
+def _joined(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links; ``classes`` as they are if there are none."""
+    if links.isEmpty():
+        return classes
+    return components(links.unionByName(classes.select(F.col("t").alias("a"), F.col("class").alias("b"))))
+
+
 def near_copies(
     docs: DataFrame,
     key: str = "doc_id",
@@ -281,17 +294,26 @@ def _groups(
 
     # First each text with the first of its pivots ...
     best = members.groupBy("t").agg(F.min("pivot").alias("p")).select("t", F.col("p.t").alias("o"))
-    links = compared(best)
-    # ... then with those from which it is still apart ...
-    apart = _classed(members.select("t", "band", "bucket", F.col("pivot.t").alias("o")), components(links))
-    links = links.unionByName(compared(apart.filter("c <> oc").select("t", "o")))
-    # ... and what is still apart from its pivot with the rest of the bucket.
-    classes = components(links)
-    apart = materialize(_classed(members.select("t", "band", "bucket", F.col("pivot.t").alias("o")), classes))
-    strays = apart.filter("c <> oc").select("band", "bucket", F.col("t").alias("s"), F.col("c").alias("sc"))
-    rest = apart.filter("t <> o").join(strays, ["band", "bucket"]).filter("c <> sc")
-    links = links.unionByName(compared(rest.select("t", F.col("s").alias("o"))))
-    classes = components(links)
+    classes = components(compared(best))
+    # ... then, in buckets that still hold several classes, with one text after the other ...
+    live, where = members.select("t", "band", "bucket"), ["band", "bucket"]
+    for turn in range(TURNS):
+        mine = classes.select("t", F.col("class").alias("c"))
+        mine = live.join(mine, "t", "left").withColumn("c", F.coalesce("c", "t"))
+        order = F.struct(F.xxhash64("t", F.lit(turn)).alias("h"), F.col("t").alias("t"), F.col("c").alias("c"))
+        mixed = mine.groupBy(*where).agg(F.min(order).alias("p"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+        mixed = mixed.filter("lo <> hi").select(*where, F.col("p.t").alias("o"), F.col("p.c").alias("oc"))
+        held = materialize(mine.join(materialize(mixed), where))
+        found = compared(held.filter("c <> oc").select("t", "o"))
+        live = held.select("t", *where)
+        if found.isEmpty():
+            break
+        classes = _joined(classes, found)
+    # ... and what is still apart from the last of these with the rest of the bucket.
+    apart = materialize(_classed(held.select("t", *where, "o"), classes))
+    strays = apart.filter("c <> oc").select(*where, F.col("t").alias("s"), F.col("c").alias("sc"))
+    rest = apart.filter("t <> o").join(strays, where).filter("c <> sc")
+    classes = _joined(classes, compared(rest.select("t", F.col("s").alias("o"))))
 
     labelled = rows_of.join(firsts, "digest", "left").withColumn("first", F.coalesce("first", "t"))
     labelled = labelled.join(classes.withColumnRenamed("t", "first"), "first", "left")
