@@ -84,3 +84,11 @@ def test_large_buckets_are_searched_in_pieces(stored_docs):
     rows = [(i, (np.array([5.0, 0, 0, 0]) + draw.normal(size=4) * 0.1).tolist()) for i in range(400)]
     got, wanted = result(nearest(stored_docs(rows, SCHEMA), occupancy=16)), brute(rows)
     assert np.mean([len(set(got[q]) & set(w)) / 20 for q, w in wanted.items()]) >= 0.9
+
+
+def test_recall_holds_above_any_size(stored_docs):
+    # 32 axes of 4 vectors each are far fewer than the table has, and none has close neighbours.
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.normal(size=16).tolist()) for i in range(3000)]
+    got, wanted = result(nearest(stored_docs(rows, SCHEMA), occupancy=4)), brute(rows)
+    assert np.mean([len(set(got[q]) & set(w)) / 20 for q, w in wanted.items()]) >= 0.9

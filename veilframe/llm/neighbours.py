@@ -2,9 +2,10 @@
 
 A table of the index rotates every vector by three rounds of random signs and
 a Hadamard transform, and files it under the signed axis that its rotation is
-closest to; two rotations together make a finer bucket where there are many
-rows. A query looks into the buckets of its few closest axes in every table.
-Candidates are joined to queries by bucket and ranked by the exact product.
+closest to. A query looks into the buckets of its few closest axes in every
+table. Candidates are joined to queries by bucket and ranked by the exact
+product. Buckets grow with the table: vectors without close neighbours are found
+only where a query meets a large share of all rows, however many there are.
 """
 
 from __future__ import annotations
@@ -64,23 +65,7 @@ def closest_axes(x: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray]:
 
 def buckets(x: np.ndarray, flips: np.ndarray, probes: int) -> list[np.ndarray]:
     """For each table the ``probes`` best buckets of every row; the first is the row's own."""
-    width = flips.shape[-1]
-    found = []
-    for table in flips:
-        codes = scores = None
-        for function in table:
-            axes, value = closest_axes(rotated(x, function), probes)
-            if codes is None:
-                codes, scores = axes, value
-                continue
-            # The best pairs of a bucket so far and an axis of this rotation.
-            pair = (scores[:, :, None] + value[:, None, :]).reshape(len(x), -1)
-            code = (codes[:, :, None] * 2 * width + axes[:, None, :]).reshape(len(x), -1)
-            order = np.argsort(-pair, axis=1, kind="stable")[:, :probes]
-            codes = np.take_along_axis(code, order, axis=1)
-            scores = np.take_along_axis(pair, order, axis=1)
-        found.append(codes)
-    return found
+    return [closest_axes(rotated(x, function), probes)[0] for table in flips for function in table]
 
 
 def nearest(
@@ -108,10 +93,9 @@ def nearest(
     query can return more of them. Where lengths differ, one more component
     takes up what a vector lacks to the longest, which leaves the order of
     products as it is and makes it an order of angles. Buckets with more than
-    ``occupancy`` vectors are searched in pieces of about that size, and with
-    more than ``occupancy`` vectors an axis the buckets are those of two
-    rotations. A query for which the buckets hold fewer than ``k`` keys is
-    searched against all rows instead.
+    ``occupancy`` vectors are searched in pieces of about that size; the size of
+    the table changes no bucket. A query for which the buckets hold fewer than
+    ``k`` keys is searched against all rows instead.
     """
     spark = vectors.sparkSession
     base = vectors.filter(usable(vector) & F.col(key).isNotNull()).select(
@@ -132,8 +116,7 @@ def nearest(
         total += row["n"]
         longer = row["high"] - row["low"] > 1e-6 * row["high"]
         width = 1 << max(row["size"] + longer - 1, 1).bit_length()
-        functions = 1 if row["n"] <= 2 * width * occupancy else 2
-        plans[row["size"]] = (width, row["high"] if longer else None, signs(width, tables, functions, seed))
+        plans[row["size"]] = (width, row["high"] if longer else None, signs(width, tables, 1, seed))
     shared = spark.sparkContext.broadcast(plans)
     asking = base.filter(F.col("id") % every == 0).distinct()
 
