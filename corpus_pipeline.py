@@ -14,16 +14,16 @@ from veilframe.llm.arrays import small_batches
 from veilframe.llm.queries import tokenizer_file
 from veilframe.sources import materialize
 
-# Below this share of letters in its main language a document is a jumble.
-LEAST_SHARE = 0.4
+# Below this fit to the learned languages a document is mostly in others, or a jumble.
+LEAST_FIT = 0.5
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are mostly in one of the languages learned from them."""
+    """Documents that are mostly in languages learned from them, in one or several."""
     small_batches(spark)
     model = language.train(docs)
-    found = language.identify(docs, model, pred="__pred", score="__score", spans="__spans")
-    known = (F.col("__pred") != language.UNKNOWN) & (F.col("__score") >= LEAST_SHARE)
+    found = language.identify(docs, model, pred="__pred", score="__score", spans="__spans", fit="__fit")
+    known = (F.col("__pred") != language.UNKNOWN) & (F.col("__fit") >= LEAST_FIT)
     return found.filter(known).select(*docs.columns)
 
 

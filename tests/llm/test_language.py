@@ -63,3 +63,11 @@ def test_edge_cases(model, stored_docs):
     nothing = language.train(stored_docs([], "doc_id long, text string, lang string", extra=False))
     assert {r.lang_pred for r in language.identify(docs, nothing).collect()} == {"und"}
     assert language.identify(stored_docs([]), model).count() == 0
+
+
+def test_scripts_that_no_language_uses_do_not_score(model, stored_docs):
+    rows = [(1, "Все люди рождаются свободными"), (2, "人人生而自由"), (3, "the of and that"), (4, "the of and that Все люди рождаются")]
+    got = {r.doc_id: r for r in language.identify(stored_docs(rows), model).collect()}
+    assert all((got[i].lang_score, got[i].lang_fit) == (0.0, 0.0) for i in (1, 2))
+    assert got[3].lang_score > 0.8 and got[3].lang_fit >= got[3].lang_score
+    assert 0 < got[4].lang_fit < 0.5

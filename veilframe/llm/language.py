@@ -63,6 +63,7 @@ class Model:
     languages: list[str]
     scores: np.ndarray  # language × trigram bucket, log-probability
     allowed: np.ndarray  # script × language
+    fits: np.ndarray  # language × trigram bucket, 0 if never learned, 1 on average over what was
 
 
 def held_out(key: str) -> Column:
@@ -138,19 +139,23 @@ def train(
     }
     languages = sorted(by_language)
     scores = np.zeros((len(languages), BUCKETS), np.float32)
+    fits = np.zeros((len(languages), BUCKETS), np.float32)
     allowed = np.zeros((256, len(languages)), bool)
     for i, name in enumerate(languages):
         both = np.zeros(BUCKETS + 256)
         both[by_language[name][0]] = by_language[name][1]
         smooth = both[:BUCKETS] + 0.5
         scores[i] = np.log(smooth / smooth.sum())
+        if both[:BUCKETS].any():
+            above = scores[i] - np.log(0.5 / smooth.sum())
+            fits[i] = above / np.average(above, weights=both[:BUCKETS])
         letters = both[BUCKETS:]
         allowed[:, i] = letters >= 0.005 * max(letters.sum(), 1)
     if languages:
         # Only differences count, and no trigram may decide alone.
         scores -= scores.max(axis=0)
         np.maximum(scores, -4, out=scores)
-    return Model(languages, scores, allowed)
+    return Model(languages, scores, allowed, fits)
 
 
 def viterbi(scores: np.ndarray, firsts: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
@@ -222,16 +227,22 @@ SPANS = "array<struct<start:int,end:int,lang:string>>"
 def identify(
     docs: DataFrame, model: Model, text: str = "text", penalty: float = 8.0,
     pred: str = "lang_pred", score: str = "lang_score", spans: str = "lang_spans",
+    fit: str = "lang_fit",
 ) -> DataFrame:
-    """``docs`` with the language of each text, its score, and the spans by language.
+    """``docs`` with the language of each text, its score, the spans by language, and the fit.
 
     The language is the one whose spans hold most letters, ties to the first in
-    alphabetical order, and the score their share. NULL texts, texts without a
-    letter, and all texts if nothing was learned, are ``und`` with score 0 and
-    no spans. Spans count code points. Rows and other columns stay; columns of
-    the three new names are replaced.
+    alphabetical order. The fit says how well the letters' trigrams are those
+    of the language they are labelled with: 1 is what that language has on
+    average, 0 trigrams that it does not have, and letters in scripts that no
+    language uses count with 0. The score is the part of the fit that the
+    letters of the text's language make up, their share if they fit fully. Both
+    lie within 0 and 1. NULL texts, texts without a letter, and all texts if
+    nothing was learned, are ``und`` with score and fit 0 and no spans. Spans
+    count code points. Rows and other columns stay; columns of the four new
+    names are replaced.
     """
-    kept = docs.drop(pred, score, spans)
+    kept = docs.drop(pred, score, spans, fit)
     name = f"{pred}__of"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -239,17 +250,19 @@ def identify(
         for piece in record_pieces(batches, name, PIECE):
             columns = [piece.column(i) for i in range(piece.num_columns - 1)]
             new = _identified(piece.column(name).to_pylist(), shared.value, penalty)
-            yield pa.record_batch([*columns, *new], [*piece.schema.names[:-1], pred, score, spans])
+            yield pa.record_batch([*columns, *new], [*piece.schema.names[:-1], pred, score, spans, fit])
 
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
     source = kept.withColumn(name, F.col(text).cast("string"))
-    return source.mapInArrow(run, f"{schema}, `{pred}` string, `{score}` double, `{spans}` {SPANS}")
+    return source.mapInArrow(
+        run, f"{schema}, `{pred}` string, `{score}` double, `{spans}` {SPANS}, `{fit}` double"
+    )
 
 
 def _identified(texts: list, model: Model, penalty: float) -> list[pa.Array]:
     n = len(texts)
     languages = np.array([*model.languages, UNKNOWN], object)
-    pred, share = np.full(n, len(model.languages)), np.zeros(n)
+    pred, score, fit = np.full(n, len(model.languages)), np.zeros(n), np.zeros(n)
     offsets = np.zeros(n + 1, np.int64)
     starts = ends = labels = np.zeros(0, np.int64)
     script, bucket, word, sizes, owner, firsts = _piece(texts)
@@ -262,7 +275,13 @@ def _identified(texts: list, model: Model, penalty: float) -> list[pa.Array]:
         letters = letters.reshape(n, -1)
         total = letters.sum(axis=1)
         pred = np.where(total > 0, letters.argmax(axis=1), pred)
-        share = letters.max(axis=1) / np.maximum(total, 1)
+        each = np.add.reduceat(model.fits[np.repeat(label, sizes), bucket], np.cumsum(sizes) - sizes)
+        each[~model.allowed[script].any(axis=1)] = 0
+        fitting = np.bincount(owner * len(model.languages) + label, each, n * len(model.languages))
+        # What is likelier than the average makes up for no other language.
+        fitting = np.minimum(fitting.reshape(n, -1), letters) / np.maximum(total, 1)[:, None]
+        fit = np.minimum(fitting.sum(axis=1), 1)
+        score = fitting[np.arange(n), letters.argmax(axis=1)]
         begins = np.ones(len(word), bool)
         begins[1:] = (owner[1:] != owner[:-1]) | (label[1:] != label[:-1])
         at = np.flatnonzero(begins)
@@ -277,6 +296,7 @@ def _identified(texts: list, model: Model, penalty: float) -> list[pa.Array]:
     )
     return [
         pa.array(languages[pred], pa.string()),
-        pa.array(share, pa.float64()),
+        pa.array(score, pa.float64()),
         pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), struct),
+        pa.array(fit, pa.float64()),
     ]
