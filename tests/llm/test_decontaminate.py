@@ -3,9 +3,11 @@
 import random
 import re
 
+import duckdb
 import pytest
 
 from veilframe.llm.decontaminate import find_phrases
+from veilframe.llm.queries import ORACLES, QUERIES
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -75,3 +77,21 @@ def test_empty_tables(stored_docs):
     none = stored_docs([], "item_id long, text string")
     assert rows(find_phrases(stored_docs([(1, "a b")]), none)) == [(1, 2, 0, [])]
     assert find_phrases(stored_docs([]), stored_docs(ITEMS, "item_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("size", [1 << 20, 30])
+def test_items_without_an_id_count(spark, tmp_path, monkeypatch, size):
+    monkeypatch.setattr("veilframe.llm.decontaminate.BLOCK_BYTES", size)
+    items = [*ITEMS, (None, "brown fox"), (None, "x x x"), (None, None), (None, " ".join(f"v{i}" for i in range(20)))]
+    more = [(600, "no item"), (601, " ".join(f"V{i}" for i in range(2, 18))), (602, "the quick brown fox x x x")]
+    spark.createDataFrame([*docs(), *more], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    found = [tuple(r) for r in QUERIES["op3_decontaminate_index"](spark, str(tmp_path)).collect()]
+    with duckdb.connect() as db:
+        for name in ("documents", "benchmark"):
+            db.sql(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+        assert sorted(found, key=repr) == sorted(db.sql(ORACLES["op3_decontaminate_index"]).fetchall(), key=repr)
+    by_key = {r[0]: r for r in found}
+    assert by_key[600][2:4] == (2, 1) and by_key[601][2:4] == (16, 1) and by_key[602][2:4] == (7, 3)
+    ids = find_phrases(*(spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("documents", "benchmark")))
+    assert {r.doc_id: r["items"] for r in ids.collect()}[602] == ["1", "5", None]

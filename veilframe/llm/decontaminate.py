@@ -42,9 +42,9 @@ GAP = 64
 class Phrases:
     """The windows of a block of benchmark items as rows of term numbers."""
 
-    def __init__(self, items: list[tuple[str, str]], width: int):
+    def __init__(self, items: list[tuple[str | None, str]], width: int):
         terms: dict[bytes, int] = {}
-        windows: dict[tuple[int, ...], set[str]] = {}
+        windows: dict[tuple[int, ...], set[str | None]] = {}
         for item, text in items:
             folded, starts, ends = words(np.frombuffer((text or "").encode(), np.uint8))
             data = folded.tobytes()
@@ -60,7 +60,7 @@ class Phrases:
         self.windows = np.full((len(windows), width), -1, np.int64)
         for i, window in enumerate(windows):
             self.windows[i, : len(window)] = window
-        self.items = [sorted(x) for x in windows.values()]
+        self.items = [_in_order(x) for x in windows.values()]
 
     def by_rarity(self, counts: np.ndarray) -> np.ndarray:
         """For each window its places, the one with the rarest term first."""
@@ -75,6 +75,11 @@ class Phrases:
         return np.where(self.sorted_hashes[at] == hashes, self.order[at], -1)
 
 
+def _in_order(items: set[str | None]) -> list[str | None]:
+    """Sorted, with NULL last, where Spark's ``array_sort`` has it too."""
+    return sorted(items, key=lambda item: (item is None, item or ""))
+
+
 def _hash(term: bytes) -> int:
     symbols = np.frombuffer(term, np.uint8)
     spans = span_hash(7)
@@ -198,7 +203,8 @@ def find_phrases(
     none. ``n_hit`` counts the document's words inside any exact occurrence,
     ``items`` are the ids, as text and sorted, of items with an occurrence, and
     ``near_items`` those with a window whose words all stand within ``slop``
-    words of their places.
+    words of their places. Items with a text but a NULL id count like others and
+    are together one NULL, the last of ``items`` or ``near_items``.
 
     NULL and empty texts have no words. Copies and NULL keys keep their rows. An
     empty table of items hits nothing. Other columns of either table are not
@@ -242,12 +248,12 @@ def _covered(spans: str):
     )
 
 
-def _item_blocks(items: DataFrame, item_key: str, item_text: str) -> list[list[tuple[str, str]]]:
+def _item_blocks(items: DataFrame, item_key: str, item_text: str) -> list[list[tuple[str | None, str]]]:
     """The items in blocks of bounded size, read one row after the other."""
     rows = items.select(
         F.col(item_key).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")
-    ).filter(F.col("text").isNotNull() & F.col("item").isNotNull())
-    blocks: list[list[tuple[str, str]]] = [[]]
+    ).filter(F.col("text").isNotNull())
+    blocks: list[list[tuple[str | None, str]]] = [[]]
     size = 0
     for row in rows.toLocalIterator():
         if size and size + len(row["text"]) > BLOCK_BYTES:
@@ -317,7 +323,7 @@ def _shard_matches(shard, n_words: np.ndarray, phrases: Phrases, order: np.ndarr
         for w, d in set(zip(window.tolist(), owner.tolist())):
             sets.setdefault(d, set()).update(phrases.items[w])
         for d, names in sets.items():
-            found[d] = sorted(names)
+            found[d] = _in_order(names)
         if allowed == 0:
             local = start - firsts[owner]
             for w, d, s in zip(window.tolist(), owner.tolist(), local.tolist()):
