@@ -92,3 +92,18 @@ def test_recall_holds_above_any_size(stored_docs):
     rows = [(i, draw.normal(size=16).tolist()) for i in range(3000)]
     got, wanted = result(nearest(stored_docs(rows, SCHEMA), occupancy=4)), brute(rows)
     assert np.mean([len(set(got[q]) & set(w)) / 20 for q, w in wanted.items()]) >= 0.9
+
+
+def test_keys_with_many_vectors_take_one_place(stored_docs):
+    draw = np.random.default_rng(5)
+    near = lambda i, n: [(i, (np.array([1.0, 0, 0, 0]) + draw.normal(size=4) * 0.05).tolist()) for _ in range(n)]
+    rows = [*near(20, 30), *near(7, 60), *near(8, 40)]
+    rows += [(i, draw.normal(size=4).tolist()) for i in range(21, 60)]
+    best = {}
+    vectors = [(i, np.array(v, np.float32).astype(float)) for i, v in rows]
+    for i, v in vectors:
+        for j, w in vectors:
+            if i in (20, 40) and j != i:
+                best.setdefault(i, {})[j] = max(best.get(i, {}).get(j, -math.inf), float((v * w).cumsum()[-1]))
+    wanted = {i: [j for j, _ in sorted(x.items(), key=lambda x: (-x[1], x[0]))[:20]] for i, x in best.items()}
+    assert result(nearest(stored_docs(rows, SCHEMA))) == wanted

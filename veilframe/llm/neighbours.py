@@ -201,24 +201,36 @@ def _met(index: DataFrame, asked: DataFrame, by: list[str], k: int) -> DataFrame
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         names, best = [], []
         if rows.num_rows and queries.num_rows:
-            x = np.stack([np.array(v, np.float64) for v in rows.column("v").to_pylist()])
             ids = rows.column("ids").to_pylist()
+            x = np.stack([np.array(v, np.float64) for v in rows.column("v").to_pylist()])
+            n = len(x)
+            # A row for each key of a vector, the rows of a key together.
+            filed = np.array([i for some in ids for i in some], np.int64)
+            order = np.argsort(filed, kind="stable")
+            x, filed = x[np.repeat(np.arange(n), [len(some) for some in ids])[order]], filed[order]
+            keys, firsts = np.unique(filed, return_index=True)
             q = np.stack([np.array(v, np.float64) for v in queries.column("v").to_pylist()])
-            own = [i[0] for i in queries.column("ids").to_pylist()]
-            for start in range(0, len(q), 256):
-                products = q[start : start + 256] @ x.T
-                top = min(k + 1, len(x))
-                near = np.argpartition(-products, top - 1, axis=1)[:, :top]
-                # Ties at the edge: all rows as near as the last of the nearest.
-                edge = np.take_along_axis(products, near, axis=1).min(axis=1)
-                for row, query in enumerate(own[start : start + 256]):
-                    chosen = np.flatnonzero(products[row] >= edge[row] - 1e-9)
+            own = np.array([i[0] for i in queries.column("ids").to_pylist()], np.int64)
+            step = max(1, 256 * n // len(x))
+            for start in range(0, len(q), step):
+                products = q[start : start + step] @ x.T
+                asking = own[start : start + step]
+                # The best of each key but the query's own.
+                each = products.copy() if len(keys) == len(x) else np.maximum.reduceat(products, firsts, axis=1)
+                at = np.minimum(np.searchsorted(keys, asking), len(keys) - 1)
+                mine = np.flatnonzero(keys[at] == asking)
+                each[mine, at[mine]] = -np.inf
+                top = min(k, len(keys))
+                edge = -np.partition(-each, top - 1, axis=1)[:, top - 1]
+                for row, query in enumerate(asking.tolist()):
+                    # Ties at the edge: all rows as near as the last of the nearest.
+                    chosen = np.flatnonzero((products[row] >= edge[row] - 1e-9) & (filed != query))
                     exact = (q[start + row] * x[chosen]).cumsum(axis=1)[:, -1]
-                    pairs = sorted(
-                        (-score, i) for score, c in zip(exact.tolist(), chosen) for i in ids[c] if i != query
-                    )
+                    far: dict[int, float] = {}
+                    for score, i in zip(exact.tolist(), filed[chosen].tolist()):
+                        far[i] = min(-score, far.get(i, -score))
                     names.append(query)
-                    best.append([{"far": a, "id": b} for a, b in pairs[:k]])
+                    best.append([{"far": a, "id": b} for a, b in sorted((a, b) for b, a in far.items())[:k]])
         return pa.table({"query": pa.array(names, pa.int64()), "best": pa.array(best, BEST_TYPE)})
 
     return index.groupBy(*by).cogroup(asked.groupBy(*by)).applyInArrow(run, f"query long, best {BEST}")
