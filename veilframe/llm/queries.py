@@ -224,3 +224,24 @@ def op1_html_tree_model(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages")
     found = extract_text(pages.select("page_id", "url", "html"), train(pages))
     return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query(
+    r"""
+    WITH doc AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+    SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+    FROM doc WINDOW same AS (PARTITION BY t)
+    """
+)
+def op11_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.exact_copies import exact_copies
+
+    found = exact_copies(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        F.col("keep").alias("keep_id"),
+        F.col("size").alias("group_size"),
+        "kept",
+        F.col("digest").alias("text_sha256"),
+    )
