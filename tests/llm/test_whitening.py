@@ -1,0 +1,115 @@
+import duckdb
+import numpy as np
+import pytest
+
+from veilframe.llm.whitening import WIDE, refined_eigenvectors, whiten
+
+from .conftest import FOLDER
+
+SCHEMA = "vec_id long, embedding array<float>"
+
+
+def brute(rows, components=4):
+    """``key, component -> (n, deviation, whitened, explained)`` in plain double precision."""
+    kept = [(k, [int(np.floor(256.0 * np.float64(np.float32(c)))) for c in v]) for k, v in rows
+            if v and all(c is not None and np.isfinite(c) for c in v)]
+    fit = sorted({tuple(x) for _, x in kept})
+    n, sums = len(fit), [sum(c) for c in zip(*fit)]
+    x = np.array(fit, float) - np.array(sums) / n
+    values, axes = np.linalg.eigh(x.T @ x / n)
+    values, axes = values[::-1], axes[:, ::-1]
+    found = {}
+    for key, row in kept:
+        deviation = sum((n * c - s) ** 2 for c, s in zip(row, sums))
+        for i in range(min(components, len(row))):
+            w = (np.array(row) - np.array(sums) / n) @ axes[:, i] / np.sqrt(values[i])
+            found.setdefault((key, i + 1), []).append((n, deviation, w, values[i] / values.sum()))
+    return found
+
+
+def same(got, rows):
+    wanted, signs, count = brute(rows), {}, 0
+    for r in got:
+        count += 1
+        n, deviation, w, explained = wanted[r.vec_id, r.component][0]
+        assert (r.n, r.deviation) == (n, deviation)
+        assert abs(r.explained / explained - 1) < 1e-9 and r.identity_error < 1e-9
+        if abs(w) > 1e-6:
+            sign = signs.setdefault(r.component, np.sign(w * r.whitened))
+            assert sign and abs(sign * r.whitened / w - 1) < 1e-6
+        else:
+            assert abs(r.whitened) < 2e-6
+    assert count == sum(map(len, wanted.values()))
+
+
+def test_query_on_the_whole_table(spark):
+    from veilframe.llm.queries import QUERIES
+
+    got = QUERIES["op12_refined_whitening"](spark, FOLDER)
+    assert got.dtypes == [("vec_id", "bigint"), ("component", "int"), ("n", "bigint"), ("deviation", "bigint"),
+                          ("whitened", "double"), ("explained", "double"), ("identity_error", "double")]
+    rows = duckdb.sql(f"SELECT vec_id, embedding FROM '{FOLDER}/embeddings.parquet'").fetchall()
+    same(got.collect(), rows)
+
+
+def test_copies_gaps_and_extra_columns(spark, stored_docs):
+    draw = np.random.default_rng(3)
+    rows = [(i, [float(c) for c in draw.normal(size=6) * (5, 3, 2, 1, 0.5, 0.1)]) for i in range(300)]
+    rows += [(1000 + i, rows[7][1]) for i in range(200)] + [(7, rows[7][1])]
+    odd = [(2000, None), (2001, []), (2002, [None] * 6), (2003, [float("nan")] + [0.0] * 5),
+           (2004, [0.0] * 5 + [float("inf")]), (2005, [-0.0] * 6), (2006, [0.0] * 6)]
+    docs = stored_docs(rows + odd, SCHEMA)
+    for name in ("x", "v", "n", "place", "value", "component"):
+        docs = docs.selectExpr(*[c for c in docs.columns if c != name], f"'mine' AS `{name}`")
+    same(whiten(docs).collect(), rows + odd)
+
+
+def test_few_vectors_and_few_dimensions(spark, stored_docs):
+    assert whiten(stored_docs([], SCHEMA)).collect() == []
+    assert whiten(stored_docs([(1, None)], SCHEMA)).columns[:2] == ["vec_id", "component"]
+    (a, b) = whiten(stored_docs([(1, [0.5, 1.0]), (None, [0.5, 1.0])], SCHEMA)).filter("component = 1").collect()
+    assert (a.n, a.deviation, a.whitened, a.explained, a.identity_error) == (1, 0, None, 0.0, None)
+    rows = whiten(stored_docs([(1, [0.5, 1.0]), (2, [1.5, 1.0])], SCHEMA)).collect()
+    assert sorted((r.vec_id, r.component, r.n, r.deviation) for r in rows) == [
+        (1, 1, 2, 65536), (1, 2, 2, 65536), (2, 1, 2, 65536), (2, 2, 2, 65536)]
+    assert {abs(r.whitened) for r in rows if r.component == 1} == {1.0}
+    assert {r.whitened for r in rows if r.component == 2} == {None}
+    with pytest.raises(Exception, match="dimensions"):
+        whiten(stored_docs([(1, [0.5]), (2, [0.5, 1.0])], SCHEMA)).collect()
+    with pytest.raises(Exception, match="32 bits"):
+        whiten(stored_docs([(1, [1e9])], SCHEMA)).collect()
+
+
+@pytest.mark.parametrize(
+    "spectrum",
+    [
+        [1, 1 + 1e-12, 1 + 2e-12, 0.5, 0.5, 1e-9],
+        [3, 3, 3, 3],
+        [1, 1e-3, 1e-6, 1e-9, 1e-12, 0, 0],
+        list(1 + 1e-6 * np.arange(40)),
+        list(np.linspace(1, 2, 30)) + [5.0] * 10,
+        [0.0, 0.0],
+        [7.0],
+    ],
+)
+def test_eigenvectors_to_double_precision(spectrum):
+    draw = np.random.default_rng(len(spectrum))
+    basis = np.linalg.qr(draw.normal(size=(len(spectrum),) * 2))[0].astype(WIDE)
+    matrix = (basis * np.array(spectrum, WIDE) @ basis.T).astype(np.float64)
+    matrix = (matrix + matrix.T) / 2
+    values, axes = refined_eigenvectors(matrix)
+    assert np.all(np.diff(values) <= 1e-15 * max(spectrum))
+    wide, scale = axes.astype(WIDE), max(max(spectrum), 1e-300)
+    assert np.abs(wide.T @ wide - np.eye(len(spectrum))).max() < 4e-16
+    assert np.abs(matrix.astype(WIDE) @ wide - wide * values).max() < 6e-16 * scale
+    assert np.abs(values - sorted(spectrum, reverse=True)).max() < 1e-14 * scale
+
+
+def test_close_eigenvalues_are_told_apart():
+    """Two eigenvalues 1e-10 apart: float32 mixes their vectors, the small problem does not."""
+    turn = np.linalg.qr(np.random.default_rng(1).normal(size=(5, 5)))[0].astype(WIDE)
+    matrix = turn * np.array([2, 1 + 1e-10, 1, 0.3, 0.1], WIDE) @ turn.T
+    values, axes = refined_eigenvectors(matrix.astype(np.float64))
+    assert abs(values[1] - values[2] - 1e-10) < 1e-15
+    overlap = np.abs(axes.T @ turn.astype(float))
+    assert np.all(np.diag(overlap) > 1 - 1e-9) and overlap[1, 2] < 1e-5

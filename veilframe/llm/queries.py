@@ -245,3 +245,78 @@ def op11_chunk_recipes(spark: SparkSession, folder: str) -> DataFrame:
         "kept",
         F.col("digest").alias("text_sha256"),
     )
+
+
+@query()
+def op12_refined_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.whitening import whiten
+
+    return whiten(table(spark, folder, "embeddings"))
+
+
+# A level of a tree is a list of nodes; each of its nodes is then a row, so that
+# a document finds its sibling at every level by number.
+@query(
+    """
+    WITH RECURSIVE
+    cells AS (SELECT row_number() OVER () AS r, doc_id, lang, n_chars, CAST(doc_id AS VARCHAR) AS d,
+                     coalesce('+' || lang, '') AS g,
+                     coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+                     coalesce(strlen(text) || ':' || text, '-') AS tail
+              FROM documents),
+    crc AS (SELECT r, list_reduce(list_prepend(4294967295, list_transform(string_split(d, ''), c -> CAST(ascii(c) AS BIGINT))),
+                                  (x, y) -> list_reduce(list_prepend(xor(x, y), [0, 0, 0, 0, 0, 0, 0, 0]),
+                                                        (u, v) -> CASE WHEN u % 2 = 1 THEN xor(u // 2, 3988292384) ELSE u // 2 END))
+                      AS c
+            FROM cells WHERE d IS NOT NULL),
+    leaves AS (SELECT cells.*, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS p,
+                      sha256(coalesce(strlen(d) || ':' || d, '-') || head
+                             || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+                      sha256(coalesce(strlen(d) || ':' || d, '-') || head
+                             || coalesce(strlen(CAST(m AS VARCHAR)) || ':' || m, '-') || tail) AS other
+               FROM (SELECT cells.*, n_chars + CASE WHEN xor(c, 4294967295) % 7 = 0 THEN 1 ELSE 0 END AS m
+                     FROM cells LEFT JOIN crc USING (r)) AS cells),
+    level AS (SELECT g, 0 AS k, list(leaf ORDER BY p) AS nodes FROM leaves GROUP BY g
+              UNION ALL
+              SELECT g, k + 1, list_transform(range(1, len(nodes) + 1, 2), i -> sha256(nodes[i] || coalesce(nodes[i + 1], '')))
+              FROM level WHERE len(nodes) > 1),
+    sub AS (SELECT g, nodes[1] AS subroot, row_number() OVER (ORDER BY g) - 1 AS q FROM level WHERE len(nodes) = 1),
+    top AS (SELECT 0 AS k, list(subroot ORDER BY q) AS nodes FROM sub
+            UNION ALL
+            SELECT k + 1, list_transform(range(1, len(nodes) + 1, 2), i -> sha256(nodes[i] || coalesce(nodes[i + 1], '')))
+            FROM top WHERE len(nodes) > 1),
+    node AS (SELECT g, k, unnest(range(len(nodes))) AS i, unnest(nodes) AS h FROM level WHERE len(nodes) > 1),
+    high AS (SELECT k, unnest(range(len(nodes))) AS i, unnest(nodes) AS h FROM top WHERE len(nodes) > 1),
+    low_step AS (SELECT r, l.k, (p >> l.k) % 2 AS odd, h
+                 FROM leaves JOIN (SELECT DISTINCT g, k FROM node) l USING (g)
+                 LEFT JOIN node ON node.g = l.g AND node.k = l.k AND node.i = xor(p >> l.k, 1)),
+    high_step AS (SELECT r, 1000 + l.k AS k, (q >> l.k) % 2 AS odd, h
+                  FROM leaves JOIN sub USING (g) CROSS JOIN (SELECT DISTINCT k FROM high) l
+                  LEFT JOIN high ON high.k = l.k AND high.i = xor(q >> l.k, 1)),
+    step AS (SELECT * FROM low_step UNION ALL SELECT * FROM high_step),
+    proof AS (SELECT r, string_agg(coalesce(h, ''), '' ORDER BY k) AS siblings,
+                     list(CASE WHEN odd = 1 THEN h || '*' ELSE '*' || coalesce(h, '') END ORDER BY k) AS steps
+              FROM step GROUP BY r),
+    done AS (SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM top WHERE len(nodes) = 1) AS root,
+                    sha256(coalesce(siblings, '')) AS proof_sha256,
+                    list_reduce(list_prepend(other, coalesce(steps, [])), (x, s) -> sha256(replace(s, '*', x))) AS folded_root
+             FROM leaves JOIN sub USING (g) LEFT JOIN proof USING (r))
+    SELECT *, folded_root = root AS verified FROM done
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    from veilframe.llm.merkle import fold, manifest, siblings
+
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    one_more = (F.col("n_chars").cast("decimal(20,0)") + 1).cast("string")
+    n_chars = F.when(tampered, one_more).otherwise(F.col("n_chars").cast("string"))
+    found = manifest(docs, changed={"n_chars": n_chars})
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(siblings(F.col("proof")), 256).alias("proof_sha256"),
+        fold(F.col("changed_leaf"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
