@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from veilframe import LinkSpec, Policy, read_table
+from veilframe import LinkSpec, Policy, read_table, tokenise, write_table
 from veilframe.__main__ import main
 from veilframe.jobs import link_and_pseudonymize
 from veilframe.session import SETTINGS, fit_shuffles, input_bytes, shuffle_partitions
@@ -110,3 +110,55 @@ def test_shuffle_setting_of_the_session_stays(spark, tmp_path):
     assert input_bytes(spark, *folders) == 10
     fit_shuffles(spark, *folders)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_a_profile_in_parts_reads_only_the_new_part(spark, people, tmp_path):
+    policy = put(tmp_path / "p.json", {"전처리": ["통계", "Avg", "Sd", "Max"], "소득": ["TopBottom"]})
+    first, second, parts = str(tmp_path / "one"), str(tmp_path / "two"), str(tmp_path / "parts")
+    put(tmp_path / "one" / "0.csv", "주민등록번호,혈액형,소득\na,A,10\nb,B,11\n")
+    put(tmp_path / "two" / "0.csv", "주민등록번호,혈액형,소득\nc,,12\nd,B,13\ne,O,100\n")
+    main(["profile", first, policy, str(tmp_path / "r1"), "--parts", parts])
+    os.rename(first, f"{first}-gone")
+    for i in range(2):
+        # A part that is profiled again takes its own place.
+        main(["profile", second, policy, str(tmp_path / f"r2{i}"), "--parts", parts])
+        main(["profile", people, policy, str(tmp_path / f"whole{i}")])
+        got, wanted = rows(spark, tmp_path / f"r2{i}"), rows(spark, tmp_path / f"whole{i}")
+        assert [r[:3] for r in got] == [r[:3] for r in wanted] and len(got) == 3
+        assert [float(r[3]) for r in got] == pytest.approx([float(r[3]) for r in wanted])
+    other = put(tmp_path / "q.json", {"전처리": ["통계", "Max"], "소득": ["MicroAggregation", "혈액형=A"]})
+    with pytest.raises(Exception, match="no moments of 소득"):
+        main(["profile", second, other, str(tmp_path / "r3"), "--parts", parts])
+
+
+def test_records_with_surplus_cells_are_set_aside(spark, tmp_path):
+    put(tmp_path / "t" / "0.csv", "id,x\n1,10\n2,11,oops\n\n3,12\n")
+    put(tmp_path / "t" / "deep" / "1.csv", 'id,x\n4,13\n5,100\n6,"9",9,9\n7\n')
+    policy = put(tmp_path / "p.json", {"x": ["TopBottom"]})
+    table, out, refused = str(tmp_path / "t"), str(tmp_path / "out"), str(tmp_path / "refused")
+    with pytest.raises(Exception, match="more cells"):
+        main(["pseudonymize", table, policy, str(tmp_path / "none")])
+    main(["pseudonymize", table, policy, out, "--refused", refused])
+    assert rows(spark, out) == [("1", "10"), ("3", "12"), ("4", "13"), ("5", "33.75"), ("7", "")]
+    found = read_table(spark, refused, quote='"').collect()
+    assert sorted((os.path.basename(r.file), r.line, r.record) for r in found) == [
+        ("0.csv", "3", "2,11,oops"), ("1.csv", "4", '6,"9",9,9')]
+
+
+def test_nothing_set_aside_is_an_empty_table(spark, people, tmp_path):
+    policy = put(tmp_path / "p.json", {"혈액형": ["Encryption"]})
+    main(["pseudonymize", people, policy, str(tmp_path / "out"), "--refused", str(tmp_path / "refused")])
+    assert len(rows(spark, tmp_path / "out")) == 5 and rows(spark, tmp_path / "refused") == []
+
+
+def test_a_link_job_with_a_secret(spark, tmp_path):
+    put(tmp_path / "a" / "0.csv", "k,x\n1,p\n2,q\n")
+    put(tmp_path / "b" / "0.csv", "k,y\n1,r\n3,s\n")
+    secret = put(tmp_path / "secret", "pepper")
+    made = tokenise(read_table(spark, str(tmp_path / "b")), ["k"], "token", secret=b"pepper")
+    write_table(made, str(tmp_path / "tokens"))
+    spec = put(tmp_path / "s.json", {"join_key": {"A": ["k"], "B": {"token": "token"}}, "column_list": {"A": ["x"], "B": ["y"]}})
+    tables = [str(tmp_path / "a"), str(tmp_path / "tokens"), spec]
+    main(["link", *tables, str(tmp_path / "out"), "--secret", secret])
+    main(["link", *tables, str(tmp_path / "none")])
+    assert rows(spark, tmp_path / "out") == [("p", "r")] and rows(spark, tmp_path / "none") == []

@@ -1,13 +1,16 @@
 """Links: pairs, key modes, empty keys, hot keys."""
 
+import os
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from veilframe import LinkSpec, link
-from veilframe.functions import link_token
+from veilframe import LinkSpec, jobs, link, read_table, scratch, tokenise, write_table
+from veilframe.functions import hmac_sha256, link_token
 from veilframe.operators.linkage import TOKEN, hot_keys
+from veilframe.sources import with_place
+from veilframe.sources.tables import shared_folder
 
 
 def rows(df):
@@ -244,3 +247,130 @@ def test_split_hot_keys_on_empty_and_tiny_tables(spark):
     assert rows(link(empty, b, spec, split_hot_keys=True)) == Counter()
     a = spark.createDataFrame([("x", 1), ("x", 1), ("y", 2)], "k string, a int")
     assert rows(link(a, b, spec, split_hot_keys=True)) == Counter({(1, 1): 2, (1, 2): 2})
+
+
+def like_rows(spark, folder):
+    """Tables of rows that differ in nothing but their place: from memory, and from files."""
+    rows = spark.range(0, 3000, 1, 4).select(F.lit("hot").alias("k"), F.lit("same").alias("v"))
+    rows = rows.union(spark.range(3000).select(F.col("id").cast("string"), F.lit("same")))
+    rows = rows.repartition(16, "k")
+    rows.write.parquet(folder)
+    return [rows, spark.read.parquet(folder), spark.read.parquet(folder).filter("k <> 'x'").select("v", "k")]
+
+
+def test_rows_alike_in_all_wanted_columns_are_spread(spark, without_adaptive_execution, tmp_path):
+    spec = LinkSpec(["k"], ["k"], ["v"], ["v"])
+    for table in like_rows(spark, str(tmp_path / "rows")):
+        with scratch(spark):
+            split = link(table, table, spec, split_hot_keys=True, pairs_per_cell=100_000)
+            assert largest_share(split) < 0.1
+            assert split.count() == 9_003_000
+
+
+def test_rows_have_the_same_place_however_they_are_read(spark, tmp_path):
+    def places(table):
+        named = with_place(table, "at").select("at", "k").collect()
+        return Counter(map(tuple, named))
+
+    _, files, narrow = like_rows(spark, str(tmp_path / "rows"))
+    first = places(files)
+    assert len(first) == 6000 and len({at for at, _ in first}) == 6000
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        # Split otherwise, and narrowed: a task that runs again, anywhere, gives a row the same place.
+        assert places(spark.read.parquet(str(tmp_path / "rows"))) == first == places(narrow)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+@pytest.mark.parametrize("of", ["text", "join", "union", "distinct", "own"])
+def test_tables_that_are_not_parquet_files_get_places_too(spark, tmp_path, of):
+    _, files, _ = like_rows(spark, str(tmp_path / "rows"))
+    table = files
+    if of == "text":
+        write_table(files, str(tmp_path / "text"))
+        table = read_table(spark, str(tmp_path / "text"))
+    elif of == "join":
+        table = files.join(files.select("k"), "k").limit(7000)
+    elif of == "union":
+        table = files.union(files)
+    elif of == "distinct":
+        table = files.distinct()
+    elif of == "own":
+        table = files.withColumn("_metadata", F.lit("mine"))
+    with scratch(spark):
+        placed = with_place(table, "at")
+        assert placed.columns == [*table.columns, "at"]
+        assert placed.select("at").distinct().count() == placed.count() == table.count()
+
+
+def test_what_a_link_job_stores_is_removed(spark, tmp_path):
+    _, files, _ = like_rows(spark, str(tmp_path / "rows"))
+    write_table(files, str(tmp_path / "text"))
+    spec = tmp_path / "spec.json"
+    spec.write_text('{"join_key": {"A": ["k"], "B": ["k"]}, "column_list": {"A": ["v"], "B": ["k"]}}')
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    text = str(tmp_path / "text")
+    jobs.run_link(spark, text, text, str(spec), str(tmp_path / "out"), split_hot_keys=True)
+    assert set(os.listdir(folder)) == before
+    assert read_table(spark, str(tmp_path / "out")).count() == 9_003_000
+
+
+def test_keyed_digests_of_the_published_vectors(spark):
+    """RFC 4231, cases 1 to 4, 6 and 7: secret, text, HMAC-SHA256."""
+    cases = [
+        (b"\x0b" * 20, b"Hi There", "b0344c61d8db38535ca8afceaf0bf12b881dc200c9833da726e9376c2e32cff7"),
+        (b"Jefe", b"what do ya want for nothing?", "5bdcc146bf60754e6a042426089575c75a003f089d2739839dec58b964ec3843"),
+        (b"\xaa" * 20, b"\xdd" * 50, "773ea91e36800e46854db8ebd09181a72959098b3ef8c122d9635514ced565fe"),
+        (bytes(range(1, 26)), b"\xcd" * 50, "82558a389a443c0ea4cc819899f2083a85f0faa3e578f8077a2e3ff46729665b"),
+        (b"\xaa" * 131, b"Test Using Larger Than Block-Size Key - Hash Key First",
+         "60e431591ee0b67f0d8a26aacbf5b77f8e0bc6213728c5140546040f0ee37f54"),
+        (b"\xaa" * 131, b"This is a test using a larger than block-size key and a larger than block-size data. The key"
+         b" needs to be hashed before being used by the HMAC algorithm.",
+         "9b09ffa71b942fcb27635fbcd5b0e944bfdc63644f0713938a7f51535c3a35e2"),
+    ]
+    for secret, text, wanted in cases:
+        df = spark.createDataFrame([(bytearray(text),)], "c binary")
+        assert df.select(F.lower(F.hex(hmac_sha256(F.col("c"), secret)))).head()[0] == wanted
+
+
+def test_sides_that_come_with_tokens(spark):
+    a = spark.createDataFrame([("x", "1", 1), ("x", "2", 2), (None, None, 3), ("é", "1", 4)], "p string, q string, a int")
+    b = spark.createDataFrame([("x", "1", 10), ("é", "1", 20), ("é", "1", 21), ("", "", 30)], "p string, q string, b int")
+    keys = ["p", "q"]
+    plain = rows(link(a, b, LinkSpec(keys, keys, ["a"], ["b"])))
+    assert plain == Counter([(1, 10), (4, 20), (4, 21), (3, 30)])
+    for secret in (b"", b"secret"):
+        ta, tb = tokenise(a, keys, "t", secret=secret), tokenise(b, keys, "u", secret=secret)
+        assert ta.columns == ["t", "a"] and ta.head().t == ta.head().t.lower() and len(ta.head().t) == 64
+        to = lambda x, y, kx, ky, tokens: rows(link(x, y, LinkSpec(kx, ky, ["a"], ["b"], secret=secret, tokens=tokens)))
+        assert to(ta, b, ["t"], keys, "A") == to(a, tb, keys, ["u"], "B") == to(ta, tb, ["t"], ["u"], "AB") == plain
+        raw = tb.withColumn("u", F.unhex("u")).union(spark.createDataFrame([(None, 99)], "u binary, b int"))
+        assert to(a, raw, keys, ["u"], "B") == plain
+    other = tokenise(b, keys, "u", secret=b"other")
+    assert rows(link(a, other, LinkSpec(keys, ["u"], ["a"], ["b"], secret=b"secret", tokens="B"))) == Counter()
+
+
+def test_tokens_that_are_none_are_refused(spark):
+    a = spark.createDataFrame([("x", 1)], "k string, a int")
+    spec = LinkSpec.from_dict({"join_key": {"A": ["k"], "B": {"token": "t"}}, "column_list": {"A": ["a"], "B": ["b"]}})
+    assert spec.tokens == "B" and spec.keys_b == ("t",)
+    for bad in ("x", "zz" * 32, "ab" * 31, ""):
+        b = spark.createDataFrame([(bad, 2)], "t string, b int")
+        with pytest.raises(Exception, match="no token"):
+            link(a, b, spec).collect()
+    with pytest.raises(ValueError, match="holds no tokens"):
+        link(a, spark.createDataFrame([(1, 2)], "t int, b int"), spec)
+    for entry in ({"hash": "t"}, {"token": "t", "salt": "x"}):
+        with pytest.raises(ValueError):
+            LinkSpec.from_dict({"join_key": {"A": entry, "B": ["k"]}, "column_list": {"A": ["a"], "B": ["b"]}})
+    with pytest.raises(ValueError):
+        LinkSpec(["a", "b"], ["k"], ["a"], [], tokens="A")
+    with pytest.raises(ValueError):
+        LinkSpec(["a"], ["k"], ["a"], [], tokens="C")
+    with pytest.raises(ValueError, match="has a column"):
+        tokenise(a, ["k"], "a")
+    assert "hidden" not in repr(LinkSpec(["a"], ["k"], ["a"], [], secret=b"hidden"))

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from veilframe import (
@@ -15,6 +16,8 @@ from veilframe import (
     read_link_spec,
     read_policy,
     read_table,
+    refused_records,
+    scratch,
     stored,
     write_table,
 )
@@ -193,3 +196,56 @@ def test_materialize_writes_to_the_shared_folder(spark):
     df = materialize(spark.range(10).withColumn("x", F.col("id") * 2))
     assert rows(df) == [(i, 2 * i) for i in range(10)]
     assert all(shared_folder(spark) in f for f in df.inputFiles())
+
+
+def test_refused_records_have_exact_lines_in_files_of_many_blocks(spark, tmp_path):
+    wanted, folder = set(), tmp_path / "t"
+    for name in ("a.csv", "sub/b.csv"):
+        lines = ["id,x"] + [f"{i},{'y' * (i % 50)}" + (",more" if i % 97 == 0 else "") for i in range(5000)]
+        lines[10] = lines[2000] = ""
+        wanted |= {(name, i + 1, line) for i, line in enumerate(lines) if line.count(",") > 1}
+        (folder / name).parent.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        observed = Observation()
+        assert read_table(spark, str(folder), refused=observed).count() == 2 * 4998 - len(wanted)
+        assert observed.get == {"records": len(wanted)}
+        found = refused_records(spark, str(folder))
+        got = {(r.file.split("/t/")[1], r.line, r.record) for r in found.collect()}
+        assert got == wanted and found.count() == len(wanted)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_refused_records_of_quoted_tables_and_of_one_column(spark, tmp_path):
+    put = tmp_path / "q"
+    put.mkdir()
+    (put / "0.csv").write_text('id,x\n1,"a,b"\n2,"a,b",c\n')
+    assert read_table(spark, str(put), quote='"', refused=Observation()).count() == 1
+    assert [(r.line, r.record) for r in refused_records(spark, str(put), quote='"').collect()] == [(3, '2,"a,b",c')]
+    one = tmp_path / "one"
+    one.mkdir()
+    (one / "0.csv").write_text("id\n1\n\n2,3\n")
+    observed = Observation()
+    assert [r.id for r in read_table(spark, str(one), refused=observed).collect()] == ["1", ""]
+    assert observed.get == {"records": 1}
+    assert [(r.line, r.record) for r in refused_records(spark, str(one)).collect()] == [(4, "2,3")]
+
+
+def test_scratch_removes_what_was_stored_but_for_what_is_kept(spark):
+    folder, df = shared_folder(spark), spark.range(3)
+    before = set(os.listdir(folder))
+    with scratch(spark):
+        with scratch(spark):
+            inner, kept = materialize(df), materialize(df, keep=True)
+            assert inner.count() == 3 and len(set(os.listdir(folder)) - before) == 2
+        assert kept.count() == 3 and len(set(os.listdir(folder)) - before) == 1
+        with pytest.raises(ZeroDivisionError):
+            with stored(df) as table:
+                table.select(1 / 0)
+    assert set(os.listdir(folder)) == before
+    outside = materialize(df, keep=True)
+    assert outside.count() == 3 and len(set(os.listdir(folder)) - before) == 1

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe import Policy, profile, pseudonymize
+from veilframe import Policy, figures_of, merged, moments, profile, pseudonymize, read_table, write_table
 from veilframe.functions import round_at, to_number
 from veilframe.functions.texts import ALPHABET, BLOCK
 
@@ -282,11 +282,31 @@ def test_numbers_that_stay_keep_their_value(spark):
     df = spark.createDataFrame(rows, "g string, i int, n long, d string").withColumn("d", F.col("d").cast("decimal(30,2)"))
     rule = ["MicroAggregation", "g=none"]
     got = pseudonymize(df, Policy.from_dict({"n": rule, "d": rule, "i": rule}))
-    assert dict(got.dtypes) == {"g": "string", "i": "double", "n": "decimal(38,12)", "d": "decimal(30,2)"}
-    assert [(int(r.n), str(r.d)) for r in got.collect()] == [(n, d) for _, _, n, d in rows]
-    df = spark.createDataFrame([(v,) for v in (10, 11, 12, 13, 100)], "n long")
-    got = pseudonymize(df, Policy.from_dict({"n": ["TopBottom"]})).collect()
-    assert [float(r.n) for r in got] == [10, 11, 12, 13, 29.2]
+    assert dict(got.dtypes) == {"g": "string", "i": "string", "n": "string", "d": "decimal(30,2)"}
+    assert [(r.i, r.n, str(r.d)) for r in got.collect()] == [(str(i), str(n), d) for _, i, n, d in rows]
+    got = pseudonymize(df, Policy.from_dict({"n": rule, "d": rule, "i": rule}), integers="round")
+    assert dict(got.dtypes) == {"g": "string", "i": "int", "n": "bigint", "d": "decimal(30,2)"}
+    assert [(r.g, r.i, r.n, str(r.d)) for r in got.collect()] == rows
+
+
+@pytest.mark.parametrize("kind", ["tinyint", "smallint", "int", "bigint"])
+def test_integers_keep_their_form_beside_a_mean(spark, tmp_path, kind):
+    df = spark.createDataFrame([(v,) for v in (10, 11, 12, 13, 100, None)], "n int").select(F.col("n").cast(kind))
+    policy = Policy.from_dict({"n": ["TopBottom"]})
+    got = [r.n for r in pseudonymize(df, policy).collect()]
+    assert got == ["10", "11", "12", "13", "29.2", None]
+    write_table(pseudonymize(df, policy), str(tmp_path / "out"))
+    assert sorted(r.n for r in read_table(spark, str(tmp_path / "out")).collect()) == ["", "10", "11", "12", "13", "29.2"]
+    rounded = pseudonymize(df, policy, integers="round")
+    assert rounded.dtypes == [("n", kind)] and [r.n for r in rounded.collect()] == [10, 11, 12, 13, 29, None]
+    with pytest.raises(ValueError):
+        pseudonymize(df, policy, integers="double")
+
+
+def test_a_mean_between_two_integers_goes_up(spark):
+    df = spark.createDataFrame([(v,) for v in (-9, -1, -2, -1, -2, -2, 0, -3)], "n long")
+    some = pseudonymize(df, Policy.from_dict({"n": ["TopBottom"]}), integers="round")
+    assert sorted(r.n for r in some.collect()) == [-3, -2, -2, -2, -2, -1, -1, 0]
 
 
 @pytest.mark.parametrize(
@@ -337,3 +357,55 @@ def test_checks_of_random_numbers_fail_where_nothing_is_drawn(spark):
     kept = df.agg(*drawn_numbers(F.col("x"), F.col("x"))).head()
     drawn = pseudonymize(df.withColumn("y", F.col("x")), Policy.from_dict({"y": ["Random"]}), seed=1)
     assert not kept.changed and all(drawn.agg(*drawn_numbers(F.col("x"), F.col("y"))).head())
+
+
+def statistics(found):
+    return {(r.column, r.stat, r.conditions): r.value for r in found.collect()}
+
+
+def close(got, wanted, least):
+    assert got.keys() == wanted.keys()
+    for name, value in wanted.items():
+        assert got[name] == value or math.isclose(got[name], value, rel_tol=least), name
+
+
+@pytest.mark.parametrize("shift", [0, 1e9])
+@pytest.mark.parametrize("parts", [1, 9])
+def test_moments_of_parts_merge_to_those_of_the_whole(spark, parts, shift):
+    i = F.col("id")
+    df = spark.range(2000).select(
+        i,
+        (F.sin(i) * 5 + shift).alias("x"),
+        F.when(i % 3 == 0, F.lit("no number")).otherwise((i * i % 97).cast("string")).alias("t"),
+        F.when(i % 11 == 0, F.lit(None)).otherwise((i % 5).cast("string")).alias("g"),
+        F.when(i < 100, F.lit(None)).otherwise(i).alias("late"),
+    )
+    policy = Policy.from_dict({"x": ["TopBottom"], "t": ["MicroAggregation", "g=2"], "late": ["Random"]})
+    pieces = [moments(df.filter((i * i) % parts == k), policy) for k in range(parts)]
+    every = pieces[0]
+    for piece in pieces[1:]:
+        every = every.union(piece)
+    figures = ("Count", "Avg", "Sd", "Min", "Max")
+    least = 1e-8 if shift else 1e-12
+    close(statistics(figures_of(merged(every), figures)), statistics(profile(df, policy, figures)), least)
+    again = merged(merged(every).union(merged(every.limit(0))))
+    close(statistics(figures_of(again)), statistics(profile(df, policy, figures[1:])), least)
+
+
+def test_merged_moments_serve_as_statistics(spark):
+    df = spark.createDataFrame([(v,) for v in (10.0, 11.0, 12.0, 13.0, 100.0)], "x double")
+    policy = Policy.from_dict({"x": ["TopBottom"]})
+    both = moments(df.filter("x < 12"), policy).union(moments(df.filter("x >= 12"), policy))
+    got = pseudonymize(df, policy, statistics=figures_of(merged(both)))
+    assert sorted(r.x for r in got.collect()) == [10.0, 11.0, 12.0, 13.0, 29.2]
+
+
+def test_moments_of_columns_without_numbers(spark):
+    df = spark.createDataFrame([("a", None), ("b", float("nan"))], "t string, x double")
+    policy = Policy.from_dict({"t": ["TopBottom"], "x": ["TopBottom"]})
+    found = merged(moments(df, policy).union(moments(df.limit(0), policy)))
+    assert {(r.column, r.n, r.mean, r.m2, r.low, r.high) for r in found.collect()} == {
+        ("t", 0, None, None, None, None), ("x", 0, None, None, None, None)}
+    assert set(statistics(figures_of(found)).values()) == {None}
+    with pytest.raises(ValueError):
+        moments(df, Policy.from_dict({"t": ["Delete"]}))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from veilframe import jobs
+from veilframe.operators.treating import INTEGERS
 from veilframe.plans.linkspec import KEY_MODES
 from veilframe.session import fit_shuffles, session
 
@@ -20,9 +21,13 @@ def parser() -> argparse.ArgumentParser:
         command.add_argument("table")
         command.add_argument("policy")
         command.add_argument("output")
-        if name == "pseudonymize":
+        if name == "profile":
+            command.add_argument("--parts")
+        else:
             command.add_argument("--seed", type=int)
             command.add_argument("--statistics")
+            command.add_argument("--integers", default="text", choices=INTEGERS)
+            command.add_argument("--refused")
 
     command = commands.add_parser("link", parents=[common])
     for argument in ("table_a", "table_b", "spec", "output"):
@@ -31,6 +36,7 @@ def parser() -> argparse.ArgumentParser:
     command.add_argument("--key-mode", default="columns", choices=KEY_MODES)
     command.add_argument("--drop-empty-keys", action="store_true")
     command.add_argument("--split-hot-keys", action="store_true")
+    command.add_argument("--secret", help="a file whose bytes key the tokens")
     return top
 
 

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from veilframe import jobs
 from veilframe.functions import matches
 from veilframe.functions.texts import ALPHABET
-from veilframe.operators import link, profile, pseudonymize
+from veilframe.operators import link, profile, pseudonymize, tokenise
 from veilframe.plans import LinkSpec, Policy
 from veilframe.sources import read_table, write_table
-from veilframe.sources.tables import shared_folder
+from veilframe.sources.tables import shared_folder, write_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -477,6 +477,46 @@ def empty_keys_left_out(spark, folder):
     return link(orders, table(spark, folder, "events"), spec)
 
 
+@query("""
+SELECT a.l_linestatus AS status_a, b.l_linestatus AS status_b, count(*) AS pairs
+FROM lineitem a JOIN lineitem b ON a.l_orderkey // 64 = b.l_orderkey // 64 GROUP BY ALL""")
+def hot_key_join_of_like_rows(spark, folder):
+    """Keys with many lines on both sides, and hardly a difference among the rows that are wanted."""
+    lines = table(spark, folder, "lineitem").withColumn("k", F.floor(F.col("l_orderkey") / 64))
+    spec = LinkSpec(["k"], ["k"], ["l_linestatus"], ["l_linestatus"])
+    found = link(lines, lines, spec, split_hot_keys=True, pairs_per_cell=20_000)
+    found = found.groupBy("l_linestatus_a", "l_linestatus_b").agg(F.count("*").alias("pairs"))
+    return found.withColumnsRenamed({"l_linestatus_a": "status_a", "l_linestatus_b": "status_b"})
+
+
+@query("""
+SELECT c_name, o_orderkey, o_totalprice FROM customer JOIN orders ON c_custkey = o_custkey""")
+def link_to_tokens(spark, folder):
+    """One side comes with keyed tokens in place of its keys, as its owner has written them."""
+    path, secret = new_folder(spark), b"a shared secret"
+    orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    write_table(tokenise(orders, ["o_custkey"], "token", secret=secret), path, "parquet")
+    spec = LinkSpec.from_dict(
+        {
+            "join_key": {"A": ["c_custkey"], "B": {"token": "token"}},
+            "column_list": {"A": ["c_name"], "B": ["o_orderkey", "o_totalprice"]},
+        },
+        secret=secret,
+    )
+    return link(table(spark, folder, "customer"), read_table(spark, path, "parquet"), spec)
+
+
+# HMAC by its definition, with the secret "pepper" padded to 64 bytes and masked.
+@query("""
+SELECT c_custkey,
+       sha256(unhex('2c392c2c392e' || repeat('5c', 58))
+              || unhex(sha256(unhex('465346465344' || repeat('36', 58)) || encode(c_name)))) AS c_name
+FROM customer""")
+def encrypt_keyed(spark, folder):
+    df = table(spark, folder, "customer").select("c_custkey", "c_name")
+    return treat(df, c_name=["Encryption", "key=pepper"])
+
+
 # Tables and configurations on storage
 
 
@@ -542,11 +582,28 @@ def untouched_numbers(spark, folder):
     )
     rule = ["MicroAggregation", "o_orderstatus=F"]
     treated = treat(df, wide=rule, price=rule).filter("o_orderstatus <> 'F'")
-    return treated.select(
-        "o_orderkey",
-        F.regexp_replace(F.col("wide").cast("string"), r"\.0*$", "").alias("wide"),
-        F.col("price").cast("string").alias("price"),
+    return treated.select("o_orderkey", "wide", F.col("price").cast("string").alias("price"))
+
+
+@query("""
+WITH s AS (SELECT avg(l_partkey) AS m, stddev_pop(l_partkey) AS d FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey < m - d OR l_partkey > m + d AS mean,
+       CASE WHEN l_partkey < m - d OR l_partkey > m + d THEN round(m, 4)::VARCHAR ELSE l_partkey::VARCHAR END AS l_partkey,
+       CASE WHEN l_partkey < m - d OR l_partkey > m + d THEN floor(m + 0.5)::BIGINT ELSE l_partkey END AS rounded
+FROM lineitem, s""")
+def integers_with_means(spark, folder):
+    """Keys whose ends become the mean: the others keep their digits, as text or as integers."""
+    df = table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_partkey").alias("rounded")
     )
+    rule = ["TopBottom"]
+    texts = treat(df, l_partkey=rule)
+    both = pseudonymize(texts, Policy.from_dict({"rounded": rule}), integers="round")
+    # Means come from sums in some order: four decimals of them.
+    mean = F.col("l_partkey").contains(".")
+    figure = F.round(F.col("l_partkey").cast("double"), 4).cast("string")
+    cell = F.when(mean, figure).otherwise(F.col("l_partkey"))
+    return both.select("l_orderkey", "l_linenumber", mean.alias("mean"), cell.alias("l_partkey"), "rounded")
 
 
 @query("SELECT CASE WHEN c_mktsegment = 'BUILDING' THEN '' ELSE c_name END AS cell FROM customer")
@@ -572,6 +629,62 @@ def profile_job(spark, folder):
     return report.withColumn("value", F.col("value").cast("double"))
 
 
+@query("""
+WITH s AS (SELECT avg(l_extendedprice) AS a, stddev_pop(l_extendedprice) AS d,
+                  min(l_extendedprice) AS lo, max(l_extendedprice) AS hi,
+                  avg(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qa,
+                  stddev_pop(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qd,
+                  min(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qlo,
+                  max(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qhi FROM lineitem)
+SELECT 'l_extendedprice' AS "column", '' AS conditions, 'Avg' AS stat, round(a, 4) AS value FROM s
+UNION ALL SELECT 'l_extendedprice', '', 'Sd', round(d, 4) FROM s
+UNION ALL SELECT 'l_extendedprice', '', 'Min', round(lo, 4) FROM s
+UNION ALL SELECT 'l_extendedprice', '', 'Max', round(hi, 4) FROM s
+UNION ALL SELECT 'l_quantity', 'l_returnflag=A', 'Avg', round(qa, 4) FROM s
+UNION ALL SELECT 'l_quantity', 'l_returnflag=A', 'Sd', round(qd, 4) FROM s
+UNION ALL SELECT 'l_quantity', 'l_returnflag=A', 'Min', round(qlo, 4) FROM s
+UNION ALL SELECT 'l_quantity', 'l_returnflag=A', 'Max', round(qhi, 4) FROM s""")
+def profile_in_parts(spark, folder):
+    """A table that arrives in folders: each is read once, and the report is of all so far."""
+    path, lines = new_folder(spark), table(spark, folder, "lineitem")
+    lines = lines.select("l_linenumber", "l_extendedprice", "l_quantity", "l_returnflag")
+    policy = put_json(
+        spark,
+        f"{path}/policy",
+        {
+            "전처리": ["통계", "Avg", "Sd", "Min", "Max"],
+            "l_extendedprice": ["TopBottom"],
+            "l_quantity": ["MicroAggregation", "l_returnflag=A"],
+        },
+    )
+    some = F.col("l_linenumber")
+    for i, part in enumerate([some == 1, some == 2, (some > 2) | some.isNull()]):
+        write_table(lines.filter(part), f"{path}/part{i}", "parquet")
+        report = jobs.run_profile(
+            spark, f"{path}/part{i}", policy, f"{path}/report{i}", "parquet", parts=f"{path}/moments"
+        )
+    return report.withColumn("value", F.round("value", 4))
+
+
+@query("""
+SELECT o_orderkey::VARCHAR AS o_orderkey, '*' || o_orderstatus AS o_orderstatus,
+       CASE WHEN o_orderkey % 7 = 0 THEN o_orderkey || ',' || o_orderstatus || ',1,2' END AS record
+FROM orders""")
+def records_set_aside(spark, folder):
+    """Lines with cells too many do not end the job: it goes on and writes them elsewhere."""
+    path, orders = new_folder(spark), table(spark, folder, "orders")
+    policy = put_json(spark, f"{path}/policy", {"o_orderstatus": ["Masking", "1-"]})
+    line = F.concat_ws(",", "o_orderkey", "o_orderstatus", F.when(F.col("o_orderkey") % 7 == 0, F.lit("1,2")))
+    lines = orders.select(line.alias("o_orderkey,o_orderstatus"))
+    write_lines(lines, f"{path}/table", header=True)
+    jobs.run_pseudonymize(spark, f"{path}/table", policy, f"{path}/out", refused=f"{path}/refused")
+    treated = read_table(spark, f"{path}/out").withColumn("record", F.lit(None).cast("string"))
+    aside = read_table(spark, f"{path}/refused", quote='"')
+    cells = F.split("record", ",")
+    aside = aside.select(cells[0], F.concat(F.lit("*"), cells[1]), "record")
+    return treated.union(aside)
+
+
 @query("""
 SELECT c_custkey::VARCHAR AS c_custkey, sha256(c_name) AS c_name,
        '*' || substr(c_mktsegment, 1, 1) || repeat('*', length(c_mktsegment) - 1) AS c_mktsegment,

@@ -1,7 +1,7 @@
 """Column builders behind the treatments: built-in Spark expressions only."""
 
 from veilframe.functions.columns import matches, named, require_columns
-from veilframe.functions.digest import link_token, sha256_hex
+from veilframe.functions.digest import hmac_sha256, link_token, sha256_hex
 from veilframe.functions.numbers import (
     has_numbers,
     is_outlier,
@@ -14,6 +14,7 @@ from veilframe.functions.texts import random_text
 
 __all__ = [
     "has_numbers",
+    "hmac_sha256",
     "is_outlier",
     "link_token",
     "matches",

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilframe.functions import link_token, named, require_columns
 from veilframe.plans import LinkSpec
-from veilframe.sources.tables import materialize
+from veilframe.sources.tables import materialize, with_place
 
 TOKEN = "__token"
+PLACE = "__place"
 # A key whose pairs are more than this is dealt out to several tasks.
 PAIRS_PER_CELL = 1_000_000
 # Hot keys beyond this number are not broadcast; a row of the list is 28 bytes.
@@ -31,7 +33,7 @@ def _printed_kind(kind: T.DataType) -> str:
 
 def _require_comparable(a: DataFrame, b: DataFrame, spec: LinkSpec) -> None:
     """Keys are compared as text, in which 1 and 1.0 differ: refuse such pairs of columns."""
-    if len(spec.keys_a) != len(spec.keys_b):
+    if spec.tokens or len(spec.keys_a) != len(spec.keys_b):
         return
     for x, y in zip(spec.keys_a, spec.keys_b):
         kinds = [_printed_kind(df.schema[name].dataType) for df, name in ((a, x), (b, y))]
@@ -39,16 +41,47 @@ def _require_comparable(a: DataFrame, b: DataFrame, spec: LinkSpec) -> None:
             raise ValueError(f"{x} is {kinds[0]} and {y} is {kinds[1]}, which never print alike; cast one of them")
 
 
-def _side(df: DataFrame, keys, columns, spec: LinkSpec, prefix: str) -> DataFrame:
+def _ready_token(df: DataFrame, name: str) -> Column:
+    """A token as it came, text or bytes; one of another length is an error."""
+    kind = df.schema[name].dataType
+    if not isinstance(kind, (T.StringType, T.BinaryType)):
+        raise ValueError(f"{name} holds no tokens, it is {kind.simpleString()}")
+    cell = named(name)
+    token = F.try_to_binary(cell, F.lit("hex")) if isinstance(kind, T.StringType) else cell
+    refused = F.raise_error(F.lit(f"a cell of {name} is no token of 32 bytes")).cast("binary")
+    return F.when(cell.isNull() | (F.octet_length(token) == 32), token).otherwise(refused)
+
+
+def _side(df: DataFrame, side: str, spec: LinkSpec) -> DataFrame:
     """The token and the wanted columns, under names of this side only."""
-    if spec.drop_empty_keys:
-        df = df.filter(reduce(or_, [named(k).cast("string") != "" for k in keys]))
+    keys, columns = (spec.keys_a, spec.columns_a) if side == "A" else (spec.keys_b, spec.columns_b)
+    if side in spec.tokens:
+        token = _ready_token(df, keys[0])
+    else:
+        if spec.drop_empty_keys:
+            df = df.filter(reduce(or_, [named(k).cast("string") != "" for k in keys]))
+        token = link_token([named(k) for k in keys], spec.key_mode, spec.secret)
     return df.select(
-        link_token([named(k) for k in keys], spec.key_mode).alias(TOKEN),
-        *[named(name).alias(f"{prefix}{i}") for i, name in enumerate(columns)],
+        token.alias(TOKEN), *[named(name).alias(f"{side.lower()}{i}") for i, name in enumerate(columns)]
     )
 
 
+def tokenise(
+    df: DataFrame, keys: Sequence[str], token: str, key_mode: str = "columns", secret: bytes = b""
+) -> DataFrame:
+    """``df`` with the key columns replaced by one of tokens, as hexadecimal text, in front.
+
+    What one owner hands to another, who links it as ``tokens`` of a link spec
+    without seeing a key. Both must use the same mode and secret.
+    """
+    require_columns(df, keys)
+    rest = [name for name in df.columns if name not in keys]
+    if token in rest:
+        raise ValueError(f"the table has a column {token} already")
+    made = F.lower(F.hex(link_token([named(k) for k in keys], key_mode, secret)))
+    return df.select(made.alias(token), *map(named, rest))
+
+
 def _output_names(spec: LinkSpec) -> list[str]:
     """A's names, then B's; a name on both sides gets ``_a`` and ``_b``."""
     shared = set(spec.columns_a) & set(spec.columns_b)
@@ -92,10 +125,12 @@ def _split_hot_keys(
     A hot key's rows are dealt out to ``pieces_a`` × ``pieces_b`` cells. Each
     row has a fixed piece number of its own side and a copy for every piece of
     the other, so each pair meets in exactly one cell. The piece number comes
-    from a hash of the row's cells and the task's number, which a task that is
-    run again keeps; a random one would lose or double pairs when part of a
-    stage is recomputed.
+    from the row's place in its file, so rows that are equal in all wanted
+    columns part as well, and a task that is run again deals as before; a random
+    number, or one by order of arrival, would lose or double pairs when part of
+    a stage is recomputed.
     """
+    left, right = with_place(left, PLACE), with_place(right, PLACE)
     # Stored: both sides must see the same list, and a broadcast that had to
     # scan two tables first could run into Spark's broadcast timeout.
     hot = materialize(hot_keys(left, right, pairs_per_cell))
@@ -103,14 +138,13 @@ def _split_hot_keys(
         hot = F.broadcast(hot)
 
     def dealt(side: DataFrame, own: str, other: str) -> DataFrame:
-        columns = side.columns
+        columns = [name for name in side.columns if name != PLACE]
         found = side.withColumn("key", F.xxhash64(TOKEN)).join(hot, "key", "left")
         pieces = F.coalesce(F.col(f"pieces_{own}"), F.lit(1))
         copies = F.coalesce(F.col(f"pieces_{other}"), F.lit(1))
-        row = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in columns])
         return found.select(
             *columns,
-            F.pmod(row, pieces).cast("int").alias(f"cell_{own}"),
+            F.pmod(PLACE, pieces).cast("int").alias(f"cell_{own}"),
             F.explode(F.sequence(F.lit(0), copies - 1)).alias(f"cell_{other}"),
         )
 
@@ -137,17 +171,17 @@ def link(
 
     ``split_hot_keys`` spreads hot keys in the plan itself, by the pairs they
     make: a key with more than ``pairs_per_cell`` is dealt out to cells of about
-    that many, whatever the size of the table and however its rows lie. For
-    this a job runs at once that counts the rows of every key on both sides and
-    stores the list of hot ones in the shared folder. Rows of one task that are
-    equal in all wanted columns stay together.
+    that many, whatever the size of the table, however its rows lie and however
+    alike they are. For this a job runs at once that counts the rows of every
+    key on both sides and stores the list of hot ones in the shared folder. A
+    side that is not read straight from Parquet files is stored there too,
+    tokens and wanted columns only, since its rows must have fixed places.
     """
     require_columns(a, [*spec.keys_a, *spec.columns_a], "table A")
     require_columns(b, [*spec.keys_b, *spec.columns_b], "table B")
     _require_comparable(a, b, spec)
     names = _output_names(spec)
-    left = _side(a, spec.keys_a, spec.columns_a, spec, "a")
-    right = _side(b, spec.keys_b, spec.columns_b, spec, "b")
+    left, right = _side(a, "A", spec), _side(b, "B", spec)
     on = [TOKEN]
     if split_hot_keys:
         left, right, on = _split_hot_keys(left, right, pairs_per_cell)

@@ -16,6 +16,7 @@ AGGREGATES = {
     "Count": F.count,
     "Avg": F.avg,
     "Sd": F.stddev_pop,
+    "Variance": F.var_pop,
     "Min": F.min,
     "Max": F.max,
 }
@@ -84,3 +85,66 @@ def profile(
         for figure in wanted
     ]
     return statistics_row(df, requests).select(F.inline(F.array(*rows)))
+
+
+MOMENTS = ("Count", "Avg", "Variance", "Min", "Max")
+PART_COLUMNS = ["column", "conditions", "n", "mean", "m2", "low", "high"]
+
+
+def moments(df: DataFrame, policy: Policy) -> DataFrame:
+    """``(column, conditions, n, mean, m2, low, high)`` for the policy's statistics-driven columns.
+
+    The figures of one part of a table, from one scan of it, in a form that
+    ``merged`` puts together: ``m2`` is the sum of squared distances to the mean.
+    """
+    if not policy.measured:
+        raise ValueError("the policy has no TopBottom, MicroAggregation or Random column")
+    require_columns(df, policy.columns)
+    rows = []
+    for t in policy.measured:
+        n, mean, variance, low, high = (named(field(t, figure)).cast("double") for figure in MOMENTS)
+        cells = [F.lit(t.column), F.lit(t.condition_text), n.cast("long"), mean, variance * n, low, high]
+        rows.append(F.struct(*[cell.alias(name) for cell, name in zip(cells, PART_COLUMNS)]))
+    return statistics_row(df, [(t, MOMENTS) for t in policy.measured]).select(F.inline(F.array(*rows)))
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """One row a column and conditions from the ``moments`` of any number of parts.
+
+    Counts and extremes add up as they are; to the parts' own squared distances
+    comes that of each part's mean to the mean of all, once a row. Differences
+    of means are squared, not means, so nothing cancels.
+    """
+    require_columns(parts, PART_COLUMNS, "the moments")
+    on = ["column", "conditions"]
+    some = parts.filter("n > 0")
+    whole = some.groupBy(*on).agg(
+        F.sum("n").alias("total"), (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("centre")
+    )
+    spread = F.col("m2") + F.col("n") * (F.col("mean") - F.col("centre")) ** 2
+    # Figures of parts without a numeric cell are there as well, as NULL.
+    return (
+        parts.join(whole, on, "left")
+        .groupBy(*on)
+        .agg(
+            F.sum("n").alias("n"),
+            F.first("centre", ignorenulls=True).alias("mean"),
+            F.sum(spread).alias("m2"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+    )
+
+
+def figures_of(found: DataFrame, figures: Sequence[str] = ("Avg", "Sd", "Min", "Max")) -> DataFrame:
+    """``merged`` moments as ``profile`` returns them, ready for ``pseudonymize(statistics=...)``."""
+    values = {
+        "Count": F.col("n").cast("double"),
+        "Avg": F.col("mean"),
+        "Sd": F.sqrt(F.col("m2") / F.nullif(F.col("n"), F.lit(0))),
+        "Min": F.col("low"),
+        "Max": F.col("high"),
+    }
+    rows = F.array(*[F.struct(F.lit(f).alias("stat"), values[f].alias("value")) for f in figures])
+    found = found.select("column", "conditions", F.explode(rows).alias("figure"))
+    return found.select("column", "figure.stat", "conditions", "figure.value")

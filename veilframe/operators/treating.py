@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from veilframe.functions import (
     has_numbers,
+    hmac_sha256,
     is_outlier,
     matches,
     named,
@@ -27,6 +28,8 @@ from veilframe.plans import Policy, Treatment
 
 STATISTICS = "__statistics"
 NUMBER_OF = "__number:"
+# What a column of integers becomes where some of its cells are replaced by a mean.
+INTEGERS = ("text", "round")
 
 
 def _as_cell(df: DataFrame, treatment: Treatment, value: Column) -> Column:
@@ -52,33 +55,36 @@ def _figure(treatment: Treatment, figure: str) -> Column:
     return F.col(STATISTICS).getField(field(treatment, figure))
 
 
-def _masking(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+def _masking(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
     return span_mask(named(t.column), t.spec)
 
 
-def _part_delete(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+def _part_delete(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
     return part_delete(named(t.column), t.spec)
 
 
-def _round(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+def _round(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
     return _as_cell(df, t, round_at(_number(df, t), t.mode, t.digit))
 
 
-def _encryption(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+def _encryption(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
+    if t.key:
+        return F.lower(F.hex(hmac_sha256(named(t.column).cast("string"), t.key.encode())))
     return sha256_hex(named(t.column), t.salt)
 
 
-def _kept_type(kind: T.DataType) -> T.DataType:
-    """A type for cells of ``kind`` and for their mean that changes no cell.
-
-    Doubles hold every integer up to 32 bits but not every long.
-    """
+def _mean_cell(kind: T.DataType, mean: Column, integers: str) -> tuple[T.DataType, Column]:
+    """A type that prints a cell of ``kind`` as it was, and the mean in that type."""
     if isinstance(kind, T.DecimalType):
-        return kind
-    return T.DecimalType(38, 12) if isinstance(kind, T.LongType) else T.DoubleType()
+        return kind, mean.cast(kind)
+    if not isinstance(kind, T.IntegralType):
+        return T.DoubleType(), mean
+    if integers == "round":
+        return kind, round_at(mean, "R", 1).cast(kind)
+    return T.StringType(), mean.cast("string")
 
 
-def _outliers(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+def _outliers(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
     """TopBottom, and MicroAggregation for the rows that meet its conditions."""
     x, mean, sd = _number(df, t), _figure(t, "Avg"), _figure(t, "Sd")
     original = named(t.column)
@@ -90,15 +96,15 @@ def _outliers(df: DataFrame, t: Treatment, seed: int | None) -> Column:
             .otherwise(original)
         )
     else:
-        kind = _kept_type(df.schema[t.column].dataType)
+        kind, mean_cell = _mean_cell(df.schema[t.column].dataType, mean, integers)
         original = original.cast(kind)
-        treated = F.when(is_outlier(x, mean, sd), mean.cast(kind)).otherwise(original)
+        treated = F.when(is_outlier(x, mean, sd), mean_cell).otherwise(original)
     if not t.conditions:
         return treated
     return F.when(matches(df, t.conditions), treated).otherwise(original)
 
 
-def _random(df: DataFrame, t: Treatment, seed: int | None) -> Column:
+def _random(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
     """A number within the column's range, or a text of the cell's length."""
     seeds = random.Random(seed)
     kind = df.schema[t.column].dataType
@@ -157,6 +163,7 @@ def pseudonymize(
     policy: Policy,
     seed: int | None = None,
     statistics: DataFrame | None = None,
+    integers: str = "text",
 ) -> DataFrame:
     """``df`` with every treated column replaced, in the same column order.
 
@@ -167,12 +174,17 @@ def pseudonymize(
     result of ``profile`` instead and leaves out that scan.
 
     Text columns stay text; numeric columns under a numeric treatment become
-    doubles, except that TopBottom and MicroAggregation leave a decimal its type
-    and make a long a decimal with twelve places, so that cells that stay keep
-    their value. Under Random, columns that are neither become text. ``seed``
-    makes Random repeatable for the same input partitions.
+    doubles, but under TopBottom and MicroAggregation a cell that stays must
+    print as it did: a decimal keeps its type, with the mean rounded to its
+    places, and a column of integers becomes text, in which 4 stays ``4`` and
+    the mean has its fraction. ``integers="round"`` leaves such a column its
+    type and rounds the mean, halves up. Under Random, columns that are neither
+    numbers nor text become text. ``seed`` makes Random repeatable for the same
+    input partitions.
     """
     require_columns(df, policy.columns)
+    if integers not in INTEGERS:
+        raise ValueError(f"integers is one of {INTEGERS}, not {integers!r}")
     treated = {t.column: t for t in policy.treatments}
     kept = [name for name in df.columns if name not in treated or treated[name].kind != "Delete"]
 
@@ -183,7 +195,7 @@ def pseudonymize(
             continue
         own_seed = None if seed is None else random.Random(f"{seed}/{name}").getrandbits(62)
         treatment = treated[name]
-        columns.append(BUILDERS[treatment.kind](df, treatment, own_seed).alias(name))
+        columns.append(BUILDERS[treatment.kind](df, treatment, own_seed, integers).alias(name))
 
     prepared = [
         to_number(named(t.column), T.StringType()).alias(NUMBER_OF + t.column)

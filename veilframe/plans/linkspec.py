@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 KEY_MODES = ("columns", "concat")
 
@@ -20,6 +20,11 @@ class LinkSpec:
 
     A missing key counts as the empty text, and empty texts match each other;
     ``drop_empty_keys`` leaves out rows whose key is empty in every column.
+
+    With a ``secret`` the tokens that are compared are keyed. A side named in
+    ``tokens`` (``A``, ``B`` or ``AB``) comes with its tokens made: its one key
+    column holds what ``tokenise`` gave its owner, as hexadecimal text or bytes.
+    In JSON its key is ``{"token": column}``. A missing token matches nothing.
     """
 
     keys_a: tuple[str, ...]
@@ -28,6 +33,8 @@ class LinkSpec:
     columns_b: tuple[str, ...]
     key_mode: str = "columns"
     drop_empty_keys: bool = False
+    secret: bytes = field(default=b"", repr=False)
+    tokens: str = ""
 
     def __post_init__(self) -> None:
         for name in ("keys_a", "keys_b", "columns_a", "columns_b"):
@@ -38,12 +45,23 @@ class LinkSpec:
             raise ValueError("both sides of a link need at least one key column")
         if not self.columns_a and not self.columns_b:
             raise ValueError("a link returns at least one column")
-        if self.key_mode == "columns" and len(self.keys_a) != len(self.keys_b):
+        if self.tokens not in ("", "A", "B", "AB"):
+            raise ValueError(f"tokens names sides, as A, B or AB, not {self.tokens!r}")
+        for side, keys in (("A", self.keys_a), ("B", self.keys_b)):
+            if side in self.tokens and len(keys) != 1:
+                raise ValueError(f"side {side} has its tokens in one column, not in {keys}")
+        if not self.tokens and self.key_mode == "columns" and len(self.keys_a) != len(self.keys_b):
             raise ValueError("key lists of different length need key_mode='concat'")
 
     @classmethod
     def from_dict(cls, spec: Mapping, **options) -> LinkSpec:
-        keys, columns = spec["join_key"], spec["column_list"]
+        keys, columns = dict(spec["join_key"]), spec["column_list"]
+        ready = [side for side in "AB" if isinstance(keys[side], Mapping)]
+        for side in ready:
+            if set(keys[side]) != {"token"}:
+                raise ValueError(f"join_key of {side}: a list of columns or {{'token': column}}, got {keys[side]!r}")
+            keys[side] = [keys[side]["token"]]
+        options = {"tokens": "".join(ready), **options}
         return cls(keys["A"], keys["B"], columns["A"], columns["B"], **options)
 
     @classmethod

@@ -7,6 +7,7 @@ A policy maps a column name to ``[treatment, option, ...]``::
      "memo":   ["Delete"],
      "id":     ["Encryption"],
      "code":   ["Encryption", "salt=pepper"],
+     "phone2": ["Encryption", "key=pepper"],
      "price":  ["Round", "R", 2],
      "income": ["TopBottom"],
      "age":    ["MicroAggregation", "region=north", "sex=F"],
@@ -20,7 +21,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from urllib.parse import quote
 
 # Fixed values of the policy format.
@@ -73,6 +74,7 @@ class Treatment:
     digit: int = 0
     conditions: tuple[Condition, ...] = ()
     salt: str = ""
+    key: str = field(default="", repr=False)
 
     @classmethod
     def parse(cls, column: str, entry: Sequence) -> Treatment:
@@ -97,6 +99,8 @@ class Treatment:
             return cls(column, kind, conditions=tuple(map(Condition.parse, options)))
         if kind == "Encryption" and len(options) == 1 and options[0].startswith("salt="):
             return cls(column, kind, salt=options[0].removeprefix("salt="))
+        if kind == "Encryption" and len(options) == 1 and options[0].removeprefix("key=") not in ("", options[0]):
+            return cls(column, kind, key=options[0].removeprefix("key="))
         if options:
             raise ValueError(f"{column}: {kind} does not take {options}")
         return cls(column, kind)

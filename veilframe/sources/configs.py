@@ -17,3 +17,8 @@ def read_policy(spark: SparkSession, path: str) -> Policy:
 
 def read_link_spec(spark: SparkSession, path: str, **options) -> LinkSpec:
     return LinkSpec.from_json(_text(spark, path), **options)
+
+
+def read_secret(spark: SparkSession, path: str) -> bytes:
+    """The bytes of a file, all of them: a line feed at the end is part of the secret."""
+    return bytes(spark.read.format("binaryFile").load(path).select("content").head()[0])
