@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilframe.functions import named
-from veilframe.sources import materialize, stored
+from veilframe.sources import materialize, scratch
 
 # Leaves of a block, a power of two.
 BLOCK = 1024
@@ -82,10 +82,11 @@ def manifest(
         node.alias("node"),
         F.when(same, node).otherwise(leaf_of(list((cells | others).values()))).alias("other"),
     )
-    with stored(leaves) as kept:
-        placed = _placed(kept, ["order", "node", "other"])
+    with scratch(docs.sparkSession):
+        placed = _placed(materialize(leaves), ["order", "node", "other"])
         nodes = placed.select("group", "place", "node", F.struct("order", "other").alias("own"))
-        found = _climb(nodes, block, lambda tops: _over_groups(tops, block))
+        blocks = _blocks(nodes, block)
+    found = _climb(blocks, block, lambda tops: _over_groups(tops, block))
     return found.select(
         F.col("own.order").alias(order),
         F.when(F.col("group") != "", F.substr("group", F.lit(2))).alias(group),
@@ -125,8 +126,10 @@ def _placed(nodes: DataFrame, order: Sequence[str]) -> DataFrame:
 def _over_groups(tops: DataFrame, block: int) -> DataFrame:
     """The tree over the groups' roots; ``(group, place, subroot, root, proof)``, all at place 0."""
     names = tops.select(F.lit("").alias("group"), F.col("group").alias("name"), "node")
-    placed = _placed(names, ["name"]).select("group", "place", "node", F.struct("name").alias("own"))
-    found = _climb(placed, block, _no_more)
+    with scratch(tops.sparkSession):
+        placed = _placed(names, ["name"])
+        blocks = _blocks(placed.select("group", "place", "node", F.struct("name").alias("own")), block)
+    found = _climb(blocks, block, _no_more)
     return found.select(
         F.col("own.name").alias("group"),
         F.lit(0).cast("long").alias("place"),
@@ -146,23 +149,27 @@ def _no_more(tops: DataFrame) -> DataFrame:
     )
 
 
-def _climb(nodes: DataFrame, block: int, above: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """``(own, group, node, subroot, root, proof)`` of nodes ``(group, place, node, own)``.
+def _blocks(nodes: DataFrame, block: int) -> DataFrame:
+    """``(group, place, members)``, stored: the nodes of each aligned block in order."""
+    member = F.struct(F.col("place").alias("place"), F.col("node").alias("node"), F.col("own").alias("own"))
+    number = F.floor(F.col("place") / block).cast("long").alias("place")
+    blocks = nodes.groupBy("group", number).agg(F.array_sort(F.collect_list(member)).alias("members"))
+    return materialize(blocks, keep=True)
+
+
+def _climb(blocks: DataFrame, block: int, above: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``(own, group, node, subroot, root, proof)`` of the nodes in blocks.
 
     A round hashes every block to one node, which is a leaf of the next round.
     When each group has a single node, ``above`` goes on from there.
     """
-    member = F.struct(F.col("place").alias("place"), F.col("node").alias("node"), F.col("own").alias("own"))
-    number = F.floor(F.col("place") / block).cast("long").alias("place")
-    blocks = nodes.groupBy("group", number).agg(F.array_sort(F.collect_list(member)).alias("members"))
-    blocks = materialize(blocks)
     levels, names = _levels(blocks, block)
     last = F.coalesce(*[F.col(n) for n in reversed(names)]).cast("string")
-    tops = materialize(levels.select("group", "place", last.alias("node")))
+    tops = materialize(levels.select("group", "place", last.alias("node")), keep=True)
     if tops.filter("place > 0").isEmpty():
         upper = above(tops)
     else:
-        upper = _climb(tops.withColumn("own", F.col("place")), block, above)
+        upper = _climb(_blocks(tops.withColumn("own", F.col("place")), block), block, above)
         upper = upper.select("group", F.col("own").alias("place"), "subroot", "root", "proof")
     rows = F.transform(
         "members",
