@@ -1,5 +1,6 @@
 """DartMinHash: its estimate, and classes against all pairs."""
 
+import os
 import random
 import re
 from collections import Counter
@@ -7,8 +8,18 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-
-from veilframe.llm.near_copies import components, deduplicate, near_copies, regions, signatures
+import pytest
+
+from veilframe.llm.arrays import PrimeHash, multiplied
+from veilframe.llm.near_copies import (
+    _across_classes,
+    components,
+    deduplicate,
+    near_copies,
+    regions,
+    signatures,
+)
+from veilframe.sources.tables import shared_folder
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -114,3 +125,97 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(order[i], order[i + 1]) for i in range(n - 1)] + [(1000, 1001)], "a long, b long")
     got = {r.t: r["class"] for r in components(edges).collect()}
     assert got == {i: 0 for i in range(n)} | {1000: 1000, 1001: 1000}
+
+
+def heavy_edits(draw, n, words, most):
+    """Copies of one text with up to ``most`` other words: many resemble it, few each other."""
+    vocabulary = [f"v{i}" for i in range(3000)]
+    base = [draw.choice(vocabulary) for _ in range(words)]
+    rows = []
+    for i in range(n):
+        copy = list(base)
+        for _ in range(draw.randint(0, most)):
+            copy[draw.randrange(words)] = draw.choice(vocabulary)
+        rows.append((i, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("words, most", [(150, 9), (40, 4), (400, 30)])
+def test_groups_of_which_many_lie_apart(stored_docs, words, most):
+    rows = heavy_edits(random.Random(words), 250, words, most)
+    wanted = classes(rows)
+    assert 20 < len({c for _, c in wanted}) < 230
+    got = near_copies(stored_docs(rows, parts=5))
+    assert sorted(((r.doc_id, r["class"]) for r in got.collect()), key=repr) == wanted
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_regions_join_all_similar_pairs_across_classes(spark, threshold):
+    rows = heavy_edits(random.Random(5), 120, 60, 12) + corpus()[:80]
+    column = pa.array([t for _, t in rows], pa.string())
+    region, sizes = regions(column)
+    ends = np.cumsum(sizes)
+    texts = [(i, i % 7, int(s), np.sort(region[b - s : b]).tobytes()) for i, (s, b) in enumerate(zip(sizes, ends)) if s]
+    df = spark.createDataFrame(texts, "t long, c long, size long, regions binary")
+    members = df.groupBy("c").count().withColumnRenamed("count", "members")
+    got = {tuple(r) for r in _across_classes(df, members, threshold).collect()}
+    sets = [shingles(t) for _, t in rows]
+    similar = {(i, j) for i, j in combinations(range(len(rows)), 2)
+               if i % 7 != j % 7 and similarity(sets[i], sets[j]) >= threshold}
+    assert similar and similar <= got and all(i % 7 != j % 7 for i, j in got)
+    # Few others: sizes, rare regions and their places rule them out.
+    assert len(got) < 0.25 * 200 * 199 / 2
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_words_that_meet_modulo_powers_of_two(stored_docs):
+    rows = []
+    for n in (512, 1024, 4096):
+        word = thue_morse(n)
+        rows += [(n, word), (n + 1, word.translate({97: 98, 98: 97}))]
+    got = near_copies(stored_docs(rows))
+    assert sorted(map(tuple, got.collect())) == [(k, k) for k, _ in rows]
+
+
+def test_products_modulo_the_prime():
+    draw, p = random.Random(2), (1 << 61) - 1
+    edge = [0, 1, 2, p - 1, p - 2, (1 << 31) - 1, 1 << 31, 1 << 60]
+    pairs = [(a, b) for a in edge for b in edge] + [(draw.randrange(p), draw.randrange(p)) for _ in range(1000)]
+    a, b = (np.array(side, np.uint64) for side in zip(*pairs))
+    assert multiplied(a, b).tolist() == [x * y % p for x, y in pairs]
+
+
+def test_hashes_depend_on_the_string_alone():
+    draw = random.Random(4)
+    data = np.array([draw.choice(b"abc") for _ in range(3000)], np.uint8)
+    spans = PrimeHash(9)
+    sums, at = spans.sums(data), np.array([draw.randrange(2900) for _ in range(4000)])
+    ends = at + np.array([draw.randrange(1, 9) for _ in range(4000)])
+    seen = {}
+    for start, end, value in zip(at, ends, spans.spans(sums, at, ends).tolist()):
+        assert seen.setdefault(data[start:end].tobytes(), value) == value
+    assert len(set(seen.values())) == len(seen)
+    p, base, word = (1 << 61) - 1, int(spans.base), data[7:15].tolist()
+    assert spans.spans(sums, np.array([7]), np.array([15]))[0] == sum(
+        int(spans.values[c]) * pow(base, j, p) for j, c in enumerate(word)) % p
+
+
+def test_names_that_the_operator_might_use(stored_docs):
+    rows = corpus()[:40]
+    docs = stored_docs(rows)
+    for name in ("__row", "row_", "bucket", "digest", "first", "group", "o", "e", "regions"):
+        docs = docs.selectExpr("*", f"doc_id + 1 AS `{name}`")
+    kept = deduplicate(docs)
+    assert kept.columns == docs.columns
+    assert all(r["__row"] == r["row_"] == r.doc_id + 1 and r.row == "extra" for r in kept.collect())
+    assert sorted(map(tuple, near_copies(docs).collect()), key=repr) == classes(rows)
+
+
+def test_nothing_stored_is_left_but_the_result(spark, stored_docs):
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    assert near_copies(stored_docs(corpus())).count() == len(corpus())
+    assert len(set(os.listdir(folder)) - before) == 1

@@ -10,12 +10,15 @@ from __future__ import annotations
 
 import ctypes
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PIECE_BYTES = 1 << 20
 
@@ -72,6 +75,65 @@ def span_hash(seed: int, symbols: int = 256) -> SpanHash:
     return SpanHash(seed, symbols)
 
 
+PRIME = np.uint64((1 << 61) - 1)
+LOW = np.uint64((1 << 31) - 1)
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _shifted(x: np.ndarray) -> np.ndarray:
+    """``x * 2**31`` modulo the prime, by which it turns the 61 bits."""
+    return ((x & np.uint64((1 << 30) - 1)) << np.uint64(31)) | (x >> np.uint64(30))
+
+
+def multiplied(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The product of integers below the prime, modulo the prime, in 64-bit steps."""
+    a_low, a_high, b_low, b_high = a & LOW, a >> np.uint64(31), b & LOW, b >> np.uint64(31)
+    middle = _reduced(a_high * b_low + a_low * b_high)
+    # 2**62 is 2 modulo the prime.
+    return _reduced(_reduced(a_low * b_low) + _shifted(middle) + a_high * b_high * np.uint64(2))
+
+
+class PrimeHash:
+    """Hashes of substrings as polynomials modulo the prime ``2**61 - 1``.
+
+    Two strings of ``n`` symbols have the same hash for at most ``n`` of all
+    bases; modulo a power of two there are strings that meet for every base.
+    """
+
+    def __init__(self, seed: int, symbols: int = 256):
+        base = int(seeded(seed)) % int(PRIME - np.uint64(2)) + 2
+        self.base, self.inverse = np.uint64(base), np.uint64(pow(base, -1, int(PRIME)))
+        self.values = mix(np.arange(symbols, dtype=np.uint64) + seeded(seed + 1)) % (PRIME - np.uint64(1)) + np.uint64(1)
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        while len(self.up) < n:
+            for name, base in (("up", self.base), ("down", self.inverse)):
+                powers = getattr(self, name)
+                step = multiplied(powers[-1:], base)
+                setattr(self, name, np.concatenate([powers, multiplied(powers, step)]))
+
+    def sums(self, symbols: np.ndarray) -> np.ndarray:
+        self._grow(len(symbols) + 1)
+        terms = multiplied(self.values[symbols], self.up[: len(symbols)])
+        total = np.zeros(len(symbols) + 1, np.uint64)
+        low = _reduced(np.cumsum(terms & LOW, dtype=np.uint64))
+        total[1:] = _reduced(low + _shifted(_reduced(np.cumsum(terms >> np.uint64(31), dtype=np.uint64))))
+        return total
+
+    def spans(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return multiplied(_reduced(sums[ends] + PRIME - sums[starts]), self.down[starts])
+
+
+@lru_cache(maxsize=None)
+def prime_hash(seed: int, symbols: int = 256) -> PrimeHash:
+    return PrimeHash(seed, symbols)
+
+
 def release() -> None:
     """Give memory that is no longer used back to the system.
 
@@ -102,6 +164,38 @@ def record_pieces(
         release()
 
 
+# A list of rows up to this length may be sent to every executor; they are two or three numbers each.
+SHORT_LIST = 2_000_000
+
+
+def if_short(df: DataFrame, limit: int = SHORT_LIST) -> DataFrame:
+    """A stored table marked for broadcast if it has been counted to be short, else as it is."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, or a longer one, that no column of the tables has."""
+    taken = {column.lower() for table in tables for column in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+@contextmanager
+def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go as soon as the job that wrote them has stored its result."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

@@ -8,11 +8,14 @@ about ``k ln k + 2k`` of them are seen, whatever its weight. The earliest dart
 on each of ``k`` coordinates is the signature; two documents agree on a
 coordinate with a probability that is their weighted Jaccard similarity.
 
-Signatures are joined by bands. Within a bucket every text is compared with
-one pivot, exactly and on all its regions. While buckets hold several classes
-their texts are compared with further pivots, and at last with all of the bucket
-from which they are still apart. Copies, of which only the first is compared, get the class of the
-text they repeat.
+Signatures are joined by bands. Every text is first compared, exactly and on all
+its regions, with the most central text of its buckets, the one that most
+buckets share most. What is linked by that is one class. Buckets that still
+hold several classes are not compared pair by pair: two texts of which at least
+``THRESHOLD`` is common must share one of their rarest regions, at a place that
+leaves room for the rest. Texts of mixed buckets are joined by these alone, and
+only across classes. Copies, of which only the first is compared, get the class
+of the text they repeat.
 """
 
 from __future__ import annotations
@@ -21,26 +24,30 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.functions import named
 from veilframe.llm.arrays import (
+    dropped_shuffles,
+    free_name,
+    if_short,
     joined_utf8,
     mix,
     record_pieces,
+    prime_hash,
     repeated_ranges,
     seeded,
-    span_hash,
     words,
 )
-from veilframe.sources import materialize
+from veilframe.sources import materialize, scratch
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
 THRESHOLD = 0.8
 PIECE = 512 << 10
-# How many texts of a bucket the others are compared with before all are.
-TURNS = 8
+# Texts are told apart by size in steps of this ratio when their rarest regions are joined.
+STEP = 17 / 16
 
 
 def regions(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -52,7 +59,7 @@ def regions(column: pa.Array, shingle: int = SHINGLE) -> tuple[np.ndarray, np.nd
     data, starts, _ = joined_utf8(column)
     n = len(starts)
     folded, at, end = words(data)
-    spans = span_hash(23)
+    spans = prime_hash(23)
     hashes = mix(spans.spans(spans.sums(folded), at, end))
     owner = np.searchsorted(starts, at, side="right") - 1
     count = np.bincount(owner, minlength=n)
@@ -123,8 +130,8 @@ def band_keys(dart: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return keys
 
 
-def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``(t, bands)`` of every row whose text has a word."""
+def _buckets(docs: DataFrame, bands: int, rows: int) -> DataFrame:
+    """``(t, buckets)`` of every row whose text has a word; a dart is of one band, and so is a bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in record_pieces(batches, "text", PIECE):
@@ -135,28 +142,31 @@ def _sketches(docs: DataFrame, bands: int, rows: int) -> DataFrame:
             keys = band_keys(signatures(region, sizes, bands * rows)[some], bands, rows)
             lists = pa.FixedSizeListArray.from_arrays(pa.array(keys.view(np.int64).reshape(-1)), bands)
             yield pa.record_batch(
-                [piece.column("t").take(pa.array(some)), lists.cast(pa.list_(pa.int64()))], ["t", "bands"]
+                [piece.column("t").take(pa.array(some)), lists.cast(pa.list_(pa.int64()))], ["t", "buckets"]
             )
 
-    return docs.select("t", "text").mapInArrow(run, "t long, bands array<long>")
+    return docs.select("t", "text").mapInArrow(run, "t long, buckets array<long>")
 
 
 def _region_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(t, regions)`` of the wanted texts; the regions sorted, as 64-bit numbers."""
+    """``(t, o, size, regions)`` of the wanted ``(t, o)``; the regions sorted, as 64-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in record_pieces(batches, "text", PIECE):
             region, sizes = regions(piece.column("text"))
             ends = np.cumsum(sizes)
             sets = [np.sort(region[b - s : b]).tobytes() for s, b in zip(sizes, ends)]
-            yield pa.record_batch([piece.column("t"), pa.array(sets, pa.binary())], ["t", "regions"])
+            yield pa.record_batch(
+                [piece.column("t"), piece.column("o"), pa.array(sizes, pa.int64()), pa.array(sets, pa.binary())],
+                ["t", "o", "size", "regions"],
+            )
 
-    chosen = docs.select("t", "text").join(wanted, "t", "left_semi")
-    return chosen.mapInArrow(run, "t long, regions binary")
+    chosen = docs.select("t", "text").join(if_short(wanted), "t")
+    return chosen.select("t", "o", "text").mapInArrow(run, "t long, o long, size long, regions binary")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``(a, b)`` whose weighted Jaccard similarity reaches the threshold."""
+def _similar(pairs: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)`` of the pairs ``(a, b, x, y)`` whose region sets' Jaccard similarity reaches the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -173,9 +183,75 @@ def _similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
                     keep.append(i)
             yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    joined = pairs.join(sets.select(F.col("t").alias("a"), F.col("regions").alias("x")), "a")
-    joined = joined.join(sets.select(F.col("t").alias("b"), F.col("regions").alias("y")), "b")
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return pairs.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _elements(sets: DataFrame) -> DataFrame:
+    """``(t, c, e)``: a row for every region of every text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column("regions")]
+            of = pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))
+            names = [batch.column(n).take(of) for n in ("t", "c")]
+            yield pa.record_batch([*names, pa.array(np.concatenate([*found, np.zeros(0, np.int64)]))], ["t", "c", "e"])
+
+    return sets.select("t", "c", "regions").mapInArrow(run, "t long, c long, e long")
+
+
+def _step(size: Column) -> Column:
+    return F.floor(F.log(size) / float(np.log(STEP)))
+
+
+def _least_common(a: Column, b: Column, threshold: float) -> Column:
+    """How many regions two texts of these sizes must have in common."""
+    return F.ceil((a + b) * (threshold / (1 + threshold)) - 1e-9)
+
+
+def _across_classes(texts: DataFrame, sizes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` of texts of different classes that may reach the threshold.
+
+    All that do are among them. ``texts`` is ``(t, c, size, regions)`` with the
+    class ``c``, ``sizes`` is ``(c, members)``. The order of regions is the same
+    for all texts: those of one class only come first, since they lead to no
+    other, then the rarer ones. If ``k`` regions must be common, the first
+    common one is behind at most ``size - k`` others in both texts. ``k`` depends
+    on both sizes, so regions are joined per pair of steps of sizes. Within
+    such a place the members of the largest class are not joined with each other.
+    """
+    elements = materialize(_elements(texts))
+    shared = elements.groupBy("e").agg(F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    shared = shared.filter("lo < hi").select("e", "n")
+    lists = elements.join(shared, "e").groupBy("t").agg(F.array_sort(F.collect_list(F.struct("n", "e"))).alias("shared"))
+    size, t = F.col("size"), threshold
+    prefixes = texts.select("t", "c", "size").join(lists, "t").join(sizes, "c")
+    steps = F.sequence(_step(F.ceil(size * t)), _step(F.floor(size / t)))
+    prefixes = prefixes.withColumn("own", _step(size)).withColumn("other", F.explode(steps))
+    least = F.greatest(F.floor(F.pow(F.lit(STEP), F.col("other"))), F.ceil(size * t))
+    alone = size - F.size("shared")
+    room = (size - _least_common(size, least, t) - alone + 1).cast("int")
+    prefixes = prefixes.withColumn("before", alone).filter(room > 0)
+    places = prefixes.select(
+        "t", "c", "members", "size", "own", "before",
+        F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        F.posexplode(F.slice("shared", 1, room)).alias("i", "region"),
+    )
+    places = places.withColumn("e", F.col("region.e")).withColumn("place", F.col("before") + F.col("i"))
+    places = materialize(places.drop("region", "i", "before"))
+    on = ["e", "low", "high"]
+    keys = places.groupBy(*on).agg(
+        F.min("c").alias("first"), F.max("c").alias("last"), F.max(F.struct("members", "c")).alias("main")
+    )
+    keys = keys.filter("first < last").select(*on, F.col("main.c").alias("main"))
+    mixed = materialize(places.join(keys, on).select(*on, "main", "t", "c", "size", "own", "place"))
+    one, two = mixed.filter("c <> main").alias("x"), mixed.alias("y")
+    x, y = (lambda n: F.col(f"x.{n}")), (lambda n: F.col(f"y.{n}"))
+    fits = (x("c") != y("c")) & (x("own") + y("own") == x("low") + x("high"))
+    common = F.least(x("size") - x("place"), y("size") - y("place"))
+    fits = fits & (common >= _least_common(x("size"), y("size"), t))
+    same = [x(n) == y(n) for n in on]
+    met = one.join(two, [*same, fits])
+    return met.select(F.least(x("t"), y("t")).alias("a"), F.greatest(x("t"), y("t")).alias("b")).distinct()
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -243,11 +319,15 @@ def near_copies(
 
     ``docs`` is read several times and must give the same rows in the same
     order each time, as a stored table does. No pair that shares a bucket is
-    left out: each is compared, or already in one class when its turn comes.
+    left out: each is compared, already in one class, or of too few common
+    regions to reach the threshold.
     """
-    labelled = _groups(docs, key, text, bands, rows, threshold)
-    smallest = materialize(labelled.groupBy("group").agg(F.min("key").alias("class")))
-    return labelled.join(smallest, "group").select(F.col("key").alias(key), "class")
+    spark = docs.sparkSession
+    with scratch(spark), dropped_shuffles(spark):
+        labelled = _groups(docs, key, text, bands, rows, threshold)
+        smallest = materialize(labelled.groupBy("group").agg(F.min("key").alias("class")))
+        found = materialize(labelled.join(smallest, "group").select(F.col("key").alias(key), "class"), keep=True)
+    return found
 
 
 def deduplicate(
@@ -259,70 +339,64 @@ def deduplicate(
     threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row of each class of ``near_copies``: that of the smallest key, and the first of those."""
-    labelled = _groups(docs, key, text, bands, rows, threshold)
-    order = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("t").alias("t"))
-    kept = labelled.groupBy("group").agg(F.min(order).alias("kept"))
-    kept = materialize(kept.select(F.col("kept.t").alias("__row")))
-    numbered = docs.withColumn("__row", F.monotonically_increasing_id())
-    return numbered.join(kept, "__row", "left_semi").drop("__row")
+    spark = docs.sparkSession
+    with scratch(spark), dropped_shuffles(spark):
+        labelled = _groups(docs, key, text, bands, rows, threshold)
+        order = F.struct(F.col("key").isNull().alias("none"), F.col("key").alias("key"), F.col("t").alias("t"))
+        kept = materialize(labelled.groupBy("group").agg(F.min(order).alias("kept")).select(F.col("kept.t").alias("t")))
+        gone = materialize(labelled.select("t").join(kept, "t", "left_anti"), keep=True)
+    row = free_name("row", docs)
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    return numbered.join(if_short(gone.withColumnRenamed("t", row)), row, "left_anti").drop(row)
 
 
 def _groups(
     docs: DataFrame, key: str, text: str, bands: int, rows: int, threshold: float
 ) -> DataFrame:
-    """``(t, key, group)``: each row by its number, and a row that names its class."""
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    named = docs.select(
-        F.monotonically_increasing_id().alias("t"), F.col(key).alias("key"), whole.alias("text")
+    """``(t, key, group)``, stored: each row by its number, and a row that names its class."""
+    whole = F.coalesce(named(text).cast("string"), F.lit(""))
+    texts = docs.select(
+        F.monotonically_increasing_id().alias("t"), named(key).alias("key"), whole.alias("text")
     )
-    rows_of = named.select("t", "key", F.unhex(F.md5("text")).alias("digest"), (F.col("text") == "").alias("empty"))
+    digest = F.when(F.col("text") != "", F.unhex(F.md5("text"))).alias("digest")
+    rows_of = materialize(texts.select("t", "key", digest))
     # The first row of each text stands for its copies.
-    firsts = materialize(rows_of.filter(~F.col("empty")).groupBy("digest").agg(F.min("t").alias("first")))
-    sketches = materialize(_sketches(named, bands, rows))
-    sketches = sketches.join(firsts.select(F.col("first").alias("t")), "t")
-    buckets = materialize(sketches.select("t", F.posexplode("bands").alias("band", "bucket")))
-    # One scrambled order for all bands: near copies then tend to share a pivot.
-    order = F.struct(F.xxhash64("t").alias("o"), F.col("t").alias("t"))
-    pivots = buckets.groupBy("band", "bucket").agg(F.min(order).alias("p"), F.count("*").alias("n"))
-    pivots = materialize(pivots.filter("n > 1").select("band", "bucket", F.col("p").alias("pivot")))
-    members = materialize(buckets.join(pivots, ["band", "bucket"]))
-    sets = materialize(_region_sets(named, members.select("t").distinct()))
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        ends = [F.least("t", "o").alias("a"), F.greatest("t", "o").alias("b")]
-        return materialize(_similar(pairs.filter("t <> o").select(*ends).distinct(), sets, threshold))
-
-    # First each text with the first of its pivots ...
-    best = members.groupBy("t").agg(F.min("pivot").alias("p")).select("t", F.col("p.t").alias("o"))
-    classes = components(compared(best))
-    # ... then, in buckets that still hold several classes, with one text after the other ...
-    live, where = members.select("t", "band", "bucket"), ["band", "bucket"]
-    for turn in range(TURNS):
-        mine = classes.select("t", F.col("class").alias("c"))
-        mine = live.join(mine, "t", "left").withColumn("c", F.coalesce("c", "t"))
-        order = F.struct(F.xxhash64("t", F.lit(turn)).alias("h"), F.col("t").alias("t"), F.col("c").alias("c"))
-        mixed = mine.groupBy(*where).agg(F.min(order).alias("p"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-        mixed = mixed.filter("lo <> hi").select(*where, F.col("p.t").alias("o"), F.col("p.c").alias("oc"))
-        held = materialize(mine.join(materialize(mixed), where))
-        found = compared(held.filter("c <> oc").select("t", "o"))
-        live = held.select("t", *where)
-        if found.isEmpty():
-            break
-        classes = _joined(classes, found)
-    # ... and what is still apart from the last of these with the rest of the bucket.
-    apart = materialize(_classed(held.select("t", *where, "o"), classes))
-    strays = apart.filter("c <> oc").select(*where, F.col("t").alias("s"), F.col("c").alias("sc"))
-    rest = apart.filter("t <> o").join(strays, where).filter("c <> sc")
-    classes = _joined(classes, compared(rest.select("t", F.col("s").alias("o"))))
-
-    labelled = rows_of.join(firsts, "digest", "left").withColumn("first", F.coalesce("first", "t"))
-    labelled = labelled.join(classes.withColumnRenamed("t", "first"), "first", "left")
-    return labelled.select("t", "key", F.coalesce("class", "first").alias("group"))
-
-
-def _classed(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """``pairs`` with the class ``c`` of ``t`` and ``oc`` of ``o``."""
+    firsts = materialize(rows_of.filter("digest IS NOT NULL").groupBy("digest").agg(F.min("t").alias("first")))
+    sketches = _buckets(texts, bands, rows).join(firsts.select(F.col("first").alias("t")), "t")
+    held = materialize(sketches).select("t", F.explode("buckets").alias("bucket"))
+    shared = materialize(held.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"))
+    members = materialize(held.join(shared, "bucket"))
+
+    # Each text is compared with the most central one that it meets, itself if it is that.
+    weight = members.groupBy("t").agg(F.sum("n").alias("weight"))
+    weighted = members.select("t", "bucket").join(weight, "t")
+    centre = F.max(F.struct(F.col("weight").alias("weight"), (-F.col("t")).alias("o"))).alias("centre")
+    centres = weighted.groupBy("bucket").agg(centre)
+    best = members.select("t", "bucket").join(centres, "bucket").groupBy("t").agg(F.max("centre").alias("centre"))
+    best = materialize(best.select("t", (-F.col("centre.o")).alias("o")))
+    sets = materialize(_region_sets(texts, best))
+    hubs = sets.join(best.select(F.col("o").alias("t")).distinct(), "t", "left_semi")
+    hubs = hubs.select(F.col("t").alias("o"), F.col("regions").alias("y"))
+    near = sets.filter("t <> o").join(hubs, "o")
+    near = near.select(F.col("t").alias("a"), F.col("o").alias("b"), F.col("regions").alias("x"), "y")
+    classes = components(_similar(near, threshold))
+
+    # Texts of buckets with several classes are compared across them, wherever that can matter.
     mine = classes.select("t", F.col("class").alias("c"))
-    other = classes.select(F.col("t").alias("o"), F.col("class").alias("oc"))
-    found = pairs.join(mine, "t", "left").join(other, "o", "left")
-    return found.withColumn("c", F.coalesce("c", "t")).withColumn("oc", F.coalesce("oc", "o"))
+    classed = members.select("t", "bucket").join(mine, "t", "left").withColumn("c", F.coalesce("c", "t"))
+    classed = materialize(classed)
+    mixed = classed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi")
+    apart = classed.join(mixed.select("bucket"), "bucket", "left_semi").select("t", "c").distinct()
+    apart = materialize(apart)
+    if not apart.isEmpty():
+        of = materialize(sets.select("t", "size", "regions").join(apart, "t"))
+        size = classed.select("t", "c").distinct().groupBy("c").agg(F.count("*").alias("members"))
+        pairs = materialize(_across_classes(of, size, threshold))
+        for end, into in (("a", "x"), ("b", "y")):
+            pairs = pairs.join(of.select(F.col("t").alias(end), F.col("regions").alias(into)), end)
+        classes = _joined(classes, materialize(_similar(pairs, threshold)))
+
+    labelled = rows_of.join(firsts, "digest").select("t", "key", "first")
+    empty = rows_of.filter("digest IS NULL").select("t", "key", F.col("t").alias("first"))
+    labelled = labelled.unionByName(empty).join(classes.withColumnRenamed("t", "first"), "first", "left")
+    return materialize(labelled.select("t", "key", F.coalesce("class", "first").alias("group")))
