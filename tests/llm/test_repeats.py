@@ -1,10 +1,12 @@
 """Removal of repeated strings against a table of all strings."""
 
+import os
 import random
 
 import pytest
 
 from veilframe.llm.repeats import COVERS, remove_repeats
+from veilframe.sources.tables import shared_folder
 
 
 def brute(rows, n):
@@ -59,3 +61,24 @@ def test_copies_within_a_shard_and_across(stored_docs):
 
 def test_empty_table(stored_docs):
     assert remove_repeats(stored_docs([])).count() == 0
+
+
+def test_whole_copies_and_strings_that_stand_twice_in_a_text(stored_docs):
+    line = "a line that stands in many documents, sometimes more than once each; "
+    other = "another one of more than fifty bytes that only some of them have at all. "
+    rows = [(i, f"{i * 7919} " + line * (1 + i % 4) + other * (i % 3) + f"{i} " + line * (i % 2)) for i in range(150)]
+    rows += [(1000 + i, rows[i][1]) for i in range(0, 150, 3)] + [(-1, rows[7][1]), (None, rows[8][1]), (9, rows[9][1])]
+    rows += [(2000 + i, "short copy") for i in range(5)] + [(3000 + i, "z" * 49) for i in range(3)]
+    assert rows_of(remove_repeats(stored_docs(rows, parts=6))) == brute(rows, 50)
+    docs = stored_docs(rows).withColumnsRenamed({"doc_id": "digest", "text": "removed"})
+    got = remove_repeats(docs, key="digest", text="removed")
+    assert got.columns == ["digest", "n_bytes", "removed", "kept"] and got.count() == len(rows)
+
+
+def test_only_what_the_result_reads_stays_stored(spark, stored_docs):
+    folder = shared_folder(spark)
+    before = set(os.listdir(folder))
+    rows = [(i, f"{i} " + "the same text " * 9) for i in range(30)]
+    assert remove_repeats(stored_docs(rows)).count() == 30
+    # The shards, the whole copies and the reports of four buckets.
+    assert len(set(os.listdir(folder)) - before) == 6

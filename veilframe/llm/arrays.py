@@ -9,7 +9,7 @@ is a piece of its own.
 from __future__ import annotations
 
 import ctypes
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
@@ -19,6 +19,9 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from veilframe.functions import named
 
 PIECE_BYTES = 1 << 20
 
@@ -196,6 +199,50 @@ def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
+def with_columns_of_text(
+    docs: DataFrame,
+    text: str,
+    made: dict[str, str],
+    of: Callable[[pa.Array], list[pa.Array]],
+    limit: int = PIECE_BYTES,
+    without: tuple[str, ...] = (),
+) -> DataFrame:
+    """``docs`` with the columns ``made``, name to type, that ``of`` makes of a piece's texts.
+
+    All rows and all other columns stay as they are, whatever their names, but
+    for those ``without`` names; columns that have the new names are replaced.
+    """
+    kept = docs.drop(*made, *without)
+    name = free_name("text", kept)
+    new = T.StructType.fromDDL(", ".join(f"`{n.replace('`', '``')}` {kind}" for n, kind in made.items()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in record_pieces(batches, name, limit):
+            columns = [piece.column(i) for i in range(piece.num_columns - 1)]
+            names = [*piece.schema.names[:-1], *made]
+            yield pa.record_batch([*columns, *of(piece.column(name))], names)
+
+    source = docs.select(*map(named, kept.columns), named(text).cast("string").alias(name))
+    return source.mapInArrow(run, T.StructType([*kept.schema, *new]))
+
+
+def gathered(
+    batches: Iterable[pa.RecordBatch], text: str, limit: int = PIECE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """As ``record_pieces``, but small slices of several batches become one."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for piece in record_pieces(batches, text, limit):
+        more = piece.column(text).nbytes
+        if held and size + more > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(piece)
+        size += more
+    if held:
+        yield pa.concat_batches(held)
+
+
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 

@@ -12,58 +12,50 @@ ties with another document. All other suffixes drop out before any sorting.
 
 Then, one bucket after the other, the remaining suffixes are sorted and runs
 of equals that hold more than one document are reported to where they start.
-What is shuffled at a time is a bucket's share of the suffixes; a text that a
+What is shuffled at a time is a bucket's share of the suffixes; a string that a
 shard holds many times has one entry. Ranks are 64-bit hashes of the strings
 rather than places in their alphabetical order: only equality matters here.
 Suffixes are compared on 96 bits.
+
+Texts that repeat an earlier one as a whole are told by their SHA-256 before
+all that: every string of theirs starts in the earlier text as well.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.functions import named
 from veilframe.llm.arrays import (
+    dropped_shuffles,
+    gathered,
+    if_short,
     joined_utf8,
     mix,
     packed,
-    record_pieces,
     repeated_ranges,
     span_hash,
     unpacked,
 )
-from veilframe.sources import materialize
+from veilframe.sources import materialize, scratch
 
 LENGTH = 50
 SHARD_BYTES = 2 << 20
-COVER_BITS, SUFFIX_BITS = 2, 3  # 4 and 8 buckets
+COVER_BITS, SUFFIX_BITS = 1, 2  # 2 and 4 buckets
+# Bytes of text whose entries of a bucket meet in one group.
+GROUP_BYTES = 16 << 20
 
 # Difference covers by period; every difference occurs in each.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 
 
-@contextmanager
-def _dropped_shuffles(spark: SparkSession):
-    """Shuffle files go as soon as the job that wrote them has stored its result."""
-    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, before)
-
-
 class Shard:
     """Texts back to back; documents without a key take no part."""
 
@@ -155,15 +147,23 @@ def _batch(found: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names)
 
 
-def _stored_shards(docs: DataFrame, key: str, text: str) -> DataFrame:
-    rows = docs.select(
-        F.col(key).cast("long").alias("key"),
-        F.col(text).cast("string").alias("text"),
-        F.spark_partition_id().alias("task"),
-    )
+def _whole_copies(rows: DataFrame, length: int) -> DataFrame:
+    """``(t)``, stored: the rows whose text a row with a smaller key has too."""
+    long = F.col("key").isNotNull() & (F.octet_length("text") >= length)
+    heads = rows.filter(long).select("t", "key", F.unhex(F.sha2("text", 256)).alias("digest"))
+    heads = materialize(heads)
+    least = heads.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last"))
+    least = materialize(least.filter("first < last").select("digest", "first"))
+    return materialize(heads.join(least, "digest").filter("key > first").select("t"), keep=True)
+
+
+def _stored_shards(rows: DataFrame) -> DataFrame:
+    rows = rows.select("key", "text", F.spark_partition_id().alias("task"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, piece in enumerate(record_pieces(batches, "text", SHARD_BYTES)):
+        for number, piece in enumerate(gathered(batches, "text", SHARD_BYTES)):
+            if not piece.num_rows:
+                continue
             data, starts, ends = joined_utf8(piece.column("text"))
             inside = np.ones(len(data), bool)
             inside[ends] = False
@@ -179,7 +179,7 @@ def _stored_shards(docs: DataFrame, key: str, text: str) -> DataFrame:
             )
 
     schema = "shard long, keys array<long>, lengths array<long>, data binary"
-    return materialize(rows.mapInArrow(run, schema))
+    return materialize(rows.mapInArrow(run, schema), keep=True)
 
 
 def _tied_ranks(shards: DataFrame, length: int, bucket: int, ranges: int) -> DataFrame:
@@ -275,18 +275,37 @@ def _in_play(shards: DataFrame, tied: DataFrame, length: int) -> DataFrame:
 
 
 def _entries(key: np.ndarray, check: np.ndarray, text: np.ndarray, position: np.ndarray):
-    """One entry per distinct string: the smallest text that has it and a place there."""
+    """One entry per distinct string, and the positions of it that need no further comparison.
+
+    An entry has the smallest key with the string, a place there, and whether
+    there are more places of that key. Places of other keys are behind it.
+    """
     order, run = _sorted_runs(key, check)
     size = np.diff(np.append(run, len(key)))
     text, position = text[order], position[order]
-    low = np.minimum.reduceat(text, run)
-    behind = np.where(text == np.repeat(low, size), position, np.iinfo(np.int64).max)
+    later = text > np.repeat(np.minimum.reduceat(text, run), size)
+    place = np.where(later, np.iinfo(np.int64).max, position)
+    more = np.add.reduceat(~later, run) > 1
     first = order[run]
-    return key[first], check[first], low, np.minimum.reduceat(behind, run)
+    low = np.minimum.reduceat(text, run)
+    return key[first], check[first], low, np.minimum.reduceat(place, run), more, np.sort(position[later])
+
+
+def _differences(positions: np.ndarray) -> bytes:
+    """Ascending places below 2**32."""
+    return packed(np.diff(positions.astype(np.uint32), prepend=np.uint32(0)).astype(np.uint32))
+
+
+def _places(data: list[bytes]) -> np.ndarray:
+    found = [np.cumsum(unpacked(x, np.uint32), dtype=np.int64) for x in data]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 def _later_starts(stretches: DataFrame, length: int, bucket: int, ranges: int) -> DataFrame:
-    """``(shard, positions)`` of a bucket's suffixes that an earlier text has too."""
+    """``(shard, positions, more)`` of a bucket's suffixes that an earlier text has too.
+
+    ``more`` are those of the positions whose key has the same string elsewhere.
+    """
 
     def sorted_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
@@ -303,15 +322,16 @@ def _later_starts(stretches: DataFrame, length: int, bucket: int, ranges: int) -
             stretch = np.repeat(np.arange(len(sizes)), count)[chosen]
             check = _ranks(data, at[chosen], length, 43).astype(np.uint32)
             position = at[chosen] - first[stretch] + starts[stretch]
-            key, check, text, position = _entries(key[chosen], check, texts[stretch], position)
+            key, check, text, position, more, behind = _entries(key[chosen], check, texts[stretch], position)
             found = [
                 (
                     i, row["shard"], packed(key[s]), packed(check[s]), packed(text[s]),
-                    packed(position[s].astype(np.uint32)),
+                    packed(position[s].astype(np.uint32)), np.packbits(more[s]).tobytes(), _differences(behind[:0]),
                 )
                 for i, s in _pieces(ranges, _range_of(key, SUFFIX_BITS, ranges))
             ]
-            yield _batch(found, ["part", "shard", "keys", "checks", "texts", "positions"])
+            found[0] = (*found[0][:-1], _differences(behind))
+            yield _batch(found, ["part", "shard", "keys", "checks", "texts", "positions", "more", "behind"])
 
     def equal(group: pa.Table) -> pa.Table:
         read = lambda c, kind: [unpacked(x, kind) for x in group.column(c).to_pylist()]
@@ -322,49 +342,56 @@ def _later_starts(stretches: DataFrame, length: int, bucket: int, ranges: int) -
         first = np.minimum.reduceat(text[order], run)
         later = np.zeros(len(key), bool)
         later[order] = text[order] > np.repeat(first, np.diff(np.append(run, len(key))))
-        shards_, found, at = [], [], 0
-        for shard, positions in zip(group.column("shard").to_pylist(), read("positions", np.uint32)):
-            mine = np.sort(positions[later[at : at + len(positions)]])
+        found, at = [], 0
+        columns = [group.column(c).to_pylist() for c in ("shard", "more", "behind")]
+        for shard, several, behind, positions in zip(*columns, read("positions", np.uint32)):
+            mine = later[at : at + len(positions)]
             at += len(positions)
-            if len(mine):
-                shards_.append(shard)
-                found.append(packed(np.diff(mine, prepend=np.uint32(0)).astype(np.uint32)))
-        return pa.table({"shard": pa.array(shards_, pa.int64()), "positions": pa.array(found, pa.binary())})
+            several = np.unpackbits(np.frombuffer(several, np.uint8), count=len(positions)).astype(bool)
+            places = np.sort(np.concatenate([positions[mine].astype(np.int64), _places([behind])]))
+            if len(places):
+                found.append((shard, _differences(places), _differences(np.sort(positions[mine & several]))))
+        names, kinds = ["shard", "positions", "more"], [pa.int64(), pa.binary(), pa.binary()]
+        columns = list(zip(*found)) or [()] * 3
+        return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
     lists = stretches.mapInArrow(
-        sorted_suffixes, "part int, shard long, keys binary, checks binary, texts binary, positions binary"
+        sorted_suffixes,
+        "part int, shard long, keys binary, checks binary, texts binary, positions binary, more binary, behind binary",
     )
-    return materialize(lists.groupBy("part").applyInArrow(equal, "shard long, positions binary"))
+    schema = "shard long, positions binary, more binary"
+    return materialize(lists.groupBy("part").applyInArrow(equal, schema), keep=True)
 
 
-def _removed(shard: Shard, later: np.ndarray, length: int) -> np.ndarray:
+def _removed(shard: Shard, later: np.ndarray, more: np.ndarray, length: int) -> np.ndarray:
     """For each byte whether a string that an earlier text has covers it."""
-    removed = np.zeros(len(shard.data) + 1, np.int32)
-    position, owner = shard.suffixes(length)
-    key = _ranks(shard.data, position, length)
-    # Only strings that the shard has more than once, or that were reported, matter.
-    ordered = np.sort(key)
-    wanted = np.concatenate([ordered[1:][ordered[1:] == ordered[:-1]], _ranks(shard.data, later, length)])
-    wanted = np.unique(wanted)
-    if not len(wanted):
-        return removed[:-1] > 0
-    maybe = np.zeros(1 << 22, bool)
-    maybe[wanted & np.uint64(maybe.size - 1)] = True
-    chosen = np.flatnonzero(maybe[key & np.uint64(maybe.size - 1)])
-    at = np.minimum(np.searchsorted(wanted, key[chosen]), len(wanted) - 1)
-    chosen = chosen[wanted[at] == key[chosen]]
-    position, key, text = position[chosen], key[chosen], shard.keys[owner[chosen]]
-    check = _ranks(shard.data, position, length, 43).astype(np.uint32)
-    reported = np.zeros(len(shard.data), bool)
-    reported[later] = True
-    order, run = _sorted_runs(key, check)
-    count = np.diff(np.append(run, len(key)))
-    everywhere = np.logical_or.reduceat(reported[position[order]], run)
-    first = np.minimum.reduceat(text[order], run)
-    gone = position[order[np.repeat(everywhere, count) | (text[order] > np.repeat(first, count))]]
-    removed += np.bincount(gone, minlength=len(removed)).astype(np.int32)
-    removed[length:] -= np.bincount(gone, minlength=len(removed)).astype(np.int32)[:-length]
-    return np.cumsum(removed)[:-1] > 0
+    if len(more):
+        later = np.concatenate([later, _same_in_texts(shard, more, length)])
+    size = len(shard.data) + 1
+    edges = np.bincount(later, minlength=size) - np.bincount(later + length, minlength=size)
+    return np.cumsum(edges)[:-1] > 0
+
+
+def _same_in_texts(shard: Shard, places: np.ndarray, length: int) -> np.ndarray:
+    """Where the strings at these places stand in the texts of the same keys."""
+    of = shard.keys[np.searchsorted(shard.starts, places, side="right") - 1]
+    texts = np.flatnonzero(shard.known & (shard.lengths >= length) & np.isin(shard.keys, of))
+    count = shard.lengths[texts] - length + 1
+    position, owner = repeated_ranges(shard.starts[texts], count), np.repeat(shard.keys[texts], count)
+    pairs = []
+    for seed in (41, 43):
+        pairs.append([_ranks(shard.data, at, length, seed) for at in (position, places)])
+    # A string of a key is known by both hashes.
+    both = [np.stack([key.view(np.uint64), *(p[i] for p in pairs)]) for i, key in ((0, owner), (1, of))]
+    every = np.concatenate(both, axis=1)
+    order = np.lexsort(every)
+    ordered = every[:, order]
+    run = _runs(*ordered)
+    wanted = np.zeros(len(order), bool)
+    wanted[len(position) :] = True
+    chosen = np.logical_or.reduceat(wanted[order], run)
+    same = order[np.repeat(chosen, np.diff(np.append(run, len(order))))]
+    return position[same[same < len(position)]]
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -383,10 +410,18 @@ def remove_repeats(
     nothing from others. Keys are integers. Other columns are not read.
     """
     spark = docs.sparkSession
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("t"),
+        named(key).cast("long").alias("key"),
+        F.coalesce(named(text).cast("string"), F.lit("")).alias("text"),
+    )
     union = lambda frames: reduce(DataFrame.unionByName, frames)
-    with _dropped_shuffles(spark):
-        shards = _stored_shards(docs, key, text)
+    with scratch(spark), dropped_shuffles(spark):
+        copies = if_short(_whole_copies(rows, length))
+        shards = _stored_shards(rows.join(copies, "t", "left_anti"))
+        size = F.aggregate("lengths", F.lit(0).cast("long"), lambda n, x: n + x)
+        total = shards.select(F.sum(size)).first()[0] or 0
+        ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // GROUP_BYTES))
         tied = union([_tied_ranks(shards, length, b, ranges) for b in range(1 << COVER_BITS)])
         stretches = _in_play(shards, tied, length)
         later = union([_later_starts(stretches, length, b, ranges) for b in range(1 << SUFFIX_BITS)])
@@ -394,9 +429,8 @@ def remove_repeats(
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         shard = Shard(row)
-        lists = [np.cumsum(unpacked(x, np.uint32)) for x in right.column("positions").to_pylist()]
-        positions = np.concatenate(lists).astype(np.int64) if lists else np.zeros(0, np.int64)
-        removed = _removed(shard, positions, length)
+        places = [_places(right.column(c).to_pylist()) for c in ("positions", "more")]
+        removed = _removed(shard, *places, length)
         spans, kept = [], []
         for start, size in zip(shard.starts.tolist(), shard.lengths.tolist()):
             mine = removed[start : start + size]
@@ -415,4 +449,9 @@ def remove_repeats(
     found = shards.groupBy("shard").cogroup(later.groupBy("shard")).applyInArrow(
         run, "key long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary"
     )
-    return found.withColumnRenamed("key", key)
+    size = F.octet_length("text").cast("long")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), size.alias("end")))
+    repeated = rows.join(copies, "t", "left_semi").select(
+        "key", size.alias("n_bytes"), whole.alias("removed"), F.lit(b"").alias("kept")
+    )
+    return found.unionByName(repeated).withColumnRenamed("key", key)
