@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -64,3 +65,40 @@ def test_different_readings_are_an_error(spark):
     unstable = spark.range(2000).select(F.col("id").alias("doc_id"), other("id").alias("text"))
     with pytest.raises(Exception, match="store them first|decode to their text"):
         bpe.encode_decode(unstable, tokenizer_file()).collect()
+
+
+class Weak:
+    """Hashes by which many words meet."""
+
+    def sums(self, points):
+        return points
+
+    def spans(self, sums, starts, ends):
+        return ((ends - starts) % 3).astype(np.uint64)
+
+
+def test_words_of_equal_hash_are_told_apart(monkeypatch):
+    rule, kinds = bpe._tokenizer(open(tokenizer_file(), encoding="utf-8").read())
+    monkeypatch.setattr(bpe, "prime_hash", lambda *_: Weak())
+    draw = random.Random(6)
+    texts = [" ".join(draw.choice(["one", "two", "ab", "é🙂", "three", "x", "abcd", "ba"]) for _ in range(9)) for _ in range(40)]
+    words = bpe.Words(kinds, {})
+    for i in range(0, 40, 8):
+        words.add(pa.array(range(8)), [*texts[i : i + 7], None])
+    found, hashes, codes = words.finish()
+    assert len(found) == len(set(found)) == len(hashes) and len(set(hashes.tolist())) <= 3
+    at = 0
+    for i, count in enumerate(words.counts):
+        text = "".join(found[c] for c in codes[at : at + count])
+        assert text == ("" if i % 8 == 7 else texts[i])
+        at += count
+
+
+def test_words_that_meet_modulo_powers_of_two(stored_docs):
+    rows = []
+    for n in (512, 1024, 4096):
+        word = "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+        rows += [(n, word), (n + 1, word.translate({97: 98, 98: 97}))]
+    got = {r.doc_id: r for r in bpe.encode_decode(stored_docs(rows), tokenizer_file()).collect()}
+    for key, text in rows:
+        assert np.frombuffer(got[key].ids, "<u4").tolist() == ids_of(text) and got[key].decoded == text

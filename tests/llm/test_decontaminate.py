@@ -1,13 +1,16 @@
 """Phrases by the positional index against plain scans."""
 
+import os
 import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 
-from veilframe.llm.decontaminate import find_phrases
+from veilframe.llm.decontaminate import _terms, find_phrases
 from veilframe.llm.queries import ORACLES, QUERIES
+from veilframe.sources.tables import shared_folder
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -20,9 +23,8 @@ def brute(docs, items, width=13):
     windows = {}
     for item, text in items:
         w = words(text)
-        if item is not None:
-            for i in range(max(len(w) - width, 0) + 1 if w else 0):
-                windows.setdefault(tuple(w[i : i + width]), set()).add(str(item))
+        for i in range(max(len(w) - width, 0) + 1 if w else 0):
+            windows.setdefault(tuple(w[i : i + width]), set()).add(None if item is None else str(item))
     found = []
     for key, text in docs:
         w, hit, names = words(text), set(), set()
@@ -31,7 +33,7 @@ def brute(docs, items, width=13):
                 if (got := windows.get(tuple(w[i : i + n]))) is not None:
                     hit.update(range(i, i + n))
                     names |= got
-        found.append((key, len(w), len(hit), sorted(names)))
+        found.append((key, len(w), len(hit), sorted(names, key=lambda n: (n is None, n or ""))))
     return sorted(found, key=repr)
 
 
@@ -95,3 +97,30 @@ def test_items_without_an_id_count(spark, tmp_path, monkeypatch, size):
     assert by_key[600][2:4] == (2, 1) and by_key[601][2:4] == (16, 1) and by_key[602][2:4] == (7, 3)
     ids = find_phrases(*(spark.read.parquet(f"{tmp_path}/{name}.parquet") for name in ("documents", "benchmark")))
     assert {r.doc_id: r["items"] for r in ids.collect()}[602] == ["1", "5", None]
+
+
+def test_words_of_equal_hash_are_told_apart():
+    texts = [draw for draw in ["ab", "cd", "ab", "abc", "cd", "x", "ab", "zz", "x"]]
+    data = np.frombuffer(" ".join(texts).encode(), np.uint8)
+    ends = np.cumsum([len(t) + 1 for t in texts]) - 1
+    at = ends - [len(t) for t in texts]
+    for hashes in ([7] * 9, [len(t) for t in texts], [ord(t[0]) for t in texts], list(range(9))):
+        if len(set(hashes)) == 9:
+            continue
+        term, spelled = _terms(data, at, ends, np.array(hashes, np.uint64))
+        assert [texts[spelled[t]] for t in term] == texts
+        assert len(spelled) == len({(h, t) for h, t in zip(hashes, texts)})
+
+
+def test_a_full_table_of_terms_and_words_beyond_it(stored_docs, monkeypatch):
+    monkeypatch.setattr("veilframe.llm.decontaminate.TERM_BITS", 8)
+    items = stored_docs(ITEMS, "item_id long, text string")
+    assert rows(find_phrases(stored_docs(docs()), items)) == brute(docs(), ITEMS)
+
+
+def test_only_what_the_result_reads_stays_stored(spark, stored_docs):
+    folder = shared_folder(spark)
+    items, texts = stored_docs(ITEMS, "item_id long, text string"), stored_docs(docs())
+    before = set(os.listdir(folder))
+    assert find_phrases(texts, items).count() == len(docs())
+    assert len(set(os.listdir(folder)) - before) == 2

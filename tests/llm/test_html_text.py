@@ -2,6 +2,7 @@
 
 import itertools
 import re
+import time
 from collections import Counter
 from html import unescape
 
@@ -26,23 +27,36 @@ def test_pages_labelled_by_hand(model):
             assert text is None or (chance[H.CONTENT] > 0.5) == (label == H.CONTENT), text
 
 
-def test_messages_give_the_marginals(model):
-    page = H.Page("<div><p>One sentence that is long enough.</p></div>")
-    nodes = range(1, len(page.parent))
+SMALL = (
+    "<div><p>One sentence that is long enough.</p></div>",
+    "<div><p>Short.<p>Another one.<p>All rights reserved, and a longer sentence follows here.</div>",
+    "<ul><li><a href=/>Home</a><li>x</ul><p>A sentence that is a bit longer than the others.",
+    "<div class=post><h1>Title</h1><p>Text is here, with a full stop at its end.</div><footer>f</footer>",
+)
+
+
+@pytest.mark.parametrize("html", SMALL)
+def test_messages_give_the_marginals(model, html):
+    """Against all labellings of trees with and without siblings."""
+    page = H.Page(html)
+    n, power = len(page.parent), H.tempers(page)
+    children = Counter(page.parent)
+    for i in range(1, n):
+        assert power[i] == pytest.approx(power[page.parent[i]] / children[page.parent[i]] ** 0.5)
     total, sums = 0.0, [[0.0] * 3 for _ in page.parent]
-    for labels in itertools.product(range(3), repeat=len(page.parent) - 1):
+    for labels in itertools.product(range(3), repeat=n - 1):
         labels = (H.WRAPPER, *labels)
         weight = 1.0
-        for i in nodes:
-            weight *= model.edge[page.kind[i]][labels[page.parent[i]]][labels[i]]
-            if page.look[i] and labels[i] == H.CONTENT:
-                look = sum(model.look[f"{n}:{int(v)}"] for n, v in page.look[i])
-                weight *= H.math.exp(min(max(look, -H.STRONGEST), H.STRONGEST))
+        for i in range(1, n):
+            row = model.edge[page.kind[i]][labels[page.parent[i]]]
+            # The class's share to the power, and the chance of the label as it is.
+            weight *= sum(row) ** power[i] * row[labels[i]] / sum(row)
+            if labels[i] == H.CONTENT:
+                weight *= H.math.exp(power[i] * H.evidence(page, model, i))
         total += weight
-        for i in nodes:
+        for i in range(1, n):
             sums[i][labels[i]] += weight
-    # Without siblings nothing is averaged, and the messages are exact.
-    for i in nodes:
+    for i in range(1, n):
         assert H.marginals(page, model)[i] == pytest.approx([s / total for s in sums[i]])
 
 
@@ -94,3 +108,44 @@ def test_labels_by_markup():
     labels = dict(zip(page.text, H.labels_by_markup(page)))
     assert labels["x"] == H.CONTENT and labels["y"] == H.NOT
     assert isinstance(H.count_labels(page, H.labels_by_markup(page)), Counter)
+
+
+WORDS = "The council has voted to keep the old bridge open, and repairs are due to begin soon."
+
+
+@pytest.mark.parametrize("html", [
+    "<html><head><title>no</title><meta charset=utf-8><article><h1>Bridge stays</h1>{p}</article>",
+    "<html><head><title>no</title><link rel=x><script>no</script><div class=post><h1>Bridge stays</h1>{p}</div>",
+    "<html><head><title>no<body><article><h1>Bridge stays</h1>{p}</article>",
+    "<head><noscript>no</noscript><style>no</style></head><body><article><h1>Bridge stays</h1>{p}</article>",
+    "<article><h1>Bridge stays</h1><div class='story related-work'>{p}</div></article>",
+    "<article><h1>Bridge stays</h1><div class='body text comments-off'>{p}</div></article>",
+    "<article><h1>Bridge stays</h1><noscript>{p}</noscript></article>",
+    "<article><h1>Bridge stays</h1><object data=x>{p}</object></article>",
+    "<article><h1>Bridge stays</h1>{p}<form><select><option>no</option></select></form></article>",
+    "<body><article><h1>Bridge stays</h1>{p}<script>if (x) no()</article><footer>no</footer></body>",
+    "<body><article><h1>Bridge stays</h1><div><style>no</div>{p}</article></body>",
+])
+def test_nothing_of_an_article_is_lost(model, html):
+    got = H.main_text(html.format(p=f"<p>{WORDS}</p>"), model)
+    assert got == f"Bridge stays\n\n{WORDS}"
+
+
+def test_formulas_and_drawings_keep_their_text(model):
+    html = f"<article><p>{WORDS}</p><p>So <math><mi>x</mi> <mo>=</mo> <mn>2</mn></math> holds in all of the cases above.</p></article>"
+    assert H.main_text(html, model) == f"{WORDS}\n\nSo x = 2 holds in all of the cases above."
+
+
+def test_time_is_linear_in_links_and_unclosed_tags(model):
+    for piece in ("<a href=x>word</a> ", "<script>", "<title>", "<p>x<style>", "<noscript>x", "<head><p>", "<select><option>x"):
+        began = time.monotonic()
+        H.main_text("<article><p>" + piece * 40_000, model)
+        assert time.monotonic() - began < 15, piece
+
+
+def test_names_that_the_operator_might_use(model, stored_docs):
+    pages = stored_docs([(1, f"<article><p>{WORDS}</article>")], "page_id long, html string")
+    for name in ("text_", "text__of", "html_"):
+        pages = pages.selectExpr("*", f"'mine' AS `{name}`")
+    row = H.extract_text(pages, model).head()
+    assert row.text == WORDS and row["text__of"] == row.text_ == row.html_ == "mine"

@@ -71,3 +71,15 @@ def test_scripts_that_no_language_uses_do_not_score(model, stored_docs):
     assert all((got[i].lang_score, got[i].lang_fit) == (0.0, 0.0) for i in (1, 2))
     assert got[3].lang_score > 0.8 and got[3].lang_fit >= got[3].lang_score
     assert 0 < got[4].lang_fit < 0.5
+
+
+def test_names_that_the_operator_might_use(stored_docs):
+    docs = stored_docs([(1, "the cat and the dog are here", "en"), (4, "der Hund und die Katze sind da", "de")], "doc_id long, text string, lang string")
+    for name in ("lang_pred__of", "text_", "__pred"):
+        docs = docs.selectExpr("*", f"'mine' AS `{name}`")
+    got = language.identify(docs, language.train(docs))
+    assert got.columns == [*docs.columns, "lang_pred", "lang_score", "lang_spans", "lang_fit"]
+    assert all(r["lang_pred__of"] == r.text_ == "mine" and r.row == "extra" for r in got.collect())
+    # A column that has a new name already is replaced.
+    again = language.identify(got, language.train(docs))
+    assert sorted(again.columns) == sorted(got.columns)

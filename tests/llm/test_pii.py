@@ -1,9 +1,14 @@
 """Personal data against the regular expressions that define its base kinds."""
 
+import hashlib
 import random
 import re
+import time
 
 from veilframe.llm.pii import find_pii, luhn, redact, spans_of
+from veilframe.llm.queries import QUERIES
+
+from .conftest import FOLDER
 
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -70,3 +75,30 @@ def test_overlapping_spans_are_hidden_together(stored_docs):
     docs = stored_docs([(1, "at https://u:p@host.example.com/x end")], extra=False)
     text = redact(docs).head().text
     assert "host" not in text and text.startswith("at [") and text.endswith(" end")
+
+
+def test_many_spans_in_one_text_and_names(stored_docs):
+    text = "mail a.b@example.com or 10.0.0.1, " * 50_000
+    docs = stored_docs([(1, text), (2, None), (3, "nothing")])
+    for name in ("pii__of", "__pii", "__pii__of", "text_"):
+        docs = docs.selectExpr("*", f"'mine' AS `{name}`")
+    began = time.monotonic()
+    rows = {r.doc_id: r for r in redact(docs).collect()}
+    assert time.monotonic() - began < 60
+    assert rows[1].text == "mail [EMAIL] or [IP], " * 50_000 and rows[2].text is None and rows[3].text == "nothing"
+    assert redact(docs).columns == docs.columns
+    assert all(r["pii__of"] == r["__pii"] == r["__pii__of"] == r.text_ == "mine" for r in rows.values())
+    found = {r.doc_id: r for r in find_pii(docs).collect()}
+    assert len(found[1].pii) == 100_000 and found[2].pii == found[3].pii == [] and found[1]["pii__of"] == "mine"
+
+
+def test_query_digests(spark, documents):
+    rows = QUERIES["op4_pii_anchors"](spark, FOLDER).collect()
+    assert len(rows) == len(documents)
+    for r in rows:
+        spans = [f"{k}:{a}:{b}" for k, a, b in spans_of(documents[r.doc_id] or "")]
+        base = [s for s in spans if s.split(":")[0] in ("email", "ip", "card", "phone")]
+        assert r.spans == ",".join(spans)
+        assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        counts = [sum(s.startswith(k) for s in base) for k in ("email", "ip", "card", "phone")]
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == counts

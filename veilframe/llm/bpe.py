@@ -24,9 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from veilframe.llm.arrays import packed, record_pieces, repeated_ranges, span_hash, unpacked
+from veilframe.functions import named
+from veilframe.llm.arrays import packed, prime_hash, record_pieces, repeated_ranges, unpacked
 
 BLOCK_BYTES = 8 << 20
+# Bytes of text whose distinct words are encoded by one group.
+GROUP_BYTES = 64 << 20
 ENCODE_BATCH = 10_000
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 # Endings that the word rule cuts off behind an apostrophe.
@@ -143,7 +146,7 @@ class Words:
             self.counts += counts.tolist()
             return
         joined = "".join(parts)
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = _code_points(joined)
         starts, at = [], 0
         for part, owner in zip(parts, owners):
             if part in self.special:
@@ -155,26 +158,59 @@ class Words:
             at += len(part)
         starts = np.concatenate(starts)
         bounds = np.append(starts, at)
-        spans = span_hash(2, 0x110000)
+        spans = prime_hash(2, 0x110000)
         self.hashes.append(spans.spans(spans.sums(points), starts, bounds[1:]))
         self.bounds.append(bounds.astype(np.uint32))
         self.texts.append(joined)
         self.counts += counts.tolist()
 
     def finish(self) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Distinct words, their hashes, and the number of the word at every position."""
+        """Distinct words, their hashes, and the number of the word at every position.
+
+        Words of equal hash are compared; one that differs from the first with
+        its hash is a word of its own.
+        """
         if not self.hashes:
             return [], np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         before = np.cumsum([0, *map(len, self.hashes)])
         hashes = np.concatenate(self.hashes)
         self.hashes.clear()
         distinct, first, codes = np.unique(hashes, return_index=True, return_inverse=True)
+        codes = codes.astype(np.uint32)
         piece = np.searchsorted(before, first, side="right") - 1
         found = []
         for i, at in zip(piece.tolist(), (first - before[piece]).tolist()):
             a, b = self.bounds[i][at : at + 2].tolist()
             found.append(self.texts[i][a:b])
-        return found, distinct, codes.astype(np.uint32)
+        spelled = _code_points("".join(found))
+        size = np.array([len(w) for w in found], np.int64)
+        start, others = np.cumsum(size) - size, {}
+        for i, text in enumerate(self.texts):
+            mine = codes[before[i] : before[i + 1]]
+            bounds = self.bounds[i].astype(np.int64)
+            for j in _unlike(_code_points(text), bounds, spelled, start[mine], size[mine]).tolist():
+                number = others.setdefault(text[bounds[j] : bounds[j + 1]], len(found) + len(others))
+                distinct = np.append(distinct, distinct[mine[j]]) if number == len(distinct) else distinct
+                mine[j] = number
+        return found + list(others), distinct, codes
+
+
+def _code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def _unlike(points, bounds, spelled, start, size) -> np.ndarray:
+    """Which of the words between ``bounds`` are not the spelled words they are taken for."""
+    length = np.diff(bounds)
+    unlike = length != size
+    same = np.flatnonzero(~unlike)
+    # The words cover the text, so the places of all of them are a range.
+    whole = len(same) == len(length)
+    own = points[bounds[0] : bounds[-1]] if whole else points[repeated_ranges(bounds[:-1][same], length[same])]
+    differs = own != spelled[repeated_ranges(start[same], length[same])]
+    if differs.any():
+        unlike[same[np.add.reduceat(differs, np.cumsum(length[same]) - length[same]) > 0]] = True
+    return np.flatnonzero(unlike)
 
 
 def _special(tokenizer_json: str) -> dict[str, int]:
@@ -232,8 +268,9 @@ def encode_decode(
     with open(tokenizer_file, encoding="utf-8") as file:
         tokenizer_json = file.read()
     shared = spark.sparkContext.broadcast((tokenizer_json, pieces_of(tokenizer_json)))
-    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    rows = docs.select(named(key).alias("key"), named(text).cast("string").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP_BYTES))
     key_type = rows.schema["key"].dataType.simpleString()
     rows = rows.withColumn("task", F.spark_partition_id())
 
@@ -257,14 +294,14 @@ def encode_decode(
             part = (hashes % np.uint64(ranges)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             cuts = np.searchsorted(part[order], np.arange(ranges + 1))
-            data = []
-            for i in range(ranges):
+            some, data = np.flatnonzero(np.diff(cuts)).tolist(), []
+            for i in some:
                 chosen = order[cuts[i] : cuts[i + 1]].tolist()
                 data.append(_packed_words([found[j] for j in chosen]))
             yield pa.record_batch(
                 [
-                    pa.array(range(ranges), pa.int32()),
-                    pa.array([block] * ranges, pa.int64()),
+                    pa.array(some, pa.int32()),
+                    pa.array([block] * len(some), pa.int64()),
                     pa.array(data, pa.binary()),
                 ],
                 ["part", "block", "words"],
@@ -315,13 +352,15 @@ def encode_decode(
             )
 
     def assembled(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows != 1 or right.num_rows != ranges:
+        if left.num_rows != 1:
             raise ValueError("two readings of the texts gave different blocks; store them first")
         row, right = left.to_pylist()[0], right.sort_by("part")
-        parts = unpacked(row["parts"], np.uint32)
-        by_part = [unpacked(x, np.uint32) for x in right.column("lengths").to_pylist()]
+        parts, none = unpacked(row["parts"], np.uint32), np.zeros(0, np.uint32)
+        if right.column("part").to_pylist() != np.unique(parts).tolist():
+            raise ValueError("two readings of the texts gave different words; store them first")
+        by_part = [none, *(unpacked(x, np.uint32) for x in right.column("lengths").to_pylist())]
         by_part = np.concatenate(by_part).astype(np.int64)
-        ids = np.concatenate([unpacked(x, np.uint32) for x in right.column("ids").to_pylist()])
+        ids = np.concatenate([none, *(unpacked(x, np.uint32) for x in right.column("ids").to_pylist())])
         # The words of a part come in the order of their numbers.
         order = np.argsort(parts, kind="stable")
         if len(order) != len(by_part):

@@ -1,27 +1,33 @@
 """Benchmark decontamination with a positional inverted index of the corpus.
 
 The index is a stored table with one row per shard of documents: for each term
-of the benchmark the positions at which the shard has it, in order. A phrase is
-looked up in a shard by taking the postings of its rarest term, shifting them
-to where the phrase would start, and intersecting with the shifted postings of
-the next rarest term until all terms are used up. All phrases go through each
-step together, as arrays.
-
-Nothing is shuffled but one count per term and shard, and rows of documents
-that have matches. The benchmark is the stated query set: it is taken in blocks
-of at most ``BLOCK_BYTES`` of text, each of which is broadcast.
+that the benchmark may have, the positions at which the shard has it, in order.
+Which terms those are is a table of bits of fixed size; it lets some others in,
+so one index serves a benchmark of any size. A phrase is looked up in a shard
+by taking the postings of its rarest term, shifting them to where the phrase
+would start, and intersecting with the shifted postings of the next rarest term
+until all terms are used up. All phrases go through each step together, as
+arrays.
+
+Nothing is shuffled but one count per term and shard, and rows of documents.
+The benchmark is the stated query set: it is taken in blocks of about
+``BLOCK_BYTES`` of text, each made by a task and broadcast.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.functions import named
 from veilframe.llm.arrays import (
+    gathered,
     joined_utf8,
     packed,
     record_pieces,
@@ -30,11 +36,13 @@ from veilframe.llm.arrays import (
     unpacked,
     words,
 )
-from veilframe.sources import materialize
+from veilframe.sources import materialize, scratch
 
 WIDTH = 13
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 SHARD_BYTES = 1 << 20
+# Bits of the table of the benchmark's terms.
+TERM_BITS = 1 << 22
 # Positions between the last word of a document and the first of the next.
 GAP = 64
 
@@ -52,12 +60,9 @@ class Phrases:
             numbers = [terms.setdefault(w, len(terms)) for w in found]
             for i in range(max(len(numbers) - width, 0) + 1 if numbers else 0):
                 windows.setdefault(tuple(numbers[i : i + width]), set()).add(item)
-        self.terms = list(terms)
-        hashes = np.array([_hash(term) for term in self.terms], np.uint64)
-        self.order = np.argsort(hashes)
-        self.sorted_hashes = hashes[self.order]
+        self.terms = terms
         self.lengths = np.array([len(w) for w in windows], np.int64)
-        self.windows = np.full((len(windows), width), -1, np.int64)
+        self.windows = np.full((len(windows), width), -1, np.int32)
         for i, window in enumerate(windows):
             self.windows[i, : len(window)] = window
         self.items = [_in_order(x) for x in windows.values()]
@@ -65,14 +70,7 @@ class Phrases:
     def by_rarity(self, counts: np.ndarray) -> np.ndarray:
         """For each window its places, the one with the rarest term first."""
         weight = np.where(self.windows >= 0, counts[self.windows], np.iinfo(np.int64).max)
-        return np.argsort(weight, axis=1, kind="stable")
-
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """The term number of each hash, -1 for words that no item has."""
-        if not self.terms:
-            return np.full(len(hashes), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.sorted_hashes, hashes), len(self.terms) - 1)
-        return np.where(self.sorted_hashes[at] == hashes, self.order[at], -1)
+        return np.argsort(weight, axis=1, kind="stable").astype(np.int8)
 
 
 def _in_order(items: set[str | None]) -> list[str | None]:
@@ -80,63 +78,103 @@ def _in_order(items: set[str | None]) -> list[str | None]:
     return sorted(items, key=lambda item: (item is None, item or ""))
 
 
-def _hash(term: bytes) -> int:
-    symbols = np.frombuffer(term, np.uint8)
+def _word_hashes(column: pa.Array):
+    """The folded bytes of all texts, where each text and word begins, word ends, and hashes of words."""
+    data, starts, _ = joined_utf8(column)
+    folded, at, ends = words(data)
     spans = span_hash(7)
-    return int(spans.spans(spans.sums(symbols), np.array([0]), np.array([len(symbols)]))[0])
+    return folded, starts, at, ends, spans.spans(spans.sums(folded), at, ends)
+
+
+def term_table(items: DataFrame) -> np.ndarray:
+    """For each remainder of a word's hash whether a word of ``(text)`` has it; small, whatever the items."""
+    size = TERM_BITS
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in record_pieces(batches, "text", SHARD_BYTES):
+            found = np.unique(_word_hashes(piece.column("text"))[4] % np.uint64(size))
+            yield pa.record_batch([pa.array(found.astype(np.int32))], ["bit"])
+
+    bits = items.select("text").mapInArrow(run, "bit int").distinct().toArrow().column("bit")
+    table = np.zeros(size, bool)
+    table[bits.to_numpy()] = True
+    return np.packbits(table)
+
 
+def _same_words(folded, at, size, other) -> np.ndarray:
+    """Whether words equal those at the places ``other``, byte by byte."""
+    same = size == size[other]
+    some = np.flatnonzero(same)
+    length = size[some]
+    unlike = folded[repeated_ranges(at[some], length)] != folded[repeated_ranges(at[other[some]], length)]
+    if len(some):
+        same[some] = np.add.reduceat(unlike, np.cumsum(length) - length) == 0
+    return same
 
-def _shards(batches, phrases: Phrases) -> Iterator[dict]:
+
+def _terms(folded: np.ndarray, at: np.ndarray, ends: np.ndarray, hashes: np.ndarray):
+    """The number of every word's term, and of every term a word that spells it.
+
+    Words of equal hash are compared with the first of them; those that differ
+    are taken up again among themselves.
+    """
+    size, term = ends - at, np.empty(len(at), np.int64)
+    todo, spelled, count = np.argsort(hashes, kind="stable"), [], 0
+    while len(todo):
+        run = np.flatnonzero(np.diff(hashes[todo], prepend=~hashes[todo[:1]]))
+        number = np.repeat(np.arange(len(run)), np.diff(np.append(run, len(todo))))
+        chosen = _same_words(folded, at[todo], size[todo], run[number])
+        term[todo[chosen]] = count + number[chosen]
+        spelled.append(todo[run])
+        count += len(run)
+        todo = todo[~chosen]
+    return term, np.concatenate([np.zeros(0, np.int64), *spelled])
+
+
+def _shards(batches, table: np.ndarray) -> Iterator[dict]:
     """The postings of each shard, and the word counts of its documents.
 
-    A word is found by its 64-bit hash and then compared byte by byte, so a
-    posting is never one of another word. Documents are set apart by a gap, so
-    that no phrase runs from one into the next.
+    Documents are set apart by a gap, so that no phrase runs from one into the next.
     """
-    spans = span_hash(7)
-    lengths = np.array([len(t) for t in phrases.terms], np.int64)
-    firsts = np.cumsum(lengths) - lengths
-    spelling = np.frombuffer(b"".join(phrases.terms), np.uint8)
-    for piece in record_pieces(batches, "text", SHARD_BYTES):
-        data, starts, ends = joined_utf8(piece.column("text"))
-        folded, word_starts, word_ends = words(data)
-        owner = np.searchsorted(starts, word_starts, side="right") - 1
+    known = np.unpackbits(table).astype(bool)
+    for piece in gathered(batches, "text", SHARD_BYTES):
+        if not piece.num_rows:
+            continue
+        folded, starts, at, ends, hashes = _word_hashes(piece.column("text"))
+        owner = np.searchsorted(starts, at, side="right") - 1
         counts = np.bincount(owner, minlength=len(starts))
-        found = phrases.numbers(spans.spans(spans.sums(folded), word_starts, word_ends))
-        place = np.flatnonzero(found >= 0)
-        term = found[place]
-        size = word_ends[place] - word_starts[place]
-        same = size == lengths[term]
-        place, term, size = place[same], term[same], size[same]
-        unlike = folded[repeated_ranges(word_starts[place], size)] != spelling[
-            repeated_ranges(firsts[term], size)
-        ]
-        bad = np.add.reduceat(unlike, np.cumsum(size) - size) > 0 if len(size) else np.zeros(0, bool)
-        place, term = place[~bad], term[~bad]
+        place = np.flatnonzero(known[hashes % np.uint64(len(known))])
+        term, spelled = _terms(folded, at[place], ends[place], hashes[place])
+        data = folded.tobytes()
         order = np.argsort(term, kind="stable")
-        used, at = np.unique(term[order], return_index=True)
         position = place + GAP * owner[place]
         yield {
             "rows": piece.column("row"),
             "keys": piece.column("key"),
             "n_words": pa.array(counts.astype(np.int64)),
-            "terms": pa.array(used.astype(np.int32)),
-            "counts": pa.array(np.diff(np.append(at, len(order))).astype(np.int32)),
+            "terms": pa.array(
+                [data[a:b] for a, b in zip(at[place][spelled].tolist(), ends[place][spelled].tolist())], pa.binary()
+            ),
+            "counts": pa.array(np.bincount(term, minlength=len(spelled)).astype(np.int32)),
             "positions": packed(position[order].astype(np.uint32)),
         }
 
 
-def build_index(docs: DataFrame, phrases, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The stored index: a row per shard with ``rows, keys, n_words, terms, counts, positions``."""
+def build_index(docs: DataFrame, table: np.ndarray, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The stored index: a row per shard with ``rows, keys, n_words, terms, counts, positions``.
+
+    ``table`` is a ``term_table``: other words have no postings.
+    """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row"),
-        F.col(key).alias("key"),
-        F.col(text).cast("string").alias("text"),
+        named(key).alias("key"),
+        named(text).cast("string").alias("text"),
     )
     key_type = rows.schema["key"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, phrases.value):
+        for shard in _shards(batches, shared.value):
             positions = shard.pop("positions")
             columns = [
                 pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in shard.values()
@@ -145,7 +183,7 @@ def build_index(docs: DataFrame, phrases, key: str = "doc_id", text: str = "text
             yield pa.record_batch(columns, [*shard, "positions"])
 
     schema = (
-        f"rows array<long>, keys array<{key_type}>, n_words array<long>, terms array<int>, "
+        f"rows array<long>, keys array<{key_type}>, n_words array<long>, terms array<binary>, "
         "counts array<int>, positions binary"
     )
     return materialize(rows.mapInArrow(run, schema))
@@ -161,20 +199,21 @@ def intersect(
     measured from the rarest term; this is proximity, exact matches included.
     """
     width = phrases.windows.shape[1]
+    windows, order = phrases.windows.astype(np.int64), order.astype(np.int64)
     postings = np.zeros(len(phrases.terms) + 1, np.int64)
     postings[terms + 1] = counts
     postings = np.cumsum(postings)
     number = np.repeat(terms.astype(np.int64), counts)
     keys = (number << 33) + positions
-    rows = np.arange(len(phrases.windows))
+    rows = np.arange(len(windows))
     first = order[:, 0]
-    rarest = phrases.windows[rows, first]
+    rarest = windows[rows, first]
     size = postings[rarest + 1] - postings[rarest]
     window = np.repeat(rows, size)
     start = positions[repeated_ranges(postings[rarest], size)].astype(np.int64) - first[window]
     for step in range(1, width):
         place = order[window, step]
-        term = phrases.windows[window, place]
+        term = windows[window, place]
         wanted = (term << 33) + start + place
         at = np.searchsorted(keys, wanted - slop)
         hit = np.zeros(len(window), bool)
@@ -212,25 +251,40 @@ def find_phrases(
     """
     if width + slop >= GAP:
         raise ValueError(f"width and slop together must stay below {GAP}")
-    blocks = _item_blocks(items, item_key, item_text)
-    found = None
-    for block in blocks:
-        matched = _matches(docs, block, key, text, width, slop)
-        found = matched if found is None else found.unionByName(matched)
-    if len(blocks) > 1:
+    spark = docs.sparkSession
+    with scratch(spark):
+        asked = items.select(named(item_key).cast("string").alias("item"), named(item_text).cast("string").alias("text"))
+        asked = materialize(asked.filter(F.col("text").isNotNull()))
+        size = asked.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+        blocks = max(-(-size // BLOCK_BYTES), 1)
+        index = build_index(docs, term_table(asked), key, text)
+        each = F.explode(F.arrays_zip("rows", "keys", "n_words")).alias("d")
+        every = index.select(each).select("d.rows", "d.keys", "d.n_words").toDF("row", "key", "n_words")
+        every = materialize(every, keep=True)
+        counted = F.explode(F.arrays_zip("terms", "counts")).alias("t")
+        frequency = index.select(counted).groupBy("t.terms").agg(F.sum("t.counts").alias("n"))
+        frequency = materialize(frequency.withColumnRenamed("terms", "term"))
+        block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
+        hits = [
+            materialize(_matches(index, frequency, asked.filter(block == i), width, slop), keep=True)
+            for i in range(blocks)
+        ]
+    found = reduce(DataFrame.unionByName, hits)
+    if blocks > 1:
         # Occurrences of different blocks may overlap: their intervals are merged by row.
-        found = (
-            found.groupBy("row")
-            .agg(
-                F.first("key").alias("key"),
-                F.first("n_words").alias("n_words"),
-                F.flatten(F.collect_list("spans")).alias("spans"),
-                F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-                F.array_sort(F.array_distinct(F.flatten(F.collect_list("near_items")))).alias("near_items"),
-            )
+        joined = lambda name: F.flatten(F.collect_list(name))
+        found = found.groupBy("row").agg(
+            joined("spans").alias("spans"),
+            F.array_sort(F.array_distinct(joined("items"))).alias("items"),
+            F.array_sort(F.array_distinct(joined("near_items"))).alias("near_items"),
         )
+    found = every.join(found, "row", "left")
+    none = F.array().cast("array<string>")
     return found.select(
-        F.col("key").alias(key), "n_words", _covered("spans").alias("n_hit"), "items", "near_items"
+        F.col("key").alias(key),
+        "n_words",
+        F.coalesce(_covered("spans"), F.lit(0).cast("long")).alias("n_hit"),
+        *[F.coalesce(name, none).alias(name) for name in ("items", "near_items")],
     )
 
 
@@ -248,73 +302,79 @@ def _covered(spans: str):
     )
 
 
-def _item_blocks(items: DataFrame, item_key: str, item_text: str) -> list[list[tuple[str | None, str]]]:
-    """The items in blocks of bounded size, read one row after the other."""
-    rows = items.select(
-        F.col(item_key).cast("string").alias("item"), F.col(item_text).cast("string").alias("text")
-    ).filter(F.col("text").isNotNull())
-    blocks: list[list[tuple[str | None, str]]] = [[]]
-    size = 0
-    for row in rows.toLocalIterator():
-        if size and size + len(row["text"]) > BLOCK_BYTES:
-            blocks.append([])
-            size = 0
-        blocks[-1].append((row["item"], row["text"]))
-        size += len(row["text"])
-    return blocks
+def _phrases(block: DataFrame, width: int) -> Phrases:
+    """The ``Phrases`` of a block, made by one task."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = [
+            (item, text)
+            for batch in batches
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist())
+        ]
+        yield pa.record_batch([pa.array([pickle.dumps(Phrases(items, width))], pa.binary())], ["phrases"])
+
+    made = block.select("item", "text").coalesce(1).mapInArrow(run, "phrases binary").head()
+    return pickle.loads(bytes(made[0])) if made else Phrases([], width)
 
-def _matches(docs, block, key: str, text: str, width: int, slop: int) -> DataFrame:
-    spark = docs.sparkSession
-    phrases = Phrases(block, width)
-    shared = spark.sparkContext.broadcast(phrases)
-    index = build_index(docs, shared, key, text)
-    # The corpus frequency of every term of this block of items.
-    frequency = np.zeros(len(phrases.terms) + 1, np.int64)
-    zipped = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("t"))
-    for row in zipped.groupBy("t.terms").agg(F.sum("t.counts").alias("n")).collect():
-        frequency[row["terms"]] = row["n"]
-    order = spark.sparkContext.broadcast(phrases.by_rarity(frequency))
-    key_type = index.schema["keys"].dataType.elementType.simpleString()
+
+def _matches(index: DataFrame, frequency: DataFrame, block: DataFrame, width: int, slop: int) -> DataFrame:
+    """``(row, spans, items, near_items)`` of the documents in which a phrase of the block was found."""
+    context = index.sparkSession.sparkContext
+    phrases = _phrases(block, width)
+    shared = context.broadcast(phrases)
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            number = [shared.value.terms.get(t, -1) for t in batch.column("term").to_pylist()]
+            mine = pa.array(np.flatnonzero(np.array(number, np.int64) >= 0))
+            yield pa.record_batch([pa.array(number, pa.int64()).take(mine), batch.column("n").take(mine)], ["term", "n"])
+
+    counts = np.zeros(len(phrases.terms) + 1, np.int64)
+    for row in frequency.mapInArrow(asked, "term long, n long").collect():
+        counts[row["term"]] = row["n"]
+    order = context.broadcast(phrases.by_rarity(counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = shared.value
         for batch in batches:
             for i in range(batch.num_rows):
                 shard = {c: batch.column(c)[i] for c in batch.schema.names}
                 n_words = np.array(shard["n_words"].as_py(), np.int64)
-                spans, items, near = _shard_matches(shard, n_words, chosen, order.value, slop)
-                spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+                spans, items, near = _shard_matches(shard, n_words, shared.value, order.value, slop)
+                some = [d for d in range(len(n_words)) if items[d] or near[d]]
                 yield pa.record_batch(
                     [
-                        shard["rows"].values,
-                        shard["keys"].values,
-                        pa.array(n_words),
-                        pa.array(spans, spans_type),
-                        pa.array(items, pa.list_(pa.string())),
-                        pa.array(near, pa.list_(pa.string())),
+                        shard["rows"].values.take(pa.array(some, pa.int64())),
+                        pa.array([spans[d] for d in some], SPANS),
+                        pa.array([items[d] for d in some], pa.list_(pa.string())),
+                        pa.array([near[d] for d in some], pa.list_(pa.string())),
                     ],
-                    ["row", "key", "n_words", "spans", "items", "near_items"],
+                    ["row", "spans", "items", "near_items"],
                 )
 
-    return index.mapInArrow(
+    return index.drop("keys").mapInArrow(
         run,
-        f"row long, key {key_type}, n_words long, spans array<struct<start:long,end:long>>, "
-        "items array<string>, near_items array<string>",
+        "row long, spans array<struct<start:long,end:long>>, items array<string>, near_items array<string>",
     )
 
 
+SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
 def _shard_matches(shard, n_words: np.ndarray, phrases: Phrases, order: np.ndarray, slop: int):
     """Per document of a shard its matched spans, items and near items."""
     n = len(n_words)
     spans: list[list[dict]] = [[] for _ in range(n)]
     items: list[list[str]] = [[] for _ in range(n)]
     near: list[list[str]] = [[] for _ in range(n)]
-    terms = np.array(shard["terms"].as_py(), np.int64)
-    if len(terms) == 0 or len(phrases.windows) == 0:
+    terms = np.array([phrases.terms.get(t, -1) for t in shard["terms"].as_py()], np.int64)
+    known = np.argsort(terms, kind="stable")
+    known = known[terms[known] >= 0]
+    if not len(known) or not len(phrases.windows):
         return spans, items, near
     counts = np.array(shard["counts"].as_py(), np.int64)
-    positions = unpacked(shard["positions"].as_py(), np.uint32).astype(np.int64)
+    chosen = repeated_ranges((np.cumsum(counts) - counts)[known], counts[known])
+    positions = unpacked(shard["positions"].as_py(), np.uint32).astype(np.int64)[chosen]
+    terms, counts = terms[known], counts[known]
     firsts = np.cumsum(n_words + GAP) - n_words - GAP
     for found, allowed in ((items, 0), (near, slop)):
         window, start = intersect(terms, counts, positions, phrases, order, allowed)

@@ -24,13 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.arrays import record_pieces
+from veilframe.llm.arrays import with_columns_of_text
 
 TRAIN_PAGES = 2_000
 
 # HTML's elements by how they are read.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea noscript template iframe svg math select object canvas title".split())
+RAW = frozenset("script style textarea template iframe title".split())
+# What can stand in a head; anything else ends it.
+HEAD = frozenset("base basefont bgsound head html link meta noscript script style template title".split())
 GROUPS = {
     "article": "article main",
     "box": "div section center details summary",
@@ -38,7 +40,7 @@ GROUPS = {
     "header": "header hgroup",
     "footer": "footer address",
     "aside": "aside dialog",
-    "form": "form fieldset button label legend",
+    "form": "form fieldset button label legend select",
     "paragraph": "p pre blockquote figure figcaption",
     "heading": "h1 h2 h3 h4 h5 h6",
     "list": "ul ol dl li dt dd",
@@ -84,21 +86,23 @@ class Page:
         self.parent, self.kind, self.text, self.look, self.tag = [-1], ["root"], [None], [None], ["html"]
         self._open: list[tuple[str, int]] = [("html", 0)]
         self._opened = Counter(html=1)
+        # The run that is being read, its length, and how much of it is in links.
         self._run: list[str] = []
-        self._linked = self._links = 0
+        self._size = self._linked = self._links = 0
+        self._unclosed: set[str] = set()
         at = 0
         scan, last = TAG.match, html.rfind(">")
         while True:
             less = html.find("<", at)
             if less < 0 or less > last:
-                self._run.append(html[at:])
+                self._put(html[at:])
                 break
             found = scan(html, less)
             if found is None:
-                self._run.append(html[at : less + 1])
+                self._put(html[at : less + 1])
                 at = less + 1
                 continue
-            self._run.append(html[at:less])
+            self._put(html[at:less])
             at = found.end()
             slash, name, rest = found.group(1, 2, 3)
             if name is None:
@@ -108,14 +112,45 @@ class Page:
             name = name.lower()
             if slash:
                 self._end(name)
-            elif name in RAW:
+            elif name in RAW or name == "noscript" and self._opened["head"]:
                 if not rest.endswith("/"):
-                    close = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
-                    at = close.end() if close else len(html)
+                    at = self._behind(html, name, at)
             else:
+                if name not in HEAD:
+                    self._close_head()
                 self._start(name, rest)
         self._flush()
 
+    def _put(self, text: str) -> None:
+        self._run.append(text)
+        self._size += len(text)
+
+    def _behind(self, html: str, name: str, at: int) -> int:
+        """Where raw content ends: with its end tag, else before that of the element around it."""
+        close = self._end_tag(html, name, at)
+        if close:
+            return close.end()
+        if name == "title":
+            following = html.find("<", at)
+            return following if following >= 0 else len(html)
+        around = next(n for n, _ in reversed(self._open) if n in BLOCKS)
+        close = self._end_tag(html, around, at)
+        return close.start() if close else len(html)
+
+    def _end_tag(self, html: str, name: str, at: int):
+        if name in self._unclosed:
+            return None
+        close = re.compile(f"</{name}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
+        if close is None:
+            # Nor is there one further on.
+            self._unclosed.add(name)
+        return close
+
+    def _close_head(self) -> None:
+        if self._opened["head"]:
+            self._flush()
+            self._close_open("head", ())
+
     def _flush(self) -> None:
         """End the run of text; what is only white space is no node."""
         if self._run:
@@ -123,9 +158,11 @@ class Page:
             self._run.clear()
             if raw and not raw.isspace():
                 text = " ".join(unescape(raw).split())
-                if text and self._open[-1][0] != "head" and not self._opened["head"]:
+                if text:
+                    # Text cannot stand in a head.
+                    self._close_open("head", ())
                     self._add("run", "run", text)
-        self._linked = 0
+        self._size = self._linked = self._links = 0
 
     def _add(self, kind: str, tag: str, text: str | None = None) -> int:
         self.parent.append(self._open[-1][1])
@@ -165,14 +202,14 @@ class Page:
 
     def _start(self, name: str, rest: str) -> None:
         if name == "br":
-            self._run.append(" ")
+            self._put(" ")
             return
         if name not in BLOCKS:
             if name not in VOID and not rest.endswith("/"):
                 self._open.append((name, self._open[-1][1]))
                 self._opened[name] += 1
                 if name == "a":
-                    self._links = sum(map(len, self._run))
+                    self._links = self._size
             return
         self._flush()
         if name in CLOSES:
@@ -185,7 +222,8 @@ class Page:
 
     def _end(self, name: str) -> None:
         if name == "a" and self._opened["a"]:
-            self._linked += max(0, sum(map(len, self._run)) - self._links)
+            self._linked += max(0, self._size - self._links)
+            self._links = self._size
         if name in BLOCKS:
             self._flush()
         if not self._opened[name]:
@@ -208,7 +246,10 @@ def _class(name: str, rest: str) -> str:
         return group + "-"
     hints = " ".join((a or b or c).lower() for _, a, b, c in HINTS.findall(rest))
     if AGAINST.search(hints):
-        return group + "-"
+        # A plain name for content weighs against one that only turns up in a compound.
+        names = hints.split()
+        plain = any(FOR.fullmatch(n) for n in names) and not any(AGAINST.fullmatch(n) for n in names)
+        return group if plain else group + "-"
     return group + "+" if FOR.search(hints) else group
 
 
@@ -372,39 +413,61 @@ class Model:
 STRONGEST = math.log(6)
 
 
+def tempers(page: Page) -> list[float]:
+    """The exponent of each node's potentials: one over the root of its parent's children.
+
+    Siblings look alike and are not independent witnesses: ``n`` of them count
+    as much as the root of ``n`` would.
+    """
+    children, power = Counter(page.parent), [1.0]
+    for p in page.parent[1:]:
+        power.append(power[p] / math.sqrt(children[p]))
+    return power
+
+
+def evidence(page: Page, model: Model, i: int) -> float:
+    """What the look of a run says for content, as a logarithm."""
+    look = sum(model.look[f"{name}:{int(value)}"] for name, value in page.look[i] or ())
+    return min(max(look, -STRONGEST), STRONGEST)
+
+
 def marginals(page: Page, model: Model) -> list[tuple[float, float, float]]:
     """The chances of each node to be not content, content and a wrapper.
 
-    Children come behind their parents, so one loop from the back passes all
-    messages upward and one from the front all messages downward. Siblings look
-    alike and are not independent witnesses: what ``n`` of them say together
-    counts as much as what the root of ``n`` would.
+    The weight of a labelling of all nodes is the product, over the nodes, of
+    the potentials of node and parent and of the node's look, each to the power
+    of ``tempers``. Children come behind their parents, so one loop from the
+    back passes all messages upward and one from the front all messages downward.
     """
-    n = len(page.parent)
-    children = [0] * n
-    for p in page.parent[1:]:
-        children[p] += 1
+    n, power = len(page.parent), tempers(page)
     up = [[0.0, 0.0, 0.0] for _ in range(n)]  # logarithms
     said: list = [None] * n
+    edges: list = [None] * n
+    tempered: dict = {}
     exp, log = math.exp, math.log
     for i in range(n - 1, 0, -1):
-        own = up[i]
+        own, kind = up[i], (page.kind[i], power[i])
         if page.look[i]:
-            look = sum(model.look[f"{name}:{int(value)}"] for name, value in page.look[i])
-            own[CONTENT] += min(max(look, -STRONGEST), STRONGEST)
+            own[CONTENT] += power[i] * evidence(page, model, i)
         top = max(own)
         a, b, c = (exp(x - top) for x in own)
         up[i] = own = (a, b, c)
-        weight = 1 / math.sqrt(children[page.parent[i]])
-        said[i] = [weight * log(max(x * a + y * b + z * c, 1e-300)) for x, y, z in model.edge[page.kind[i]]]
+        if kind not in tempered:
+            # The sum of a row is how common the class is under such a parent.
+            tempered[kind] = tuple(
+                tuple(x * sum(row) ** (power[i] - 1) for x in row) for row in model.edge[page.kind[i]]
+            )
+        edges[i] = tempered[kind]
+        said[i] = [log(max(x * a + y * b + z * c, 1e-300)) for x, y, z in edges[i]]
         above = up[page.parent[i]]
         for k in range(3):
             above[k] += said[i][k]
     chance: list = [(0.0, 0.0, 1.0)] * n
     for i in range(1, n):
         # The parent's chances without what this child told it.
-        before = [c * exp(-m) if c else 0.0 for c, m in zip(chance[page.parent[i]], said[i])]
-        edge = model.edge[page.kind[i]]
+        least = min(said[i])
+        before = [c * exp(least - m) for c, m in zip(chance[page.parent[i]], said[i])]
+        edge = edges[i]
         now = [sum(before[x] * edge[x][y] for x in range(3)) * up[i][y] for y in range(3)]
         size = sum(now)
         chance[i] = tuple(x / size for x in now)
@@ -456,17 +519,9 @@ def extract_text(pages: DataFrame, model: Model, html: str = "html", into: str =
     blank, and blocks are joined by an empty line. A NULL page counts as empty.
     Rows and other columns stay; a column that is called ``into`` is replaced.
     """
-    kept = pages.drop(into, html)
-    name = f"{into}__of"
     shared = pages.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in record_pieces(batches, name):
-            texts = [main_text(h, shared.value) for h in piece.column(name).to_pylist()]
-            columns = [piece.column(i) for i in range(piece.num_columns - 1)]
-            yield pa.record_batch([*columns, pa.array(texts, pa.string())], [*piece.schema.names[:-1], into])
-
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
-    columns = [F.col(f"`{c}`") for c in kept.columns]
-    source = pages.select(*columns, F.col(html).cast("string").alias(name))
-    return source.mapInArrow(run, f"{schema}, `{into}` string")
+    def found(column: pa.Array) -> list[pa.Array]:
+        return [pa.array([main_text(h, shared.value) for h in column.to_pylist()], pa.string())]
+
+    return with_columns_of_text(pages, html, {into: "string"}, found, without=(html,))

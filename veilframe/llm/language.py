@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.arrays import record_pieces
+from veilframe.llm.arrays import record_pieces, with_columns_of_text
 
 UNKNOWN = "und"
 BUCKETS = 1 << 17
@@ -242,20 +242,10 @@ def identify(
     count code points. Rows and other columns stay; columns of the four new
     names are replaced.
     """
-    kept = docs.drop(pred, score, spans, fit)
-    name = f"{pred}__of"
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in record_pieces(batches, name, PIECE):
-            columns = [piece.column(i) for i in range(piece.num_columns - 1)]
-            new = _identified(piece.column(name).to_pylist(), shared.value, penalty)
-            yield pa.record_batch([*columns, *new], [*piece.schema.names[:-1], pred, score, spans, fit])
-
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
-    source = kept.withColumn(name, F.col(text).cast("string"))
-    return source.mapInArrow(
-        run, f"{schema}, `{pred}` string, `{score}` double, `{spans}` {SPANS}, `{fit}` double"
+    made = {pred: "string", score: "double", spans: SPANS, fit: "double"}
+    return with_columns_of_text(
+        docs, text, made, lambda texts: _identified(texts.to_pylist(), shared.value, penalty), PIECE
     )
 
 

@@ -10,15 +10,14 @@ text. Rows are independent of each other: nothing is shuffled.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from veilframe.llm.arrays import record_pieces
+from veilframe.functions import named
+from veilframe.llm.arrays import with_columns_of_text
 
 # The order in which a document's spans are listed.
 KINDS = ("email", "ip", "card", "phone", "url", "account")
@@ -134,45 +133,35 @@ def find_pii(docs: DataFrame, text: str = "text", into: str = "pii") -> DataFram
     no spans; all rows and all other columns stay as they are. A column that is
     already called ``into`` is replaced.
     """
-    kept = docs.drop(into)
-    name = f"{into}__of"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in record_pieces(batches, name):
-            rows = [
-                [{"kind": k, "start": a, "end": b, "value": t[a:b]} for k, a, b in spans_of(t or "")]
-                for t in piece.column(name).to_pylist()
-            ]
-            columns = [piece.column(i) for i in range(piece.num_columns - 1)]
-            yield pa.record_batch([*columns, pa.array(rows, SPAN_TYPE)], [*piece.schema.names[:-1], into])
+    def found(texts: pa.Array) -> list[pa.Array]:
+        rows = [
+            [{"kind": k, "start": a, "end": b, "value": t[a:b]} for k, a, b in spans_of(t or "")]
+            for t in texts.to_pylist()
+        ]
+        return [pa.array(rows, SPAN_TYPE)]
 
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
-    source = kept.withColumn(name, F.col(text).cast("string"))
-    return source.mapInArrow(run, f"{schema}, `{into}` {SPANS}")
+    return with_columns_of_text(docs, text, {into: SPANS}, found)
+
+
+def redacted(text: str) -> str:
+    """The text with every span replaced by its kind in brackets; linear in the text."""
+    parts, at = [], 0
+    for start, end, kind in sorted((a, b, k) for k, a, b in spans_of(text)):
+        if start >= at:
+            parts += [text[at:start], f"[{kind.upper()}]"]
+        at = max(at, end)
+    return "".join([*parts, text[at:]])
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every span of personal data replaced by its kind in brackets.
 
-    Spans that overlap are replaced together, under the kind of the first.
+    Spans that overlap are replaced together, under the kind of the first. A
+    NULL text stays NULL; the columns keep their order, and ``text`` is a string.
     """
-    found = find_pii(docs, text, "__pii")
-    named = found.withColumn("__pii", F.array_sort(F.transform("__pii", _by_start)))
-    zero = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
-
-    def step(state: Column, span: Column) -> Column:
-        before = F.substring(F.col(text), state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        mark = F.when(span["start"] < state["at"], "").otherwise(
-            F.concat(before, F.lit("["), F.upper(span["kind"]), F.lit("]"))
-        )
-        return F.struct(
-            F.concat(state["done"], mark).alias("done"), F.greatest(state["at"], span["end"]).alias("at")
-        )
-
-    rest = lambda s: F.concat(s["done"], F.substring(F.col(text), s["at"] + 1, F.length(text)))
-    clean = F.when(F.size("__pii") > 0, F.aggregate("__pii", zero, step, rest)).otherwise(F.col(text))
-    return named.withColumn(text, clean).drop("__pii")
-
-
-def _by_start(span: Column) -> Column:
-    return F.struct(span["start"].alias("start"), span["end"].alias("end"), span["kind"].alias("kind"))
+
+    def clean(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array([None if t is None else redacted(t) for t in texts.to_pylist()], pa.string())]
+
+    return with_columns_of_text(docs, text, {text: "string"}, clean).select(*map(named, docs.columns))

@@ -214,6 +214,8 @@ def op6_secret_tests(spark: SparkSession, folder: str) -> DataFrame:
         *[count(kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
         F.sha2(joined_spans(base), 256).alias("base_sha256"),
         joined_spans(F.col("secrets")).alias("spans"),
+        # What the randomness tests say of each span.
+        F.transform("secrets", lambda s: F.struct(s["encoding"].alias("encoding"), s["p"].alias("p"))).alias("tests"),
     )
 
 

@@ -19,6 +19,9 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilframe.functions import named
+from veilframe.llm.arrays import free_name
+
 # The known shapes, in the order in which they are listed.
 ASSIGN = (
     r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -57,6 +60,21 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def running(values: Column, join) -> Column:
+    """For each element what ``join`` makes of it and all before it, in few passes over the array.
+
+    A pass joins each element with the one so many places before it that the
+    others are in between: one place first, then two, then four.
+    """
+    passes = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(values), F.lit(2)))).cast("int") - 1)
+
+    def once(x: Column, k: Column) -> Column:
+        step = F.pow(F.lit(2), k).cast("int")
+        return F.transform(x, lambda v, i: F.when(i >= step, join(v, F.get(x, i - step))).otherwise(v))
+
+    return F.aggregate(passes, values, once)
+
+
 def matches(text: Column, pattern: str, keep=None) -> Column:
     """``(start, end, value)`` of all matches that ``keep`` accepts, from left to right.
 
@@ -66,21 +84,18 @@ def matches(text: Column, pattern: str, keep=None) -> Column:
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     # There is one gap more than hits.
-    pairs = F.zip_with(
-        F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit"))
-    )
-    empty = F.array().cast(SPAN)
+    lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: g + F.char_length(h))
 
-    def step(state: Column, x: Column) -> Column:
-        start = state["at"] + x["gap"]
-        end = start + F.char_length(x["hit"])
-        new = F.array(F.struct(start.alias("start"), end.alias("end"), x["hit"].alias("value"))).cast(SPAN)
-        kept = new if keep is None else F.when(keep(x["hit"]), new).otherwise(empty)
-        return F.struct(end.alias("at"), F.concat(state["found"], kept).alias("found"))
+    def spans(ends: Column) -> Column:
+        found = F.zip_with(
+            ends,
+            hits,
+            lambda e, h: F.struct((e - F.char_length(h)).alias("start"), e.alias("end"), h.alias("value")),
+        )
+        return found if keep is None else F.filter(found, lambda s: keep(s["value"]))
 
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("found"))
-    found = F.aggregate(pairs, zero, step, lambda s: s["found"])
-    return F.when(text.rlike(pattern), found).otherwise(empty)
+    found = let(running(lengths, lambda a, b: a + b), spans)
+    return F.when(text.rlike(pattern), found.cast(SPAN)).otherwise(F.array().cast(SPAN))
 
 
 def _upper_tail(z: Column) -> Column:
@@ -108,7 +123,7 @@ def least_length(symbols: int) -> int:
 
 
 def battery(token: Column) -> Column:
-    """``(p, stratum, reported)`` of a run of symbols.
+    """``(p, stratum, reported, encoding)`` of a run of symbols.
 
     ``p`` is small where the run is unlikely as random symbols of its encoding:
     three times the smallest result of three tests. ``reported`` is false for
@@ -128,6 +143,7 @@ def battery(token: Column) -> Column:
             let(values, lambda x: F.least(F.lit(1.0), 3 * F.least(even(x, m), runs(x, m), serial(x)))).alias("p"),
             F.concat_ws("/", encoding.cast("string"), F.floor(F.log2(n) * 2).cast("string")).alias("stratum"),
             (long_enough & (encoding > 0)).alias("reported"),
+            encoding.alias("encoding"),
         )
 
     def even(x: Column, m: Column) -> Column:
@@ -180,21 +196,24 @@ def ordinary_bins(runs: DataFrame, rate: float) -> DataFrame:
     return first.agg(F.map_from_entries(F.collect_list(F.struct("stratum", "bin"))).alias("bins"))
 
 
-SECRETS = "array<struct<kind:string,start:int,end:int,value:string>>"
+SECRETS = "array<struct<kind:string,start:int,end:int,value:string,encoding:string,p:double>>"
 
 
 def find_secrets(
     docs: DataFrame, text: str = "text", into: str = "secrets", rate: float = RATE
 ) -> DataFrame:
-    """``docs`` with an array of ``(kind, start, end, value)`` for every row.
+    """``docs`` with an array of ``(kind, start, end, value, encoding, p)`` for every row.
 
     The spans come by start, then by the order of ``KINDS``; offsets count code
     points and ends are exclusive. ``random`` spans are those that pass the
-    tests and overlap no known shape. A NULL or empty text has no spans. Rows
-    and other columns stay; a column that is called ``into`` is replaced.
+    tests and overlap no known shape. ``encoding`` and ``p`` are what the tests
+    say of the span's symbols, of an assignment those of the value: a known
+    shape with a small ``p`` is hardly random, such as a placeholder. A NULL or
+    empty text has no spans. Rows and other columns stay; a column that is
+    called ``into`` is replaced.
     """
     kept = docs.drop(into)
-    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    whole = F.coalesce(named(text).cast("string"), F.lit(""))
     tested = F.transform(
         matches(whole, RUN),
         lambda r: F.struct(
@@ -203,36 +222,60 @@ def find_secrets(
     )
     runs = docs.select(F.explode(tested).alias("r")).select("r.value", "r.t.p", "r.t.stratum")
     bins = ordinary_bins(runs, rate).scalar()
-    group_2 = lambda hit: F.char_length(F.regexp_extract(hit, ASSIGN, 2)) >= 6
+    group_2 = lambda hit: F.regexp_extract(hit, ASSIGN, 2)
 
-    def ranked(spans: Column, kind: str) -> Column:
-        rank = F.lit(KINDS.index(kind))
+    def ranked(spans: Column, kind: str, secret=lambda v: v) -> Column:
         return F.transform(
             spans,
             lambda s: F.struct(
-                s["start"].alias("start"), rank.alias("rank"), s["end"].alias("end"), s["value"].alias("value")
+                s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("rank"), s["end"].alias("end"),
+                s["value"].alias("value"), battery(secret(s["value"])).alias("t"),
             ),
         )
 
     known = F.concat(
-        ranked(matches(whole, ASSIGN, group_2), "assign"),
+        ranked(matches(whole, ASSIGN, lambda hit: F.char_length(group_2(hit)) >= 6), "assign", group_2),
         ranked(matches(whole, ACCESS), "access"),
         ranked(matches(whole, HEX), "hex"),
     )
+    names = [free_name(name, kept) for name in ("known", "runs", "bins")]
+    found, candidates, limits = map(F.col, names)
 
     def passes(run: Column) -> Column:
-        limit = F.coalesce(F.element_at(F.col("__bins"), run["t"]["stratum"]), F.lit(BINS + 1))
-        clear = ~F.exists(F.col("__known"), lambda k: (k["start"] < run["end"]) & (run["start"] < k["end"]))
-        return run["t"]["reported"] & (_bin(run["t"]["p"]) < limit) & clear
+        limit = F.coalesce(F.element_at(limits, run["t"]["stratum"]), F.lit(BINS + 1))
+        return run["t"]["reported"] & (_bin(run["t"]["p"]) < limit)
 
-    random = ranked(F.filter(F.col("__runs"), passes), "random")
-    names = F.array(*[F.lit(k) for k in KINDS])
+    rank = F.lit(KINDS.index("random"))
+    random = F.transform(
+        F.filter(candidates, passes),
+        lambda r: F.struct(
+            r["start"].alias("start"), rank.alias("rank"), r["end"].alias("end"), r["value"].alias("value"), r["t"].alias("t")
+        ),
+    )
+    labels = F.array(*[F.lit(k) for k in KINDS])
+    encodings = F.array(*[F.lit(name) for name, _, _ in ENCODINGS])
     spans = F.transform(
-        F.array_sort(F.concat(F.col("__known"), random)),
+        let(F.array_sort(F.concat(found, random)), _clear_of_known),
         lambda s: F.struct(
-            F.element_at(names, s["rank"] + 1).alias("kind"), s["start"].alias("start"),
+            F.element_at(labels, s["rank"] + 1).alias("kind"), s["start"].alias("start"),
             s["end"].alias("end"), s["value"].alias("value"),
+            F.element_at(encodings, s["t"]["encoding"] + 1).alias("encoding"), s["t"]["p"].alias("p"),
         ),
     )
-    staged = kept.select("*", known.alias("__known"), tested.alias("__runs"), bins.alias("__bins"))
-    return staged.withColumn(into, spans.cast(SECRETS)).drop("__known", "__runs", "__bins")
+    staged = kept.select("*", *[c.alias(n) for c, n in zip((known, tested, bins), names)])
+    return staged.withColumn(into, spans.cast(SECRETS)).drop(*names)
+
+
+def _clear_of_known(spans: Column) -> Column:
+    """The spans without random ones that overlap a known one; all are in order."""
+    is_known = lambda s: s["rank"] < KINDS.index("random")
+    ends = F.transform(spans, lambda s: F.when(is_known(s), s["end"]).otherwise(0))
+    far = (1 << 31) - 1
+    starts = F.transform(F.reverse(spans), lambda s: F.when(is_known(s), s["start"]).otherwise(far))
+
+    def clear(before: Column, behind: Column) -> Column:
+        last = F.size(spans) - 1
+        outside = lambda s, i: (F.get(before, i) <= s["start"]) & (F.get(behind, last - i) >= s["end"])
+        return F.filter(spans, lambda s, i: is_known(s) | outside(s, i))
+
+    return let(running(ends, F.greatest), lambda a: let(running(starts, F.least), lambda b: clear(a, b)))

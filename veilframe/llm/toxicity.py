@@ -1,6 +1,6 @@
 """Toxicity of whole texts: boosted trees over dense features, with calibrated scores.
 
-The lexicon is learned: words that mark toxic rows among the training rows.
+The lexicon is learned: words that mark toxic rows among all labelled rows.
 Features are densities of lexicon words, their closeness to a second-person
 pronoun, capitals, punctuation and signs of obfuscation, all computed over
 arrays of bytes. Spark's gradient-boosted trees learn from one part of the
@@ -9,7 +9,6 @@ training rows and an isotonic regression calibrates them on the other.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -21,12 +20,21 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.arrays import joined_utf8, record_pieces, span_hash, words
+from veilframe.functions import named
+from veilframe.llm.arrays import (
+    free_name,
+    if_short,
+    joined_utf8,
+    span_hash,
+    with_columns_of_text,
+    words,
+)
 from veilframe.llm.language import held_out
-from veilframe.sources import materialize
+from veilframe.sources import materialize, scratch
 
 TRAIN_ROWS = 24_000
-LEXICON = 256
+# A bound on the lexicon that every task holds, far above the words that labels set apart.
+LEXICON = 1 << 20
 NEAR = 4
 
 # Second-person pronouns, in small letters.
@@ -166,30 +174,23 @@ def features_of(column: pa.Array, lexicon: Lexicon) -> np.ndarray:
 
 
 def with_features(docs: DataFrame, lexicon: Lexicon, text: str, into: str) -> DataFrame:
-    kept = docs.drop(into)
-    name = f"{into}__of"
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in record_pieces(batches, name):
-            found = features_of(piece.column(name), shared.value)
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(found.reshape(-1)), len(FEATURES))
-            columns = [piece.column(i) for i in range(piece.num_columns - 1)]
-            yield pa.record_batch(
-                [*columns, lists.cast(pa.list_(pa.float64()))], [*piece.schema.names[:-1], into]
-            )
+    def found(texts: pa.Array) -> list[pa.Array]:
+        values = pa.array(features_of(texts, shared.value).reshape(-1))
+        return [pa.FixedSizeListArray.from_arrays(values, len(FEATURES)).cast(pa.list_(pa.float64()))]
 
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
-    source = kept.withColumn(name, F.col(text).cast("string"))
-    return source.mapInArrow(run, f"{schema}, `{into}` array<double>")
+    return with_columns_of_text(docs, text, {into: "array<double>"}, found)
 
 
-def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """The words that most set toxic rows of ``(text, y)`` apart, at most ``LEXICON``.
+def learn_lexicon(rows: DataFrame, limit: int = LEXICON) -> Lexicon:
+    """The words that set toxic rows of ``(text, y)`` apart.
 
     A word counts once a row. It is taken if at least five toxic rows have it
     and its rate among them is ten times that among the others; its weight is
-    the logarithm of that ratio.
+    the logarithm of that ratio. Should more than ``limit`` words meet this,
+    those stay whose excess over the expected number of toxic rows is the most
+    unlikely, not the most frequent ones.
     """
     by_label = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     if not by_label.get(1) or not by_label.get(0):
@@ -202,11 +203,18 @@ def learn_lexicon(rows: DataFrame) -> Lexicon:
         .agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
     )
     ratio = ((F.col("bad") + 0.1) / by_label[1]) / ((F.col("good") + 0.1) / by_label[0])
+    share = by_label[1] / (by_label[0] + by_label[1])
+    # Twice the logarithm of how much likelier the toxic rows are under their own rate.
+    rate = F.col("bad") / (F.col("bad") + F.col("good"))
+    left = F.when(F.col("good") > 0, F.col("good") * F.log((1 - rate) / (1 - share))).otherwise(0.0)
+    evidence = F.col("bad") * F.log(rate / share) + left
     best = (
-        counted.withColumn("ratio", ratio)
-        .filter((F.col("bad") >= 5) & (F.col("ratio") >= 10))
-        .orderBy(F.desc("bad"), "word")
-        .limit(LEXICON)
+        counted.filter("bad >= 5")
+        .withColumns({"ratio": ratio, "evidence": evidence})
+        .filter("ratio >= 10")
+        .orderBy(F.desc("evidence"), "word")
+        .limit(limit)
+        .select("word", "ratio")
         .collect()
     )
     hashes = _hashes([r["word"].encode() for r in best])
@@ -227,23 +235,28 @@ def train(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
     label: str = "toxic", rows: int = TRAIN_ROWS, trees: int = 20, depth: int = 4, seed: int = 7,
 ) -> Model:
-    """Learn from about ``rows`` labelled rows, spread over all by a hash of their key.
+    """Learn the lexicon from all labelled rows and the trees from about ``rows`` of them.
 
-    Held-out rows are not used. A key with several labels counts as toxic if
-    one of them says so. Without labelled rows, or with labels of one class
-    only, every score is the mean of the labels, or 0.
+    Those are spread over all by a hash of their key. Held-out rows are not
+    used. A key with several labels counts as toxic if one of them says so.
+    Without labelled rows, or with labels of one class only, every score is the
+    mean of the labels, or 0.
     """
-    known = labels.filter(~held_out(key) & F.col(key).isNotNull() & F.col(label).isNotNull())
-    known = known.groupBy(F.col(key).alias("key")).agg(F.max(F.col(label).cast("int")).alias("y"))
+    with scratch(docs.sparkSession):
+        return _trained(docs, labels, key, text, label, rows, trees, depth, seed)
+
+
+def _trained(docs, labels, key: str, text: str, label: str, rows: int, trees: int, depth: int, seed: int) -> Model:
+    known = labels.filter(~held_out(key) & named(key).isNotNull() & named(label).isNotNull())
+    known = known.groupBy(named(key).alias("key")).agg(F.max(named(label).cast("int")).alias("y"))
+    known = materialize(known)
     total = known.count()
+    texts = docs.select(named(key).alias("key"), F.coalesce(named(text).cast("string"), F.lit("")).alias("text"))
+    labelled = texts.join(if_short(known), "key")
+    lexicon = learn_lexicon(labelled.select("text", "y"))
     share = min(1.0, rows / total) if total else 1.0
-    limit = int(share * (1 << 20))
-    known = known.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < limit)
-    texts = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # The same test on both sides, so that only the sample is joined.
-    texts = texts.filter(F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < limit)
-    sample = materialize(texts.join(known, "key"))
-    lexicon = learn_lexicon(sample)
+    sampled = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) < int(share * (1 << 20))
+    sample = materialize(labelled.filter(sampled))
     featured = with_features(sample, lexicon, "text", "x")
     featured = materialize(
         featured.select(
@@ -276,10 +289,9 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", into: str = "
     if model.trees is None:
         return kept.withColumn(into, F.lit(float(model.constant)))
     # Row as one struct, so that no column of it can clash with those of the models.
-    featured = with_features(kept, model.lexicon, text, "__x")
-    packed = featured.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), array_to_vector("__x").alias("x")
-    )
+    features = free_name("x", kept)
+    featured = with_features(kept, model.lexicon, text, features)
+    packed = featured.select(F.struct(*map(named, kept.columns)).alias("row"), array_to_vector(features).alias("x"))
     raw = model.trees.transform(packed).select("row", vector_to_array("probability")[1].alias("raw"))
     done = model.calibration.transform(raw)
     score = F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))
