@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from veilframe import LinkSpec, jobs, link, read_table, scratch, tokenise, write_table
 from veilframe.functions import hmac_sha256, link_token
-from veilframe.operators.linkage import TOKEN, hot_keys
+from veilframe.operators.linkage import TOKEN, _candidates, _keyed, hot_keys
 from veilframe.sources import with_place
 from veilframe.sources.tables import shared_folder
 
@@ -374,3 +374,46 @@ def test_tokens_that_are_none_are_refused(spark):
     with pytest.raises(ValueError, match="has a column"):
         tokenise(a, ["k"], "a")
     assert "hidden" not in repr(LinkSpec(["a"], ["k"], ["a"], [], secret=b"hidden"))
+
+
+def counted_fully(left, right, limit):
+    """Hot keys by grouping both sides as a whole: ``key -> (rows of A, rows of B)``."""
+    sides = [side.groupBy(F.xxhash64(TOKEN).alias("key")).agg(F.count("*").alias(n)) for side, n in ((left, "a"), (right, "b"))]
+    return {r.key: (r.a, r.b) for r in sides[0].join(sides[1], "key").filter(f"a * b > {limit}").collect()}
+
+
+def shapes(spark):
+    ids = spark.range(0, 40_000, 1, 8)
+    row = F.col("id")
+    few = ids.filter("id < 3000")
+    yield ids.select((row % 1000).alias("k")), few.select((row % 700).alias("k"))
+    yield few.select(row.alias("k")), ids.select(F.when(row < 9000, 5).when(row < 15_000, 7).otherwise(row).alias("k"))
+    yield ids.select(F.floor(F.sqrt(row)).alias("k")), ids.select(F.floor(F.sqrt(row / 3)).alias("k"))
+    yield ids.select(row.alias("k")), ids.select(row.alias("k"))
+    yield ids.limit(0).select(row.alias("k")), ids.select(F.lit(1).alias("k"))
+
+
+@pytest.mark.parametrize("bins", [1 << 20, 16, 1])
+def test_the_list_of_hot_keys_is_that_of_full_counts(spark, monkeypatch, bins):
+    monkeypatch.setattr("veilframe.operators.linkage.BINS", bins)
+    for a, b in shapes(spark):
+        for limit in (100, 5000):
+            left, right = (side.select(link_token([F.col("k")]).alias(TOKEN)) for side in (a, b))
+            wanted = counted_fully(left, right, limit)
+            for x, y, turned in ((left, right, False), (right, left, True)):
+                found = {r.key: (r.pieces_a, r.pieces_b) for r in hot_keys(x, y, limit).collect()}
+                assert found.keys() == wanted.keys()
+                for key, pieces in found.items():
+                    n, m = wanted[key][::-1] if turned else wanted[key]
+                    p, q = pieces
+                    assert p <= n and q <= m and n * m / (p * q) <= 4 * limit
+
+
+def test_keys_of_the_larger_side_are_counted_only_where_one_may_be_hot(spark):
+    ids = spark.range(0, 50_000, 1, 8)
+    tokens = lambda df: df.select(link_token([F.col("id")]).alias(TOKEN))
+    short, long = tokens(ids.filter("id < 4000")), tokens(ids)
+    exact = _keyed(short).groupBy("key", "bin").agg(F.count("*").alias("n"))
+    assert _candidates(exact, _keyed(long), 100).count() == 0
+    many = long.union(tokens(ids.filter("id < 3").crossJoin(spark.range(500).select(F.lit(1)))))
+    assert _candidates(exact, _keyed(many), 100).count() == 3

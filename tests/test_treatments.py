@@ -409,3 +409,66 @@ def test_moments_of_columns_without_numbers(spark):
     assert set(statistics(figures_of(found)).values()) == {None}
     with pytest.raises(ValueError):
         moments(df, Policy.from_dict({"t": ["Delete"]}))
+
+
+def random_cells(spark, parts, by, **how):
+    """Numbers, short texts and long ones, dealt out and ordered in some way."""
+    df = spark.range(3000).select(
+        "id", (F.col("id") % 50).cast("double").alias("x"), F.lit("a short one").alias("t"),
+        F.repeat(F.lit("long "), 40).alias("u"), F.lit("same").alias("g"),
+    )
+    df = df.repartition(parts, by).sortWithinPartitions(F.rand(parts))
+    policy = Policy.from_dict({"x": ["Random"], "t": ["Random"], "u": ["Random"]})
+    return {r.id: (r.x, r.t, r.u) for r in pseudonymize(df, policy, **how).collect()}
+
+
+def test_random_cells_follow_the_row(spark):
+    first = random_cells(spark, 1, "id", seed=5, identity=["id"])
+    assert first == random_cells(spark, 64, "x", seed=5, identity=["id"])
+    assert first != random_cells(spark, 1, "id", seed=6, identity=["id"])
+    for i in range(3):
+        assert len({row[i] for row in first.values()}) > 2900
+    draws = sorted(x / 49 for x, _, _ in first.values())
+    # Kolmogorov and Smirnov: far from even with a chance of a millionth.
+    assert max(abs(x - i / 3000) for i, x in enumerate(draws)) < 2.6 / 3000**0.5
+    for place in (0, 7, 30, 95, 180):
+        counts = [sum(u[place] == c for _, _, u in first.values()) for c in ALPHABET]
+        assert sum((n - 125) ** 2 / 125 for n in counts) < 65
+    # Positions, blocks and columns are drawn apart from each other.
+    for a, b in ((0, 1), (0, 24), (10, 34), (0, 48)):
+        same = sum(u[a] == u[b] for _, _, u in first.values())
+        assert abs(same - 125) < 60
+    assert sum(t[:4] == u[:4] for _, t, u in first.values()) < 5
+
+
+def test_rows_alike_in_their_identity_draw_alike(spark):
+    found = random_cells(spark, 3, "id", seed=1, identity=["g"])
+    assert len(set(found.values())) == 1
+    apart = random_cells(spark, 3, "id", identity=["id"])
+    assert apart != random_cells(spark, 3, "id", identity=["id"])
+
+
+def test_random_cells_by_the_place_in_a_file(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(2000).select((F.col("id") % 3).alias("id"), F.lit("text").alias("t"), F.lit(1.5).alias("place"))
+    df.repartition(4).write.parquet(path)
+    policy = Policy.from_dict({"t": ["Random"]})
+
+    def treated(source):
+        got = pseudonymize(source, policy, seed=3, identity="row")
+        assert got.columns == ["id", "t", "place"]
+        return sorted(map(tuple, got.collect()))
+
+    first = treated(spark.read.parquet(path))
+    assert len({t for _, t, _ in first}) > 1900
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3k")
+    try:
+        assert treated(spark.read.parquet(path)) == first
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(treated(df)) == 2000
+    for wrong in ("id", "rows"):
+        with pytest.raises(ValueError, match="identity"):
+            pseudonymize(df, policy, identity=wrong)
+    with pytest.raises(ValueError, match="no columns"):
+        pseudonymize(df, policy, identity=["none"])

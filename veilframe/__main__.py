@@ -28,6 +28,7 @@ def parser() -> argparse.ArgumentParser:
             command.add_argument("--statistics")
             command.add_argument("--integers", default="text", choices=INTEGERS)
             command.add_argument("--refused")
+            command.add_argument("--identity", nargs="+", metavar="COLUMN")
 
     command = commands.add_parser("link", parents=[common])
     for argument in ("table_a", "table_b", "spec", "output"):

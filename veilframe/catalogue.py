@@ -563,6 +563,24 @@ def stored_statistics(spark, folder):
     return treated.select("l_orderkey", "l_linenumber", to_4("l_quantity"), to_4("l_extendedprice"))
 
 
+@query("""
+SELECT count(*) AS n, true AS same, true AS in_range, true AS changed, true AS centred, true AS spread,
+       true AS shaped FROM orders""")
+def random_by_identity(spark, folder):
+    """Random cells that follow the row: the same however the table lies, and still uniform."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    policy = Policy.from_dict({"o_totalprice": ["Random"], "o_orderpriority": ["Random"]})
+    dealt = orders.repartition(7, "o_orderpriority").sortWithinPartitions("o_totalprice")
+    one, two = (pseudonymize(df, policy, seed=11, identity=["o_orderkey"]) for df in (orders, dealt))
+    two = two.withColumnsRenamed({"o_totalprice": "x", "o_orderpriority": "y"})
+    was = orders.withColumnsRenamed({"o_totalprice": "price", "o_orderpriority": "text"})
+    joined = one.join(two, "o_orderkey").join(was, "o_orderkey")
+    number, text = F.col("o_totalprice"), F.col("o_orderpriority")
+    same = (number == F.col("x")) & (text == F.col("y"))
+    shaped = text.rlike(RANDOM_TEXT) & (F.length(text) == F.length("text"))
+    return joined.agg(*drawn_numbers(F.col("price"), number), F.min(same).alias("same"), F.min(shaped).alias("shaped"))
+
+
 @query("SELECT c_custkey, sha256('pepper' || c_name) AS c_name FROM customer")
 def encrypt_salted(spark, folder):
     df = table(spark, folder, "customer").select("c_custkey", "c_name")

@@ -21,6 +21,14 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def free_name(name: str, *tables: DataFrame) -> str:
+    """``name``, or a longer one, that no column of the tables has."""
+    taken = {column.lower() for table in tables for column in table.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def require_columns(df: DataFrame, names: Iterable[str], table: str = "table") -> None:
     missing = [name for name in names if name not in df.columns]
     if missing:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import random
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,7 +69,19 @@ def is_outlier(x: Column, mean: Column, sd: Column, k: float = 1.0) -> Column:
     return ((x < lower) & ~F.isnan(lower)) | ((x > upper) & ~F.isnan(x))
 
 
-def random_number(low: Column, high: Column, seed: int | None = None) -> Column:
-    """Uniform in [low, high), drawn afresh for every cell."""
-    draw = F.rand() if seed is None else F.rand(seed)
-    return low + (high - low) * draw
+def draw(seed: int | None = None, identity: Sequence[Column] = ()) -> Column:
+    """Uniform in [0, 1), drawn afresh for every cell.
+
+    With the cells that tell a row from others, it is a function of them and
+    the seed alone: the same row gets the same number in whatever task and order.
+    """
+    if not identity:
+        return F.rand() if seed is None else F.rand(seed)
+    if seed is None:
+        seed = random.getrandbits(62)
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *identity), 11) * 2.0**-53
+
+
+def random_number(low: Column, high: Column, drawn: Column) -> Column:
+    """Uniform in [low, high), by a number drawn from [0, 1)."""
+    return low + (high - low) * drawn

@@ -71,13 +71,15 @@ def run_pseudonymize(
     statistics: str | None = None,
     integers: str = "text",
     refused: str | None = None,
+    identity: list[str] | None = None,
 ) -> None:
     """Write the treated table; ``statistics`` is the output of a profile job.
 
     A record with more cells than the header ends the job, unless ``refused``
     names a folder: such records are then left out of the statistics and of the
     result and written there as quoted text, with their file and line. The table
-    is read for them only if the job has counted any.
+    is read for them only if the job has counted any. ``identity`` names the
+    columns by which a seed repeats random cells whatever the partitions.
     """
     rules, stored = read_policy(spark, policy), None
     if statistics is not None:
@@ -85,7 +87,7 @@ def run_pseudonymize(
         stored = stored.withColumn("value", stored["value"].try_cast("double"))
     count = Observation() if refused is not None and format == "csv" else None
     source = read_table(spark, table, format, refused=count)
-    write_table(pseudonymize(source, rules, seed, stored, integers), output, format)
+    write_table(pseudonymize(source, rules, seed, stored, integers, identity or ()), output, format)
     if refused is not None:
         records = refused_records(spark, table) if count is not None and count.get["records"] else None
         if records is None:

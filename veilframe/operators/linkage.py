@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from veilframe.functions import link_token, named, require_columns
 from veilframe.plans import LinkSpec
-from veilframe.sources.tables import materialize, with_place
+from veilframe.sources.tables import materialize, scratch, with_place
 
 TOKEN = "__token"
 PLACE = "__place"
@@ -20,6 +20,8 @@ PLACE = "__place"
 PAIRS_PER_CELL = 1_000_000
 # Hot keys beyond this number are not broadcast; a row of the list is 28 bytes.
 BROADCAST_KEYS = 1_000_000
+# Keys are first counted by bins of their hash; the list of bins is 8 bytes each.
+BINS = 1 << 20
 
 
 def _printed_kind(kind: T.DataType) -> str:
@@ -93,28 +95,57 @@ def _output_names(spec: LinkSpec) -> list[str]:
     return names
 
 
-def hot_keys(left: DataFrame, right: DataFrame, pairs_per_cell: int) -> DataFrame:
-    """``(key, pieces_a, pieces_b)``: keys with more pairs than a cell is to have.
+def _bytes_of(df: DataFrame) -> int:
+    """Spark's estimate of a table's size."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _keyed(side: DataFrame) -> DataFrame:
+    key = F.xxhash64(TOKEN)
+    return side.select(key.alias("key"), F.pmod(key, F.lit(BINS)).alias("bin"))
+
+
+def _candidates(short: DataFrame, long: DataFrame, pairs_per_cell: int) -> DataFrame:
+    """``(bin)``: the bins that may hold a key with more pairs than a cell is to have.
 
-    Both sides' rows are counted exactly, and a key's pairs are the product:
-    a key need not be frequent on either side alone. There cannot be more such
-    keys than the result has cells. The grid is cut so that it copies few rows:
-    the longer side is cut more often.
+    ``short`` has the exact counts ``(key, bin, n)`` of one side; of the other the
+    rows of each bin are counted, which bound those of every key in it. Bins
+    are added up by the tasks, so a task sends ``BINS`` counts at most however
+    many keys it reads, and no hot key is missed.
     """
-    counts = [
-        side.groupBy(F.xxhash64(TOKEN).alias("key")).agg(F.count("*").cast("double").alias(n))
-        for side, n in ((left, "a"), (right, "b"))
-    ]
-    cells = F.col("a") * F.col("b") / pairs_per_cell
-    pieces_a = F.least(F.col("a"), F.greatest(F.lit(1.0), F.ceil(F.sqrt(cells * F.col("a") / F.col("b")))))
-    pieces_b = F.least(F.col("b"), F.greatest(F.lit(1.0), F.ceil(cells / F.col("pieces_a"))))
-    return (
-        counts[0]
-        .join(counts[1], "key")
-        .filter(cells > 1)
-        .withColumn("pieces_a", pieces_a)
-        .select("key", F.col("pieces_a").cast("int").alias("pieces_a"), pieces_b.cast("int").alias("pieces_b"))
-    )
+    most = short.groupBy("bin").agg(F.max("n").alias("most"))
+    rows = long.groupBy("bin").agg(F.count("*").alias("rows"))
+    possible = F.col("most").cast("double") * F.col("rows") > pairs_per_cell
+    return most.join(rows, "bin").filter(possible).select("bin")
+
+
+def hot_keys(left: DataFrame, right: DataFrame, pairs_per_cell: int) -> DataFrame:
+    """``(key, pieces_a, pieces_b)``, stored: keys with more pairs than a cell is to have.
+
+    A key's pairs are the product of its rows on both sides: it need not be
+    frequent on either side alone. The smaller side is counted by key. The
+    larger one is first counted by bins, and only the keys of bins that can hold
+    a hot one are counted exactly, so that as a rule it is read once, narrow, and
+    its keys are not shuffled. There cannot be more hot keys than the result
+    has cells. The grid is cut so that it copies few rows: the longer side is
+    cut more often.
+    """
+    swapped = _bytes_of(left) < _bytes_of(right)
+    short, long = (_keyed(side) for side in ((left, right) if swapped else (right, left)))
+    with scratch(left.sparkSession):
+        short = materialize(short.groupBy("key", "bin").agg(F.count("*").alias("n")))
+        bins = materialize(_candidates(short, long, pairs_per_cell))
+        # There are BINS of them at most.
+        chosen = long.join(F.broadcast(bins), "bin", "left_semi")
+        counted = chosen.groupBy("key").agg(F.count("*").alias("rows")).join(short, "key")
+        sides = ("n", "rows") if swapped else ("rows", "n")
+        a, b = (F.col(name).cast("double") for name in sides)
+        cells = a * b / pairs_per_cell
+        pieces_a = F.least(a, F.greatest(F.lit(1.0), F.ceil(F.sqrt(cells * a / b))))
+        pieces_b = F.least(b, F.greatest(F.lit(1.0), F.ceil(cells / F.col("pieces_a"))))
+        found = counted.filter(cells > 1).withColumn("pieces_a", pieces_a)
+        found = found.select("key", F.col("pieces_a").cast("int"), pieces_b.cast("int").alias("pieces_b"))
+        return materialize(found, keep=True)
 
 
 def _split_hot_keys(
@@ -133,7 +164,7 @@ def _split_hot_keys(
     left, right = with_place(left, PLACE), with_place(right, PLACE)
     # Stored: both sides must see the same list, and a broadcast that had to
     # scan two tables first could run into Spark's broadcast timeout.
-    hot = materialize(hot_keys(left, right, pairs_per_cell))
+    hot = hot_keys(left, right, pairs_per_cell)
     if hot.count() <= BROADCAST_KEYS:
         hot = F.broadcast(hot)
 

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veilframe.functions import (
+    draw,
+    free_name,
     has_numbers,
     hmac_sha256,
     is_outlier,
@@ -25,6 +29,7 @@ from veilframe.functions import (
 )
 from veilframe.operators.profiling import field, statistics_row
 from veilframe.plans import Policy, Treatment
+from veilframe.sources.tables import with_place
 
 STATISTICS = "__statistics"
 NUMBER_OF = "__number:"
@@ -32,6 +37,15 @@ NUMBER_OF = "__number:"
 INTEGERS = ("text", "round")
 
 
+@dataclass(frozen=True)
+class Choices:
+    """What a treatment's column does not say itself: its seed, the row's identity, the form of means."""
+
+    seed: int | None = None
+    identity: tuple[Column, ...] = ()
+    integers: str = "text"
+
+
 def _as_cell(df: DataFrame, treatment: Treatment, value: Column) -> Column:
     """A number as the column holds it: text for text columns, else a double.
 
@@ -55,19 +69,19 @@ def _figure(treatment: Treatment, figure: str) -> Column:
     return F.col(STATISTICS).getField(field(treatment, figure))
 
 
-def _masking(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
+def _masking(df: DataFrame, t: Treatment, how: Choices) -> Column:
     return span_mask(named(t.column), t.spec)
 
 
-def _part_delete(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
+def _part_delete(df: DataFrame, t: Treatment, how: Choices) -> Column:
     return part_delete(named(t.column), t.spec)
 
 
-def _round(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
+def _round(df: DataFrame, t: Treatment, how: Choices) -> Column:
     return _as_cell(df, t, round_at(_number(df, t), t.mode, t.digit))
 
 
-def _encryption(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
+def _encryption(df: DataFrame, t: Treatment, how: Choices) -> Column:
     if t.key:
         return F.lower(F.hex(hmac_sha256(named(t.column).cast("string"), t.key.encode())))
     return sha256_hex(named(t.column), t.salt)
@@ -84,7 +98,7 @@ def _mean_cell(kind: T.DataType, mean: Column, integers: str) -> tuple[T.DataTyp
     return T.StringType(), mean.cast("string")
 
 
-def _outliers(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
+def _outliers(df: DataFrame, t: Treatment, how: Choices) -> Column:
     """TopBottom, and MicroAggregation for the rows that meet its conditions."""
     x, mean, sd = _number(df, t), _figure(t, "Avg"), _figure(t, "Sd")
     original = named(t.column)
@@ -96,7 +110,7 @@ def _outliers(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> C
             .otherwise(original)
         )
     else:
-        kind, mean_cell = _mean_cell(df.schema[t.column].dataType, mean, integers)
+        kind, mean_cell = _mean_cell(df.schema[t.column].dataType, mean, how.integers)
         original = original.cast(kind)
         treated = F.when(is_outlier(x, mean, sd), mean_cell).otherwise(original)
     if not t.conditions:
@@ -104,18 +118,18 @@ def _outliers(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> C
     return F.when(matches(df, t.conditions), treated).otherwise(original)
 
 
-def _random(df: DataFrame, t: Treatment, seed: int | None, integers: str) -> Column:
+def _random(df: DataFrame, t: Treatment, how: Choices) -> Column:
     """A number within the column's range, or a text of the cell's length."""
-    seeds = random.Random(seed)
+    seeds = random.Random(how.seed)
     kind = df.schema[t.column].dataType
     if not has_numbers(kind):
         # A date or a flag is no number: a text of the length it prints with.
-        return random_text(named(t.column).cast("string"), seeds.getrandbits(62))
-    drawn = random_number(_figure(t, "Min"), _figure(t, "Max"), seeds.getrandbits(62))
+        return random_text(named(t.column).cast("string"), seeds.getrandbits(62), how.identity)
+    drawn = random_number(_figure(t, "Min"), _figure(t, "Max"), draw(seeds.getrandbits(62), how.identity))
     x = _number(df, t)
     if not isinstance(kind, T.StringType):
         return F.when(x.isNotNull(), drawn)
-    text = random_text(named(t.column), seeds.getrandbits(62))
+    text = random_text(named(t.column), seeds.getrandbits(62), how.identity)
     return F.when(x.isNotNull(), _as_cell(df, t, drawn)).otherwise(text)
 
 
@@ -164,6 +178,7 @@ def pseudonymize(
     seed: int | None = None,
     statistics: DataFrame | None = None,
     integers: str = "text",
+    identity: Sequence[str] | str = (),
 ) -> DataFrame:
     """``df`` with every treated column replaced, in the same column order.
 
@@ -180,13 +195,29 @@ def pseudonymize(
     the mean has its fraction. ``integers="round"`` leaves such a column its
     type and rounds the mean, halves up. Under Random, columns that are neither
     numbers nor text become text. ``seed`` makes Random repeatable for the same
-    input partitions.
+    input partitions; with ``identity``, the columns that tell rows apart, it does
+    so for any partitions and order, and rows alike in all of them draw alike.
+    ``identity="row"`` stands for a row's place in its Parquet file; a table that
+    is not read straight from such files is stored first, which only a stored
+    table can repeat.
     """
     require_columns(df, policy.columns)
+    place = []
+    if identity == "row":
+        place = [free_name("place", df)]
+        df = with_place(df, place[0])
+    elif isinstance(identity, str):
+        raise ValueError(f"identity is a list of columns or 'row', not {identity!r}")
+    require_columns(df, identity if not place else place)
+    of = tuple(named(name) for name in place or identity)
     if integers not in INTEGERS:
         raise ValueError(f"integers is one of {INTEGERS}, not {integers!r}")
     treated = {t.column: t for t in policy.treatments}
-    kept = [name for name in df.columns if name not in treated or treated[name].kind != "Delete"]
+    kept = [
+        name
+        for name in df.columns
+        if name not in place and (name not in treated or treated[name].kind != "Delete")
+    ]
 
     columns = []
     for name in kept:
@@ -195,7 +226,8 @@ def pseudonymize(
             continue
         own_seed = None if seed is None else random.Random(f"{seed}/{name}").getrandbits(62)
         treatment = treated[name]
-        columns.append(BUILDERS[treatment.kind](df, treatment, own_seed, integers).alias(name))
+        how = Choices(own_seed, of, integers)
+        columns.append(BUILDERS[treatment.kind](df, treatment, how).alias(name))
 
     prepared = [
         to_number(named(t.column), T.StringType()).alias(NUMBER_OF + t.column)
