@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilframe.functions import named
+from veilframe.functions import free_name, named
 
 PIECE_BYTES = 1 << 20
 
@@ -176,14 +176,6 @@ def if_short(df: DataFrame, limit: int = SHORT_LIST) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def free_name(name: str, *tables: DataFrame) -> str:
-    """``name``, or a longer one, that no column of the tables has."""
-    taken = {column.lower() for table in tables for column in table.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 @contextmanager
 def dropped_shuffles(spark: SparkSession) -> Iterator[None]:
     """Shuffle files go as soon as the job that wrote them has stored its result."""

@@ -27,10 +27,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.functions import named
+from veilframe.functions import free_name, named
 from veilframe.llm.arrays import (
     dropped_shuffles,
-    free_name,
     if_short,
     joined_utf8,
     mix,

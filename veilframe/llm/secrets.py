@@ -19,8 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilframe.functions import named
-from veilframe.llm.arrays import free_name
+from veilframe.functions import free_name, named
 
 # The known shapes, in the order in which they are listed.
 ASSIGN = (

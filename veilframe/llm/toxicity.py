@@ -20,9 +20,8 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.functions import named
+from veilframe.functions import free_name, named
 from veilframe.llm.arrays import (
-    free_name,
     if_short,
     joined_utf8,
     span_hash,
