@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.functions import named
+from veilframe.functions import free_name, named
 from veilframe.llm import bpe, decontaminate, language, near_copies, pii
-from veilframe.llm.arrays import free_name, if_short, small_batches
+from veilframe.llm.arrays import if_short, small_batches
 from veilframe.llm.queries import tokenizer_file
 from veilframe.sources import materialize, scratch
 
