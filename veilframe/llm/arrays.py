@@ -238,12 +238,12 @@ def gathered(
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def small_batches(spark) -> None:
+def small_batches(spark: SparkSession) -> None:
     """Send texts to tasks in batches of 1,000 rows unless the session has chosen a number.
 
-    Spark counts rows, not bytes, and its 10,000 are meant for rows of numbers.
+    Spark counts rows, not bytes, and its default is meant for rows of numbers.
     """
-    if spark.conf.get(BATCH) == "10000":
+    if BATCH not in spark.conf.getAll:
         spark.conf.set(BATCH, "1000")
 
 

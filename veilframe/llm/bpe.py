@@ -28,6 +28,8 @@ from veilframe.functions import named
 from veilframe.llm.arrays import packed, prime_hash, record_pieces, repeated_ranges, unpacked
 
 BLOCK_BYTES = 8 << 20
+# Texts are cut into words and hashed in pieces of so many bytes, or one text.
+PIECE = 256 << 10
 # Bytes of text whose distinct words are encoded by one group.
 GROUP_BYTES = 64 << 20
 ENCODE_BATCH = 10_000
@@ -221,7 +223,7 @@ def _blocks(batches, key: str, text: str, tokenizer_json: str, partition: int):
     """``(block id, Words)`` for every block of a task's rows."""
     special, kinds = _special(tokenizer_json), _tokenizer(tokenizer_json)[1]
     block, number = Words(kinds, special), 0
-    for piece in record_pieces(batches, text):
+    for piece in record_pieces(batches, text, PIECE):
         if block.size and block.size + piece.nbytes > BLOCK_BYTES:
             yield (partition << 32) + number, block
             block, number = Words(kinds, special), number + 1
