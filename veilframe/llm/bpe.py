@@ -26,12 +26,13 @@ from tokenizers import Tokenizer
 
 from veilframe.functions import named
 from veilframe.llm.arrays import packed, prime_hash, record_pieces, repeated_ranges, unpacked
+from veilframe.sources.tables import estimated_bytes, straight_from_files
 
 BLOCK_BYTES = 8 << 20
 # Texts are cut into words and hashed in pieces of so many bytes, or one text.
 PIECE = 256 << 10
-# Bytes of text whose distinct words are encoded by one group.
-GROUP_BYTES = 64 << 20
+# Bytes of texts, or of the files that hold them, whose distinct words are encoded by one group.
+GROUP_BYTES = 32 << 20
 ENCODE_BATCH = 10_000
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 # Endings that the word rule cuts off behind an apostrophe.
@@ -271,7 +272,11 @@ def encode_decode(
         tokenizer_json = file.read()
     shared = spark.sparkContext.broadcast((tokenizer_json, pieces_of(tokenizer_json)))
     rows = docs.select(named(key).alias("key"), named(text).cast("string").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    # The number of groups follows the input; results do not depend on it.
+    if straight_from_files(rows):
+        size = estimated_bytes(rows)
+    else:
+        size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP_BYTES))
     key_type = rows.schema["key"].dataType.simpleString()
     rows = rows.withColumn("task", F.spark_partition_id())

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.functions import named
 from veilframe.llm.arrays import record_pieces, with_columns_of_text
 
 UNKNOWN = "und"
@@ -68,7 +69,7 @@ class Model:
 
 def held_out(key: str) -> Column:
     """Rows that no model learns from: the checksum of the key leaves 2 when divided by 4."""
-    return F.coalesce(F.crc32(F.col(key).cast("string")) % 4 == 2, F.lit(False))
+    return F.coalesce(F.crc32(named(key).cast("string")) % 4 == 2, F.lit(False))
 
 
 def _piece(texts: list[str | None]):
@@ -104,11 +105,11 @@ def train(
     Held-out rows and rows without text or language are not used. What comes to
     the driver is a count per language and trigram bucket.
     """
-    labelled = docs.filter(~held_out(key) & F.col(language).isNotNull() & F.col(text).isNotNull())
-    total = labelled.select(key).count()
+    labelled = docs.filter(~held_out(key) & named(language).isNotNull() & named(text).isNotNull())
+    total = labelled.count()
     share = min(1.0, rows / total) if total else 1.0
-    chosen = labelled.filter(F.pmod(F.xxhash64(key), F.lit(1 << 20)) < int(share * (1 << 20)))
-    chosen = chosen.select(F.col(language).cast("string").alias("lang"), F.col(text).alias("text"))
+    chosen = labelled.filter(F.pmod(F.xxhash64(named(key)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    chosen = chosen.select(named(language).cast("string").alias("lang"), named(text).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}

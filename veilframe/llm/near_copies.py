@@ -44,7 +44,7 @@ from veilframe.sources import materialize, scratch
 SHINGLE = 5
 BANDS, ROWS = 25, 5
 THRESHOLD = 0.8
-PIECE = 512 << 10
+PIECE = 256 << 10
 # Texts are told apart by size in steps of this ratio when their rarest regions are joined.
 STEP = 17 / 16
 
