@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from veilframe.functions import link_token, named, require_columns
 from veilframe.plans import LinkSpec
-from veilframe.sources.tables import materialize, scratch, with_place
+from veilframe.sources.tables import estimated_bytes, materialize, scratch, with_place
 
 TOKEN = "__token"
 PLACE = "__place"
@@ -95,11 +95,6 @@ def _output_names(spec: LinkSpec) -> list[str]:
     return names
 
 
-def _bytes_of(df: DataFrame) -> int:
-    """Spark's estimate of a table's size."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def _keyed(side: DataFrame) -> DataFrame:
     key = F.xxhash64(TOKEN)
     return side.select(key.alias("key"), F.pmod(key, F.lit(BINS)).alias("bin"))
@@ -130,7 +125,7 @@ def hot_keys(left: DataFrame, right: DataFrame, pairs_per_cell: int) -> DataFram
     has cells. The grid is cut so that it copies few rows: the longer side is
     cut more often.
     """
-    swapped = _bytes_of(left) < _bytes_of(right)
+    swapped = estimated_bytes(left) < estimated_bytes(right)
     short, long = (_keyed(side) for side in ((left, right) if swapped else (right, left)))
     with scratch(left.sparkSession):
         short = materialize(short.groupBy("key", "bin").agg(F.count("*").alias("n")))

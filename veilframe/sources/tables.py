@@ -219,6 +219,11 @@ def remove(spark: SparkSession, path: str) -> None:
     location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's estimate of a table's size, by that of its files; no job runs for it."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables: ``spark.checkpoint.dir``.
 
@@ -286,7 +291,7 @@ def stored(df: DataFrame) -> Iterator[DataFrame]:
 NARROW = ("Project", "Filter", "SubqueryAlias")
 
 
-def _straight_from_files(df: DataFrame) -> bool:
+def straight_from_files(df: DataFrame) -> bool:
     """Whether the rows are those of one table's files, each at most once."""
     plan = df._jdf.queryExecution().analyzed()
     while plan.getClass().getSimpleName() in NARROW:
@@ -307,7 +312,7 @@ def with_place(df: DataFrame, name: str) -> DataFrame:
         source = files.metadataColumn("_metadata")
         return files.select("*", F.xxhash64(source["file_path"], source["row_index"]).alias(name))
 
-    if _straight_from_files(df):
+    if straight_from_files(df):
         try:
             return placed(df)
         except AnalysisException:
