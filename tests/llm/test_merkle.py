@@ -78,17 +78,21 @@ ROWS += [(5, "s", "en", 3, "same key"), (6, "s", "en", 4, "again"), (None, "s",
 ROWS += [(8, "twice", "en", 1, "twice")] * 3 + [(9, "long", "en", 400_000, "ab" * 200_000)]
 
 
-@pytest.mark.parametrize("block", [4, 16, 1024])
+@pytest.mark.parametrize("block", [4, 1024])
 def test_against_a_plain_tree(spark, stored_docs, block):
     assert applied(stored_docs(ROWS, SCHEMA), block) == brute(ROWS)
 
 
-@pytest.mark.parametrize("count", [1, 2, 3, 5, 16, 17])
-def test_sizes_around_the_blocks(spark, count):
-    rows = ROWS[:count]
+def test_sizes_around_the_blocks(spark):
+    sizes = [1, 2, 3, 4, 5, 7, 8, 9, 15, 16, 17, 31, 32, 33, 63, 64, 65]
+    rows = [(1000 * n + i, "s", f"of {n:03}", i, "t") for n in sizes for i in range(n)]
+    assert applied(spark.createDataFrame(rows, SCHEMA), 4) == brute(rows)
+
+
+@pytest.mark.parametrize("count", [1, 16])
+def test_a_single_group(spark, count):
+    rows = [(i, "s", "en", i, "t") for i in range(count)]
     assert applied(spark.createDataFrame(rows, SCHEMA), 4) == brute(rows)
-    one = [(i, "s", "en", i, "t") for i in range(count)]
-    assert applied(spark.createDataFrame(one, SCHEMA), 4) == brute(one)
 
 
 def test_empty_tables_clashing_names_and_other_columns(spark, stored_docs):
