@@ -15,6 +15,7 @@ import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -28,7 +29,7 @@ from veilframe.functions import named
 from veilframe.llm.arrays import packed, prime_hash, record_pieces, repeated_ranges, unpacked
 from veilframe.sources.tables import estimated_bytes, straight_from_files
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 # Texts are cut into words and hashed in pieces of so many bytes, or one text.
 PIECE = 256 << 10
 # Bytes of texts, or of the files that hold them, whose distinct words are encoded by one group.
@@ -321,12 +322,13 @@ def encode_decode(
         for data in lists:
             for word in _unpacked_words(data):
                 numbers.setdefault(word, len(numbers))
-        distinct, ids = list(numbers), []
+        distinct, counts, ids = list(numbers), [], [np.zeros(0, np.uint32)]
         for i in range(0, len(distinct), ENCODE_BATCH):
             batch = tokenizer.encode_batch(distinct[i : i + ENCODE_BATCH], add_special_tokens=False)
-            ids += [np.array(e.ids, np.uint32) for e in batch]
-        counts = np.array([len(x) for x in ids], np.uint32)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            own = [e.ids for e in batch]
+            counts += map(len, own)
+            ids.append(np.fromiter(chain.from_iterable(own), np.uint32))
+        counts, flat = np.array(counts, np.uint32), np.concatenate(ids)
         firsts = np.cumsum(counts, dtype=np.int64) - counts
         lengths, values = [], []
         for data in lists:
