@@ -138,18 +138,22 @@ def prime_hash(seed: int, symbols: int = 256) -> PrimeHash:
 
 
 def release() -> None:
+    """As ``trim``, and with it the powers of hash bases, which are soon made anew."""
+    span_hash.cache_clear()
+    prime_hash.cache_clear()
+    trim()
+
+
+def trim() -> None:
     """Give memory that is no longer used back to the system.
 
     Python workers live on from task to task and from operator to operator, and
-    beside them the executor and other workers need it. Powers of hash bases are
-    soon made anew.
+    beside them the executor and other workers need it.
     """
-    span_hash.cache_clear()
-    prime_hash.cache_clear()
     pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim is not None:
-        trim(0)
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if give_back is not None:
+        give_back(0)
 
 
 def record_pieces(

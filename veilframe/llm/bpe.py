@@ -18,7 +18,6 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -26,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from veilframe.functions import named
-from veilframe.llm.arrays import packed, prime_hash, record_pieces, repeated_ranges, unpacked
+from veilframe.llm.arrays import packed, prime_hash, record_pieces, repeated_ranges, trim, unpacked
 from veilframe.sources.tables import estimated_bytes, straight_from_files
 
 BLOCK_BYTES = 4 << 20
@@ -229,6 +228,7 @@ def _blocks(batches, key: str, text: str, tokenizer_json: str, partition: int):
         if block.size and block.size + piece.nbytes > BLOCK_BYTES:
             yield (partition << 32) + number, block
             block, number = Words(kinds, special), number + 1
+            trim()
         block.add(piece.column(key), piece.column(text).to_pylist())
     if block.keys:
         yield (partition << 32) + number, block
@@ -336,6 +336,7 @@ def encode_decode(
             lengths.append(packed(counts[chosen]))
             places = repeated_ranges(firsts[chosen], counts[chosen].astype(np.int64))
             values.append(packed(flat[places]))
+        trim()
         return pa.table(
             {
                 "part": group.column("part"),
@@ -450,13 +451,13 @@ def decode(df: DataFrame, tokenizer_file: str, ids: str = "ids", into: str = "de
     with open(tokenizer_file, encoding="utf-8") as file:
         pieces = df.sparkSession.sparkContext.broadcast(pieces_of(file.read()))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = _Pieces(pieces.value)
         for batch in batches:
-            yield batch.map(
-                lambda b: None if b is None else table.decode(np.frombuffer(b, "<u4").astype(np.int64))
-            )
-
-    udf = F.pandas_udf(run, "string")
-    return df.withColumn(into, udf(F.col(ids)))
+            found = [
+                None if b is None else table.decode(np.frombuffer(b, "<u4").astype(np.int64)) for b in batch.to_pylist()
+            ]
+            yield pa.array(found, pa.string())
 
+    udf = F.arrow_udf(run, "string")
+    return df.withColumn(into, udf(named(ids)))

@@ -40,7 +40,7 @@ from veilframe.sources import materialize, scratch
 
 WIDTH = 13
 BLOCK_BYTES = 2 << 20
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 512 << 10
 # Bits of the table of the benchmark's terms.
 TERM_BITS = 1 << 22
 # Positions between the last word of a document and the first of the next.

@@ -24,7 +24,7 @@ from veilframe.llm.arrays import record_pieces, with_columns_of_text
 UNKNOWN = "und"
 BUCKETS = 1 << 17
 TRAIN_ROWS = 20_000
-PIECE = 512 << 10
+PIECE = 256 << 10
 SIDE_BY_SIDE = 16
 
 # The ranges of letters that decide a script; other letters form script 0.
