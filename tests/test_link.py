@@ -415,3 +415,58 @@ def test_keys_of_the_larger_side_are_counted_only_where_one_may_be_hot(spark):
     assert _candidates(exact, _keyed(long), 100).count() == 0
     many = long.union(tokens(ids.filter("id < 3").crossJoin(spark.range(500).select(F.lit(1)))))
     assert _candidates(exact, _keyed(many), 100).count() == 3
+
+
+@pytest.mark.parametrize("split", [{}, {"split_hot_keys": True, "pairs_per_cell": 50}])
+def test_counted_pairs_are_those_of_the_plain_link(spark, split):
+    ids = spark.range(0, 900, 1, 4)
+    of = lambda n: F.when(F.col("id") % n != 0, F.concat(F.lit("v"), (F.col("id") % n).cast("string")))
+    key = F.when(F.col("id") < 300, "hot").when(F.col("id") < 330, F.lit(None)).otherwise((F.col("id") % 200).cast("string"))
+    a = ids.select(key.alias("k"), of(3).alias("v"), (F.col("id") % 2).alias("w"))
+    b = ids.filter("id % 2 = 1 OR id > 600").select(key.alias("k"), of(5).alias("v"), F.col("id").alias("x"))
+    for spec in (LinkSpec(["k"], ["k"], ["v", "w"], ["v"]), LinkSpec(["k"], ["k"], ["v"], ["x"]), LinkSpec(["k"], ["k"], [], ["v"])):
+        wanted = rows(link(a, b, spec))
+        counted = link(a, b, spec, pairs="n", **split)
+        found = Counter()
+        for *pair, n in rows(counted).elements():
+            found[tuple(pair)] += n
+        assert found == wanted and sum(wanted.values()) > 300 * 150
+        assert counted.columns[-1] == "n" and counted.schema["n"].dataType.simpleString() == "bigint"
+
+
+def test_counted_pairs_meet_in_the_cells_they_are_dealt_to(spark, tmp_path):
+    """Only what is alike in a cell is one row: 9 million pairs, 200,000 a cell at most."""
+    spec = LinkSpec(["k"], ["k"], ["v"], ["v"])
+    with scratch(spark):
+        _, files, _ = like_rows(spark, str(tmp_path / "rows"))
+        numbers = link(files, files, spec, split_hot_keys=True, pairs_per_cell=100_000, pairs="n").collect()
+        hot = [r.n for r in numbers if r.n > 1]
+        assert sum(hot) == 9_000_000 and max(hot) < 200_000 and len(hot) >= 90
+        assert len(numbers) - len(hot) == 3000
+        assert [r.n for r in link(files, files, spec, pairs="n").orderBy(F.desc("n")).take(2)] == [9_000_000, 1]
+
+
+def test_a_name_for_the_number_of_pairs_must_be_free(spark):
+    df = spark.range(3)
+    for spec, name in ((LinkSpec(["id"], ["id"], ["id"], []), "id"), (LinkSpec(["id"], ["id"], ["id"], ["id"]), "id_b")):
+        with pytest.raises(ValueError, match="more than once"):
+            link(df, df, spec, pairs=name)
+
+
+def test_the_query_of_like_rows_gets_them_counted(spark, monkeypatch, tmp_path):
+    """Its link returned each of its pairs as a row of its own, 360,000 here."""
+    from veilframe import catalogue
+
+    lines = spark.range(0, 1200, 1, 4).select(
+        F.floor(F.col("id") / 300 * 64).cast("long").alias("l_orderkey"),
+        F.when(F.col("id") % 3 == 0, "F").when(F.col("id") % 3 == 1, "O").alias("l_linestatus"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    seen = []
+    monkeypatch.setattr(catalogue, "link", lambda *args, **named: seen.append(link(*args, **named)) or seen[-1])
+    with scratch(spark):
+        found = catalogue.hot_key_join_of_like_rows(spark, str(tmp_path))
+        assert found.columns == ["status_a", "status_b", "pairs"]
+        kinds = ["F", "O", None]
+        assert rows(found) == Counter({(x, y, 4 * 100 * 100): 1 for x in kinds for y in kinds})
+        assert seen[0].count() < 2000

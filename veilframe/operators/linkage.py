@@ -143,8 +143,13 @@ def hot_keys(left: DataFrame, right: DataFrame, pairs_per_cell: int) -> DataFram
         return materialize(found, keep=True)
 
 
+def _counted(side: DataFrame, rows: str) -> DataFrame:
+    """Rows alike in every column once, with their number as ``rows``."""
+    return side.groupBy(*side.columns).agg(F.count("*").alias(rows))
+
+
 def _split_hot_keys(
-    left: DataFrame, right: DataFrame, pairs_per_cell: int
+    left: DataFrame, right: DataFrame, pairs_per_cell: int, counted: bool = False
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides with a grid cell added to the join key of hot keys.
 
@@ -154,7 +159,8 @@ def _split_hot_keys(
     from the row's place in its file, so rows that are equal in all wanted
     columns part as well, and a task that is run again deals as before; a random
     number, or one by order of arrival, would lose or double pairs when part of
-    a stage is recomputed.
+    a stage is recomputed. With ``counted`` the like rows of a piece are counted
+    as soon as they are dealt, before they are copied.
     """
     left, right = with_place(left, PLACE), with_place(right, PLACE)
     # Stored: both sides must see the same list, and a broadcast that had to
@@ -168,11 +174,13 @@ def _split_hot_keys(
         found = side.withColumn("key", F.xxhash64(TOKEN)).join(hot, "key", "left")
         pieces = F.coalesce(F.col(f"pieces_{own}"), F.lit(1))
         copies = F.coalesce(F.col(f"pieces_{other}"), F.lit(1))
-        return found.select(
-            *columns,
-            F.pmod(PLACE, pieces).cast("int").alias(f"cell_{own}"),
-            F.explode(F.sequence(F.lit(0), copies - 1)).alias(f"cell_{other}"),
+        found = found.select(
+            *columns, F.pmod(PLACE, pieces).cast("int").alias(f"cell_{own}"), copies.alias("copies")
         )
+        if counted:
+            found = _counted(found, f"rows_{own}")
+        cells = F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias(f"cell_{other}")
+        return found.select(*[name for name in found.columns if name != "copies"], cells)
 
     return dealt(left, "a", "b"), dealt(right, "b", "a"), [TOKEN, "cell_a", "cell_b"]
 
@@ -183,6 +191,7 @@ def link(
     spec: LinkSpec,
     split_hot_keys: bool = False,
     pairs_per_cell: int = PAIRS_PER_CELL,
+    pairs: str = "",
 ) -> DataFrame:
     """Every pair of an A row and a B row with equal keys, many to many.
 
@@ -202,16 +211,27 @@ def link(
     key on both sides and stores the list of hot ones in the shared folder. A
     side that is not read straight from Parquet files is stored there too,
     tokens and wanted columns only, since its rows must have fixed places.
+
+    ``pairs`` names a column for the number of pairs. Pairs of one key, and one
+    cell, that are alike in all wanted columns then come as one row with their
+    number, instead of that many rows: for a caller who counts them. Every row
+    is dealt to its cells all the same; only there are like rows counted, and
+    the numbers of both sides multiplied. Rows are alike as ``groupBy`` has it.
     """
     require_columns(a, [*spec.keys_a, *spec.columns_a], "table A")
     require_columns(b, [*spec.keys_b, *spec.columns_b], "table B")
     _require_comparable(a, b, spec)
     names = _output_names(spec)
+    if pairs in names:
+        raise ValueError(f"the link would return {[pairs]} more than once")
     left, right = _side(a, "A", spec), _side(b, "B", spec)
     on = [TOKEN]
     if split_hot_keys:
-        left, right, on = _split_hot_keys(left, right, pairs_per_cell)
+        left, right, on = _split_hot_keys(left, right, pairs_per_cell, bool(pairs))
+    elif pairs:
+        left, right = _counted(left, "rows_a"), _counted(right, "rows_b")
     sides = [f"a{i}" for i in range(len(spec.columns_a))]
     sides += [f"b{i}" for i in range(len(spec.columns_b))]
     joined = left.join(right, on, "inner")
-    return joined.select(*[F.col(c).alias(name) for c, name in zip(sides, names)])
+    number = [(F.col("rows_a") * F.col("rows_b")).alias(pairs)] if pairs else []
+    return joined.select(*[F.col(c).alias(name) for c, name in zip(sides, names)], *number)
