@@ -19,6 +19,8 @@ from veilframe.sources import materialize, scratch
 
 # Below this fit to the learned languages a document is mostly in others, or a jumble.
 LEAST_FIT = 0.5
+# Bytes of texts that a task is sent at a time, or one text; all stages share an executor's memory.
+BATCH = "1m"
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,7 +28,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
     Texts that are NULL, empty or without a letter go.
     """
-    small_batches(spark)
+    small_batches(spark, BATCH)
     model = language.train(docs)
     names = [free_name(name, docs) for name in ("pred", "score", "spans", "fit")]
     found = language.identify(docs, model, "text", 8.0, *names)
@@ -36,13 +38,13 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of near copies the document with the smallest key, the first of those in the table."""
-    small_batches(spark)
+    small_batches(spark, BATCH)
     return near_copies.deduplicate(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which benchmark passages make up less than a twentieth."""
-    small_batches(spark)
+    small_batches(spark, BATCH)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     row = free_name("row", docs)
     numbered = docs.withColumn(row, F.monotonically_increasing_id())
@@ -55,7 +57,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with the kind in place of each piece of personal data."""
-    small_batches(spark)
+    small_batches(spark, BATCH)
     clean = pii.redact(docs)
     if "n_chars" in docs.columns:
         clean = clean.withColumn("n_chars", F.char_length("text").cast("long"))
@@ -64,7 +66,7 @@ def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, ids_sha256)``; ids are unsigned 32-bit integers, little-endian."""
-    small_batches(spark)
+    small_batches(spark, BATCH)
     found = bpe.encode_decode(docs, tokenizer_file())
     return found.select(
         "doc_id",

@@ -1,6 +1,7 @@
 """Byte-pair encoding against the tokenizers library."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -8,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from veilframe.llm import bpe
+from veilframe.llm.arrays import PrimeHash, mix, seeded
 from veilframe.llm.queries import QUERIES, tokenizer_file
 
 from .conftest import FOLDER
@@ -102,3 +104,53 @@ def test_words_that_meet_modulo_powers_of_two(stored_docs):
     got = {r.doc_id: r for r in bpe.encode_decode(stored_docs(rows), tokenizer_file()).collect()}
     for key, text in rows:
         assert np.frombuffer(got[key].ids, "<u4").tolist() == ids_of(text) and got[key].decoded == text
+
+
+def test_a_block_is_held_in_few_times_its_size():
+    rule = bpe._rule(open(tokenizer_file(), encoding="utf-8").read())
+    draw = random.Random(7)
+    words = ["".join(draw.choices("abcdefghij", k=draw.randint(2, 8))) for _ in range(20_000)]
+    texts = [" ".join(draw.choices(words, k=400)) for _ in range(1600)]
+    rows = pa.record_batch([pa.array(range(1600)), pa.array(texts)], ["key", "text"])
+    block = sum(map(len, texts))
+    assert 3 << 20 < block < bpe.BLOCK_BYTES
+    list(bpe._blocks([rows.slice(0, 9)], "key", "text", rule, {}, 0))
+    tracemalloc.start()
+    try:
+        (number, content), = bpe._blocks([rows], "key", "text", rule, {}, 0)
+        found, hashes, codes = content.finish()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert "".join(found[c] for c in codes) == "".join(texts) and len(set(found)) == len(found) == len(hashes)
+    # Texts, words, their numbers and bounds; it was 17 times with hashes of all positions and of all code points.
+    assert peak < 9 * block
+
+
+def test_words_are_cut_without_the_vocabulary():
+    whole = open(tokenizer_file(), encoding="utf-8").read()
+    rule = bpe._rule(whole)
+    assert len(rule) < 2000 and Tokenizer.from_str(rule).get_vocab_size() == 0
+    text = "It's  a 12% ß漢 test\n\n ok!"
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    found = [bpe.word_starts(points, bpe._tokenizer(of)[1]).tolist() for of in (rule, whole)]
+    assert found[0] == found[1] == [a for _, (a, _) in TOKENIZER.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def test_hash_values_are_made_for_symbols_that_occur():
+    spans = PrimeHash(2)
+    low, high = np.array([97, 98], np.uint32), np.array([97, 0x10FFFF], np.uint32)
+    before = spans.sums(low)
+    assert len(spans.values) == 256
+    sums = spans.sums(high)
+    assert len(spans.values) == 0x110000 and (spans.sums(low) == before).all()
+    wanted = mix(np.array([0x10FFFF], np.uint64) + seeded(3)) % np.uint64((1 << 61) - 2) + np.uint64(1)
+    assert spans.values[0x10FFFF] == wanted[0] and sums[1] == before[1]
+
+
+def test_results_that_go_out_in_pieces_are_whole(monkeypatch, stored_docs):
+    monkeypatch.setattr(bpe, "OUT_PIECE", 50)
+    rows = [(None if i == 3 else i, "word " * (i % 7) or None) for i in range(60)] + [(99, "x" * 300)]
+    got = bpe.encode_decode(stored_docs(rows, parts=1), tokenizer_file()).collect()
+    assert sorted((r.decoded, str(r.doc_id)) for r in got) == sorted((t or "", str(k)) for k, t in rows)
+    assert all(np.frombuffer(r.ids, "<u4").tolist() == ids_of(r.decoded) for r in got)

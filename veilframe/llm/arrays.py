@@ -107,11 +107,18 @@ class PrimeHash:
     bases; modulo a power of two there are strings that meet for every base.
     """
 
-    def __init__(self, seed: int, symbols: int = 256):
+    def __init__(self, seed: int):
         base = int(seeded(seed)) % int(PRIME - np.uint64(2)) + 2
         self.base, self.inverse = np.uint64(base), np.uint64(pow(base, -1, int(PRIME)))
-        self.values = mix(np.arange(symbols, dtype=np.uint64) + seeded(seed + 1)) % (PRIME - np.uint64(1)) + np.uint64(1)
+        self.seed, self.values = seeded(seed + 1), np.zeros(0, np.uint64)
         self.up = self.down = np.ones(1, np.uint64)
+        self._learn(256)
+
+    def _learn(self, symbols: int) -> None:
+        """Values for so many symbols; a table of all code points is made for texts that need it."""
+        if len(self.values) < symbols:
+            more = np.arange(len(self.values), -(-symbols // 256) * 256, dtype=np.uint64) + self.seed
+            self.values = np.concatenate([self.values, mix(more) % (PRIME - np.uint64(1)) + np.uint64(1)])
 
     def _grow(self, n: int) -> None:
         while len(self.up) < n:
@@ -122,6 +129,7 @@ class PrimeHash:
 
     def sums(self, symbols: np.ndarray) -> np.ndarray:
         self._grow(len(symbols) + 1)
+        self._learn(int(symbols.max(initial=0)) + 1)
         terms = multiplied(self.values[symbols], self.up[: len(symbols)])
         total = np.zeros(len(symbols) + 1, np.uint64)
         low = _reduced(np.cumsum(terms & LOW, dtype=np.uint64))
@@ -133,8 +141,8 @@ class PrimeHash:
 
 
 @lru_cache(maxsize=None)
-def prime_hash(seed: int, symbols: int = 256) -> PrimeHash:
-    return PrimeHash(seed, symbols)
+def prime_hash(seed: int) -> PrimeHash:
+    return PrimeHash(seed)
 
 
 def release() -> None:
@@ -243,15 +251,20 @@ def gathered(
 
 
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Send texts to tasks in batches of 1,000 rows unless the session has chosen a number.
+def small_batches(spark: SparkSession, size: str = "") -> None:
+    """Send texts to tasks in batches of 1,000 rows, and of ``size``, unless the session has chosen.
 
-    Spark counts rows, not bytes, and its default is meant for rows of numbers.
+    Spark's defaults, 10,000 rows and 64 MB, are meant for rows of numbers. A
+    batch lies in the executor's direct memory and again in its Python worker.
     """
-    if BATCH not in spark.conf.getAll:
+    chosen = spark.conf.getAll
+    if BATCH not in chosen:
         spark.conf.set(BATCH, "1000")
+    if size and BATCH_BYTES not in chosen:
+        spark.conf.set(BATCH_BYTES, size)
 
 
 def joined_utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -30,10 +30,12 @@ from veilframe.sources.tables import estimated_bytes, straight_from_files
 
 BLOCK_BYTES = 4 << 20
 # Texts are cut into words and hashed in pieces of so many bytes, or one text.
-PIECE = 256 << 10
+PIECE = 64 << 10
+# Code points of decoded texts, or one text, that a result goes out with.
+OUT_PIECE = 256 << 10
 # Bytes of texts, or of the files that hold them, whose distinct words are encoded by one group.
 GROUP_BYTES = 32 << 20
-ENCODE_BATCH = 10_000
+ENCODE_BATCH = 1_000
 SPACE, LETTER, NUMBER, OTHER, UNKNOWN = range(5)
 # Endings that the word rule cuts off behind an apostrophe.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
@@ -66,6 +68,12 @@ class CharacterKinds:
         return SPACE
 
 
+def _rule(tokenizer_json: str) -> str:
+    """The tokenizer without its vocabulary: the rule by which it cuts words."""
+    whole = json.loads(tokenizer_json)
+    return json.dumps(whole | {"added_tokens": [], "model": whole["model"] | {"vocab": {}, "merges": []}})
+
+
 @lru_cache(maxsize=2)
 def _tokenizer(tokenizer_json: str) -> tuple[Tokenizer, CharacterKinds]:
     tokenizer = Tokenizer.from_str(tokenizer_json)
@@ -109,7 +117,7 @@ class Words:
 
     def __init__(self, kinds: CharacterKinds, special: dict[str, int]):
         self.kinds, self.special = kinds, special
-        self.hashes, self.texts, self.bounds = [], [], []
+        self.hashes, self.firsts, self.codes, self.texts, self.bounds = [], [], [], [], []
         self.counts: list[int] = []
         self.checks: list[int] = []
         self.keys: list[pa.Array] = []
@@ -143,7 +151,8 @@ class Words:
             parts += found
             owners += [i] * len(found)
             self.size += len(text)
-        self.keys.append(keys)
+        # A copy, as a slice would hold the texts of its batch.
+        self.keys.append(keys.take(pa.array(range(len(keys)), pa.int32())))
         counts = np.zeros(len(texts), np.int64)
         if not parts:
             self.counts += counts.tolist()
@@ -161,8 +170,13 @@ class Words:
             at += len(part)
         starts = np.concatenate(starts)
         bounds = np.append(starts, at)
-        spans = prime_hash(2, 0x110000)
-        self.hashes.append(spans.spans(spans.sums(points), starts, bounds[1:]))
+        spans = prime_hash(2)
+        found = spans.spans(spans.sums(points), starts, bounds[1:])
+        # The words of a piece are made distinct at once, so that a block never holds a hash per position.
+        distinct, first, codes = np.unique(found, return_index=True, return_inverse=True)
+        self.hashes.append(distinct)
+        self.firsts.append(first.astype(np.uint32))
+        self.codes.append(codes.astype(np.uint32))
         self.bounds.append(bounds.astype(np.uint32))
         self.texts.append(joined)
         self.counts += counts.tolist()
@@ -171,30 +185,37 @@ class Words:
         """Distinct words, their hashes, and the number of the word at every position.
 
         Words of equal hash are compared; one that differs from the first with
-        its hash is a word of its own.
+        its hash is a word of its own. Nothing but the keys, counts and checks
+        of the texts is kept.
         """
         if not self.hashes:
             return [], np.zeros(0, np.uint64), np.zeros(0, np.uint32)
         before = np.cumsum([0, *map(len, self.hashes)])
-        hashes = np.concatenate(self.hashes)
-        self.hashes.clear()
-        distinct, first, codes = np.unique(hashes, return_index=True, return_inverse=True)
-        codes = codes.astype(np.uint32)
+        distinct, first, which = np.unique(
+            np.concatenate(self.hashes), return_index=True, return_inverse=True
+        )
+        which = which.astype(np.uint32)
         piece = np.searchsorted(before, first, side="right") - 1
         found = []
-        for i, at in zip(piece.tolist(), (first - before[piece]).tolist()):
+        for i, at in zip(piece.tolist(), np.concatenate(self.firsts)[first].tolist()):
             a, b = self.bounds[i][at : at + 2].tolist()
             found.append(self.texts[i][a:b])
         spelled = _code_points("".join(found))
         size = np.array([len(w) for w in found], np.int64)
         start, others = np.cumsum(size) - size, {}
+        codes, at = np.empty(sum(map(len, self.codes)), np.uint32), 0
         for i, text in enumerate(self.texts):
-            mine = codes[before[i] : before[i + 1]]
+            mine = codes[at : at + len(self.codes[i])]
+            mine[:] = which[before[i] : before[i + 1]][self.codes[i]]
+            at += len(mine)
             bounds = self.bounds[i].astype(np.int64)
             for j in _unlike(_code_points(text), bounds, spelled, start[mine], size[mine]).tolist():
                 number = others.setdefault(text[bounds[j] : bounds[j + 1]], len(found) + len(others))
                 distinct = np.append(distinct, distinct[mine[j]]) if number == len(distinct) else distinct
                 mine[j] = number
+            self.codes[i] = self.bounds[i] = self.texts[i] = None
+        for held in (self.hashes, self.firsts, self.codes, self.bounds, self.texts):
+            held.clear()
         return found + list(others), distinct, codes
 
 
@@ -220,9 +241,9 @@ def _special(tokenizer_json: str) -> dict[str, int]:
     return {t["content"]: t["id"] for t in json.loads(tokenizer_json)["added_tokens"]}
 
 
-def _blocks(batches, key: str, text: str, tokenizer_json: str, partition: int):
+def _blocks(batches, key: str, text: str, rule: str, special: dict[str, int], partition: int):
     """``(block id, Words)`` for every block of a task's rows."""
-    special, kinds = _special(tokenizer_json), _tokenizer(tokenizer_json)[1]
+    kinds = _tokenizer(rule)[1]
     block, number = Words(kinds, special), 0
     for piece in record_pieces(batches, text, PIECE):
         if block.size and block.size + piece.nbytes > BLOCK_BYTES:
@@ -271,7 +292,8 @@ def encode_decode(
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as file:
         tokenizer_json = file.read()
-    shared = spark.sparkContext.broadcast((tokenizer_json, pieces_of(tokenizer_json)))
+    rule, special = _rule(tokenizer_json), _special(tokenizer_json)
+    shared = spark.sparkContext.broadcast((tokenizer_json, _Pieces(pieces_of(tokenizer_json))))
     rows = docs.select(named(key).alias("key"), named(text).cast("string").alias("text"))
     # The number of groups follows the input; results do not depend on it.
     if straight_from_files(rows):
@@ -286,53 +308,53 @@ def encode_decode(
         first = next(batches, None)
         if first is None or first.num_rows == 0:
             return
-        tokenizer = shared.value[0]
-
-        def all_batches():
-            yield first
-            yield from batches
-
         yield from _blocks(
-            all_batches(), "key", "text", tokenizer, first.column("task")[0].as_py()
+            chain([first], batches), "key", "text", rule, special, first.column("task")[0].as_py()
+        )
+
+    # What is made of a block is local to a call, so that it is gone when the next block is read.
+    def word_list(block: int, content: Words) -> pa.RecordBatch:
+        found, hashes, _ = content.finish()
+        part = (hashes % np.uint64(ranges)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        cuts = np.searchsorted(part[order], np.arange(ranges + 1))
+        some, data = np.flatnonzero(np.diff(cuts)).tolist(), []
+        for i in some:
+            chosen = order[cuts[i] : cuts[i + 1]].tolist()
+            data.append(_packed_words([found[j] for j in chosen]))
+        return pa.record_batch(
+            [
+                pa.array(some, pa.int32()),
+                pa.array([block] * len(some), pa.int64()),
+                pa.array(data, pa.binary()),
+            ],
+            ["part", "block", "words"],
         )
 
     def word_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, content in blocks(batches):
-            found, hashes, _ = content.finish()
-            part = (hashes % np.uint64(ranges)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            cuts = np.searchsorted(part[order], np.arange(ranges + 1))
-            some, data = np.flatnonzero(np.diff(cuts)).tolist(), []
-            for i in some:
-                chosen = order[cuts[i] : cuts[i + 1]].tolist()
-                data.append(_packed_words([found[j] for j in chosen]))
-            yield pa.record_batch(
-                [
-                    pa.array(some, pa.int32()),
-                    pa.array([block] * len(some), pa.int64()),
-                    pa.array(data, pa.binary()),
-                ],
-                ["part", "block", "words"],
-            )
+            yield word_list(block, content)
 
     def encoded(group: pa.Table) -> pa.Table:
         tokenizer = _tokenizer(shared.value[0])[0]
-        numbers: dict[str, int] = {}
-        lists = group.column("words").to_pylist()
-        for data in lists:
-            for word in _unpacked_words(data):
-                numbers.setdefault(word, len(numbers))
-        distinct, counts, ids = list(numbers), [], [np.zeros(0, np.uint32)]
+        # Arrow holds the words of all lists; as Python's strings they would take ten times the room.
+        lists = [_unpacked_words(data) for data in group.column("words").to_pylist()]
+        ends = np.cumsum([0, *map(len, lists)]).tolist()
+        words = pa.concat_arrays([pa.array([], pa.large_string()), *lists]).dictionary_encode()
+        distinct, numbers = words.dictionary, words.indices.to_numpy()
+        del lists, words
+        counts, ids = [np.zeros(0, np.uint32)], [np.zeros(0, np.uint32)]
         for i in range(0, len(distinct), ENCODE_BATCH):
-            batch = tokenizer.encode_batch(distinct[i : i + ENCODE_BATCH], add_special_tokens=False)
-            own = [e.ids for e in batch]
-            counts += map(len, own)
+            some = distinct.slice(i, ENCODE_BATCH).to_pylist()
+            # One by one: a batch starts threads, each with a cache and memory that are never given back.
+            own = [tokenizer.encode(word, add_special_tokens=False).ids for word in some]
+            counts.append(np.array([*map(len, own)], np.uint32))
             ids.append(np.fromiter(chain.from_iterable(own), np.uint32))
-        counts, flat = np.array(counts, np.uint32), np.concatenate(ids)
+        counts, flat = np.concatenate(counts), np.concatenate(ids)
         firsts = np.cumsum(counts, dtype=np.int64) - counts
         lengths, values = [], []
-        for data in lists:
-            chosen = np.array([numbers[w] for w in _unpacked_words(data)], np.int64)
+        for a, b in zip(ends, ends[1:]):
+            chosen = numbers[a:b]
             lengths.append(packed(counts[chosen]))
             places = repeated_ranges(firsts[chosen], counts[chosen].astype(np.int64))
             values.append(packed(flat[places]))
@@ -346,25 +368,29 @@ def encode_decode(
             }
         )
 
+    def coded_block(block: int, content: Words) -> pa.RecordBatch:
+        _, hashes, codes = content.finish()
+        return pa.record_batch(
+            [
+                pa.array([block], pa.int64()),
+                _one_list(pa.concat_arrays(content.keys)),
+                pa.array([content.counts], pa.list_(pa.int64())),
+                pa.array([content.checks], pa.list_(pa.int64())),
+                pa.array([packed((hashes % np.uint64(ranges)).astype(np.uint32))], pa.binary()),
+                pa.array([packed(codes)], pa.binary()),
+            ],
+            ["block", "keys", "counts", "checks", "parts", "codes"],
+        )
+
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, content in blocks(batches):
-            _, hashes, codes = content.finish()
-            yield pa.record_batch(
-                [
-                    pa.array([block], pa.int64()),
-                    _one_list(pa.concat_arrays(content.keys)),
-                    pa.array([content.counts], pa.list_(pa.int64())),
-                    pa.array([content.checks], pa.list_(pa.int64())),
-                    pa.array([packed((hashes % np.uint64(ranges)).astype(np.uint32))], pa.binary()),
-                    pa.array([packed(codes)], pa.binary()),
-                ],
-                ["block", "keys", "counts", "checks", "parts", "codes"],
-            )
+            yield coded_block(block, content)
 
     def assembled(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows != 1:
             raise ValueError("two readings of the texts gave different blocks; store them first")
-        row, right = left.to_pylist()[0], right.sort_by("part")
+        row = left.select(["counts", "checks", "parts", "codes"]).to_pylist()[0]
+        right = right.sort_by("part")
         parts, none = unpacked(row["parts"], np.uint32), np.zeros(0, np.uint32)
         if right.column("part").to_pylist() != np.unique(parts).tolist():
             raise ValueError("two readings of the texts gave different words; store them first")
@@ -380,7 +406,9 @@ def encode_decode(
         first[order] = np.cumsum(by_part) - by_part
         count[order] = by_part
         codes = unpacked(row["codes"], np.uint32)
-        table, at, found_ids, found_texts = _Pieces(shared.value[1]), 0, [], []
+        del by_part, order, right
+        table, at, size = shared.value[1], 0, 0
+        found_ids, found_texts, pieces = [], [], []
         for n, check in zip(row["counts"], row["checks"]):
             word = codes[at : at + n]
             at += n
@@ -388,15 +416,17 @@ def encode_decode(
             decoded = table.decode(chosen)
             if zlib.crc32(decoded.encode()) != check:
                 raise ValueError("ids do not decode to their text")
+            if found_texts and size + len(decoded) > OUT_PIECE:
+                pieces.append(_out_piece(found_ids, found_texts))
+                found_ids, found_texts, size = [], [], 0
             found_ids.append(chosen.tobytes())
             found_texts.append(decoded)
-        return pa.table(
-            {
-                "key": left.column("keys").combine_chunks().flatten(),
-                "ids": pa.array(found_ids, pa.binary()),
-                "decoded": pa.array(found_texts, pa.string()),
-            }
-        )
+            size += len(decoded)
+        pieces.append(_out_piece(found_ids, found_texts))
+        # Each piece goes to Spark by itself.
+        whole, keys = pa.Table.from_batches(pieces), left.column("keys").combine_chunks().flatten()
+        trim()
+        return whole.add_column(0, "key", keys)
 
     lists = rows.mapInArrow(word_lists, "part int, block long, words binary")
     replies = lists.groupBy("part").applyInArrow(
@@ -415,22 +445,27 @@ def encode_decode(
     return done.select(F.col("key").alias(key), "ids", "decoded")
 
 
+def _out_piece(ids: list[bytes], texts: list[str]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["ids", "decoded"])
+
+
 def _one_list(values: pa.Array) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def _packed_words(found: list[str]) -> bytes:
     """Words with their lengths, so that a word may hold any character."""
-    sizes = packed(np.array([len(w) for w in found], np.uint32))
-    body = len(sizes).to_bytes(4, "little") + sizes
-    return body + zstandard.compress("".join(found).encode("utf-8", "surrogatepass"), 3)
+    coded = [w.encode() for w in found]
+    sizes = packed(np.array([*map(len, coded)], np.uint32))
+    return len(sizes).to_bytes(4, "little") + sizes + zstandard.compress(b"".join(coded), 3)
 
 
-def _unpacked_words(data: bytes) -> list[str]:
+def _unpacked_words(data: bytes) -> pa.LargeStringArray:
     cut = 4 + int.from_bytes(data[:4], "little")
-    ends = np.cumsum(unpacked(data[4:cut], np.uint32), dtype=np.int64).tolist()
-    body = zstandard.decompress(data[cut:]).decode("utf-8", "surrogatepass")
-    return [body[a:b] for a, b in zip([0, *ends], ends)]
+    sizes = unpacked(data[4:cut], np.uint32)
+    bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes, dtype=np.int64)])
+    body = zstandard.decompress(data[cut:])
+    return pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(bounds), pa.py_buffer(body))
 
 
 class _Pieces:
@@ -449,10 +484,10 @@ class _Pieces:
 def decode(df: DataFrame, tokenizer_file: str, ids: str = "ids", into: str = "decoded") -> DataFrame:
     """``df`` with its binary ``ids`` decoded; an id beyond the vocabulary is an error."""
     with open(tokenizer_file, encoding="utf-8") as file:
-        pieces = df.sparkSession.sparkContext.broadcast(pieces_of(file.read()))
+        pieces = df.sparkSession.sparkContext.broadcast(_Pieces(pieces_of(file.read())))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        table = _Pieces(pieces.value)
+        table = pieces.value
         for batch in batches:
             found = [
                 None if b is None else table.decode(np.frombuffer(b, "<u4").astype(np.int64)) for b in batch.to_pylist()
